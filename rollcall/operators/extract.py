@@ -73,8 +73,11 @@ def star_extract(
     )
 
 
-def to_appointment(df: DataFrame, salt: str) -> DataFrame:
-    """Project a joined extract to the appointment columns; no plain patient id."""
+def to_appointment(df: DataFrame, salt: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Project a joined extract to the appointment columns; no plain patient id.
+
+    ``keep`` names further columns to carry along.
+    """
     return df.select(
         "APP_ID",
         pseudonymize("patient_value", salt).alias("pseudo_id"),
@@ -97,6 +100,7 @@ def to_appointment(df: DataFrame, salt: str) -> DataFrame:
         F.col("postal_code").alias("address_postalCodeNumbersNL"),
         "name",
         "description",
+        *keep,
     )
 
 

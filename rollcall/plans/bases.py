@@ -160,8 +160,8 @@ POSTAL_COLUMNS = {
 
 
 def postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as postal areas; two of them have no known location."""
-    known = table(spark, sf_dir, "nation").where("n_nationkey NOT IN (3, 7)")
+    """Nations as postal areas; those of one region have no known location."""
+    known = table(spark, sf_dir, "nation").where("n_regionkey <> 4")
     return _spark_select(known, POSTAL_COLUMNS)
 
 
@@ -249,7 +249,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answered = table(spark, sf_dir, "events").where("event_id % 3 <> 0")
+    answered = table(spark, sf_dir, "events").where("event_type <> 'view'")
     return _spark_select(answered, CALL_COLUMNS)
 
 
@@ -331,7 +331,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "postal": (
         (),
-        _sql_select(POSTAL_COLUMNS, "nation WHERE n_nationkey NOT IN (3, 7)"),
+        _sql_select(POSTAL_COLUMNS, "nation WHERE n_regionkey <> 4"),
     ),
     "history": (
         ("cleaned",),
@@ -360,7 +360,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "ev": ((), _sql_select(EVENT_COLUMNS, "events")),
     "predictions": ((), _sql_select(PREDICTION_COLUMNS, "events")),
     "patients": ((), _sql_select(PATIENT_COLUMNS, "customer")),
-    "calls": ((), _sql_select(CALL_COLUMNS, "events WHERE event_id % 3 <> 0")),
+    "calls": ((), _sql_select(CALL_COLUMNS, "events WHERE event_type <> 'view'")),
     "requests": ((), _sql_select(REQUEST_COLUMNS, "part")),
     "contacts": ((), _sql_select(CONTACT_COLUMNS, "customer")),
 }
