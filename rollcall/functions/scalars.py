@@ -45,9 +45,9 @@ def share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
-def clamp(value: Column, low, high) -> Column:
+def clamp(value: Column, low: Column, high: Column) -> Column:
     """Limit to [low, high]; missing stays missing."""
-    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
+    return F.when(value < low, low).when(value > high, high).otherwise(value)
 
 
 def not_in(value: Column | str, items: Sequence) -> Column:

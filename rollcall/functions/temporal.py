@@ -31,10 +31,6 @@ def minute_boundaries(start: Column | str, end: Column | str) -> Column:
     return floor_div(micros(end), MINUTE_US) - floor_div(micros(start), MINUTE_US)
 
 
-def minutes_between(later: Column | str, earlier: Column | str) -> Column:
-    return (micros(later) - micros(earlier)) / F.lit(float(MINUTE_US))
-
-
 def birth_year(date: Column | str) -> Column:
     return F.year(date)
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.scalars import clamp, haversine_km, share
 from rollcall.functions.temporal import (
     DAY_US,
+    MINUTE_US,
     floor_days,
-    minutes_between,
+    micros,
     weekday_monday0,
 )
 from rollcall.operators.timeline import Lagged, Previous, SameDay, Trailing, with_history
@@ -37,10 +38,16 @@ def add_missed_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("_missed", (F.col("no_show") == "no_show").cast("long"))
 
 
+def _early_us(cutoff: float) -> Column:
+    """Microseconds between arrival and start; whole numbers add up exactly."""
+    limit = int(cutoff * MINUTE_US)
+    early = F.coalesce(micros(START) - micros("gearriveerd"), F.lit(0).cast("long"))
+    return clamp(early, F.lit(-limit).cast("long"), F.lit(limit).cast("long"))
+
+
 def add_minutes_early(df: DataFrame, cutoff: float = 60) -> DataFrame:
     """Minutes between arrival and start; 0 without arrival, limited to ±cutoff."""
-    early = F.coalesce(minutes_between(START, "gearriveerd"), F.lit(0.0))
-    return df.withColumn("minutes_early", clamp(early, -float(cutoff), float(cutoff)))
+    return df.withColumn("minutes_early", _early_us(cutoff) / F.lit(float(MINUTE_US)))
 
 
 def prev_no_show_features(df: DataFrame, chunk_us: int = DAY_US) -> DataFrame:
@@ -62,15 +69,16 @@ def add_prev_minutes_early(
     df: DataFrame, cutoff: float = 60, chunk_us: int = DAY_US
 ) -> DataFrame:
     """Mean minutes early over earlier appointments, given their count."""
-    spec = Lagged("_early_sum", "minutes_early", LEAK_GUARD_US)
-    out = with_history(add_minutes_early(df, cutoff), ENTITY, START, [spec], chunk_us)
-    return _add_early_mean(out)
+    ready = add_minutes_early(df, cutoff).withColumn("_early_us", _early_us(cutoff))
+    spec = Lagged("_early_sum", "_early_us", LEAK_GUARD_US)
+    return _add_early_mean(with_history(ready, ENTITY, START, [spec], chunk_us))
 
 
 def _add_early_mean(df: DataFrame) -> DataFrame:
+    minutes = F.col("_early_sum") / F.lit(float(MINUTE_US))
     return df.withColumn(
-        "prev_minutes_early", share(F.col("_early_sum"), F.col("earlier_appointments"))
-    ).drop("_early_sum")
+        "prev_minutes_early", share(minutes, F.col("earlier_appointments"))
+    ).drop("_early_sum", "_early_us")
 
 
 def appointments_last_days(
@@ -129,11 +137,13 @@ def create_features(
     chunk_us: int = DAY_US,
 ) -> DataFrame:
     """All features in one pass over each patient's timeline."""
-    ready = add_minutes_early(add_missed_flag(df), minutes_cutoff)
+    ready = add_minutes_early(add_missed_flag(df), minutes_cutoff).withColumn(
+        "_early_us", _early_us(minutes_cutoff)
+    )
     specs = [
         Lagged("prev_no_show", "_missed", LEAK_GUARD_US),
         Lagged("earlier_appointments", "no_show", LEAK_GUARD_US, "count"),
-        Lagged("_early_sum", "minutes_early", LEAK_GUARD_US),
+        Lagged("_early_sum", "_early_us", LEAK_GUARD_US),
         Trailing("appointments_last_days", "APP_ID", last_days * DAY_US),
         SameDay("appointments_same_day", "APP_ID"),
         Previous("_previous"),

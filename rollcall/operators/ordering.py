@@ -51,6 +51,17 @@ def _range_offsets(placed: DataFrame, totals: dict[str, Column]) -> DataFrame:
     )
 
 
+def _with_group_stats(
+    df: DataFrame, by: Sequence[str], stats: dict[str, Column]
+) -> DataFrame:
+    """Join per-group aggregates back; missing group values match each other."""
+    grouped = df.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(
+        *[value.alias(name) for name, value in stats.items()]
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
+    return df.join(grouped, same).drop(*[f"_g_{c}" for c in by])
+
+
 def ranked(
     df: DataFrame,
     order: Sequence[Column],
@@ -70,10 +81,8 @@ def ranked(
     whole = whole.drop("_range", "_pos", "_before")
     if not by:
         return whole
-    starts = whole.groupBy(*by).agg(F.min(out).alias("_first"))
-    same = [whole[c].eqNullSafe(starts[c]) for c in by]
-    return whole.join(starts, same).select(
-        *[whole[c] for c in df.columns], (whole[out] - starts["_first"]).alias(out)
+    return _with_group_stats(whole, by, {"_first": F.min(out)}).select(
+        *df.columns, (F.col(out) - F.col("_first")).alias(out)
     )
 
 
@@ -100,13 +109,9 @@ def running_totals(
     )
     if not by:
         return whole
-    starts = whole.groupBy(*by).agg(
-        *[F.min(F.col(o) - F.col(c)).alias(f"_f_{o}") for o, c in totals.items()]
-    )
-    same = [whole[c].eqNullSafe(starts[c]) for c in by]
-    return whole.join(starts, same).select(
-        *[whole[c] for c in df.columns],
-        *[(whole[o] - starts[f"_f_{o}"]).alias(o) for o in totals],
+    starts = {f"_f_{o}": F.min(F.col(o) - F.col(c)) for o, c in totals.items()}
+    return _with_group_stats(whole, by, starts).select(
+        *df.columns, *[(F.col(o) - F.col(f"_f_{o}")).alias(o) for o in totals]
     )
 
 
@@ -125,11 +130,7 @@ def exact_quantiles(
     slim = df.where(F.col(value).isNotNull()).select(*by, value)
     if by:
         placed = ranked(slim, [F.col(value)], "_rank", by)
-        counts = slim.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        same = [placed[c].eqNullSafe(counts[c]) for c in by]
-        placed = placed.join(counts, same).select(
-            *[placed[c] for c in by], value, "_rank", "_n"
-        )
+        placed = _with_group_stats(placed, by, {"_n": F.count(F.lit(1))})
     else:
         placed = ranked(slim, [F.col(value)], "_rank")
         n = placed.count()

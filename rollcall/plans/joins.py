@@ -155,14 +155,14 @@ def left_join_turned_inner(spark, sf_dir):
     b.with_ctes(
         f"""SELECT "APP_ID", line, start, type1_code, patient_value FROM enc
         WHERE type1_code NOT IN ('FAMF', 'FAMT', 'FAMS') AND patient_value IN (
-        SELECT patient_value FROM enc WHERE start >= TIMESTAMP '2000-03-07 00:00:00'
-        AND start < TIMESTAMP '2000-03-08 00:00:00' AND status = 'planned'
+        SELECT patient_value FROM enc WHERE start >= TIMESTAMP '2001-04-16 00:00:00'
+        AND start < TIMESTAMP '2001-04-17 00:00:00' AND status = 'planned'
         AND {_EXCLUSION_SQL.replace("type1_code NOT IN ('FAMF', 'FAMT', 'FAMS') AND ", "")})""",
         enc=_ENC_SQL,
     ),
 )
 def active_patient_semi(spark, sf_dir):
-    rows = extract.active_patient_history(encounters(spark, sf_dir), dt.date(2000, 3, 7))
+    rows = extract.active_patient_history(encounters(spark, sf_dir), dt.date(2001, 4, 16))
     return rows.select("APP_ID", "line", "start", "type1_code", "patient_value")
 
 
