@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +41,10 @@ def group_folds(
     Patients sorted by positives and rows are dealt out back and forth.
     """
     sizes = df.groupBy(group).agg(
-        F.sum(F.col(label).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_n")
+        F.sum(F.col(label).cast("long")).alias("_positives"), F.count(F.lit(1)).alias("_rows")
     )
-    dealt = ranked(sizes, [F.col("_pos").desc(), F.col("_n").desc(), F.col(group)], "_rank")
+    order = [F.col("_positives").desc(), F.col("_rows").desc(), F.col(group)]
+    dealt = ranked(sizes, order, "_rank")
     turn = F.pmod(F.col("_rank"), F.lit(2 * k))
     fold = F.when(turn < k, turn).otherwise(2 * k - 1 - turn).cast("int")
     return df.join(dealt.select(group, fold.alias(out)), group)
@@ -153,7 +154,6 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 # --- logistic baseline ------------------------------------------------------
 
-DEGREE = 3
 KNOTS = 5
 
 
@@ -188,27 +188,37 @@ def spline_limits(
     return limits
 
 
-def _cubic_piece(t: Column) -> Column:
-    """Cubic B-spline on the knots 0..4, written as its four polynomials."""
-    return (
-        F.when((t < 0) | (t >= 4), 0.0)
-        .when(t < 1, t * t * t / 6)
-        .when(t < 2, (((-3 * t + 12) * t - 12) * t + 4) / 6)
-        .when(t < 3, (((3 * t - 24) * t + 60) * t - 44) / 6)
-        .otherwise((4 - t) * (4 - t) * (4 - t) / 6)
+def spline_basis(spot: Column) -> Column:
+    """Cubic spline weights at a place in [0, 4] between evenly spaced knots.
+
+    Only the four splines around the place are non-zero; the array is padded with
+    zeros to its fixed length.
+    """
+    piece = F.least(F.floor(spot), F.lit(KNOTS - 2)).cast("int")
+    u = spot - piece
+    v = 1 - u
+    weights = F.array(
+        v * v * v / 6,
+        ((3 * u - 6) * u * u + 4) / 6,
+        ((3 * v - 6) * v * v + 4) / 6,
+        u * u * u / 6,
+    )
+    zero = F.lit(0.0)
+    return F.concat(
+        F.array_repeat(zero, piece), weights, F.array_repeat(zero, F.lit(KNOTS - 2) - piece)
     )
 
 
 def with_splines(df: DataFrame, limits: dict) -> DataFrame:
-    """Add the spline basis of each column, constant outside the fitted range."""
-    added = {}
+    """Add the spline basis of all columns as one vector, constant outside the
+    fitted range."""
+    parts = []
     for c, (median, width, low, high) in limits.items():
         scaled = (F.col(c) - median) / width
         step = (high - low) / (KNOTS - 1) or 1.0
         spot = F.least(F.greatest((scaled - low) / step, F.lit(0.0)), F.lit(float(KNOTS - 1)))
-        for j in range(KNOTS + DEGREE - 1):
-            added[f"{c}_s{j}"] = _cubic_piece(spot - j + DEGREE)
-    return df.withColumns(added)
+        parts.append(spline_basis(spot))
+    return df.withColumn("splines", array_to_vector(F.concat(*parts)))
 
 
 def logistic_baseline(
@@ -228,9 +238,8 @@ def logistic_baseline(
         handleInvalid="keep",
         dropLast=False,
     )
-    basis = [f"{c}_s{j}" for c in numeric for j in range(KNOTS + DEGREE - 1)]
     assembler = VectorAssembler(
-        inputCols=[*basis, *[f"{c}_hot" for c in categorical]], outputCol="features"
+        inputCols=["splines", *[f"{c}_hot" for c in categorical]], outputCol="features"
     )
     logistic = LogisticRegression(labelCol="label", regParam=0.0, maxIter=max_iter)
     stages = [*indexers, *([encoder] if categorical else []), assembler, logistic]

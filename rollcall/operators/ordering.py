@@ -33,7 +33,7 @@ def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
         numbered.select(
             *df.columns,
             F.shiftright("_id", _POSITION_BITS).alias("_range"),
-            F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
+            F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_in_range"),
         ),
         "placed",
     )
@@ -76,9 +76,9 @@ def ranked(
     offsets = _range_offsets(placed, {"_before": F.lit(1)})
     # The offsets hold one row per shuffle partition, so they always fit.
     whole = placed.join(F.broadcast(offsets), "_range").withColumn(
-        out, F.col("_before") + F.col("_pos")
+        out, F.col("_before") + F.col("_in_range")
     )
-    whole = whole.drop("_range", "_pos", "_before")
+    whole = whole.drop("_range", "_in_range", "_before")
     if not by:
         return whole
     return _with_group_stats(whole, by, {"_first": F.min(out)}).select(
@@ -99,7 +99,7 @@ def running_totals(
     """
     placed = _placed(df, [F.col(c) for c in by] + list(order))
     offsets = _range_offsets(placed, {f"_b_{o}": F.col(c) for o, c in totals.items()})
-    inside = W.partitionBy("_range").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("_range").orderBy("_in_range").rowsBetween(W.unboundedPreceding, 0)
     summed = placed.select(
         "*", *[F.sum(c).over(inside).alias(f"_r_{o}") for o, c in totals.items()]
     )

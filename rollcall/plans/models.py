@@ -1 +1,111 @@
+"""Training and model comparison on the feature table of the orders."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rollcall.operators import features, modeling, ordering
+from rollcall.plans import bases as b
+from rollcall.plans.registry import query
+from rollcall.session import materialize
+
+# Few and short boosting rounds: the queries show the job, not the best model.
+ROUNDS = (2, 3)
+RATES = (0.1,)
+KEY = "_key"
+
+
+def training_rows(spark, sf_dir):
+    """Label and features of every cleaned appointment, written once: fits iterate."""
+    table = b.features(spark, sf_dir).withColumnRenamed("APP_ID", KEY)
+    keep = [KEY, "pseudo_id", "start", "hoofdagenda", *features.FEATURE_COLUMNS]
+    return materialize(modeling.model_input(table.select(*keep)), "training")
+
+
+def short_trees():
+    return modeling.boosted_trees(max_iter=ROUNDS[0], step=RATES[0])
+
+
+@query(
+    "group_folds",
+    b.with_ctes(
+        """SELECT pseudo_id, (CASE WHEN r % 10 < 5 THEN r % 10 ELSE 9 - r % 10 END)::INTEGER
+        AS fold, n FROM (SELECT pseudo_id, n,
+        row_number() OVER (ORDER BY pos DESC, n DESC, pseudo_id) - 1 AS r FROM (
+        SELECT pseudo_id, sum((no_show = 'no_show')::INTEGER) AS pos, count(*) AS n
+        FROM features GROUP BY 1))""",
+        "features",
+    ),
+)
+def group_folds(spark, sf_dir):
+    rows = modeling.model_input(b.features(spark, sf_dir))
+    folded = modeling.group_folds(rows, "pseudo_id")
+    return folded.groupBy("pseudo_id", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("train_grid")
+def train_grid(spark, sf_dir):
+    rows = modeling.group_folds(training_rows(spark, sf_dir), "pseudo_id", k=3)
+    result = modeling.train_grid(
+        rows, ROUNDS, RATES, k=3, pipeline=short_trees()
+    )
+    table = [
+        (p["maxIter"], p["stepSize"], float(auc)) for p, auc in zip(result.params, result.auc)
+    ]
+    return spark.createDataFrame(table, "max_iter int, step double, auc double")
+
+
+@query("cross_validated_metrics")
+def cross_validated_metrics(spark, sf_dir):
+    rows = modeling.group_folds(training_rows(spark, sf_dir), "pseudo_id", k=3)
+    return modeling.fold_metrics(rows, short_trees(), k=3)
+
+
+@query("score")
+def score(spark, sf_dir):
+    """Train on the first 80 %, score the planned appointments of the rest."""
+    rows = training_rows(spark, sf_dir)
+    split = ordering.temporal_split(rows, [F.col("start"), F.col(KEY)])
+    model = short_trees().fit(split.where(~F.col("is_test")))
+    return modeling.score(model, split.where("is_test")).select(KEY, "start", "prediction")
+
+
+@query("logistic_baseline")
+def logistic_baseline(spark, sf_dir):
+    rows = training_rows(spark, sf_dir)
+    model = modeling.logistic_baseline(rows, max_iter=10)
+    return modeling.score(model, rows).select(KEY, "label", "prediction")
+
+
+@query("leave_one_group_out")
+def leave_one_group_out(spark, sf_dir):
+    rows = training_rows(spark, sf_dir)
+    return modeling.leave_one_group_out(rows, "hoofdagenda", short_trees().fit)
+
+
+@query("per_clinic_models")
+def per_clinic_models(spark, sf_dir):
+    """Scores by clinic models next to those of one model with clinic as category."""
+    rows = training_rows(spark, sf_dir)
+    separate = modeling.per_group_models(rows, "hoofdagenda", short_trees().fit)
+    shared = modeling.boosted_trees(
+        categorical=(*modeling.CATEGORICAL, "hoofdagenda"), max_iter=ROUNDS[0]
+    ).fit(rows)
+    joint = modeling.score(shared, rows).select(KEY, F.col("prediction").alias("with_clinic"))
+    return separate.select(KEY, "hoofdagenda", F.col("prediction").alias("own_model")).join(
+        joint, KEY
+    )
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    rows = training_rows(spark, sf_dir)
+    inputs = [*modeling.NUMERIC, *modeling.CATEGORICAL]
+    model = short_trees().fit(rows)
+    return modeling.permutation_importance(model, rows, inputs, KEY, repeats=2)
+
+
+@query("tree_importance")
+def tree_importance(spark, sf_dir):
+    rows = training_rows(spark, sf_dir)
+    return modeling.tree_importance(short_trees().fit(rows), rows)

@@ -196,33 +196,31 @@ def quantile_bins(spark, sf_dir):
 @query(
     "top_row_per_patient",
     b.with_ctes(
-        'SELECT "APP_ID", pseudo_id, hoofdagenda, round(prediction, 6) AS prediction FROM top',
+        'SELECT "APP_ID", pseudo_id, hoofdagenda, prediction FROM top',
         **_BIN_CTES,
     ),
 )
 def top_row_per_patient(spark, sf_dir):
     out = binning.top_row(scored(spark, sf_dir), "pseudo_id", "prediction", ["APP_ID"])
-    return b.rounded(
-        out.select("APP_ID", "pseudo_id", "hoofdagenda", "prediction"), "prediction"
-    )
+    return out.select("APP_ID", "pseudo_id", "hoofdagenda", "prediction")
 
 
 @query(
     "bin_edges_per_group",
     b.with_ctes(
         "SELECT hoofdagenda, unnest([1, 2, 3, 4, 5])::INTEGER AS i,"
-        " round(unnest(edges), 6) AS edge FROM edges",
+        " round(unnest(edges), 9) AS edge FROM edges",
         **_BIN_CTES,
     ),
 )
 def bin_edges_per_group(spark, sf_dir):
     out = edges(spark, sf_dir).select("hoofdagenda", F.posexplode("edges").alias("i", "edge"))
-    return b.rounded(out.withColumn("i", F.col("i") + 1), "edge")
+    return b.rounded(out.withColumn("i", F.col("i") + 1), "edge", decimals=9)
 
 
 @query(
     "sink_bins_json",
-    b.with_ctes("SELECT hoofdagenda, len(edges)::INTEGER AS n, round(edges[3], 6) AS median FROM edges", **_BIN_CTES),
+    b.with_ctes("SELECT hoofdagenda, len(edges)::INTEGER AS n, round(edges[3], 9) AS median FROM edges", **_BIN_CTES),
 )
 def sink_bins_json(spark, sf_dir):
     from rollcall.plans.scalars import _scratch
@@ -233,7 +231,7 @@ def sink_bins_json(spark, sf_dir):
     out = read_bins(spark, path).select(
         "hoofdagenda", F.size("edges").alias("n"), F.element_at("edges", 3).alias("median")
     )
-    return b.rounded(out, "median")
+    return b.rounded(out, "median", decimals=9)
 
 
 @query(
@@ -331,11 +329,25 @@ def strata_balance(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query("daily_assignment_replay")
+@query(
+    "daily_assignment_replay",
+    b.with_ctes(
+        """SELECT r."APP_ID", r.pseudo_id, score_bin, m AS treatment_group FROM binned r
+        LEFT JOIN (SELECT pseudo_id, (CASE WHEN sum(arm) * 2 > count(*) THEN 1 ELSE 0 END)::INTEGER
+        AS m FROM (SELECT pseudo_id, (row_number() OVER (PARTITION BY start::DATE, hoofdagenda,
+        score_bin ORDER BY prediction DESC, "APP_ID") - 1) % 2 AS arm FROM binned
+        JOIN (SELECT pseudo_id, min(start::DATE) AS d FROM binned GROUP BY 1) USING (pseudo_id)
+        WHERE start::DATE = d) GROUP BY 1) USING (pseudo_id)""",
+        **_BIN_CTES,
+        binned=_BINNED_SQL,
+    ),
+)
 def daily_assignment_replay(spark, sf_dir):
     """Day-by-day assignment of all orders, patients keeping their first group."""
     none = spark.createDataFrame([], "id long, treatment_group int")
-    out = trial.replay_assignment(scored(spark, sf_dir), edges(spark, sf_dir), [], none)
+    out = trial.replay_assignment(
+        scored(spark, sf_dir), edges(spark, sf_dir), [], none, seed=None
+    )
     return out.select("APP_ID", "pseudo_id", "score_bin", "treatment_group")
 
 
