@@ -112,13 +112,14 @@ def dedup_ignoring(
     """
     helpers = set(ignored) | set(skip) | {order}
     keys = [c for c in df.columns if c not in helpers]
-    payload = [c for c in df.columns if c in helpers]
-    first = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*payload), F.col(order)).alias("_first")
-    )
-    return first.select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
-    )
+    # One aggregate per column, not one over a struct: numbers then stay in a
+    # hash aggregate.
+    first = [
+        F.min(order).alias(order) if c == order else F.min_by(c, order).alias(c)
+        for c in df.columns
+        if c in helpers
+    ]
+    return df.groupBy(*keys).agg(*first).select(*df.columns)
 
 
 def dedup_keep_last(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ from rollcall.schema import FEATURE_COLUMNS
 
 ENTITY, START = "pseudo_id", "start"
 LEAK_GUARD_US = 3 * DAY_US
+FEATURE_INPUTS = (
+    ENTITY,
+    START,
+    "APP_ID",
+    "no_show",
+    "created",
+    "gearriveerd",
+    "minutesDuration",
+    "BIRTH_YEAR",
+    "address_postalCodeNumbersNL",
+)
 
 
 def lagged_cumulative(
@@ -50,12 +63,14 @@ def add_minutes_early(df: DataFrame, cutoff: float = 60) -> DataFrame:
     return df.withColumn("minutes_early", _early_us(cutoff) / F.lit(float(MINUTE_US)))
 
 
-def prev_no_show_features(df: DataFrame, chunk_us: int = DAY_US) -> DataFrame:
+def prev_no_show_features(
+    df: DataFrame, chunk_us: int = DAY_US, stage: bool = False
+) -> DataFrame:
     specs = [
         Lagged("prev_no_show", "_missed", LEAK_GUARD_US),
         Lagged("earlier_appointments", "no_show", LEAK_GUARD_US, "count"),
     ]
-    out = with_history(add_missed_flag(df), ENTITY, START, specs, chunk_us)
+    out = with_history(add_missed_flag(df), ENTITY, START, specs, chunk_us, stage)
     return _add_no_show_share(out.drop("_missed"))
 
 
@@ -88,13 +103,15 @@ def appointments_last_days(
     return with_history(df, ENTITY, START, [spec], chunk_us)
 
 
-def appointments_same_day(df: DataFrame, chunk_us: int = DAY_US) -> DataFrame:
+def appointments_same_day(
+    df: DataFrame, chunk_us: int = DAY_US, stage: bool = False
+) -> DataFrame:
     spec = SameDay("appointments_same_day", "APP_ID")
-    return with_history(df, ENTITY, START, [spec], chunk_us)
+    return with_history(df, ENTITY, START, [spec], chunk_us, stage)
 
 
-def days_since_last(df: DataFrame, chunk_us: int = DAY_US) -> DataFrame:
-    out = with_history(df, ENTITY, START, [Previous("_previous")], chunk_us)
+def days_since_last(df: DataFrame, chunk_us: int = DAY_US, stage: bool = False) -> DataFrame:
+    out = with_history(df, ENTITY, START, [Previous("_previous")], chunk_us, stage)
     return _add_days_since_last(out)
 
 
@@ -126,7 +143,8 @@ def add_patient_features(df: DataFrame, postal: DataFrame) -> DataFrame:
         F.col("postalcode").alias("address_postalCodeNumbersNL"),
         haversine_km("latitude", "longitude").alias("dist_hospital"),
     )
-    return add_age(df.join(places, "address_postalCodeNumbersNL").select(*df.columns, "dist_hospital"))
+    located = df.join(places, "address_postalCodeNumbersNL")
+    return add_age(located.select(*df.columns, "dist_hospital"))
 
 
 def create_features(
@@ -135,8 +153,18 @@ def create_features(
     last_days: int = 14,
     minutes_cutoff: float = 60,
     chunk_us: int = DAY_US,
+    stage: bool = True,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All features in one pass over each patient's timeline."""
+    """All features in one pass over each patient's timeline.
+
+    ``keep`` limits the columns carried along to those and the feature inputs,
+    which makes the one wide shuffle narrower.  ``stage=False`` saves a write when
+    the input already is a stored table.
+    """
+    if keep is not None:
+        wanted = {*FEATURE_INPUTS, *keep}
+        df = df.select(*[c for c in df.columns if c in wanted])
     ready = add_minutes_early(add_missed_flag(df), minutes_cutoff).withColumn(
         "_early_us", _early_us(minutes_cutoff)
     )
@@ -148,7 +176,7 @@ def create_features(
         SameDay("appointments_same_day", "APP_ID"),
         Previous("_previous"),
     ]
-    history = with_history(ready, ENTITY, START, specs, chunk_us).drop("_missed")
+    history = with_history(ready, ENTITY, START, specs, chunk_us, stage).drop("_missed")
     out = _add_days_since_last(_add_early_mean(_add_no_show_share(history)))
     return add_patient_features(add_time_features(add_days_since_created(out)), postal)
 

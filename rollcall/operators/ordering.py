@@ -153,27 +153,49 @@ def exact_quantiles(
     return picked.select(*by, F.array(*edges).alias(out))
 
 
-def temporal_split(
-    df: DataFrame, order: Sequence[Column], test_share: float = 0.2
-) -> DataFrame:
-    """Add ``is_test``: the last ``ceil(share * n)`` rows in time order."""
-    placed = ranked(df, order, "_rank")
-    n = placed.count()
-    n_test = math.ceil(test_share * n)
-    return placed.withColumn("is_test", F.col("_rank") >= F.lit(n - n_test)).drop("_rank")
+def cut_rows(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> list[tuple]:
+    """The ordering values of the rows at some 0-based positions.
+
+    Only the ordering columns are sorted, and only the asked rows are collected.
+    """
+    placed = ranked(df.select(*order), [F.col(c) for c in order], "_rank")
+    rows = placed.where(F.col("_rank").isin(list(positions))).orderBy("_rank").collect()
+    return [tuple(row[c] for c in order) for row in rows]
+
+
+def _from_cut(df: DataFrame, order: Sequence[str], cut: tuple) -> Column:
+    bound = F.struct(
+        *[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, cut)]
+    )
+    return F.struct(*order) >= bound
+
+
+def temporal_split(df: DataFrame, order: Sequence[str], test_share: float = 0.2) -> DataFrame:
+    """Add ``is_test``: the last ``ceil(share * n)`` rows in ascending ``order``.
+
+    ``order`` must be unique per row.  The table itself is not sorted: a ranking
+    of the ordering columns finds the boundary, the rest is a comparison.
+    """
+    n = df.count()
+    first = n - math.ceil(test_share * n)
+    if first >= n:
+        return df.withColumn("is_test", F.lit(False))
+    (cut,) = cut_rows(df, order, [first])
+    return df.withColumn("is_test", _from_cut(df, order, cut))
 
 
-def time_folds(df: DataFrame, order: Sequence[Column], n_splits: int = 10) -> DataFrame:
+def time_folds(df: DataFrame, order: Sequence[str], n_splits: int = 10) -> DataFrame:
     """Add ``fold``: test block 1..n of an expanding time split, 0 for the head.
 
     All test blocks have ``n // (splits + 1)`` rows and end at the last row.
     Rows of lower folds train a fold's model.
     """
-    placed = ranked(df, order, "_rank")
-    n = placed.count()
+    n = df.count()
     size = n // (n_splits + 1)
-    head = n - n_splits * size
-    fold = F.floor((F.col("_rank") - head) / F.lit(size)) + 1
-    return placed.withColumn(
-        "fold", F.when(F.col("_rank") < head, 0).otherwise(fold).cast("int")
-    ).drop("_rank")
+    if size == 0:
+        raise ValueError(f"{n} rows are too few for {n_splits} splits")
+    starts = [n - (n_splits - i) * size for i in range(n_splits)]
+    fold = F.lit(0)
+    for cut in cut_rows(df, order, starts):
+        fold = fold + _from_cut(df, order, cut).cast("int")
+    return df.withColumn("fold", fold)

@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall.functions.temporal import DAY_US, floor_div, micros
+from rollcall.session import materialize
 
 
 @dataclass(frozen=True)
@@ -82,14 +83,20 @@ def with_history(
     ts: str,
     specs: Sequence[Spec],
     chunk_us: int = DAY_US,
+    stage: bool = False,
 ) -> DataFrame:
     """Add the history columns described by ``specs``.
 
     ``chunk_us`` must divide a day.  The default suits a patient with up to some
     million rows a day; :func:`fitting_chunk` measures a finer one.
+
+    The input is read twice, for the rows and (few columns) for the chunk totals.
+    ``stage`` writes it once first, for inputs that cost more than a scan.
     """
     if DAY_US % chunk_us:
         raise ValueError("chunk_us must divide a day")
+    if stage:
+        df = materialize(df, "staged")
     sums = [s for s in specs if isinstance(s, (Lagged, Trailing))]
     effects = [s.effects() for s in sums]
     moments = sorted({0} | {delay for effect in effects for delay, _ in effect})

@@ -33,7 +33,7 @@ _SHARES = (
     b.with_ctes(_RATE.format(key="earlier_appointments", source="history"), "history"),
 )
 def feature_vs_rate(spark, sf_dir):
-    history = features.prev_no_show_features(b.cleaned(spark, sf_dir))
+    history = features.prev_no_show_features(b.cleaned(spark, sf_dir), stage=True)
     out = reports.feature_rate(history, "earlier_appointments")
     return b.rounded(out, "no_show_perc", "show_perc")
 

@@ -165,8 +165,8 @@ def postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_select(known, POSTAL_COLUMNS)
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return create_features(cleaned(spark, sf_dir), postal_codes(spark, sf_dir))
+def features(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    return create_features(cleaned(spark, sf_dir), postal_codes(spark, sf_dir), keep=keep)
 
 
 # --- events as appointments and predictions ---------------------------------

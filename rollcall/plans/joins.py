@@ -508,7 +508,7 @@ def not_in_exclusion(spark, sf_dir):
 def feature_cohort_isin(spark, sf_dir):
     answers = b.calls(spark, sf_dir).select(F.col("prediction_id").alias("id"), "call_status")
     left_alone = b.predictions(spark, sf_dir).join(answers, "id", "left").where(reports.not_called())
-    return reports.feature_cohort(b.features(spark, sf_dir), left_alone).select(
+    return reports.feature_cohort(b.features(spark, sf_dir, []), left_alone).select(
         "APP_ID", "no_show", "prev_no_show", "earlier_appointments"
     )
 

@@ -17,7 +17,7 @@ KEY = "_key"
 
 def training_rows(spark, sf_dir):
     """Label and features of every cleaned appointment, written once: fits iterate."""
-    table = b.features(spark, sf_dir).withColumnRenamed("APP_ID", KEY)
+    table = b.features(spark, sf_dir, ["hoofdagenda"]).withColumnRenamed("APP_ID", KEY)
     keep = [KEY, "pseudo_id", "start", "hoofdagenda", *features.FEATURE_COLUMNS]
     return materialize(modeling.model_input(table.select(*keep)), "training")
 
@@ -38,7 +38,7 @@ def short_trees():
     ),
 )
 def group_folds(spark, sf_dir):
-    rows = modeling.model_input(b.features(spark, sf_dir))
+    rows = modeling.model_input(b.features(spark, sf_dir, []))
     folded = modeling.group_folds(rows, "pseudo_id")
     return folded.groupBy("pseudo_id", "fold").agg(F.count(F.lit(1)).alias("n"))
 
@@ -65,7 +65,7 @@ def cross_validated_metrics(spark, sf_dir):
 def score(spark, sf_dir):
     """Train on the first 80 %, score the planned appointments of the rest."""
     rows = training_rows(spark, sf_dir)
-    split = ordering.temporal_split(rows, [F.col("start"), F.col(KEY)])
+    split = ordering.temporal_split(rows, ["start", KEY])
     model = short_trees().fit(split.where(~F.col("is_test")))
     return modeling.score(model, split.where("is_test")).select(KEY, "start", "prediction")
 

@@ -139,7 +139,7 @@ def scan_postal_codes(spark, sf_dir):
 )
 def scan_feature_parquet(spark, sf_dir):
     path = _scratch(spark, "features")
-    tables.write_features(features.select_feature_columns(b.features(spark, sf_dir)), path)
+    tables.write_features(features.select_feature_columns(b.features(spark, sf_dir, [])), path)
     return (
         tables.read_features(spark, path)
         .groupBy("no_show")
@@ -160,7 +160,7 @@ def sink_csv_export(spark, sf_dir):
 )
 def sink_feature_parquet(spark, sf_dir):
     path = _scratch(spark, "features")
-    tables.write_features(features.select_feature_columns(b.features(spark, sf_dir)), path)
+    tables.write_features(features.select_feature_columns(b.features(spark, sf_dir, [])), path)
     return b.rounded(
         tables.read_features(spark, path),
         "prev_no_show_perc",
@@ -478,7 +478,7 @@ def q_patient_age(spark, sf_dir):
 )
 def q_select_features(spark, sf_dir):
     return b.rounded(
-        features.select_feature_columns(b.features(spark, sf_dir)),
+        features.select_feature_columns(b.features(spark, sf_dir, [])),
         "prev_no_show_perc",
         "dist_hospital",
         "prev_minutes_early",
@@ -494,7 +494,7 @@ def q_select_features(spark, sf_dir):
     ),
 )
 def q_scoring_filter(spark, sf_dir):
-    return features.filter_to_score(b.features(spark, sf_dir), b.START_DATE).select(
+    return features.filter_to_score(b.features(spark, sf_dir, ["status"]), b.START_DATE).select(
         "APP_ID", "start", "earlier_appointments", "appointments_last_days"
     )
 

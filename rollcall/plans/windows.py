@@ -117,7 +117,7 @@ def appointments_same_day(spark, sf_dir):
     ),
 )
 def days_since_last(spark, sf_dir):
-    return features.days_since_last(b.cleaned(spark, sf_dir)).select(
+    return features.days_since_last(b.cleaned(spark, sf_dir), stage=True).select(
         "APP_ID", "days_since_last_appointment"
     )
 
@@ -361,7 +361,7 @@ def daily_assignment_replay(spark, sf_dir):
 )
 def temporal_split(spark, sf_dir):
     rows = b.event_appointments(spark, sf_dir)
-    return ordering.temporal_split(rows, [F.col("start"), F.col("APP_ID")]).select(
+    return ordering.temporal_split(rows, ["start", "APP_ID"]).select(
         "APP_ID", "is_test"
     )
 
@@ -376,7 +376,7 @@ def temporal_split(spark, sf_dir):
 )
 def time_series_cv(spark, sf_dir):
     rows = scored(spark, sf_dir).select("start", "APP_ID")
-    folds = ordering.time_folds(rows, [F.col("start"), F.col("APP_ID")], 10)
+    folds = ordering.time_folds(rows, ["start", "APP_ID"], 10)
     return folds.groupBy("fold").agg(
         F.count(F.lit(1)).alias("n"),
         F.to_date(F.min("start")).alias("first_day"),

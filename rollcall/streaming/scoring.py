@@ -60,8 +60,12 @@ def attach_sensitive(
 def score_appointments(
     cleaned: DataFrame, postal: DataFrame, scorer: Scorer, start_date: dt.date | None
 ) -> DataFrame:
-    """Features on the full history, then score the planned appointments only."""
-    features = create_features(cleaned, postal)
+    """Features on the full history, then score the planned appointments only.
+
+    The cleaned rows are read for the features and for the contacts: write them once.
+    """
+    cleaned = materialize(cleaned, "cleaned")
+    features = create_features(cleaned, postal, stage=False, keep=["status"])
     if start_date is not None:
         features = filter_to_score(features, start_date)
     return attach_sensitive(scorer(features), cleaned)
@@ -74,13 +78,15 @@ def assign_groups(
     settings: Settings,
     seed: int | None = 1337,
 ) -> DataFrame:
-    """Treatment groups; without any trial clinic everyone is outside."""
+    """Treatment groups; without any trial clinic everyone is outside.
+
+    The result feeds several tables, so it is written once.
+    """
     if not settings.rct_clinics or edges is None:
         return predictions.withColumn("treatment_group", F.lit(OUTSIDE_TRIAL))
     known = patients.select("id", "treatment_group")
-    return treatment_groups(predictions, known, edges, settings.rct_clinics, seed=seed).drop(
-        "score_bin"
-    )
+    groups = treatment_groups(predictions, known, edges, settings.rct_clinics, seed=seed)
+    return materialize(groups.drop("score_bin"), "grouped")
 
 
 def apply_scores(
@@ -91,16 +97,12 @@ def apply_scores(
     kept = retention_delete(
         state.contacts, state.predictions, start_date, settings.keep_sensitive_data
     )
-    predictions = upsert_predictions(
-        state.predictions, scored, settings.clinics, request_id, order
-    )
-    touched = scored.select(
-        F.col("APP_ID").cast("string").alias("appointment_id"),
-        F.col("start").cast("timestamp").alias("start_time"),
+    predictions = materialize(
+        upsert_predictions(state.predictions, scored, settings.clinics, request_id, order),
+        "upserted",
     )
-    batch_ids = predictions.join(
-        touched.distinct(), ["appointment_id", "start_time"], "left_semi"
-    ).select("id")
+    # The run's own rows are the ones that carry its request id.
+    batch_ids = predictions.where(F.col("request_id") == request_id).select("id")
     return State(
         contacts=upsert_sensitive(kept, scored, order),
         patients=upsert_patients(state.patients, scored, order),
@@ -132,13 +134,10 @@ def run_scoring(
         settings.no_show_codes,
         day=start_date if cohort else None,
     )
-    scored = score_appointments(cleaned, postal, scorer, start_date)
-    # Several tables are derived from the scores: compute them once.
-    scored = materialize(
-        assign_groups(scored, state.patients, edges, settings, seed), "scored"
-    )
+    scored = materialize(score_appointments(cleaned, postal, scorer, start_date), "scored")
     if scored.isEmpty():
         raise ValueError("no appointments for the start date and filters")
+    scored = assign_groups(scored, state.patients, edges, settings, seed)
     return apply_scores(state, scored, settings, start_date, request_id), rank_by_score(
         scored, "APP_ID"
     )
@@ -232,9 +231,7 @@ def stream_scoring(
         if scored.isEmpty():
             tables.write(state, batch_id)
             return
-        grouped = materialize(
-            assign_groups(scored, state.patients, edges, settings, seed), "grouped"
-        )
+        grouped = assign_groups(scored, state.patients, edges, settings, seed)
         tables.write(apply_scores(state, grouped, settings, first, batch_id + 1), batch_id)
         log_run(
             seen.sparkSession,
