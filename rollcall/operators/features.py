@@ -39,7 +39,7 @@ def lagged_cumulative(
     out: str,
     exclude_us: int = LEAK_GUARD_US,
     func: str = "sum",
-    chunk_us: int = DAY_US,
+    chunk_us: int | None = None,
 ) -> DataFrame:
     """Sum or count over a patient's rows that are at least ``exclude_us`` old."""
     return with_history(
@@ -64,7 +64,7 @@ def add_minutes_early(df: DataFrame, cutoff: float = 60) -> DataFrame:
 
 
 def prev_no_show_features(
-    df: DataFrame, chunk_us: int = DAY_US, stage: bool = False
+    df: DataFrame, chunk_us: int | None = None, stage: bool = False
 ) -> DataFrame:
     specs = [
         Lagged("prev_no_show", "_missed", LEAK_GUARD_US),
@@ -81,7 +81,7 @@ def _add_no_show_share(df: DataFrame) -> DataFrame:
 
 
 def add_prev_minutes_early(
-    df: DataFrame, cutoff: float = 60, chunk_us: int = DAY_US
+    df: DataFrame, cutoff: float = 60, chunk_us: int | None = None
 ) -> DataFrame:
     """Mean minutes early over earlier appointments, given their count."""
     ready = add_minutes_early(df, cutoff).withColumn("_early_us", _early_us(cutoff))
@@ -97,20 +97,20 @@ def _add_early_mean(df: DataFrame) -> DataFrame:
 
 
 def appointments_last_days(
-    df: DataFrame, days: int = 14, chunk_us: int = DAY_US
+    df: DataFrame, days: int = 14, chunk_us: int | None = None
 ) -> DataFrame:
     spec = Trailing("appointments_last_days", "APP_ID", days * DAY_US)
     return with_history(df, ENTITY, START, [spec], chunk_us)
 
 
 def appointments_same_day(
-    df: DataFrame, chunk_us: int = DAY_US, stage: bool = False
+    df: DataFrame, chunk_us: int | None = None, stage: bool = False
 ) -> DataFrame:
     spec = SameDay("appointments_same_day", "APP_ID")
     return with_history(df, ENTITY, START, [spec], chunk_us, stage)
 
 
-def days_since_last(df: DataFrame, chunk_us: int = DAY_US, stage: bool = False) -> DataFrame:
+def days_since_last(df: DataFrame, chunk_us: int | None = None, stage: bool = False) -> DataFrame:
     out = with_history(df, ENTITY, START, [Previous("_previous")], chunk_us, stage)
     return _add_days_since_last(out)
 
@@ -152,7 +152,7 @@ def create_features(
     postal: DataFrame,
     last_days: int = 14,
     minutes_cutoff: float = 60,
-    chunk_us: int = DAY_US,
+    chunk_us: int | None = None,
     stage: bool = True,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:

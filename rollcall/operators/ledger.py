@@ -88,17 +88,23 @@ def upsert_patients(table: DataFrame, batch: DataFrame, order: Column) -> DataFr
     )
 
 
+def highest_id(table: DataFrame) -> int:
+    return table.agg(F.max("id")).first()[0] or 0
+
+
 def upsert_predictions(
     table: DataFrame,
     batch: DataFrame,
     rules: Sequence[ClinicRule],
     request_id: int,
     order: Column,
+    top_id: int | None = None,
 ) -> DataFrame:
     """Insert or update by (appointment, start); id and patient never change.
 
     New rows get ids after the highest one, in key order.  Returns the whole
-    next snapshot with every batch row active.
+    next snapshot with every batch row active.  ``table`` may be only the part
+    the batch can touch; ``top_id`` is then the highest id of the whole.
     """
     key = ["appointment_id", "start_time"]
     clinics = rules_frame(batch.sparkSession, rules).select(
@@ -137,7 +143,7 @@ def upsert_predictions(
         raise ValueError("several stored predictions for one appointment and start")
 
     id_type = table.schema["id"].dataType
-    top = table.agg(F.max("id")).first()[0] or 0
+    top = top_id if top_id is not None else highest_id(table)
     new_keys = incoming.select(*key).join(table.select(*key), key, "left_anti")
     numbered = ranked(new_keys, [F.col(c) for c in key], "_rank").select(
         *key, (F.col("_rank") + top + 1).cast(id_type).alias("_new_id")
@@ -225,7 +231,7 @@ def record_calls(calls: DataFrame, batch: DataFrame) -> DataFrame:
             "_new"
         )
     )
-    top = calls.agg(F.max("id")).first()[0] or 0
+    top = highest_id(calls)
     fresh = latest.select("prediction_id").join(calls, "prediction_id", "left_anti")
     numbered = ranked(fresh, [F.col("prediction_id")], "_rank").select(
         "prediction_id", (F.col("_rank") + top + 1).alias("_new_id")

@@ -55,9 +55,12 @@ def _with_group_stats(
     df: DataFrame, by: Sequence[str], stats: dict[str, Column]
 ) -> DataFrame:
     """Join per-group aggregates back; missing group values match each other."""
-    grouped = df.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(
-        *[value.alias(name) for name, value in stats.items()]
-    )
+    aggregates = [value.alias(name) for name, value in stats.items()]
+    if not by:
+        # Nothing to join on: one row of figures, added as constants.
+        row = df.agg(*aggregates).first()
+        return df.withColumns({name: F.lit(row[name]) for name in stats})
+    grouped = df.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(*aggregates)
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
     return df.join(grouped, same).drop(*[f"_g_{c}" for c in by])
 
@@ -70,7 +73,8 @@ def ranked(
 ) -> DataFrame:
     """Add the 0-based position of each row in ``order``, within ``by`` if given.
 
-    ``order`` should end in a unique column; ties otherwise fall as they come.
+    ``order`` should end in a unique column: ties otherwise fall as they come, and
+    all rows of a tie stay in one range.
     """
     placed = _placed(df, [F.col(c) for c in by] + list(order))
     offsets = _range_offsets(placed, {"_before": F.lit(1)})
@@ -124,27 +128,29 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles per group, as one array column.
 
-    Spark's ``percentile`` keeps a group's distinct values in one task; this
-    picks the two order statistics around each position from a global ranking.
+    Spark's ``percentile`` keeps a group's distinct values in one task.  Here equal
+    values are counted first, and the two order statistics around each position
+    are picked from the running totals of the counts.
     """
-    slim = df.where(F.col(value).isNotNull()).select(*by, value)
-    if by:
-        placed = ranked(slim, [F.col(value)], "_rank", by)
-        placed = _with_group_stats(placed, by, {"_n": F.count(F.lit(1))})
-    else:
-        placed = ranked(slim, [F.col(value)], "_rank")
-        n = placed.count()
-        placed = placed.withColumn("_n", F.lit(n).cast("long"))
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, value)
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    totals = running_totals(counts, [F.col(value)], {"_upto": "_c"}, by)
+    sized = _with_group_stats(totals, by, {"_n": F.max("_upto")})
+
+    def at(position: Column) -> Column:
+        """The value at a 0-based position: its run of equal values covers it."""
+        covers = (F.col("_upto") > position) & (F.col("_upto") - F.col("_c") <= position)
+        return F.max(F.when(covers, F.col(value)))
+
     picks = []
     for i, q in enumerate(probs):
         spot = F.lit(float(q)) * (F.col("_n") - 1)
-        picks.append(
-            F.max(F.when(F.col("_rank") == F.floor(spot), F.col(value))).alias(f"_lo{i}")
-        )
-        picks.append(
-            F.max(F.when(F.col("_rank") == F.ceil(spot), F.col(value))).alias(f"_hi{i}")
-        )
-    picked = placed.groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
+        picks.append(at(F.floor(spot)).alias(f"_lo{i}"))
+        picks.append(at(F.ceil(spot)).alias(f"_hi{i}"))
+    picked = sized.groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
     edges = []
     for i, q in enumerate(probs):
         spot = F.lit(float(q)) * (F.col("_n") - 1)

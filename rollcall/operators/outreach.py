@@ -25,8 +25,9 @@ CALLED_OUTCOMES = (OUTCOME_REMINDED, OUTCOME_VOICEMAIL, OUTCOME_MOVED, OUTCOME_U
 
 def flag_holiday(df: DataFrame, date_col: str, calendar: DataFrame) -> DataFrame:
     """Add ``holiday`` from a calendar of (date, name); null on ordinary days."""
-    days = calendar.select(F.col("date").alias("_day"), F.col("name").alias("holiday"))
-    return df.join(days, F.to_date(date_col) == F.col("_day"), "left").drop("_day")
+    days = calendar.groupBy(F.col("date").alias("_day")).agg(F.min("name").alias("holiday"))
+    # At most one row per calendar date, so it always fits.
+    return df.join(F.broadcast(days), F.to_date(date_col) == F.col("_day"), "left").drop("_day")
 
 
 def prediction_context(

@@ -82,21 +82,23 @@ def with_history(
     entity: str,
     ts: str,
     specs: Sequence[Spec],
-    chunk_us: int = DAY_US,
+    chunk_us: int | None = None,
     stage: bool = False,
 ) -> DataFrame:
     """Add the history columns described by ``specs``.
 
-    ``chunk_us`` must divide a day.  The default suits a patient with up to some
-    million rows a day; :func:`fitting_chunk` measures a finer one.
+    ``chunk_us`` must divide a day; by default :func:`fitting_chunk` measures how
+    fine the busiest entity has to be cut.
 
     The input is read twice, for the rows and (few columns) for the chunk totals.
     ``stage`` writes it once first, for inputs that cost more than a scan.
     """
-    if DAY_US % chunk_us:
-        raise ValueError("chunk_us must divide a day")
     if stage:
         df = materialize(df, "staged")
+    if chunk_us is None:
+        chunk_us = fitting_chunk(df, entity, ts)
+    if DAY_US % chunk_us:
+        raise ValueError("chunk_us must divide a day")
     sums = [s for s in specs if isinstance(s, (Lagged, Trailing))]
     effects = [s.effects() for s in sums]
     moments = sorted({0} | {delay for effect in effects for delay, _ in effect})
@@ -185,28 +187,35 @@ def _chunk_carry(timeline: DataFrame, specs, sums, chunk_us: int) -> DataFrame:
     ).where(F.col("_last").isNotNull()).drop("_last")
 
 
+MAX_CHUNK_ROWS = 5_000_000
+CHUNK_WIDTHS = (DAY_US, 3_600_000_000, 60_000_000, 1_000_000)
+
+
 def fitting_chunk(
     df: DataFrame,
     entity: str,
     ts: str,
-    max_rows: int = 5_000_000,
-    widths: Sequence[int] = (DAY_US, 3_600_000_000, 60_000_000, 1_000_000),
+    max_rows: int = MAX_CHUNK_ROWS,
+    widths: Sequence[int] = CHUNK_WIDTHS,
 ) -> int:
     """Widest chunk whose busiest (entity, chunk) has at most ``max_rows`` rows.
 
-    One aggregation at the finest width; the wider ones are summed from it.
+    A table with no more rows than that needs no measuring.  Otherwise the rows
+    are counted per chunk, and only the overfull chunks are looked at again in
+    the next finer width.
     """
-    finest = min(widths)
-    level = df.groupBy(
-        F.col(entity).alias("_entity"), floor_div(micros(ts), finest).alias("_chunk")
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    best = None
+    if df.count() <= max_rows:
+        return max(widths)
+    slim = df.select(F.col(entity).alias("_entity"), micros(ts).alias("_at"))
     for width in sorted(widths, reverse=True):
-        coarse = level.groupBy(
-            "_entity", floor_div(F.col("_chunk"), width // finest).alias("_w")
-        ).agg(F.sum("_n").alias("_n"))
-        peak = coarse.agg(F.max("_n")).first()[0] or 0
-        best = width
-        if peak <= max_rows:
-            break
-    return best
+        chunked = slim.withColumn("_chunk", floor_div(F.col("_at"), width))
+        full = (
+            chunked.groupBy("_entity", "_chunk")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > max_rows)
+            .drop("_n")
+        )
+        if full.isEmpty():
+            return width
+        slim = chunked.join(full, ["_entity", "_chunk"], "left_semi").drop("_chunk")
+    return min(widths)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +14,13 @@ from rollcall.operators import cleaning, extract, features, outreach, reports
 from rollcall.plans import bases as b
 from rollcall.plans.registry import query
 from rollcall.schema import APPOINTMENT
-from rollcall.session import scratch_root
+from rollcall.session import scratch_path
 from rollcall.sources import appointments as files
 from rollcall.sources import tables
 
 # --- sources and sinks --------------------------------------------------------
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/rollcall/{label}-{uuid.uuid4().hex}"
-
-
 _CSV_SCHEMA = T.StructType(
     [
         T.StructField("APP_ID", T.LongType()),
@@ -53,7 +48,7 @@ def _order_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_appointments_csv", _ORDER_SLICE_SQL)
 def scan_appointments_csv(spark, sf_dir):
-    path = _scratch(spark, "csv")
+    path = scratch_path(spark, "csv")
     _order_slice(spark, sf_dir).write.csv(path, header=True)
     return files.read_appointments_csv(spark, path, _CSV_SCHEMA)
 
@@ -87,7 +82,7 @@ def scan_appointments_json(spark, sf_dir):
             for f in APPOINTMENT.fields
         ]
     )
-    path = _scratch(spark, "json")
+    path = scratch_path(spark, "json")
     records.write.json(path)
     read = files.read_appointments_json(spark, path, multi_line=False)
     return read.select(
@@ -124,7 +119,7 @@ def scan_postal_codes(spark, sf_dir):
         .repartitionByRange(4, "longitude")
         .sortWithinPartitions("longitude")
     )
-    path = _scratch(spark, "postal")
+    path = scratch_path(spark, "postal")
     lines.write.csv(path, sep="\t")
     return files.read_postal_codes(spark, path)
 
@@ -138,7 +133,7 @@ def scan_postal_codes(spark, sf_dir):
     ),
 )
 def scan_feature_parquet(spark, sf_dir):
-    path = _scratch(spark, "features")
+    path = scratch_path(spark, "features")
     tables.write_features(features.select_feature_columns(b.features(spark, sf_dir, [])), path)
     return (
         tables.read_features(spark, path)
@@ -149,7 +144,7 @@ def scan_feature_parquet(spark, sf_dir):
 
 @query("sink_csv_export", _ORDER_SLICE_SQL)
 def sink_csv_export(spark, sf_dir):
-    path = _scratch(spark, "export")
+    path = scratch_path(spark, "export")
     tables.write_csv(_order_slice(spark, sf_dir), path)
     return spark.read.schema(_CSV_SCHEMA).csv(path, header=True)
 
@@ -159,7 +154,7 @@ def sink_csv_export(spark, sf_dir):
     b.with_ctes(f"SELECT {b.FEATURE_LIST_SQL} FROM features", "features"),
 )
 def sink_feature_parquet(spark, sf_dir):
-    path = _scratch(spark, "features")
+    path = scratch_path(spark, "features")
     tables.write_features(features.select_feature_columns(b.features(spark, sf_dir, [])), path)
     return b.rounded(
         tables.read_features(spark, path),

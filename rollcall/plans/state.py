@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rollcall.operators import ledger
 from rollcall.plans import bases as b
 from rollcall.plans.registry import query
-from rollcall.plans.scalars import _scratch
+from rollcall.session import scratch_path
 from rollcall.sources.tables import log_run, read_runs
 
 # Orders as one scoring batch; known contacts are the customers in credit.
@@ -210,7 +210,7 @@ def log_request(spark, sf_dir):
     began = dt.datetime.now(dt.timezone.utc)
     n = b.predictions(spark, sf_dir).count()
     seconds = (dt.datetime.now(dt.timezone.utc) - began).total_seconds()
-    path = _scratch(spark, "runs")
+    path = scratch_path(spark, "runs")
     log_run(spark, path, 1, began, seconds, "v1", message=f"{n} predictions")
     return read_runs(spark, path).select(
         "response_code", "response_message", "endpoint", "api_version"

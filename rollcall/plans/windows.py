@@ -10,6 +10,8 @@ from rollcall.functions.temporal import DAY_US
 from rollcall.operators import binning, features, ordering, quality, trial
 from rollcall.plans import bases as b
 from rollcall.plans.registry import query
+from rollcall.session import scratch_path
+from rollcall.sources.tables import read_bins, write_bins
 
 _LAG3 = b._LAG3
 _LAG5 = _LAG3.replace("3 DAYS", "5 DAYS")
@@ -223,10 +225,7 @@ def bin_edges_per_group(spark, sf_dir):
     b.with_ctes("SELECT hoofdagenda, len(edges)::INTEGER AS n, round(edges[3], 9) AS median FROM edges", **_BIN_CTES),
 )
 def sink_bins_json(spark, sf_dir):
-    from rollcall.plans.scalars import _scratch
-    from rollcall.sources.tables import read_bins, write_bins
-
-    path = _scratch(spark, "bins")
+    path = scratch_path(spark, "bins")
     write_bins(edges(spark, sf_dir), path)
     out = read_bins(spark, path).select(
         "hoofdagenda", F.size("edges").alias("n"), F.element_at("edges", 3).alias("median")

@@ -52,10 +52,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: a lost executor re-reads files instead of redoing the
     shuffles, and two consumers are sure to see the same rows.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/rollcall/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/rollcall/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has materialised; call it when results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

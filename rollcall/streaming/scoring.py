@@ -23,6 +23,7 @@ from rollcall.operators.features import create_features, filter_to_score
 from rollcall.operators.ledger import (
     batch_order,
     deactivate,
+    highest_id,
     retention_delete,
     upsert_patients,
     upsert_predictions,
@@ -92,13 +93,26 @@ def assign_groups(
 def apply_scores(
     state: State, scored: DataFrame, settings: Settings, start_date: dt.date, request_id: int
 ) -> State:
-    """The five table changes of one scoring run, as new snapshots."""
+    """The five table changes of one scoring run, as new snapshots.
+
+    A run only scores appointments from ``start_date`` on, so older predictions
+    pass through without taking part in any join.
+    """
     order = batch_order()
+    from_now = F.col("start_time") >= F.lit(start_date)
+    settled = state.predictions.where(~from_now)
     kept = retention_delete(
         state.contacts, state.predictions, start_date, settings.keep_sensitive_data
     )
     predictions = materialize(
-        upsert_predictions(state.predictions, scored, settings.clinics, request_id, order),
+        upsert_predictions(
+            state.predictions.where(from_now),
+            scored,
+            settings.clinics,
+            request_id,
+            order,
+            highest_id(state.predictions),
+        ),
         "upserted",
     )
     # The run's own rows are the ones that carry its request id.
@@ -106,7 +120,7 @@ def apply_scores(
     return State(
         contacts=upsert_sensitive(kept, scored, order),
         patients=upsert_patients(state.patients, scored, order),
-        predictions=deactivate(predictions, batch_ids, start_date),
+        predictions=deactivate(predictions, batch_ids, start_date).unionByName(settled),
     )
 
 
