@@ -1,16 +1,14 @@
 """Per-entity history features that survive a hot entity.
 
-A plain window partitioned by patient puts one patient's whole history in one
-task.  Here every history is cut into time chunks:
+Ordinary entities get windows partitioned by entity: one shuffle of the rows.
+An entity with more rows than a task should take is cut into time chunks:
 
-* each row is copied to the instants at which it starts (or stops) counting, so
-  that "everything at least three days old" becomes "everything up to now";
+* each of its rows is copied to the instants at which it starts (or stops)
+  counting, so that "everything at least three days old" becomes "everything up
+  to now";
 * a window over (entity, chunk) adds up the part inside the chunk;
 * chunk totals are pre-aggregated before their shuffle, and a window over these
   few rows per entity carries the sum of all earlier chunks forward.
-
-The row data is shuffled once, by (entity, chunk).  The windows over whole
-entities only see one row per chunk.
 """
 
 from __future__ import annotations
@@ -77,6 +75,10 @@ class SameDay:
 Spec = Lagged | Trailing | Previous | SameDay
 
 
+MAX_TASK_ROWS = 5_000_000
+CHUNK_WIDTHS = (DAY_US, 3_600_000_000, 60_000_000, 1_000_000)
+
+
 def with_history(
     df: DataFrame,
     entity: str,
@@ -84,21 +86,71 @@ def with_history(
     specs: Sequence[Spec],
     chunk_us: int | None = None,
     stage: bool = False,
+    max_rows: int = MAX_TASK_ROWS,
 ) -> DataFrame:
     """Add the history columns described by ``specs``.
 
-    ``chunk_us`` must divide a day; by default :func:`fitting_chunk` measures how
-    fine the busiest entity has to be cut.
-
-    The input is read twice, for the rows and (few columns) for the chunk totals.
-    ``stage`` writes it once first, for inputs that cost more than a scan.
+    Entities with more than ``max_rows`` rows are found by a count and cut into
+    chunks that fit.  ``chunk_us`` (a divisor of a day) cuts all entities instead.
+    ``stage`` writes the input once first, for inputs that cost more than a scan.
     """
+    if chunk_us is not None and DAY_US % chunk_us:
+        raise ValueError("chunk_us must divide a day")
     if stage:
         df = materialize(df, "staged")
-    if chunk_us is None:
-        chunk_us = fitting_chunk(df, entity, ts)
-    if DAY_US % chunk_us:
-        raise ValueError("chunk_us must divide a day")
+    if chunk_us is not None:
+        return _chunked_history(df, entity, ts, specs, chunk_us)
+    hot = _hot_entities(df, entity, max_rows)
+    if hot is None:
+        return _windowed_history(df, entity, ts, specs)
+    # Each hot entity holds over max_rows rows, so their list is short.
+    hot = F.broadcast(hot)
+    busy = df.join(hot, entity, "left_semi")
+    chunk_us = fitting_chunk(busy, entity, ts, max_rows)
+    return _windowed_history(
+        df.join(hot, entity, "left_anti"), entity, ts, specs
+    ).unionByName(_chunked_history(busy, entity, ts, specs, chunk_us))
+
+
+def _hot_entities(df: DataFrame, entity: str, max_rows: int) -> DataFrame | None:
+    """Entities with too many rows for one task, or None."""
+    if df.count() <= max_rows:
+        return None
+    hot = (
+        df.groupBy(entity)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where((F.col("_n") > max_rows) & F.col(entity).isNotNull())
+        .select(entity)
+    )
+    return None if hot.isEmpty() else hot
+
+
+def _windowed_history(
+    df: DataFrame, entity: str, ts: str, specs: Sequence[Spec]
+) -> DataFrame:
+    """The plain form: all windows share one shuffle by entity."""
+    in_time = W.partitionBy(entity).orderBy(micros(ts))
+    out = []
+    for spec in specs:
+        if isinstance(spec, Lagged):
+            frame = in_time.rangeBetween(W.unboundedPreceding, -spec.lag_us)
+            total = F.count if spec.func == "count" else F.sum
+            value = F.coalesce(total(spec.value).over(frame), F.lit(0))
+        elif isinstance(spec, Trailing):
+            # The left end is open: one microsecond less than the width.
+            value = F.count(spec.value).over(in_time.rangeBetween(1 - spec.width_us, 0))
+        elif isinstance(spec, SameDay):
+            value = F.count(spec.value).over(W.partitionBy(entity, F.to_date(ts)))
+        else:
+            value = F.lag(ts).over(in_time)
+        out.append(value.alias(spec.out))
+    return df.select("*", *out)
+
+
+def _chunked_history(
+    df: DataFrame, entity: str, ts: str, specs: Sequence[Spec], chunk_us: int
+) -> DataFrame:
+    """The chunked form.  The input is read twice: rows, and slim for the totals."""
     sums = [s for s in specs if isinstance(s, (Lagged, Trailing))]
     effects = [s.effects() for s in sums]
     moments = sorted({0} | {delay for effect in effects for delay, _ in effect})
@@ -187,25 +239,18 @@ def _chunk_carry(timeline: DataFrame, specs, sums, chunk_us: int) -> DataFrame:
     ).where(F.col("_last").isNotNull()).drop("_last")
 
 
-MAX_CHUNK_ROWS = 5_000_000
-CHUNK_WIDTHS = (DAY_US, 3_600_000_000, 60_000_000, 1_000_000)
-
-
 def fitting_chunk(
     df: DataFrame,
     entity: str,
     ts: str,
-    max_rows: int = MAX_CHUNK_ROWS,
+    max_rows: int = MAX_TASK_ROWS,
     widths: Sequence[int] = CHUNK_WIDTHS,
 ) -> int:
     """Widest chunk whose busiest (entity, chunk) has at most ``max_rows`` rows.
 
-    A table with no more rows than that needs no measuring.  Otherwise the rows
-    are counted per chunk, and only the overfull chunks are looked at again in
+    Rows are counted per chunk, and only the overfull chunks are looked at again in
     the next finer width.
     """
-    if df.count() <= max_rows:
-        return max(widths)
     slim = df.select(F.col(entity).alias("_entity"), micros(ts).alias("_at"))
     for width in sorted(widths, reverse=True):
         chunked = slim.withColumn("_chunk", floor_div(F.col("_at"), width))

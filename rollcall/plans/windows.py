@@ -134,7 +134,7 @@ def days_since_last(spark, sf_dir):
     ),
 )
 def hourly_chunks(spark, sf_dir):
-    """The history columns again, cut finer for patients with very many rows."""
+    """The history columns in the chunked form that very busy patients get."""
     hour = DAY_US // 24
     out = features.prev_no_show_features(b.event_appointments(spark, sf_dir), chunk_us=hour)
     out = features.appointments_last_days(out, 14, chunk_us=hour)

@@ -160,9 +160,13 @@ def hot_rows(seed, n=600):
     return rows
 
 
-@pytest.mark.parametrize("chunk", [DAY_US, DAY_US // 24, DAY_US // 96])
-def test_history_equals_brute_force(spark, chunk):
-    rows = hot_rows(chunk % 97)
+@pytest.mark.parametrize(
+    ("chunk", "limit"),
+    [(DAY_US, None), (DAY_US // 24, None), (DAY_US // 96, None), (None, 10**6), (None, 150), (None, 6)],
+)
+def test_history_equals_brute_force(spark, chunk, limit):
+    """All entities chunked, none, the hot one only, and all into fine chunks."""
+    rows = hot_rows((chunk or limit) % 97)
     df = spark.createDataFrame(rows, "i int, pseudo_id string, start timestamp, v int")
     specs = [
         Lagged("lag_sum", "v", 3 * DAY_US),
@@ -171,7 +175,8 @@ def test_history_equals_brute_force(spark, chunk):
         SameDay("day_n", "v"),
         Previous("prev"),
     ]
-    got = {r.i: r for r in with_history(df, "pseudo_id", "start", specs, chunk).collect()}
+    out = with_history(df, "pseudo_id", "start", specs, chunk, max_rows=limit or 10)
+    got = {r.i: r for r in out.collect()}
     assert len(got) == len(rows)
     for i, who, at, _ in rows:
         mine = [(t, v) for _, w, t, v in rows if w == who]
@@ -206,12 +211,13 @@ def test_fitting_chunk_measures_the_hot_patient(spark):
     assert fitting_chunk(rows, "p", "t", max_rows=6) == 60_000_000
 
 
-def test_row_windows_never_span_a_whole_patient(spark):
-    """Windows over appointment rows are partitioned by (patient, chunk)."""
+def test_row_windows_never_span_a_hot_patient(spark):
+    """Windows over a hot patient's rows are partitioned by (patient, chunk)."""
     df = spark.createDataFrame(hot_rows(1), "i int, pseudo_id string, start timestamp, v int")
     specs = [Lagged("s", "v", 3 * DAY_US), Previous("prev"), SameDay("n", "v")]
-    out = with_history(df, "pseudo_id", "start", specs)
+    out = with_history(df, "pseudo_id", "start", specs, max_rows=150)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "_chunk" in plan
     for line in plan.splitlines():
         if "Window [" in line and "_at" in line:
             assert "[_entity" in line and "_chunk" in line.split("], [")[-2]

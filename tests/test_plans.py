@@ -1,7 +1,5 @@
 """Shape of the physical plans of the registered queries."""
 
-import re
-
 import pytest
 
 from rollcall.plans import QUERIES, load_all
@@ -33,15 +31,12 @@ def test_no_python_rows_and_no_cross_joins(spark, name):
 
 
 @pytest.mark.parametrize("name", LAZY)
-def test_windows_are_partitioned_and_not_by_patient_alone(spark, name):
-    """No window over fact rows in a single task, or over one patient's rows."""
-    for line in plan(QUERIES[name](spark, SF)).splitlines():
-        if "Window [" not in line:
-            continue
-        # Only windows over one row per chunk may take a whole patient.
-        if "_at" in line:
-            assert re.search(r"\[_entity#\d+L?, _chunk#\d+L\], \[_at", line), line
-        assert "], []," not in line
+def test_no_window_runs_in_a_single_task(spark, name):
+    lines = plan(QUERIES[name](spark, SF)).splitlines()
+    for i, line in enumerate(lines):
+        # The one exception: totals of the sorted ranges, a row per shuffle partition.
+        if "Window [" in line and "_range" not in line:
+            assert not any("SinglePartition" in below for below in lines[i + 1 : i + 4])
 
 
 def test_scans_read_only_what_is_needed(spark):
@@ -61,9 +56,9 @@ def test_left_join_becomes_inner(spark):
     assert "LeftOuter" not in text and "Inner" in text
 
 
-def test_history_needs_one_wide_exchange(spark):
-    """The row data crosses the network once; totals are aggregated before."""
+def test_history_needs_one_exchange(spark):
+    """Without a hot patient all history windows share one shuffle by patient."""
     text = plan(QUERIES["prev_no_show_features"](spark, SF))
-    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) <= 4
-    assert text.count("partial_") >= 1
+    assert text.count("Exchange hashpartitioning") == 1
+    features = plan(QUERIES["select_features"](spark, SF))
+    assert features.count("Exchange hashpartitioning") == 1
