@@ -21,7 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spark_select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()])
+    """Select by expression; all timestamps come out without a zone, as stored."""
+    out = df.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()])
+    zoned = [name for name, kind in out.dtypes if kind == "timestamp"]
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else out
 
 
 def _sql_select(columns: dict[str, str], tail: str) -> str:
