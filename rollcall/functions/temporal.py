@@ -35,14 +35,6 @@ def birth_year(date: Column | str) -> Column:
     return F.year(date)
 
 
-def shift(ts: Column | str, amount: Column | int, unit: str) -> Column:
-    """Add ``amount`` units (DAY, HOUR, MINUTE, SECOND or MILLISECOND) to a timestamp."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    step = "INTERVAL '0.001' SECOND" if unit == "MILLISECOND" else f"INTERVAL '1' {unit}"
-    amount = F.lit(amount) if isinstance(amount, int) else amount
-    return ts + F.expr(step) * amount
-
-
 def add_working_days(date: Column | str, n: Column | str | int) -> Column:
     """The date ``n`` weekdays away; zero leaves the date alone, weekend or not.
 

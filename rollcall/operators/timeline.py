@@ -116,11 +116,10 @@ def _hot_entities(df: DataFrame, entity: str, max_rows: int) -> DataFrame | None
     """Entities with too many rows for one task, or None."""
     if df.count() <= max_rows:
         return None
-    hot = (
-        df.groupBy(entity)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > max_rows) & F.col(entity).isNotNull())
-        .select(entity)
+    counts = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
+    # Used several times below: keep the short list, not the count over the table.
+    hot = materialize(
+        counts.where((F.col("_n") > max_rows) & F.col(entity).isNotNull()).select(entity), "hot"
     )
     return None if hot.isEmpty() else hot
 

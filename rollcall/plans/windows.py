@@ -222,7 +222,10 @@ def bin_edges_per_group(spark, sf_dir):
 
 @query(
     "sink_bins_json",
-    b.with_ctes("SELECT hoofdagenda, len(edges)::INTEGER AS n, round(edges[3], 9) AS median FROM edges", **_BIN_CTES),
+    b.with_ctes(
+        "SELECT hoofdagenda, len(edges)::INTEGER AS n, round(edges[3], 9) AS median FROM edges",
+        **_BIN_CTES,
+    ),
 )
 def sink_bins_json(spark, sf_dir):
     path = scratch_path(spark, "bins")

@@ -105,8 +105,3 @@ def jdbc_options(
 def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     reader: DataFrameReader = spark.read.format("jdbc")
     return reader.options(**jdbc_options(**kwargs)).load()
-
-
-def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 10_000, **extra) -> None:
-    options = {"url": url, "dbtable": table, "batchsize": str(batchsize), **extra}
-    df.write.format("jdbc").options(**options).mode("append").save()
