@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from rollcall.operators.ordering import ranked
 from rollcall.operators.quality import roc_auc
 from rollcall.schema import FEATURE_COLUMNS
+from rollcall.session import scratch_path
 
 CATEGORICAL = ("hour", "weekday")
 NUMERIC = tuple(c for c in FEATURE_COLUMNS if c not in (*CATEGORICAL, "no_show"))
@@ -243,7 +244,19 @@ def logistic_baseline(
     )
     logistic = LogisticRegression(labelCol="label", regParam=0.0, maxIter=max_iter)
     stages = [*indexers, *([encoder] if categorical else []), assembler, logistic]
-    return BaselineModel(limits, Pipeline(stages=stages).fit(with_splines(train, limits)))
+    fitted = Pipeline(stages=stages).fit(with_splines(train, limits))
+    return BaselineModel(limits, _stored(fitted, train))
+
+
+def _stored(model: PipelineModel, df: DataFrame) -> PipelineModel:
+    """The model as saved and loaded again.
+
+    A fresh logistic model keeps its training summary, which holds the session and
+    cannot be sent to executors once the session has observed a metric.
+    """
+    path = scratch_path(df.sparkSession, "model")
+    model.save(path)
+    return PipelineModel.load(path)
 
 
 # --- comparisons over groups ------------------------------------------------
