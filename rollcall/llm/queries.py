@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import table
+from rollcall.llm import quality_rules as rules
 from rollcall.llm.mixing import place_documents, position
 from rollcall.llm.sharding import shard_records
 
@@ -88,6 +89,91 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def _distance_sql(names: list[str], own: str, ref: str) -> str:
+    """SQL of the Jensen-Shannon distance between the shares of two rows' counts."""
+    terms = []
+    totals = [f"greatest({' + '.join(f'{t}.{n}' for n in names)}, 1)::DOUBLE" for t in (own, ref)]
+    for n in names:
+        p, q = (f"({t}.{n} / {total})" for t, total in zip((own, ref), totals, strict=True))
+        terms.append(f"CASE WHEN {own}.{n} > 0 THEN {p} * log2(2.0::DOUBLE * {p} / ({p} + {q})) ELSE 0 END")
+        terms.append(f"CASE WHEN {ref}.{n} > 0 THEN {q} * log2(2.0::DOUBLE * {q} / ({p} + {q})) ELSE 0 END")
+    return f"sqrt(greatest(0.0::DOUBLE, ({' + '.join(terms)}) / 2))"
+
+
+def _op3_sql() -> str:
+    without = "length(t) - length(regexp_replace(t, '{}', '', 'g'))"
+    marks = r"""[!"''()+,./:;=?@\[\\\]^_`{}~-]"""
+    punctuation = f"length(t) - length(regexp_replace(t, '{marks}', '', 'g'))"
+    listed = "CASE ref " + " ".join(
+        f"WHEN '{lang}' THEN {words!r}" for lang, words in rules.LANGUAGE_WORDS.items()
+    )
+    bins = [f"w{k}" for k in range(rules.WORD_BINS)]
+    class_sum, bin_sum = (
+        ", ".join(f"sum({n}) AS {n}" for n in names) for names in (rules.CLASSES, [*bins, "w_rest"])
+    )
+    langs = ", ".join(f"'{x}'" for x in rules.LANGUAGE_WORDS)
+    counted = ", ".join(f"len(list_filter(w, lambda x: x = common[{k + 1}])) AS w{k}" for k in range(rules.WORD_BINS))
+    return rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({langs}) THEN lang ELSE '{rules.OTHER}' END AS ref,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w
+  FROM documents),
+listed AS (SELECT *, {listed} ELSE []::VARCHAR[] END AS common,
+  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS lines FROM split),
+grams AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM grams WHERE n >= 2) GROUP BY doc_id),
+measures AS (
+  SELECT l.doc_id, ref, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(t) AS chars, ({without.format('[#*$%&|<>]')})::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         {without.format('[A-Z]')} AS uppers, {without.format('[0-9]')} AS digits,
+         {without.format(r'[!"' + "''" + r'()+,./:;=?@\[\\]^_`{}~-]').replace("^_`~", "^_`{}~")} AS punctuation,
+         strlen(t) - length(t) AS wide, length(t) - length(array_to_string(w, '')) AS spaces, {counted}
+  FROM listed l LEFT JOIN repeats r ON l.doc_id = r.doc_id),
+full_measures AS (
+  SELECT *, greatest(0, chars - uppers - digits - punctuation - n_symbols - spaces - wide) AS others,
+         n_words - ({' + '.join(bins)}) AS w_rest,
+         n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM measures),
+first_refs AS (SELECT ref, {class_sum} FROM full_measures WHERE NOT base_failed GROUP BY ref),
+last_refs AS (
+  SELECT m.ref, sum(n_words) AS ref_words, {class_sum.replace('sum(', 'sum(m.')}, {bin_sum}
+  FROM full_measures m JOIN first_refs r ON m.ref = r.ref
+  WHERE NOT base_failed AND {_distance_sql(rules.CLASSES, 'm', 'r')} <= {rules.FIRST_CLASS_DISTANCE}
+  GROUP BY m.ref)
+SELECT doc_id, n_words, word_chars, m.n_symbols AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed
+       AND NOT coalesce(ref_words >= {rules.MIN_REFERENCE_WORDS} AND chars >= {rules.MIN_CHARS}
+           AND {_distance_sql(rules.CLASSES, 'm', 'r')} > {rules.MAX_CLASS_DISTANCE}, FALSE)
+       AND NOT coalesce(ref_words >= {rules.MIN_REFERENCE_WORDS} AND n_words >= {rules.MIN_HISTOGRAM_WORDS}
+           AND {_distance_sql([*bins, 'w_rest'], 'm', 'r')} > {rules.MAX_WORD_DISTANCE}, FALSE) AS kept
+FROM full_measures m LEFT JOIN last_refs r ON m.ref = r.ref
+"""
+
+
+@query("op3_divergence_rules", _op3_sql())
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their base counts and the verdict of the rules."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return rules.judged(docs, keep=["doc_id"]).select(
+        "row.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 @query("op6_slot_shards")
 def op6_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by the rebalanced slot map; sizes are near equal."""
