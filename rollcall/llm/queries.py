@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import table
 from rollcall.llm import quality_rules as rules
 from rollcall.llm.mixing import place_documents, position
+from rollcall.llm.near_dups import near_duplicates
 from rollcall.llm.sharding import shard_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +189,10 @@ def op6_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
     )
+
+
+@query("op10_fast_sketch_dups")
+def op10_fast_sketch_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the near-duplicate component they belong to (four-word shingles, 0.8)."""
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicates(docs, width=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
