@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import table
 from rollcall.llm import quality_rules as rules
+from rollcall.llm.decontaminate import find_leaks
 from rollcall.llm.mixing import place_documents, position
 from rollcall.llm.near_dups import near_duplicates
 from rollcall.llm.sharding import shard_records
@@ -175,6 +176,12 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_cgk_decontamination")
+def op5_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair where the document holds the item, with the place and the edits."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_slot_shards")
 def op6_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by the rebalanced slot map; sizes are near equal."""
