@@ -13,6 +13,8 @@ from rollcall.llm.decontaminate import find_leaks
 from rollcall.llm.mixing import place_documents, position
 from rollcall.llm.near_dups import near_duplicates
 from rollcall.llm.sharding import shard_records
+from rollcall.llm.token_store import token_digest
+from rollcall.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -198,6 +200,19 @@ def op6_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op7_token_store")
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as read back from the token store, found through its index."""
+    docs = table(spark, sf_dir, "documents")
+    return token_digest(docs, scratch_path(spark, "token-store"), default_tokenizer())
+
+
 @query("op10_fast_sketch_dups")
 def op10_fast_sketch_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the near-duplicate component they belong to (four-word shingles, 0.8)."""
