@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import table
+from rollcall.llm.common import default_tokenizer, table
 from rollcall.llm import quality_rules as rules
 from rollcall.llm.decontaminate import find_leaks
 from rollcall.llm.mixing import place_documents, position
@@ -200,12 +200,6 @@ def op6_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def default_tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 @query("op7_token_store")
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as read back from the token store, found through its index."""

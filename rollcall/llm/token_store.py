@@ -2,8 +2,8 @@
 
 Files of a store, all under one folder that every executor sees:
 
-* ``ids/``: one payload file per range of doc_ids. A 16-byte header (magic ``RIDS``, version, bytes per id), then
-  little-endian ids without gaps, documents in ascending doc_id order (null last).
+* ``ids/``: one payload file per range of the order asked for. A 16-byte header (magic ``RIDS``, version, bytes per
+  id), then little-endian ids without gaps; by default documents stand in ascending doc_id order (null last).
 * ``entries/``: a row per document, written by Spark: which file, where in it, how many ids. A payload file counts
   only if rows of the same task attempt name it, so files of lost attempts are never read.
 * ``shards/``: a row per payload file with the number of ids before it.
@@ -33,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rollcall.operators.ordering import ranked
+
 HEADER_BYTES = 16
 MAGIC, VERSION = b"RIDS", 1
 
@@ -95,7 +97,7 @@ def _writer(tokenizer_json: str, folder: str, end_id: int, width: int):
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid.uuid4().hex}.ids"
         files, root = _file_system(folder)
-        out, at, previous, run, nth = None, 0, object(), 0, 0
+        out, at, nth = None, 0, 0
         for batch in batches:
             if out is None:
                 encoder = WordEncoder(tokenizer_json.value, width)
@@ -104,55 +106,60 @@ def _writer(tokenizer_json: str, folder: str, end_id: int, width: int):
                 out.write(_header(width))
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                ids, lengths, offsets, runs = part.column("doc_id").to_pylist(), [], [], []
-                for doc_id, payload in zip(ids, encoder.encode(part.column("text").to_pylist()), strict=True):
+                lengths, offsets = [], []
+                for payload in encoder.encode(part.column("text").to_pylist()):
                     out.write(payload)
                     out.write(end)
                     offsets.append(at)
                     lengths.append(len(payload) // width + 1)
                     at += lengths[-1]
-                    run = run + 1 if doc_id == previous else 0
-                    previous = doc_id
-                    runs.append(run)
+                n = len(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array(runs, pa.int64()),
-                        pa.array([shard] * len(ids), pa.int32()),
-                        pa.array([name] * len(ids)),
-                        pa.array(range(nth, nth + len(ids)), pa.int64()),
+                        pa.array([shard] * n, pa.int32()),
+                        pa.array([name] * n),
+                        pa.array(range(nth, nth + n), pa.int64()),
                         pa.array(offsets, pa.int64()),
                         pa.array(lengths, pa.int64()),
                     ],
-                    names=["doc_id", "run", "shard", "file", "nth", "offset", "n_tokens"],
+                    names=["doc_id", "shard", "file", "nth", "offset", "n_tokens"],
                 )
-                nth += len(ids)
+                nth += n
         if out is not None:
             out.close()
 
     return write
 
 
-def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
-    """Encode all documents and write the store's four parts under ``path`` (a new folder)."""
+def write_store(
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, order: list[Column] | None = None
+) -> None:
+    """Encode all documents and write the store's four parts under ``path`` (a new folder).
+
+    ``order``: the order of the ids in the files; by default ascending doc_id, null last.
+    """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer_json = file.read()
     from tokenizers import Tokenizer
 
     width = 2 if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    order = order or [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")]
+    sort = [F.col(f"by{k}") for k in range(len(order))]
     rows = docs.select(
-        F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.xxhash64("text").alias("tie")
+        F.col("doc_id"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        *[c.alias(f"by{k}") for k, c in enumerate(order)],
     )
-    order = [F.col("doc_id").asc_nulls_last(), F.col("tie").asc()]
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        rows.repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
         .select("doc_id", "text")
         .mapInArrow(
             _writer(spark.sparkContext.broadcast(tokenizer_json), f"{path}/ids", end_id, width),
-            f"doc_id {doc_type}, run long, shard int, file string, nth long, offset long, n_tokens long",
+            f"doc_id {doc_type}, shard int, file string, nth long, offset long, n_tokens long",
         )
         .write.parquet(f"{path}/entries")
     )
@@ -169,24 +176,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
 
 
 def _keyed(entries: DataFrame) -> DataFrame:
-    """Entries with ``repeat``: rows of a doc_id that begin in an earlier file are counted there.
-
-    Only doc_ids that begin a file can reach over its border: at most one per file.
-    """
-    first = entries.filter("nth = 0").select(F.col("doc_id").alias("border")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("border"))
-    counts = (
-        entries.join(F.broadcast(first), same, "left_semi").groupBy("doc_id", "shard").agg(F.count("*").alias("own"))
-    )
-    earlier = Window.partitionBy("doc_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    carried = (
-        counts.withColumn("carried", F.sum("own").over(earlier) - F.col("own"))
-        .filter("carried > 0")
-        .select(F.col("doc_id").alias("border"), F.col("shard").alias("border_shard"), "carried")
-    )
-    return entries.join(
-        F.broadcast(carried), same & (F.col("shard") == F.col("border_shard")), "left"
-    ).withColumn("repeat", F.col("run") + F.coalesce("carried", F.lit(0)))
+    """Entries with ``repeat``, the number of earlier rows of the same doc_id in the store."""
+    slim = entries.select("doc_id", "shard", "nth", "offset", "n_tokens")
+    return ranked(slim, [F.col("shard"), F.col("nth")], out="repeat", by=["doc_id"])
 
 
 def key_hashes(doc_id: Column, repeat: Column) -> list[Column]:
@@ -376,8 +368,10 @@ def stored_keys(spark: SparkSession, path: str) -> DataFrame:
     return _keyed(spark.read.parquet(f"{path}/entries")).select("doc_id", "repeat")
 
 
-def token_digest(docs: DataFrame, path: str, tokenizer_path: str) -> DataFrame:
+def token_digest(
+    docs: DataFrame, path: str, tokenizer_path: str, order: list[Column] | None = None
+) -> DataFrame:
     """Write the store, look every document up in its index and digest what the files hold."""
-    write_store(docs, path, tokenizer_path)
+    write_store(docs, path, tokenizer_path, order=order)
     found = look_up(stored_keys(docs.sparkSession, path), path)
     return read_ids(found, path).select("doc_id", "start", "n_tokens", "ids_crc32")
