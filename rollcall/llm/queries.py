@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import default_tokenizer, table
+from rollcall.llm import language_id, quality_model
 from rollcall.llm import quality_rules as rules
 from rollcall.llm.decontaminate import find_leaks
 from rollcall.llm.mixing import place_documents, position
@@ -178,6 +179,20 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_ftrl_quality")
+def op4_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the chance of a good label, learned from the folds 0 and 2 of three."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    weights = quality_model.train(docs, labels, quality_model.fold(F.col("doc_id"), 3) != 1)
+    return quality_model.scored(docs, weights).select(
+        "doc_id",
+        (quality_model.fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op5_cgk_decontamination")
 def op5_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair where the document holds the item, with the place and the edits."""
@@ -207,6 +222,19 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(docs, scratch_path(spark, "token-store"), default_tokenizer())
 
 
+@query("op9_ppm_language")
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their language, learned from the folds 0, 1 and 3 of four."""
+    docs = table(spark, sf_dir, "documents")
+    trees = language_id.train(docs, quality_model.fold(F.col("doc_id"), 4) != 2)
+    return language_id.identified(docs, trees).select(
+        "doc_id",
+        (quality_model.fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 @query("op10_fast_sketch_dups")
 def op10_fast_sketch_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the near-duplicate component they belong to (four-word shingles, 0.8)."""

@@ -73,23 +73,31 @@ def find_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def hash_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit number for each word: a polynomial of its bytes (A-Z lower-cased) modulo 2**64, scrambled."""
-    if not len(starts):
+def hash_segments(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each of consecutive segments of small values; no length may be 0.
+
+    A polynomial of the values modulo 2**64, scrambled.
+    """
+    if not len(lengths):
         return np.zeros(0, U64)
-    lengths = ends - starts
-    first = np.zeros(len(starts), np.int64)
+    first = np.zeros(len(lengths), np.int64)
     np.cumsum(lengths[:-1], out=first[1:])
-    place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(first, lengths)
+    place = np.arange(len(values), dtype=np.int64) - np.repeat(first, lengths)
     powers = np.empty(int(lengths.max()), U64)
     powers[0] = 1
     powers[1:] = _BASE
     np.multiply.accumulate(powers, out=powers)
-    letters = raw[np.repeat(starts, lengths) + place]
-    if lower:
-        letters = _LOWER[letters]
-    values = (letters.astype(U64) + U64(1)) * powers[place]
-    return mix64(np.add.reduceat(values, first) + lengths.astype(U64))
+    terms = (values.astype(U64) + U64(1)) * powers[place]
+    return mix64(np.add.reduceat(terms, first) + lengths.astype(U64))
+
+
+def hash_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit number for each word, by its bytes (A-Z lower-cased)."""
+    lengths = ends - starts
+    place = np.arange(int(lengths.sum()), dtype=np.int64)
+    place += np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    letters = raw[place]
+    return hash_segments(_LOWER[letters] if lower else letters, lengths)
 
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
