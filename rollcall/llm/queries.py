@@ -11,6 +11,7 @@ from rollcall.llm.common import default_tokenizer, table
 from rollcall.llm import language_id, quality_model
 from rollcall.llm import quality_rules as rules
 from rollcall.llm.decontaminate import find_leaks
+from rollcall.llm.html_extract import extracted
 from rollcall.llm.mixing import place_documents, position
 from rollcall.llm.near_dups import near_duplicates
 from rollcall.llm.sharding import shard_records
@@ -222,6 +223,14 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(docs, scratch_path(spark, "token-store"), default_tokenizer())
 
 
+@query("op8_url_differencing")
+def op8_url_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return extracted(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 @query("op9_ppm_language")
 def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their language, learned from the folds 0, 1 and 3 of four."""
