@@ -8,8 +8,9 @@ similarity, with the concentration of independent draws. Bins are joined to band
 band are candidates, and candidates are confirmed on full sets.
 
 Equal sets are one class, whatever the number of their copies. In a bucket, members are compared with
-one pivot; only members that then still belong to different components are compared with one another, so
-no bucket is expanded to all its pairs and no link between components is lost.
+one pivot, the class that meets the most others. Only members that then still belong to different components,
+and have enough runs in common with any others at all, are compared with one another: no bucket is expanded to
+all its pairs, and no link between components is lost.
 
 Defined cases: texts without words (and null) have an empty set and are linked with nothing; null doc_ids take
 part, but a component is named by its smallest id that is not null (none: null); repeated ids and rows are
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.wordnum import U64, mix64, text_shingles
@@ -121,6 +122,23 @@ def _describe(width: int):
     return describe
 
 
+def _exploded(width: int):
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nids = batch.column("nid").to_numpy()
+            for k, runs in enumerate(text_shingles(batch.column("text"), width)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(runs), nids[k])), pa.array(runs.view(np.int64))], names=["nid", "run"]
+                )
+
+    return explode
+
+
+def _ordered(a: Column, b: Column) -> list[Column]:
+    """A pair with its smaller class first."""
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches agree well enough."""
     for batch in batches:
@@ -219,13 +237,15 @@ class _Search:
             "near-classes",
         )
         banded = self.classes.select("node", F.explode("bands").alias("bucket"))
-        shared = (
-            banded.groupBy("bucket")
-            .agg(F.min("node").alias("pivot"), F.count("*").alias("size"))
-            .filter("size > 1")
-            .select("bucket", "pivot")
+        sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        met = materialize(banded.join(sizes, "bucket"), "near-met")
+        # The class that meets the most others is most likely what the others were copied from.
+        degree = met.groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree"))
+        ranked = met.select("bucket", "node").join(degree, "node")
+        pivots = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("top")).select(
+            "bucket", F.col("top.degree").alias("degree"), F.col("top.node").alias("pivot")
         )
-        self.members = materialize(banded.join(shared, "bucket"), "near-members")
+        self.members = materialize(met.select("bucket", "node").join(pivots, "bucket"), "near-members")
         involved = self.members.select("node").distinct()
         reps = self.classes.join(involved, "node", "left_semi").select("node", "rep.r1", "rep.r2")
         # Equal rows share their keys; one text per class is enough.
@@ -239,6 +259,39 @@ class _Search:
         renamed = labels.select(F.col("node").alias(node), F.col("comp").alias("_c"))
         return df.join(renamed, node, "left").withColumn(comp, F.coalesce("_c", node)).drop("_c")
 
+    def open_pairs(self, labels: DataFrame) -> DataFrame:
+        """Pairs of a bucket that belong to different components and can be similar.
+
+        A run that no other open class has is in no intersection. So of n runs, u of them unique, at most
+        n - u are common with any other class, which rules out all pairs in which that is too few: copies
+        that changed too much to be linked to their base are as a rule ruled out against all its other copies.
+        """
+        owned = self.labelled(labels, self.members.select("bucket", "node"), "node", "comp")
+        mixed = owned.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+        open_rows = materialize(owned.join(mixed.select("bucket"), "bucket", "left_semi"), "near-open")
+        nodes = materialize(
+            open_rows.select("node").distinct().withColumn("nid", F.monotonically_increasing_id()), "near-open-nodes"
+        )
+        runs = self.texts.join(nodes, "node").select("nid", "text").mapInArrow(_exploded(self.width), "nid long, run long")
+        alone = runs.groupBy("run").agg(F.count("*").alias("times"), F.min("nid").alias("nid")).filter("times = 1")
+        unique = alone.groupBy("nid").agg(F.count("*").alias("unique"))
+        most = (
+            nodes.join(unique, "nid", "left")
+            .join(self.classes.select("node", "n"), "node")
+            .select("node", "n", (F.col("n") - F.coalesce("unique", F.lit(0))).alias("most"))
+        )
+        left = materialize(open_rows.join(most, "node"), "near-open-rows")
+        right = left.toDF(*[f"{c}_b" if c != "bucket" else c for c in left.columns])
+        least = self.percent * (F.col("n") + F.col("n_b"))
+        possible = (
+            (F.col("comp") < F.col("comp_b"))
+            & (F.col("most") * (100 + self.percent) >= least)
+            & (F.col("most_b") * (100 + self.percent) >= least)
+            & (F.col("bucket") == F.col("bucket_b"))
+        )
+        right = right.withColumnRenamed("bucket", "bucket_b")
+        return left.join(right, possible).select(*_ordered(F.col("node"), F.col("node_b"))).distinct()
+
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that are similar, by sketch first and then on full sets."""
         tags = self.classes.select("node", "n", "tags")
@@ -266,8 +319,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nearest = (
         search.members.filter(F.col("node") != F.col("pivot"))
         .groupBy("node")
-        .agg(F.min("pivot").alias("b"))
-        .select(F.col("node").alias("a"), "b")
+        .agg(F.max(F.struct("degree", "pivot")).alias("top"))
+        .select(*_ordered(F.col("node"), F.col("top.pivot")))
+        .distinct()
     )
     first = materialize(nearest, "near-pairs")
     edges = search.confirm(first)
@@ -278,24 +332,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         labels, search.labelled(labels, search.members, "node", "ca"), "pivot", "cb"
     ).filter("ca <> cb")
     second = materialize(
-        open_pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct().join(first, ["a", "b"], "left_anti"),
+        open_pairs.select(*_ordered(F.col("node"), F.col("pivot"))).distinct().join(first, ["a", "b"], "left_anti"),
         "near-pairs",
     )
     edges = edges.union(search.confirm(second))
     labels = components(edges)
 
-    # Whatever still shares a bucket across components was compared with the pivot only.
-    owned = search.labelled(labels, search.members.select("bucket", "node"), "node", "comp")
-    mixed = owned.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    left = owned.join(mixed.select("bucket"), "bucket", "left_semi")
-    right = left.select("bucket", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-    third = (
-        left.join(right, "bucket")
-        .filter("comp < other_comp")
-        .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
-        .distinct()
-        .join(first.union(second), ["a", "b"], "left_anti")
-    )
+    # What still shares a bucket across components was compared with the pivot only.
+    third = search.open_pairs(labels).join(first.union(second), ["a", "b"], "left_anti")
     edges = edges.union(search.confirm(third))
     labels = materialize(components(edges), "near-labels")
 
