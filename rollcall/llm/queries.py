@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import default_tokenizer, table
-from rollcall.llm import language_id, quality_model
+from rollcall.llm import language_id, line_templates, quality_model
 from rollcall.llm import quality_rules as rules
 from rollcall.llm.decontaminate import find_leaks
 from rollcall.llm.html_extract import extracted
@@ -32,6 +32,55 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+OP1_SQL = rf"""
+WITH lines AS (
+  SELECT doc_id, text, place, line,
+         list_transform(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
+                        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{line_templates.FIELD}' ELSE t END) AS tokens
+  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+        FROM documents)),
+long_lines AS (
+  SELECT DISTINCT doc_id, text, tokens, len(tokens) || ' ' || array_to_string(tokens[:{line_templates.DEPTH}], ' ') AS leaf
+  FROM lines WHERE len(tokens) >= {line_templates.MIN_TOKENS}),
+held AS (
+  SELECT * FROM long_lines
+  WHERE leaf IN (SELECT leaf FROM long_lines GROUP BY leaf HAVING count(*) >= {line_templates.MIN_TEXTS})),
+different AS (SELECT DISTINCT leaf, tokens FROM held),
+counted AS (
+  SELECT leaf, place, token, count(*) AS n
+  FROM (SELECT leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM different) GROUP BY ALL),
+constants AS (
+  SELECT leaf, place, token FROM counted
+  QUALIFY row_number() OVER (PARTITION BY leaf, place ORDER BY n DESC, token DESC) = 1
+      AND n >= {line_templates.CONSTANT_SHARE} * sum(n) OVER (PARTITION BY leaf, place)),
+agreeing AS (
+  SELECT d.leaf, d.tokens, count(*) FILTER (WHERE d.tokens[c.place] = c.token) AS n
+  FROM different d JOIN constants c ON d.leaf = c.leaf GROUP BY ALL),
+templates AS (
+  SELECT leaf, tokens, CASE WHEN n >= {line_templates.SIMILARITY} * len(tokens) THEN NULL ELSE tokens END AS template
+  FROM agreeing),
+told AS (SELECT h.*, template FROM held h JOIN templates t ON h.leaf = t.leaf AND h.tokens = t.tokens),
+recurring AS (
+  SELECT leaf, template FROM told GROUP BY ALL HAVING count(DISTINCT text) >= {line_templates.MIN_TEXTS}),
+dropped AS (
+  SELECT DISTINCT tokens FROM told t JOIN recurring r ON t.leaf = r.leaf AND t.template IS NOT DISTINCT FROM r.template),
+cleaned AS (
+  SELECT doc_id, count(d.tokens)::BIGINT AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE d.tokens IS NULL), '') AS text
+  FROM lines l LEFT JOIN dropped d ON l.tokens = d.tokens GROUP BY doc_id)
+SELECT o.doc_id, coalesce(len(string_split(o.text, chr(10))), 0)::BIGINT AS n_lines,
+       coalesce(n_dropped, 0)::BIGINT AS n_dropped, c.text AS text
+FROM documents o LEFT JOIN cleaned c ON o.doc_id = c.doc_id
+"""
+
+
+@query("op1_template_lines", OP1_SQL)
+def op1_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines whose template recurs in ten texts or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.cleaned(docs, keep=["doc_id"]).select("row.doc_id", "n_lines", "n_dropped", "text")
+
+
 OP2_SQL = r"""
 WITH rows AS (
   SELECT doc_id, coalesce(source, '') AS src, source IS NULL AS no_src,
