@@ -72,7 +72,7 @@ def apply_bins(
         F.raise_error(F.concat(F.lit("no bin edges for "), F.col(by).cast("string"))),
     ).otherwise(F.col("_edges"))
     x = F.col(score)
-    above = F.size(F.filter(F.slice(checked, 2, 1000), lambda e: e < x))
+    above = F.size(F.filter(F.slice(checked, 2, F.greatest(F.lit(0), F.size(checked) - 1)), lambda e: e < x))
     return joined.withColumn(
         "score_bin", F.when((x > 0) & (x <= 1), above).otherwise(F.lit(None).cast("int"))
     ).select(*df.columns, "score_bin")

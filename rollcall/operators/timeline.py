@@ -1,14 +1,11 @@
-"""Per-entity history features that survive a hot entity.
-
-Ordinary entities get windows partitioned by entity: one shuffle of the rows.
-An entity with more rows than a task should take is cut into time chunks:
-
-* each of its rows is copied to the instants at which it starts (or stops)
-  counting, so that "everything at least three days old" becomes "everything up
-  to now";
-* a window over (entity, chunk) adds up the part inside the chunk;
-* chunk totals are pre-aggregated before their shuffle, and a window over these
-  few rows per entity carries the sum of all earlier chunks forward.
+"""Per-entity history features in one form that is linear and survives a hot entity.
+
+* Each row is copied to the instants at which it starts (or stops) counting, so that "everything at
+  least three days old" becomes "everything up to now", and a trailing window the difference of two such sums.
+* Entities are cut into time chunks; a window over (entity, chunk) adds up the part inside the chunk, so
+  no task gets a whole hot entity, and no frame is added up again for each row.
+* Chunk totals are pre-aggregated before their shuffle, and a window over these few rows per entity carries the
+  sum of all earlier chunks forward.
 """
 
 from __future__ import annotations
@@ -37,11 +34,12 @@ class Lagged:
         if self.func not in ("sum", "count"):
             raise NotImplementedError(f"cumulative function {self.func!r}")
 
-    def effects(self) -> list[tuple[int, Column]]:
+    def effects(self) -> dict[tuple[int, bool], Column]:
+        """Changes of the sum by (delay, whether it ends a trailing window)."""
         value = F.col(self.value)
         if self.func == "count":
             value = value.isNotNull().cast("long")
-        return [(self.lag_us, value)]
+        return {(self.lag_us, False): value}
 
 
 @dataclass(frozen=True)
@@ -52,9 +50,9 @@ class Trailing:
     value: str
     width_us: int
 
-    def effects(self) -> list[tuple[int, Column]]:
+    def effects(self) -> dict[tuple[int, bool], Column]:
         present = F.col(self.value).isNotNull().cast("long")
-        return [(0, present), (self.width_us, -present)]
+        return {(0, False): present, (self.width_us, True): -present}
 
 
 @dataclass(frozen=True)
@@ -75,8 +73,10 @@ class SameDay:
 Spec = Lagged | Trailing | Previous | SameDay
 
 
-MAX_TASK_ROWS = 5_000_000
-CHUNK_WIDTHS = (DAY_US, 3_600_000_000, 60_000_000, 1_000_000)
+#: Places on the time axis for rows without a time: they come before all others, and stop counting
+#: for trailing windows before the first real time.
+_NO_TIME_CHUNK = -(2**62)
+_AFTER_NO_TIME = -(2**61)
 
 
 def with_history(
@@ -86,101 +86,55 @@ def with_history(
     specs: Sequence[Spec],
     chunk_us: int | None = None,
     stage: bool = False,
-    max_rows: int = MAX_TASK_ROWS,
 ) -> DataFrame:
     """Add the history columns described by ``specs``.
 
-    Entities with more than ``max_rows`` rows are found by a count and cut into
-    chunks that fit.  ``chunk_us`` (a divisor of a day) cuts all entities instead.
-    ``stage`` writes the input once first, for inputs that cost more than a scan.
+    One form for all entities and sizes, linear in the rows. The result does not depend on ``chunk_us`` (a
+    divisor of a day, by default a day). Rows without entity form an entity of their own; rows without time are
+    peers that come before all rows of their entity, as in a window that sorts nulls first.
+    The input is read twice, in full and slim for the chunk totals; ``stage`` writes it once first, for inputs
+    that cost more than a scan.
     """
-    if chunk_us is not None and DAY_US % chunk_us:
+    chunk_us = chunk_us or DAY_US
+    if DAY_US % chunk_us:
         raise ValueError("chunk_us must divide a day")
     if stage:
         df = materialize(df, "staged")
-    if chunk_us is not None:
-        return _chunked_history(df, entity, ts, specs, chunk_us)
-    hot = _hot_entities(df, entity, max_rows)
-    if hot is None:
-        return _windowed_history(df, entity, ts, specs)
-    # Each hot entity holds over max_rows rows, so their list is short.
-    hot = F.broadcast(hot)
-    busy = df.join(hot, entity, "left_semi")
-    chunk_us = fitting_chunk(busy, entity, ts, max_rows)
-    return _windowed_history(
-        df.join(hot, entity, "left_anti"), entity, ts, specs
-    ).unionByName(_chunked_history(busy, entity, ts, specs, chunk_us))
-
-
-def _hot_entities(df: DataFrame, entity: str, max_rows: int) -> DataFrame | None:
-    """Entities with too many rows for one task, or None."""
-    if df.count() <= max_rows:
-        return None
-    counts = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
-    # Used several times below: keep the short list, not the count over the table.
-    hot = materialize(
-        counts.where((F.col("_n") > max_rows) & F.col(entity).isNotNull()).select(entity), "hot"
-    )
-    return None if hot.isEmpty() else hot
-
-
-def _windowed_history(
-    df: DataFrame, entity: str, ts: str, specs: Sequence[Spec]
-) -> DataFrame:
-    """The plain form: all windows share one shuffle by entity."""
-    in_time = W.partitionBy(entity).orderBy(micros(ts))
-    out = []
-    for spec in specs:
-        if isinstance(spec, Lagged):
-            frame = in_time.rangeBetween(W.unboundedPreceding, -spec.lag_us)
-            total = F.count if spec.func == "count" else F.sum
-            value = F.coalesce(total(spec.value).over(frame), F.lit(0))
-        elif isinstance(spec, Trailing):
-            # The left end is open: one microsecond less than the width.
-            value = F.count(spec.value).over(in_time.rangeBetween(1 - spec.width_us, 0))
-        elif isinstance(spec, SameDay):
-            value = F.count(spec.value).over(W.partitionBy(entity, F.to_date(ts)))
-        else:
-            value = F.lag(ts).over(in_time)
-        out.append(value.alias(spec.out))
-    return df.select("*", *out)
-
-
-def _chunked_history(
-    df: DataFrame, entity: str, ts: str, specs: Sequence[Spec], chunk_us: int
-) -> DataFrame:
-    """The chunked form.  The input is read twice: rows, and slim for the totals."""
     sums = [s for s in specs if isinstance(s, (Lagged, Trailing))]
     effects = [s.effects() for s in sums]
-    moments = sorted({0} | {delay for effect in effects for delay, _ in effect})
+    moments = sorted({(0, False)}.union(*effects))
 
+    # A struct is never null, so rows without entity join their totals too.
+    key = F.struct(F.col(entity).alias("value")).alias("_entity")
     # One copy per moment.  Only the copy at moment 0 keeps the row itself.
     row = F.struct(*[F.col(c) for c in df.columns])
     copies = []
     for moment in moments:
-        own = moment == 0
+        own = moment == (0, False)
         changes = [
-            F.coalesce(dict(effect)[moment], F.lit(0)).alias(f"_m{i}")
-            if moment in dict(effect)
-            else F.lit(0).alias(f"_m{i}")
+            F.coalesce(effect.get(moment, F.lit(0)), F.lit(0)).alias(f"_m{i}")
             for i, effect in enumerate(effects)
         ]
+        delay, ends = moment
+        at = micros(ts) + F.lit(delay).cast("long")
+        if ends:
+            # Rows without time stay peers of each other and leave trailing windows behind them.
+            at = F.coalesce(at, F.lit(_AFTER_NO_TIME).cast("long"))
         copies.append(
             F.struct(
-                (micros(ts) + F.lit(moment).cast("long")).alias("_at"),
+                at.alias("_at"),
                 (row if own else F.lit(None)).alias("_row"),
                 (micros(ts) if own else F.lit(None).cast("long")).alias("_own"),
                 *changes,
             )
         )
     if len(copies) == 1:
-        timeline = df.select(F.col(entity).alias("_entity"), copies[0].alias("_c"))
+        timeline = df.select(key, copies[0].alias("_c"))
     else:
-        timeline = df.select(
-            F.col(entity).alias("_entity"), F.explode(F.array(*copies)).alias("_c")
-        )
+        timeline = df.select(key, F.explode(F.array(*copies)).alias("_c"))
     timeline = timeline.select("_entity", "_c.*").withColumn(
-        "_chunk", floor_div(F.col("_at"), chunk_us)
+        "_chunk",
+        F.coalesce(floor_div(F.col("_at"), chunk_us), F.lit(_NO_TIME_CHUNK).cast("long")),
     )
 
     inside = W.partitionBy("_entity", "_chunk").orderBy("_at")
@@ -219,6 +173,7 @@ def _chunk_carry(timeline: DataFrame, specs, sums, chunk_us: int) -> DataFrame:
     same_day = [s for s in specs if isinstance(s, SameDay)]
     totals = timeline.groupBy("_entity", "_chunk").agg(
         F.max("_own").alias("_last"),
+        F.count("_row").alias("_rows"),
         *[F.sum(f"_m{i}").alias(f"_t{i}") for i in range(len(sums))],
         *[F.count(f"_row.{s.value}").alias(f"_n{i}") for i, s in enumerate(same_day)],
     )
@@ -231,35 +186,8 @@ def _chunk_carry(timeline: DataFrame, specs, sums, chunk_us: int) -> DataFrame:
     return totals.select(
         "_entity",
         "_chunk",
-        "_last",
+        "_rows",
         F.max("_last").over(earlier).alias("_prev_before"),
         *[F.sum(f"_t{i}").over(earlier).alias(f"_c{i}") for i in range(len(sums))],
         *[F.sum(f"_n{i}").over(per_day).alias(f"_day{i}") for i in range(len(same_day))],
-    ).where(F.col("_last").isNotNull()).drop("_last")
-
-
-def fitting_chunk(
-    df: DataFrame,
-    entity: str,
-    ts: str,
-    max_rows: int = MAX_TASK_ROWS,
-    widths: Sequence[int] = CHUNK_WIDTHS,
-) -> int:
-    """Widest chunk whose busiest (entity, chunk) has at most ``max_rows`` rows.
-
-    Rows are counted per chunk, and only the overfull chunks are looked at again in
-    the next finer width.
-    """
-    slim = df.select(F.col(entity).alias("_entity"), micros(ts).alias("_at"))
-    for width in sorted(widths, reverse=True):
-        chunked = slim.withColumn("_chunk", floor_div(F.col("_at"), width))
-        full = (
-            chunked.groupBy("_entity", "_chunk")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > max_rows)
-            .drop("_n")
-        )
-        if full.isEmpty():
-            return width
-        slim = chunked.join(full, ["_entity", "_chunk"], "left_semi").drop("_chunk")
-    return min(widths)
+    ).where("_rows > 0").drop("_rows")

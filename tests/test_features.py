@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,6 @@ from rollcall.operators.timeline import (
     Previous,
     SameDay,
     Trailing,
-    fitting_chunk,
     with_history,
 )
 
@@ -148,7 +148,7 @@ def test_patient_features_drop_unknown_places(spark):
 
 
 def hot_rows(seed, n=600):
-    """A third of the rows belong to one patient; times tie and cross midnight."""
+    """A third of the rows belong to one patient; times tie and cross midnight; patients and times are missing."""
     rng = random.Random(seed)
     origin = dt.datetime(2024, 2, 26)
     rows = []
@@ -156,43 +156,69 @@ def hot_rows(seed, n=600):
         who = "hot" if i % 3 == 0 else f"p{rng.randrange(12)}"
         minutes = rng.randrange(0, 40 * 24 * 60, 30)
         value = None if rng.random() < 0.1 else rng.randrange(5)
-        rows.append((i, who, origin + dt.timedelta(minutes=minutes), value))
+        who = None if rng.random() < 0.1 else who
+        at = None if rng.random() < 0.05 else origin + dt.timedelta(minutes=minutes)
+        rows.append((i, who, at, value))
     return rows
 
 
-@pytest.mark.parametrize(
-    ("chunk", "limit"),
-    [(DAY_US, None), (DAY_US // 24, None), (DAY_US // 96, None), (None, 10**6), (None, 150), (None, 6)],
-)
-def test_history_equals_brute_force(spark, chunk, limit):
-    """All entities chunked, none, the hot one only, and all into fine chunks."""
-    rows = hot_rows((chunk or limit) % 97)
+SPECS = [
+    Lagged("lag_sum", "v", 3 * DAY_US),
+    Lagged("lag_n", "v", 5 * DAY_US, "count"),
+    Trailing("last", "v", 14 * DAY_US),
+    Trailing("last3", "v", 3 * DAY_US),
+    SameDay("day_n", "v"),
+    Previous("prev"),
+]
+
+
+@pytest.mark.parametrize("chunk", [None, DAY_US // 24, DAY_US // 96])
+def test_history_equals_brute_force_and_windows(spark, chunk):
+    """Any chunk width gives the same; without patient or time rows count as window SQL has them."""
+    rows = hot_rows((chunk or 1) % 97)
     df = spark.createDataFrame(rows, "i int, pseudo_id string, start timestamp, v int")
-    specs = [
-        Lagged("lag_sum", "v", 3 * DAY_US),
-        Lagged("lag_n", "v", 5 * DAY_US, "count"),
-        Trailing("last", "v", 14 * DAY_US),
-        SameDay("day_n", "v"),
-        Previous("prev"),
-    ]
-    out = with_history(df, "pseudo_id", "start", specs, chunk, max_rows=limit or 10)
-    got = {r.i: r for r in out.collect()}
+    got = {r.i: r for r in with_history(df, "pseudo_id", "start", SPECS, chunk).collect()}
     assert len(got) == len(rows)
+    df.createOrReplaceTempView("history_rows")
+    ranged = "OVER (PARTITION BY pseudo_id ORDER BY unix_micros(start) RANGE BETWEEN"
+    windows = spark.sql(
+        f"""SELECT i, coalesce(sum(v) {ranged} UNBOUNDED PRECEDING AND {3 * DAY_US} PRECEDING), 0) AS lag_sum,
+        count(v) {ranged} UNBOUNDED PRECEDING AND {5 * DAY_US} PRECEDING) AS lag_n,
+        count(v) {ranged} {14 * DAY_US - 1} PRECEDING AND CURRENT ROW) AS last,
+        count(v) {ranged} {3 * DAY_US - 1} PRECEDING AND CURRENT ROW) AS last3,
+        count(v) OVER (PARTITION BY pseudo_id, to_date(start)) AS day_n,
+        lag(start) OVER (PARTITION BY pseudo_id ORDER BY start) AS prev FROM history_rows"""
+    )
+    for r in windows.collect():
+        assert r.asDict() == {c: got[r.i][c] for c in r.asDict()}
     for i, who, at, _ in rows:
+        if at is None:
+            continue
         mine = [(t, v) for _, w, t, v in rows if w == who]
-        lag = [v for t, v in mine if t <= at - dt.timedelta(days=3)]
-        lag5 = [v for t, v in mine if t <= at - dt.timedelta(days=5)]
-        last = [v for t, v in mine if at - dt.timedelta(days=14) < t <= at]
-        day = [v for t, v in mine if t.date() == at.date()]
+        timed = [(t, v) for t, v in mine if t is not None]
+        untimed = [v for t, v in mine if t is None]
+        lag = untimed + [v for t, v in timed if t <= at - dt.timedelta(days=3)]
+        lag5 = untimed + [v for t, v in timed if t <= at - dt.timedelta(days=5)]
+        last = [v for t, v in timed if at - dt.timedelta(days=14) < t <= at]
+        day = [v for t, v in timed if t.date() == at.date()]
         row = got[i]
         assert row.lag_sum == sum(v or 0 for v in lag)
         assert row.lag_n == sum(v is not None for v in lag5)
         assert row.last == sum(v is not None for v in last)
         assert row.day_n == sum(v is not None for v in day)
-        earlier = [t for t, _ in mine if t < at]
-        ties = sum(t == at for t, _ in mine)
-        if ties == 1:
-            assert row.prev == (max(earlier) if earlier else None)
+
+
+def test_history_of_one_busy_patient_is_linear(spark):
+    """80,000 rows inside one trailing window."""
+    df = spark.range(80_000).select(
+        F.lit("hot").alias("p"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("t"),
+        F.col("id").alias("v"),
+    )
+    out = with_history(df, "p", "t", [Trailing("n", "v", 14 * DAY_US)])
+    began = time.perf_counter()
+    assert out.agg(F.max("n"), F.sum("n")).first() == (80_000, 80_000 * 80_001 // 2)
+    assert time.perf_counter() - began < 60
 
 
 def test_chunk_must_divide_a_day(spark):
@@ -201,23 +227,13 @@ def test_chunk_must_divide_a_day(spark):
         with_history(df, "p", "t", [SameDay("n", "v")], DAY_US - 1)
 
 
-def test_fitting_chunk_measures_the_hot_patient(spark):
-    rows = spark.range(5000).select(
-        F.lit("hot").alias("p"),
-        (F.lit("2024-01-01").cast("timestamp") + F.expr("INTERVAL '10' SECOND") * F.col("id")).alias("t"),
-    )
-    assert fitting_chunk(rows, "p", "t", max_rows=10_000) == DAY_US
-    assert fitting_chunk(rows, "p", "t", max_rows=400) == 3_600_000_000
-    assert fitting_chunk(rows, "p", "t", max_rows=6) == 60_000_000
-
-
 def test_row_windows_never_span_a_hot_patient(spark):
     """Windows over a hot patient's rows are partitioned by (patient, chunk)."""
     df = spark.createDataFrame(hot_rows(1), "i int, pseudo_id string, start timestamp, v int")
     specs = [Lagged("s", "v", 3 * DAY_US), Previous("prev"), SameDay("n", "v")]
-    out = with_history(df, "pseudo_id", "start", specs, max_rows=150)
+    out = with_history(df, "pseudo_id", "start", specs)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in plan and "LeftSemi" in plan and "_chunk" in plan
+    assert "_chunk" in plan
     for line in plan.splitlines():
         if "Window [" in line and "_at" in line:
             assert "[_entity" in line and "_chunk" in line.split("], [")[-2]
