@@ -262,35 +262,56 @@ class _Search:
     def open_pairs(self, labels: DataFrame) -> DataFrame:
         """Pairs of a bucket that belong to different components and can be similar.
 
-        A run that no other open class has is in no intersection. So of n runs, u of them unique, at most
-        n - u are common with any other class, which rules out all pairs in which that is too few: copies
-        that changed too much to be linked to their base are as a rule ruled out against all its other copies.
+        Runs are sorted by how many open classes have them, rarest first. If two sets have ``o`` runs in common
+        or more, then among the first n - o + 1 of each there is a common one. Copies that changed too
+        much to be linked to their base begin with their own changes, so they stay pairs only with copies
+        that share a change. A pair that meets in several buckets is formed in the least of them.
         """
         owned = self.labelled(labels, self.members.select("bucket", "node"), "node", "comp")
         mixed = owned.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
         open_rows = materialize(owned.join(mixed.select("bucket"), "bucket", "left_semi"), "near-open")
         nodes = materialize(
-            open_rows.select("node").distinct().withColumn("nid", F.monotonically_increasing_id()), "near-open-nodes"
-        )
-        runs = self.texts.join(nodes, "node").select("nid", "text").mapInArrow(_exploded(self.width), "nid long, run long")
-        alone = runs.groupBy("run").agg(F.count("*").alias("times"), F.min("nid").alias("nid")).filter("times = 1")
-        unique = alone.groupBy("nid").agg(F.count("*").alias("unique"))
-        most = (
-            nodes.join(unique, "nid", "left")
+            open_rows.groupBy("node")
+            .agg(F.collect_set("bucket").alias("buckets"))
             .join(self.classes.select("node", "n"), "node")
-            .select("node", "n", (F.col("n") - F.coalesce("unique", F.lit(0))).alias("most"))
+            .withColumn("nid", F.monotonically_increasing_id()),
+            "near-open-nodes",
+        )
+        runs = materialize(
+            self.texts.join(nodes.select("node", "nid"), "node")
+            .select("nid", "text")
+            .mapInArrow(_exploded(self.width), "nid long, run long"),
+            "near-open-runs",
         )
-        left = materialize(open_rows.join(most, "node"), "near-open-rows")
-        right = left.toDF(*[f"{c}_b" if c != "bucket" else c for c in left.columns])
-        least = self.percent * (F.col("n") + F.col("n_b"))
-        possible = (
-            (F.col("comp") < F.col("comp_b"))
-            & (F.col("most") * (100 + self.percent) >= least)
-            & (F.col("most_b") * (100 + self.percent) >= least)
-            & (F.col("bucket") == F.col("bucket_b"))
+        times = runs.groupBy("run").agg(F.count("*").alias("times"))
+        rarest = (
+            runs.join(times, "run")
+            .groupBy("nid")
+            .agg(F.sort_array(F.collect_list(F.struct("times", "run"))).alias("sorted"))
+            .select("nid", F.expr(f"transform(slice(sorted, 1, {self._prefix('size(sorted)', 'size(sorted)', 'least')}), x -> x.run)").alias("first"))
         )
-        right = right.withColumnRenamed("bucket", "bucket_b")
-        return left.join(right, possible).select(*_ordered(F.col("node"), F.col("node_b"))).distinct()
+        told = nodes.join(rarest, "nid").select("node", "n", "buckets", "first")
+        left = materialize(open_rows.join(told, "node"), "near-open-rows")
+        right = left.toDF(*[f"{c}_b" for c in left.columns])
+        length, length_b = (self._prefix(own, other, "both") for own, other in (("n", "n_b"), ("n_b", "n")))
+        return left.join(
+            right,
+            F.expr(
+                f"bucket = bucket_b AND comp < comp_b"
+                f" AND 100 * least(n, n_b) >= {self.percent} * greatest(n, n_b)"
+                f" AND arrays_overlap(slice(first, 1, {length}), slice(first_b, 1, {length_b}))"
+                f" AND bucket = array_min(array_intersect(buckets, buckets_b))"
+            ),
+        ).select(*_ordered(F.col("node"), F.col("node_b")))
+
+    def _prefix(self, own: str, other: str, kind: str) -> str:
+        """SQL of the number of first runs in which a set of ``own`` runs must meet one of ``other`` runs.
+
+        ``least``: whatever the other's size, which is percent / 100 of the own at least.
+        """
+        p = self.percent
+        least = f"({p} * {own} + 99) div 100" if kind == "least" else f"({p} * ({own} + {other}) + {99 + p}) div {100 + p}"
+        return f"CAST({own} - ({least}) + 1 AS INT)"
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that are similar, by sketch first and then on full sets."""
