@@ -8,16 +8,17 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rollcall.plans import QUERIES, load_all  # noqa: E402
-from rollcall.session import build_session  # noqa: E402
+from rollcall.session import build_session, drop_scratch  # noqa: E402
 
 HEADLINE = [
     "select_features",
-    "prev_no_show_features",
+    "prev_missed_features",
     "appointments_last_days",
     "appointments_same_day",
     "days_since_last",
@@ -58,6 +59,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="rollcall-bench-"),
             "spark.ui.showConsoleProgress": "false",
         },
     )
@@ -86,6 +88,7 @@ def main() -> None:
             }
         )
     )
+    drop_scratch(spark)
     spark.stop()
 
 

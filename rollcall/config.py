@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Mutation codes that mark a missed appointment.
-NO_SHOW_CODES = ("N", "0000000012", "0000000013")
+MISSED_CODES = ("N", "0000000012", "0000000013")
 
 # Words stored in the call tables.
 STATUS_NOT_CALLED = "Niet gebeld"
@@ -46,7 +46,7 @@ class ClinicRule:
 
 @dataclass(frozen=True)
 class Settings:
-    no_show_codes: Sequence[str] = NO_SHOW_CODES
+    missed_codes: Sequence[str] = MISSED_CODES
     minutes_early_cutoff: int = 60
     appointments_last_days: int = 14
     mute_period: float = 0

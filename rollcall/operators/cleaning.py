@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, WindowSpec
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.config import NO_SHOW_CODES, PHONE_CONSULT, ClinicRule, rules_frame
+from rollcall.config import MISSED_CODES, PHONE_CONSULT, ClinicRule, rules_frame
 from rollcall.functions.scalars import differs_from, not_in
 
 _RULE_FIELDS = ["subagenda_exclude", "subagendas", "appcode_exclude", "appcodes"]
@@ -73,20 +74,20 @@ def on_day(ts: str, day: dt.date) -> Column:
     return (F.col(ts) >= F.lit(day)) & (F.col(ts) < F.lit(day + dt.timedelta(days=1)))
 
 
-def label_no_show(df: DataFrame, codes: Sequence[str] = NO_SHOW_CODES) -> DataFrame:
+def label_missed(df: DataFrame, codes: Sequence[str] = MISSED_CODES) -> DataFrame:
     missed = F.col("mutationReason_code").isin(list(codes))
-    return df.withColumn("no_show", F.when(missed, "no_show").otherwise("show"))
+    return df.withColumn("missed", F.when(missed, "missed").otherwise("attended"))
 
 
 def drop_moved_and_cancelled(
     df: DataFrame, observation: Observation | None = None
 ) -> DataFrame:
-    """Drop no-shows that are finished, and cancellations that are no no-show.
+    """Drop missed visits that are finished, and cancellations that are not missed.
 
     With an :class:`Observation` the dropped rows are counted during the same
     pass, as ``moved`` and ``cancelled``.
     """
-    missed = F.col("no_show") == "no_show"
+    missed = F.col("missed") == "missed"
     moved = F.coalesce(missed & (F.col("status") == "finished"), F.lit(False))
     cancelled = F.coalesce(~missed & (F.col("status") == "cancelled"), F.lit(False))
     if observation is not None:
@@ -107,50 +108,44 @@ def dedup_ignoring(
 ) -> DataFrame:
     """Keep the first of the rows that agree in all columns but ``ignored``.
 
-    Aggregation rather than ``row_number``: copies collapse before the shuffle.
-    ``skip`` names helper columns that do not count as data (such as the order).
+    ``skip`` names helper columns that do not count as data (such as the order). A partitioning by any of the
+    compared columns serves the window, so rows that already lie together are not shuffled again.
     """
     helpers = set(ignored) | set(skip) | {order}
     keys = [c for c in df.columns if c not in helpers]
-    # One aggregate per column, not one over a struct: numbers then stay in a
-    # hash aggregate.
-    first = [
-        F.min(order).alias(order) if c == order else F.min_by(c, order).alias(c)
-        for c in df.columns
-        if c in helpers
-    ]
-    return df.groupBy(*keys).agg(*first).select(*df.columns)
+    return _first_row(df, W.partitionBy(*keys).orderBy(order))
 
 
 def dedup_keep_last(
     df: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """One row per key: the one that comes last in ``order``."""
-    payload = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.struct(*order)).alias("_last")
-    )
-    return last.select(
-        *[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns]
-    )
+    return _first_row(df, W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]))
+
+
+def _first_row(df: DataFrame, window: WindowSpec) -> DataFrame:
+    return df.withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_nth")
 
 
 def clean_appointments(
     df: DataFrame,
     rules: Sequence[ClinicRule],
     order: str,
-    codes: Sequence[str] = NO_SHOW_CODES,
+    codes: Sequence[str] = MISSED_CODES,
     day: dt.date | None = None,
     observation: Observation | None = None,
 ) -> DataFrame:
-    """Rules, cohort, label, filters and both deduplications, in that order."""
+    """Rules, cohort, label, filters and both deduplications, in that order.
+
+    Patient and start are part of both deduplications' keys: one shuffle by them serves both.
+    """
     tagged = apply_clinic_rules(df, rules)
     if day is not None:
         tagged = cohort_by_date(tagged, day)
-    labelled = drop_moved_and_cancelled(label_no_show(tagged, codes), observation)
+    labelled = drop_moved_and_cancelled(label_missed(tagged, codes), observation)
     # Cheap filters first: they commute with the variant dedup, which compares
     # whole rows and so never mixes rows the filters would treat differently.
-    present = drop_null_start_and_phone(labelled)
+    present = drop_null_start_and_phone(labelled).repartition("pseudo_id", "start")
     single = dedup_ignoring(
         present, ["address_postalCodeNumbersNL"], order, skip=["clinic_ord"]
     )

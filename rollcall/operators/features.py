@@ -24,7 +24,7 @@ FEATURE_INPUTS = (
     ENTITY,
     START,
     "APP_ID",
-    "no_show",
+    "missed",
     "created",
     "gearriveerd",
     "minutesDuration",
@@ -48,7 +48,7 @@ def lagged_cumulative(
 
 
 def add_missed_flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("_missed", (F.col("no_show") == "no_show").cast("long"))
+    return df.withColumn("_missed", (F.col("missed") == "missed").cast("long"))
 
 
 def _early_us(cutoff: float) -> Column:
@@ -63,20 +63,20 @@ def add_minutes_early(df: DataFrame, cutoff: float = 60) -> DataFrame:
     return df.withColumn("minutes_early", _early_us(cutoff) / F.lit(float(MINUTE_US)))
 
 
-def prev_no_show_features(
+def prev_missed_features(
     df: DataFrame, chunk_us: int | None = None, stage: bool = False
 ) -> DataFrame:
     specs = [
-        Lagged("prev_no_show", "_missed", LEAK_GUARD_US),
-        Lagged("earlier_appointments", "no_show", LEAK_GUARD_US, "count"),
+        Lagged("prev_missed", "_missed", LEAK_GUARD_US),
+        Lagged("earlier_appointments", "missed", LEAK_GUARD_US, "count"),
     ]
     out = with_history(add_missed_flag(df), ENTITY, START, specs, chunk_us, stage)
-    return _add_no_show_share(out.drop("_missed"))
+    return _add_missed_share(out.drop("_missed"))
 
 
-def _add_no_show_share(df: DataFrame) -> DataFrame:
+def _add_missed_share(df: DataFrame) -> DataFrame:
     return df.withColumn(
-        "prev_no_show_perc", share(F.col("prev_no_show"), F.col("earlier_appointments"))
+        "prev_missed_share", share(F.col("prev_missed"), F.col("earlier_appointments"))
     )
 
 
@@ -169,15 +169,15 @@ def create_features(
         "_early_us", _early_us(minutes_cutoff)
     )
     specs = [
-        Lagged("prev_no_show", "_missed", LEAK_GUARD_US),
-        Lagged("earlier_appointments", "no_show", LEAK_GUARD_US, "count"),
+        Lagged("prev_missed", "_missed", LEAK_GUARD_US),
+        Lagged("earlier_appointments", "missed", LEAK_GUARD_US, "count"),
         Lagged("_early_sum", "_early_us", LEAK_GUARD_US),
         Trailing("appointments_last_days", "APP_ID", last_days * DAY_US),
         SameDay("appointments_same_day", "APP_ID"),
         Previous("_previous"),
     ]
     history = with_history(ready, ENTITY, START, specs, chunk_us, stage).drop("_missed")
-    out = _add_days_since_last(_add_early_mean(_add_no_show_share(history)))
+    out = _add_days_since_last(_add_early_mean(_add_missed_share(history)))
     return add_patient_features(add_time_features(add_days_since_created(out)), postal)
 
 

@@ -55,7 +55,8 @@ def roc_points(
 ) -> DataFrame:
     """fpr and tpr per threshold, downwards, from (0, 0) at infinity.
 
-    ``drop_intermediate`` leaves out points where the slope does not change.
+    ``drop_intermediate`` leaves out points where the slope does not change; the first and the last
+    stay.
     """
     positives, negatives = _class_totals(df, label)
     points = _cumulative(df, score, label)
@@ -67,7 +68,8 @@ def roc_points(
             F.col("neg").alias("_next_neg"),
         )
         turn = (
-            F.col("_next_pos").isNull()
+            (F.col("_rank") == 0)
+            | F.col("_next_pos").isNull()
             | (F.col("pos") != F.col("_next_pos"))
             | (F.col("neg") != F.col("_next_neg"))
         )

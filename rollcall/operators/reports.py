@@ -22,7 +22,7 @@ from rollcall.functions.scalars import differs_from
 from rollcall.functions.temporal import month_start
 from rollcall.operators.binning import qcut
 
-LABELS = ("no_show", "show")
+LABELS = ("missed", "attended")
 KPI_OUTCOMES = {
     "called": (OUTCOME_REMINDED, OUTCOME_MOVED, OUTCOME_UNREACHABLE, OUTCOME_VOICEMAIL),
     "reached": (OUTCOME_REMINDED, OUTCOME_MOVED),
@@ -118,10 +118,10 @@ def feature_cohort(features: DataFrame, not_called: DataFrame) -> DataFrame:
 
 
 def trial_outcome(df: DataFrame) -> DataFrame:
-    """Outcome from the codes; an attended visit overrides a no-show code."""
+    """Outcome from the codes; an attended visit overrides a missed code."""
     attended = F.col("status_code_original") == "J"
     missed = F.col("mutationReason_code") == "N"
-    return df.withColumn("outcome", F.when(attended, "Show").when(missed, "No-Show"))
+    return df.withColumn("outcome", F.when(attended, "Attended").when(missed, "Missed"))
 
 
 def flag_moved(df: DataFrame) -> DataFrame:
@@ -163,11 +163,11 @@ def filter_remarks(df: DataFrame, substrings: Sequence[str], column: str = "rema
 
 def label_counts(df: DataFrame, by: Sequence[str], labels: Sequence[str] = LABELS) -> DataFrame:
     """Rows per label as columns; null where a label does not occur."""
-    return df.groupBy(*by).pivot("no_show", list(labels)).count()
+    return df.groupBy(*by).pivot("missed", list(labels)).count()
 
 
 def feature_rate(df: DataFrame, feature: str, decimals: int | None = None) -> DataFrame:
-    """No-show share per feature value; null when one label is missing.
+    """Share of missed visits per feature value; null when one label is missing.
 
     ``decimals`` first rounds the feature half to even.
     """
@@ -175,29 +175,29 @@ def feature_rate(df: DataFrame, feature: str, decimals: int | None = None) -> Da
         df = df.withColumn(feature, F.bround(feature, decimals))
     known = df.where(F.col(feature).isNotNull())
     counts = label_counts(known, [feature])
-    missed = F.col("no_show") / (F.col("no_show") + F.col("show"))
-    return counts.withColumn("no_show_perc", missed).withColumn(
-        "show_perc", 1 - F.col("no_show_perc")
+    missed = F.col("missed") / (F.col("missed") + F.col("attended"))
+    return counts.withColumn("missed_share", missed).withColumn(
+        "attended_share", 1 - F.col("missed_share")
     )
 
 
 def label_share(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Share of each label within the group; null where a label does not occur."""
     counts = label_counts(df, by)
-    total = F.coalesce("no_show", F.lit(0)) + F.coalesce("show", F.lit(0))
+    total = F.coalesce("missed", F.lit(0)) + F.coalesce("attended", F.lit(0))
     return counts.select(
-        *by, (F.col("no_show") / total).alias("no_show"), (F.col("show") / total).alias("show")
+        *by, (F.col("missed") / total).alias("missed"), (F.col("attended") / total).alias("attended")
     )
 
 
 def group_share_by_label(df: DataFrame, group: str) -> DataFrame:
     """Share of each group within a label, labels as columns."""
     counts = label_counts(df, [group])
-    totals = counts.agg(F.sum("no_show").alias("_a"), F.sum("show").alias("_b")).first()
+    totals = counts.agg(F.sum("missed").alias("_a"), F.sum("attended").alias("_b")).first()
     return counts.select(
         group,
-        (F.col("no_show") / F.lit(totals["_a"])).alias("no_show"),
-        (F.col("show") / F.lit(totals["_b"])).alias("show"),
+        (F.col("missed") / F.lit(totals["_a"])).alias("missed"),
+        (F.col("attended") / F.lit(totals["_b"])).alias("attended"),
     )
 
 
@@ -206,12 +206,12 @@ def monthly_rate(df: DataFrame, by: Sequence[str], ts: str = "start") -> DataFra
     dated = df.withColumn("month", month_start(ts))
     keys = [*by, "month"]
     counts = label_counts(dated, keys)
-    missed, shown = F.coalesce("no_show", F.lit(0)), F.coalesce("show", F.lit(0))
+    missed, shown = F.coalesce("missed", F.lit(0)), F.coalesce("attended", F.lit(0))
     total = missed + shown
     return counts.select(
         *keys,
-        (F.col("no_show") / total).alias("no_show"),
-        (F.col("show") / total).alias("show"),
+        (F.col("missed") / total).alias("missed"),
+        (F.col("attended") / total).alias("attended"),
         total.alias("n"),
     )
 
@@ -221,7 +221,7 @@ def month_of_year_rate(df: DataFrame, by: Sequence[str], ts: str = "start") -> D
 
 
 def reason_counts(df: DataFrame, reason: str = "mutationReason_display") -> DataFrame:
-    missed = df.where((F.col("no_show") == "no_show") & F.col(reason).isNotNull())
+    missed = df.where((F.col("missed") == "missed") & F.col(reason).isNotNull())
     return missed.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -403,12 +403,12 @@ def monthly_density(
 
 def with_known_outcome(df: DataFrame) -> DataFrame:
     return df.where(F.col("outcome").isNotNull()).withColumn(
-        "missed", (F.col("outcome") == "No-Show").cast("int")
+        "missed", (F.col("outcome") == "Missed").cast("int")
     )
 
 
 def trial_rates(df: DataFrame, called_only: bool = False) -> DataFrame:
-    """No-show mean and count per arm, optionally treated patients reached only."""
+    """Mean of missed visits and count per arm, optionally treated patients reached only."""
     rows = with_known_outcome(df).where(F.col("treatment_group").isNotNull())
     if called_only:
         rows = rows.where(
@@ -421,7 +421,7 @@ def trial_rates(df: DataFrame, called_only: bool = False) -> DataFrame:
 
 
 def trial_rates_by_score(df: DataFrame, n_bins: int = 10) -> DataFrame:
-    """No-show mean per arm (columns) and score quantile."""
+    """Mean of missed visits per arm (columns) and score quantile."""
     binned = qcut(with_known_outcome(df), "prediction", n_bins, "score_bin")
     return binned.groupBy("score_bin").pivot("treatment_group", [0, 1]).agg(F.avg("missed"))
 
@@ -444,8 +444,8 @@ def moved_by_outcome(df: DataFrame) -> DataFrame:
         .where(F.col("call_outcome") == OUTCOME_MOVED)
         .groupBy("app_moved")
         .agg(
-            F.count(F.when(F.col("outcome") == "No-Show", 1)).alias("no_show"),
-            F.count(F.when(F.col("outcome") == "Show", 1)).alias("show"),
+            F.count(F.when(F.col("outcome") == "Missed", 1)).alias("missed"),
+            F.count(F.when(F.col("outcome") == "Attended", 1)).alias("attended"),
             F.count(F.when(F.col("outcome").isNull(), 1)).alias("unknown"),
         )
     )
@@ -468,7 +468,7 @@ def pilot_bin_stats(
         df = df.join(mark, "APP_ID", "left").where(
             (F.col("pilot") == "Geen pilot") | F.col("_called")
         )
-    missed = (F.col("no_show") == "no_show").cast("int")
+    missed = (F.col("missed") == "missed").cast("int")
     return df.groupBy("pilot", bin_col).agg(
         F.avg(missed).alias("mean"),
         F.stddev_samp(missed).alias("std"),

@@ -12,19 +12,19 @@ from rollcall.plans.joins import MONITOR_SQL, TRIAL_CTES, monitoring, trial_rows
 from rollcall.plans.registry import query
 
 _RATE = (
-    "SELECT {key}, nullif(count(*) FILTER (no_show = 'no_show'), 0) AS no_show,"
-    " nullif(count(*) FILTER (no_show = 'show'), 0) AS show,"
-    " round(nullif(count(*) FILTER (no_show = 'no_show'), 0) /"
-    " (nullif(count(*) FILTER (no_show = 'no_show'), 0)"
-    " + nullif(count(*) FILTER (no_show = 'show'), 0)), 6) AS no_show_perc,"
-    " round(1 - nullif(count(*) FILTER (no_show = 'no_show'), 0) /"
-    " (nullif(count(*) FILTER (no_show = 'no_show'), 0)"
-    " + nullif(count(*) FILTER (no_show = 'show'), 0)), 6) AS show_perc"
+    "SELECT {key}, nullif(count(*) FILTER (missed = 'missed'), 0) AS missed,"
+    " nullif(count(*) FILTER (missed = 'attended'), 0) AS attended,"
+    " round(nullif(count(*) FILTER (missed = 'missed'), 0) /"
+    " (nullif(count(*) FILTER (missed = 'missed'), 0)"
+    " + nullif(count(*) FILTER (missed = 'attended'), 0)), 6) AS missed_share,"
+    " round(1 - nullif(count(*) FILTER (missed = 'missed'), 0) /"
+    " (nullif(count(*) FILTER (missed = 'missed'), 0)"
+    " + nullif(count(*) FILTER (missed = 'attended'), 0)), 6) AS attended_share"
     " FROM {source} GROUP BY {key}"
 )
 _SHARES = (
-    "round(nullif(count(*) FILTER (no_show = 'no_show'), 0) / count(*), 6) AS no_show,"
-    " round(nullif(count(*) FILTER (no_show = 'show'), 0) / count(*), 6) AS show"
+    "round(nullif(count(*) FILTER (missed = 'missed'), 0) / count(*), 6) AS missed,"
+    " round(nullif(count(*) FILTER (missed = 'attended'), 0) / count(*), 6) AS attended"
 )
 
 
@@ -33,9 +33,9 @@ _SHARES = (
     b.with_ctes(_RATE.format(key="earlier_appointments", source="history"), "history"),
 )
 def feature_vs_rate(spark, sf_dir):
-    history = features.prev_no_show_features(b.cleaned(spark, sf_dir), stage=True)
+    history = features.prev_missed_features(b.cleaned(spark, sf_dir), stage=True)
     out = reports.feature_rate(history, "earlier_appointments")
-    return b.rounded(out, "no_show_perc", "show_perc")
+    return b.rounded(out, "missed_share", "attended_share")
 
 
 @query(
@@ -44,36 +44,36 @@ def feature_vs_rate(spark, sf_dir):
         _RATE.format(key="round_even(value, 0)", source="r").replace(
             "SELECT round_even(value, 0)", "SELECT round_even(value, 0) AS value"
         ),
-        r="SELECT value, CASE WHEN event_type = 'error' THEN 'no_show' ELSE 'show' END AS no_show"
+        r="SELECT value, CASE WHEN event_type = 'error' THEN 'missed' ELSE 'attended' END AS missed"
         " FROM events",
     ),
 )
 def feature_vs_rate_rounded(spark, sf_dir):
     rows = b.table(spark, sf_dir, "events").selectExpr(
-        "value", "CASE WHEN event_type = 'error' THEN 'no_show' ELSE 'show' END AS no_show"
+        "value", "CASE WHEN event_type = 'error' THEN 'missed' ELSE 'attended' END AS missed"
     )
-    return b.rounded(reports.feature_rate(rows, "value", 0), "no_show_perc", "show_perc")
+    return b.rounded(reports.feature_rate(rows, "value", 0), "missed_share", "attended_share")
 
 
 @query(
     "label_share_by_group",
     b.with_ctes(
-        """SELECT clinic, round(nullif(count(*) FILTER (no_show = 'no_show'), 0)
-        / (SELECT count(*) FROM cleaned WHERE no_show = 'no_show'), 6) AS no_show,
-        round(nullif(count(*) FILTER (no_show = 'show'), 0)
-        / (SELECT count(*) FROM cleaned WHERE no_show = 'show'), 6) AS show,
-        round(nullif(count(*) FILTER (no_show = 'no_show'), 0) / count(*), 6) AS no_show_within
+        """SELECT clinic, round(nullif(count(*) FILTER (missed = 'missed'), 0)
+        / (SELECT count(*) FROM cleaned WHERE missed = 'missed'), 6) AS missed,
+        round(nullif(count(*) FILTER (missed = 'attended'), 0)
+        / (SELECT count(*) FROM cleaned WHERE missed = 'attended'), 6) AS attended,
+        round(nullif(count(*) FILTER (missed = 'missed'), 0) / count(*), 6) AS missed_within
         FROM cleaned GROUP BY clinic""",
         "cleaned",
     ),
 )
 def label_share_by_group(spark, sf_dir):
-    rows = b.cleaned(spark, sf_dir).select("clinic", "no_show")
+    rows = b.cleaned(spark, sf_dir).select("clinic", "missed")
     within = reports.label_share(rows, ["clinic"]).select(
-        "clinic", F.col("no_show").alias("no_show_within")
+        "clinic", F.col("missed").alias("missed_within")
     )
     joined = reports.group_share_by_label(rows, "clinic").join(within, "clinic")
-    return b.rounded(joined, "no_show", "show", "no_show_within")
+    return b.rounded(joined, "missed", "attended", "missed_within")
 
 
 @query(
@@ -86,7 +86,7 @@ def label_share_by_group(spark, sf_dir):
 )
 def monthly_rate(spark, sf_dir):
     return b.rounded(
-        reports.monthly_rate(b.cleaned(spark, sf_dir), ["clinic"]), "no_show", "show"
+        reports.monthly_rate(b.cleaned(spark, sf_dir), ["clinic"]), "missed", "attended"
     )
 
 
@@ -103,13 +103,13 @@ def month_of_year_rate(spark, sf_dir):
     rows = reports.label_period(
         b.cleaned(spark, sf_dir), dt.date(1999, 10, 5), dt.date(1999, 11, 1)
     )
-    return b.rounded(reports.month_of_year_rate(rows, ["pilot"]), "no_show", "show")
+    return b.rounded(reports.month_of_year_rate(rows, ["pilot"]), "missed", "attended")
 
 
 @query(
     "reason_counts",
     b.with_ctes(
-        """SELECT "mutationReason_display", count(*) AS n FROM cleaned WHERE no_show = 'no_show'
+        """SELECT "mutationReason_display", count(*) AS n FROM cleaned WHERE missed = 'missed'
         AND "mutationReason_display" IS NOT NULL GROUP BY 1""",
         "cleaned",
     ),
@@ -404,10 +404,10 @@ _TRIAL_NEEDS = ("predictions", "calls", "patients")
 @query(
     "trial_rates",
     b.with_ctes(
-        """SELECT 'all' AS cohort, treatment_group, round(avg((outcome = 'No-Show')::INTEGER), 6)
+        """SELECT 'all' AS cohort, treatment_group, round(avg((outcome = 'Missed')::INTEGER), 6)
         AS mean, count(*) AS n FROM combined WHERE outcome IS NOT NULL
         AND treatment_group IS NOT NULL GROUP BY treatment_group UNION ALL
-        SELECT 'called', treatment_group, round(avg((outcome = 'No-Show')::INTEGER), 6), count(*)
+        SELECT 'called', treatment_group, round(avg((outcome = 'Missed')::INTEGER), 6), count(*)
         FROM combined WHERE outcome IS NOT NULL AND treatment_group IS NOT NULL
         AND (call_outcome IN ('Herinnerd', 'Verzet/Geannuleerd') OR treatment_group = 0)
         GROUP BY treatment_group""",
@@ -428,8 +428,8 @@ def trial_rates(spark, sf_dir):
     "trial_rates_by_score",
     b.with_ctes(
         """SELECT greatest(len(list_filter(edges, lambda e: e < prediction)) - 1, 0)::INTEGER
-        AS score_bin, round(avg((outcome = 'No-Show')::INTEGER) FILTER (treatment_group = 0), 6)
-        AS "0", round(avg((outcome = 'No-Show')::INTEGER) FILTER (treatment_group = 1), 6) AS "1"
+        AS score_bin, round(avg((outcome = 'Missed')::INTEGER) FILTER (treatment_group = 0), 6)
+        AS "0", round(avg((outcome = 'Missed')::INTEGER) FILTER (treatment_group = 1), 6) AS "1"
         FROM known, (SELECT quantile_cont(prediction, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8,
         0.9, 1]) AS edges FROM known) GROUP BY 1""",
         *_TRIAL_NEEDS,
@@ -465,8 +465,8 @@ def trial_outcome_shares(spark, sf_dir):
     "trial_moved_by_outcome",
     b.with_ctes(
         """SELECT coalesce(start_time <> start, true) AS app_moved,
-        count(*) FILTER (outcome = 'No-Show') AS no_show, count(*) FILTER (outcome = 'Show')
-        AS show, count(*) FILTER (outcome IS NULL) AS unknown FROM combined
+        count(*) FILTER (outcome = 'Missed') AS missed, count(*) FILTER (outcome = 'Attended')
+        AS attended, count(*) FILTER (outcome IS NULL) AS unknown FROM combined
         WHERE call_outcome = 'Verzet/Geannuleerd' GROUP BY 1""",
         *_TRIAL_NEEDS,
         **TRIAL_CTES,
@@ -480,7 +480,7 @@ _PILOT = {
     "APP_ID": "o_orderkey",
     "start": "o_orderdate",
     "prediction": "o_totalprice / 500000",
-    "no_show": "CASE WHEN o_orderstatus = 'F' THEN 'no_show' ELSE 'show' END",
+    "missed": "CASE WHEN o_orderstatus = 'F' THEN 'missed' ELSE 'attended' END",
 }
 _TWELFTHS = ", ".join(repr(i / 12) for i in range(13))
 
@@ -488,8 +488,8 @@ _TWELFTHS = ", ".join(repr(i / 12) for i in range(13))
 @query(
     "pilot_bin_stats",
     b.with_ctes(
-        f"""SELECT pilot, predict_bin, round(avg((no_show = 'no_show')::INTEGER), 6) AS mean,
-        round(stddev_samp((no_show = 'no_show')::INTEGER), 6) AS std, count(*) AS size FROM (
+        f"""SELECT pilot, predict_bin, round(avg((missed = 'missed')::INTEGER), 6) AS mean,
+        round(stddev_samp((missed = 'missed')::INTEGER), 6) AS std, count(*) AS size FROM (
         SELECT *, CASE WHEN start::DATE BETWEEN DATE '1999-10-05' AND DATE '1999-11-01'
         THEN 'pilot' ELSE 'Geen pilot' END AS pilot,
         greatest(len(list_filter(edges, lambda e: e < prediction)) - 1, 0)::INTEGER AS predict_bin

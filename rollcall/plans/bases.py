@@ -180,7 +180,7 @@ EVENT_COLUMNS = {
     "start": "ts",
     "gearriveerd": "CASE WHEN event_type = 'signup' THEN NULL ELSE ts -"
     " CAST(ROUND((value - 50) * 60000) AS BIGINT) * INTERVAL '0.001' SECOND END",
-    "no_show": "CASE WHEN event_type = 'error' THEN 'no_show' ELSE 'show' END",
+    "missed": "CASE WHEN event_type = 'error' THEN 'missed' ELSE 'attended' END",
     "clinic": "'clinic_' || CAST(event_id % 4 AS VARCHAR(4))",
 }
 PREDICTION_COLUMNS = {
@@ -309,18 +309,18 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "labelled": (
         ("ruled",),
         "SELECT *, CASE WHEN mutationReason_code IN ('N', '0000000012', '0000000013')"
-        " THEN 'no_show' ELSE 'show' END AS no_show FROM ruled",
+        " THEN 'missed' ELSE 'attended' END AS missed FROM ruled",
     ),
     "kept": (
         ("labelled",),
-        "SELECT * FROM labelled WHERE NOT coalesce(no_show = 'no_show' AND"
-        " status = 'finished', false) AND NOT coalesce(no_show <> 'no_show' AND"
+        "SELECT * FROM labelled WHERE NOT coalesce(missed = 'missed' AND"
+        " status = 'finished', false) AND NOT coalesce(missed <> 'missed' AND"
         " status = 'cancelled', false)",
     ),
     "single": (
         ("kept",),
         f"SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY {_FIXED_COLUMNS},"
-        " clinic, no_show ORDER BY _seq) = 1",
+        " clinic, missed ORDER BY _seq) = 1",
     ),
     "present": (
         ("single",),
@@ -339,8 +339,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "history": (
         ("cleaned",),
         "SELECT *, hour(start)::INTEGER AS hour, (isodow(start) - 1)::INTEGER AS weekday,"
-        f" coalesce(sum((no_show = 'no_show')::INTEGER) OVER {_LAG3}, 0)::BIGINT AS prev_no_show,"
-        f" (count(no_show) OVER {_LAG3})::BIGINT AS earlier_appointments,"
+        f" coalesce(sum((missed = 'missed')::INTEGER) OVER {_LAG3}, 0)::BIGINT AS prev_missed,"
+        f" (count(missed) OVER {_LAG3})::BIGINT AS earlier_appointments,"
         f" coalesce(sum({MINUTES_EARLY_SQL}) OVER {_LAG3}, 0.0) AS early_sum,"
         f" (count(APP_ID) OVER {_LAST14})::BIGINT AS appointments_last_days,"
         " (count(APP_ID) OVER (PARTITION BY pseudo_id, start::DATE))::BIGINT"
@@ -354,7 +354,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "features": (
         ("history", "postal"),
         "SELECT h.*, CASE WHEN earlier_appointments = 0 THEN 0.0"
-        " ELSE prev_no_show / earlier_appointments END AS prev_no_show_perc,"
+        " ELSE prev_missed / earlier_appointments END AS prev_missed_share,"
         " CASE WHEN earlier_appointments = 0 THEN 0.0"
         " ELSE early_sum / earlier_appointments END AS prev_minutes_early,"
         f" {haversine_sql('latitude', 'longitude')} AS dist_hospital"
@@ -387,8 +387,8 @@ def with_ctes(body: str, *names: str, **extra: str) -> str:
 
 
 FEATURE_LIST_SQL = (
-    'pseudo_id, start, hour, weekday, "minutesDuration", no_show, prev_no_show,'
-    " round(prev_no_show_perc, 6) AS prev_no_show_perc, age,"
+    'pseudo_id, start, hour, weekday, "minutesDuration", missed, prev_missed,'
+    " round(prev_missed_share, 6) AS prev_missed_share, age,"
     " round(dist_hospital, 6) AS dist_hospital,"
     " round(prev_minutes_early, 6) AS prev_minutes_early, earlier_appointments,"
     " appointments_same_day, appointments_last_days, days_since_created,"

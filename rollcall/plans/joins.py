@@ -322,7 +322,7 @@ def called_cohort_inner(spark, sf_dir):
 _OUTCOME = {
     "APP_ID": "o_orderkey",
     "start": "TIMESTAMP '2024-01-01 00:00:00' + (o_orderkey % 30) * INTERVAL '1' DAY",
-    "outcome": "CASE o_orderstatus WHEN 'F' THEN 'No-Show' WHEN 'O' THEN 'Show' END",
+    "outcome": "CASE o_orderstatus WHEN 'F' THEN 'Missed' WHEN 'O' THEN 'Attended' END",
 }
 TRIAL_CTES = {
     "outcomes": b._sql_select(_OUTCOME, "orders"),
@@ -496,7 +496,7 @@ def not_in_exclusion(spark, sf_dir):
 @query(
     "feature_cohort_isin",
     b.with_ctes(
-        """SELECT "APP_ID", no_show, prev_no_show, earlier_appointments FROM features
+        """SELECT "APP_ID", missed, prev_missed, earlier_appointments FROM features
         WHERE "APP_ID" IN (SELECT appointment_id::BIGINT FROM predictions p
         LEFT JOIN calls c ON c.prediction_id = p.id
         WHERE call_status IS NULL OR call_status = 'Niet gebeld')""",
@@ -509,7 +509,7 @@ def feature_cohort_isin(spark, sf_dir):
     answers = b.calls(spark, sf_dir).select(F.col("prediction_id").alias("id"), "call_status")
     left_alone = b.predictions(spark, sf_dir).join(answers, "id", "left").where(reports.not_called())
     return reports.feature_cohort(b.features(spark, sf_dir, []), left_alone).select(
-        "APP_ID", "no_show", "prev_no_show", "earlier_appointments"
+        "APP_ID", "missed", "prev_missed", "earlier_appointments"
     )
 
 

@@ -127,8 +127,8 @@ def scan_postal_codes(spark, sf_dir):
 @query(
     "scan_feature_parquet",
     b.with_ctes(
-        "SELECT no_show, count(*) AS n, sum(prev_no_show)::BIGINT AS prev_no_show"
-        " FROM features GROUP BY no_show",
+        "SELECT missed, count(*) AS n, sum(prev_missed)::BIGINT AS prev_missed"
+        " FROM features GROUP BY missed",
         "features",
     ),
 )
@@ -137,8 +137,8 @@ def scan_feature_parquet(spark, sf_dir):
     tables.write_features(features.select_feature_columns(b.features(spark, sf_dir, [])), path)
     return (
         tables.read_features(spark, path)
-        .groupBy("no_show")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("prev_no_show").alias("prev_no_show"))
+        .groupBy("missed")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("prev_missed").alias("prev_missed"))
     )
 
 
@@ -158,7 +158,7 @@ def sink_feature_parquet(spark, sf_dir):
     tables.write_features(features.select_feature_columns(b.features(spark, sf_dir, [])), path)
     return b.rounded(
         tables.read_features(spark, path),
-        "prev_no_show_perc",
+        "prev_missed_share",
         "dist_hospital",
         "prev_minutes_early",
     )
@@ -314,22 +314,22 @@ def q_union_clinics(spark, sf_dir):
 
 
 @query(
-    "label_no_show",
-    b.with_ctes('SELECT "APP_ID", _seq, clinic, no_show FROM labelled', "labelled"),
+    "label_missed",
+    b.with_ctes('SELECT "APP_ID", _seq, clinic, missed FROM labelled', "labelled"),
 )
-def q_label_no_show(spark, sf_dir):
+def q_label_missed(spark, sf_dir):
     tagged = cleaning.apply_clinic_rules(b.appointments(spark, sf_dir), b.RULES)
-    return cleaning.label_no_show(tagged).select("APP_ID", "_seq", "clinic", "no_show")
+    return cleaning.label_missed(tagged).select("APP_ID", "_seq", "clinic", "missed")
 
 
 @query(
     "drop_moved_and_cancelled",
-    b.with_ctes('SELECT "APP_ID", _seq, clinic, no_show, status FROM kept', "kept"),
+    b.with_ctes('SELECT "APP_ID", _seq, clinic, missed, status FROM kept', "kept"),
 )
 def q_drop_moved_and_cancelled(spark, sf_dir):
     tagged = cleaning.apply_clinic_rules(b.appointments(spark, sf_dir), b.RULES)
-    return cleaning.drop_moved_and_cancelled(cleaning.label_no_show(tagged)).select(
-        "APP_ID", "_seq", "clinic", "no_show", "status"
+    return cleaning.drop_moved_and_cancelled(cleaning.label_missed(tagged)).select(
+        "APP_ID", "_seq", "clinic", "missed", "status"
     )
 
 
@@ -354,15 +354,15 @@ _DEDUP_SQL = '"APP_ID", _seq, clinic, start, "address_postalCodeNumbersNL"'
 @query("dedup_postal_variants", b.with_ctes(f"SELECT {_DEDUP_SQL} FROM single", "single"))
 def q_dedup_postal_variants(spark, sf_dir):
     tagged = cleaning.apply_clinic_rules(b.appointments(spark, sf_dir), b.RULES)
-    kept = cleaning.drop_moved_and_cancelled(cleaning.label_no_show(tagged))
+    kept = cleaning.drop_moved_and_cancelled(cleaning.label_missed(tagged))
     return cleaning.dedup_ignoring(
         kept, ["address_postalCodeNumbersNL"], "_seq", skip=["clinic_ord"]
     ).select(*_DEDUP_COLUMNS)
 
 
-@query("dedup_keep_last", b.with_ctes(f"SELECT {_DEDUP_SQL}, no_show FROM cleaned", "cleaned"))
+@query("dedup_keep_last", b.with_ctes(f"SELECT {_DEDUP_SQL}, missed FROM cleaned", "cleaned"))
 def q_dedup_keep_last(spark, sf_dir):
-    return b.cleaned(spark, sf_dir).select(*_DEDUP_COLUMNS, "no_show")
+    return b.cleaned(spark, sf_dir).select(*_DEDUP_COLUMNS, "missed")
 
 
 @query(
@@ -474,7 +474,7 @@ def q_patient_age(spark, sf_dir):
 def q_select_features(spark, sf_dir):
     return b.rounded(
         features.select_feature_columns(b.features(spark, sf_dir, [])),
-        "prev_no_show_perc",
+        "prev_missed_share",
         "dist_hospital",
         "prev_minutes_early",
     )
@@ -500,8 +500,8 @@ def q_scoring_filter(spark, sf_dir):
 @query(
     "trial_outcome",
     b.with_ctes(
-        """SELECT "APP_ID", _seq, CASE WHEN status_code_original = 'J' THEN 'Show'
-        WHEN "mutationReason_code" = 'N' THEN 'No-Show' END AS outcome FROM appts""",
+        """SELECT "APP_ID", _seq, CASE WHEN status_code_original = 'J' THEN 'Attended'
+        WHEN "mutationReason_code" = 'N' THEN 'Missed' END AS outcome FROM appts""",
         "appts",
     ),
 )

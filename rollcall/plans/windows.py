@@ -40,26 +40,26 @@ def lagged_cumulative(spark, sf_dir):
     return b.rounded(both.select("APP_ID", "value_sum", "value_count"), "value_sum")
 
 
-_NO_SHOW_SQL = (
-    f"coalesce(sum((no_show = 'no_show')::INTEGER) OVER {_LAG3}, 0)::BIGINT AS prev_no_show,"
-    f" (count(no_show) OVER {_LAG3})::BIGINT AS earlier_appointments"
+_MISSED_SQL = (
+    f"coalesce(sum((missed = 'missed')::INTEGER) OVER {_LAG3}, 0)::BIGINT AS prev_missed,"
+    f" (count(missed) OVER {_LAG3})::BIGINT AS earlier_appointments"
 )
 
 
 @query(
-    "prev_no_show_features",
+    "prev_missed_features",
     b.with_ctes(
-        f"""SELECT "APP_ID", prev_no_show, earlier_appointments, CASE WHEN
-        earlier_appointments = 0 THEN 0.0 ELSE round(prev_no_show / earlier_appointments, 6) END
-        AS prev_no_show_perc FROM (SELECT *, {_NO_SHOW_SQL} FROM ev)""",
+        f"""SELECT "APP_ID", prev_missed, earlier_appointments, CASE WHEN
+        earlier_appointments = 0 THEN 0.0 ELSE round(prev_missed / earlier_appointments, 6) END
+        AS prev_missed_share FROM (SELECT *, {_MISSED_SQL} FROM ev)""",
         "ev",
     ).replace("THEN 0.0 ELSE", "THEN 0.0::DOUBLE ELSE"),
 )
-def prev_no_show_features(spark, sf_dir):
-    out = features.prev_no_show_features(b.event_appointments(spark, sf_dir)).select(
-        "APP_ID", "prev_no_show", "earlier_appointments", "prev_no_show_perc"
+def prev_missed_features(spark, sf_dir):
+    out = features.prev_missed_features(b.event_appointments(spark, sf_dir)).select(
+        "APP_ID", "prev_missed", "earlier_appointments", "prev_missed_share"
     )
-    return b.rounded(out, "prev_no_show_perc")
+    return b.rounded(out, "prev_missed_share")
 
 
 @query(
@@ -75,7 +75,7 @@ def prev_no_show_features(spark, sf_dir):
 )
 def prev_minutes_early(spark, sf_dir):
     counted = features.lagged_cumulative(
-        b.event_appointments(spark, sf_dir), "no_show", "earlier_appointments", func="count"
+        b.event_appointments(spark, sf_dir), "missed", "earlier_appointments", func="count"
     )
     out = features.add_prev_minutes_early(counted).select("APP_ID", "prev_minutes_early")
     return b.rounded(out, "prev_minutes_early")
@@ -127,7 +127,7 @@ def days_since_last(spark, sf_dir):
 @query(
     "hourly_chunks",
     b.with_ctes(
-        f"""SELECT "APP_ID", {_NO_SHOW_SQL}, (count("APP_ID") OVER {b._LAST14})::BIGINT
+        f"""SELECT "APP_ID", {_MISSED_SQL}, (count("APP_ID") OVER {b._LAST14})::BIGINT
         AS appointments_last_days, count(*) OVER (PARTITION BY pseudo_id, start::DATE)
         AS appointments_same_day FROM ev""",
         "ev",
@@ -136,11 +136,11 @@ def days_since_last(spark, sf_dir):
 def hourly_chunks(spark, sf_dir):
     """The history columns in the chunked form that very busy patients get."""
     hour = DAY_US // 24
-    out = features.prev_no_show_features(b.event_appointments(spark, sf_dir), chunk_us=hour)
+    out = features.prev_missed_features(b.event_appointments(spark, sf_dir), chunk_us=hour)
     out = features.appointments_last_days(out, 14, chunk_us=hour)
     return features.appointments_same_day(out, chunk_us=hour).select(
         "APP_ID",
-        "prev_no_show",
+        "prev_missed",
         "earlier_appointments",
         "appointments_last_days",
         "appointments_same_day",
@@ -440,8 +440,9 @@ _PER_SCORE = (
     b.with_ctes(
         """SELECT round(score, 6) AS threshold, round(fp / (SELECT count(*) - sum(y) FROM s), 6)
         AS fpr, round(tp / (SELECT sum(y) FROM s), 6) AS tpr FROM (SELECT *,
-        lead(pos) OVER (ORDER BY score DESC) AS np, lead(neg) OVER (ORDER BY score DESC) AS nn
-        FROM c) WHERE np IS NULL OR np <> pos OR nn <> neg
+        lead(pos) OVER (ORDER BY score DESC) AS np, lead(neg) OVER (ORDER BY score DESC) AS nn,
+        row_number() OVER (ORDER BY score DESC) AS place
+        FROM c) WHERE place = 1 OR np IS NULL OR np <> pos OR nn <> neg
         UNION ALL SELECT 'infinity'::DOUBLE, 0.0, 0.0""",
         s=_LABELLED_SQL,
         c=_PER_SCORE,

@@ -124,9 +124,9 @@ FEATURE_COLUMNS = [
     "hour",
     "weekday",
     "minutesDuration",
-    "no_show",
-    "prev_no_show",
-    "prev_no_show_perc",
+    "missed",
+    "prev_missed",
+    "prev_missed_share",
     "age",
     "dist_hospital",
     "prev_minutes_early",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,20 +29,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for materialised intermediates, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local master may
-    fall back on a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, it is a folder in the user's home
+    on the default file system, which executors share as well.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
-    return context.getCheckpointDir().rstrip("/")
+    system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    return f"{system.getHomeDirectory()}/.rollcall-scratch"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -62,7 +56,11 @@ def _own_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in this application's part of the shared folder."""
+    """A new path in this application's part of the shared folder; the part goes when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
     return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 

@@ -145,7 +145,7 @@ def run_scoring(
         appointments,
         settings.clinics,
         order,
-        settings.no_show_codes,
+        settings.missed_codes,
         day=start_date if cohort else None,
     )
     scored = materialize(score_appointments(cleaned, postal, scorer, start_date), "scored")
@@ -238,7 +238,7 @@ def stream_scoring(
         relevant = seen.join(patients, "pseudo_id", "left_semi")
         first = start_date(new) if callable(start_date) else start_date
         state = tables.read(batch_id - 1)
-        cleaned = clean_appointments(relevant, settings.clinics, order, settings.no_show_codes)
+        cleaned = clean_appointments(relevant, settings.clinics, order, settings.missed_codes)
         scored = score_appointments(cleaned, postal, scorer, first)
         scored = scored.join(new.select("APP_ID").distinct(), "APP_ID", "left_semi")
         scored = materialize(scored, "scored")

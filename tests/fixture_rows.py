@@ -10,25 +10,30 @@ from rollcall.schema import APPOINTMENT
 UTC = dt.timezone.utc
 
 
-def ms(text: str) -> str:
+SCORING_DAY = dt.date(2025, 3, 11)
+
+
+def ms(text: str | None) -> str | None:
+    if text is None:
+        return None
     return str(int(dt.datetime.fromisoformat(text).replace(tzinfo=UTC).timestamp() * 1000))
 
 
+# One record or more for each rule: a missed visit outside the guard of three days and an attended one inside it, a
+# change of address, a phone consult, a missing place, a missing start, a cancellation that is not missed, and
+# an agenda that two clinics claim.
 # patient, agenda, sub-agenda, code, consult, start, status, reason, postal, place
 _ROWS = [
-    ("p1", "H1", "S1", "C1", "Fysiek", "2024-07-16T09:00:00", "planned", None, 1000, "Q"),
-    ("p1", "H1", "S1", "C1", "Fysiek", "2024-04-23T09:00:00", "finished", None, 1000, "Q"),
-    ("p1", "H2", "S2", "T", "Telefonisch", "2022-10-01T10:15:00", "finished", None, 1000, "A"),
-    ("p2", "H2", "S2", "C2", "Fysiek", "2024-07-16T13:30:00", "planned", None, 1001, "Q"),
-    ("p2", "H2", "S2", "C2", "Fysiek", "2024-07-13T13:30:00", "cancelled", "N", 1001, "F"),
-    ("p2", "H2", "S2", "C2", "Fysiek", "2024-07-10T13:30:00", "finished", None, 1001, "F"),
-    ("p2", "H2", "S2", "C2", "Fysiek", "2024-06-01T12:30:00", "cancelled", "N", 1001, "Q"),
-    ("p3", "H3", "S3", "H46", "Fysiek", "2024-07-16T16:30:00", "planned", None, 1002, "B"),
-    ("p4", "H4", "S4", "C3", "Fysiek", "2024-07-16T10:15:00", "planned", None, 1003, "D"),
-    ("p4", "H4", "S4", "C3", "Fysiek", "2020-04-01T09:00:00", "finished", None, 1003, "D"),
-    ("p4", "H4", "S4", "C3", "Fysiek", "2020-03-01T09:00:00", "finished", None, 1003, "D"),
-    ("p4", "H4", "S4", "C3", "Fysiek", "2020-02-01T09:00:00", "cancelled", "N", 1003, "D"),
-    ("p5", "H3", "S5", "K1", "Fysiek", "2024-07-16T08:30:00", "planned", None, 1004, None),
+    ("ann", "EYE", "lens", "E1", "Fysiek", "2025-03-11T08:20:00", "planned", None, 2100, "Hall 1"),
+    ("ann", "EYE", "lens", "E1", "Fysiek", "2025-03-05T08:20:00", "cancelled", "N", 2100, "Hall 1"),
+    ("ann", "EYE", "lens", "E3", "Fysiek", "2025-02-01T14:00:00", "finished", None, 2101, "Hall 1"),
+    ("bob", "EYE", "retina", "E2", "Telefonisch", "2025-03-11T09:40:00", "planned", None, 2102, "Hall 2"),
+    ("bob", "EYE", "retina", "E2", "Fysiek", "2025-03-11T11:00:00", "planned", None, 2102, None),
+    ("cas", "HEART", "echo", "H7", "Fysiek", "2025-03-11T15:10:00", "planned", None, 2103, "Hall 3"),
+    ("cas", "HEART", "echo", "H7", "Fysiek", "2025-03-09T15:10:00", "finished", None, 2103, "Hall 3"),
+    ("cas", "HEART", "echo", "H8", "Fysiek", None, "planned", None, 2103, "Hall 3"),
+    ("dee", "HEART", "holter", "H8", "Fysiek", "2024-12-30T10:00:00", "cancelled", "X", 2104, "Hall 4"),
+    ("dee", "HEART", "holter", "H8", "Fysiek", "2024-11-01T10:00:00", "finished", None, 2104, "Hall 4"),
 ]
 
 
@@ -48,13 +53,13 @@ def records() -> list[dict]:
                 "start": ms(start),
                 "end": ms(start),
                 "gearriveerd": ms(start) if status == "finished" else "",
-                "created": ms("2020-01-01T00:00:00"),
-                "minutesDuration": 30,
+                "created": ms("2024-10-20T07:00:00"),
+                "minutesDuration": 20 + 5 * (i % 3),
                 "status": status,
                 "status_code_original": None,
                 "mutationReason_code": reason,
-                "mutationReason_display": "absent" if reason else None,
-                "BIRTH_YEAR": 1970 + i,
+                "mutationReason_display": f"reason {reason}" if reason else None,
+                "BIRTH_YEAR": 1987 - 27 * (i % 2),
                 "address_postalCodeNumbersNL": postal,
                 "name": place,
                 "description": place and f"desk {place}",
@@ -64,7 +69,7 @@ def records() -> list[dict]:
                 "telecom1_value": f"06-{who}",
                 "telecom2_value": None,
                 "telecom3_value": None,
-                "birthDate": "-38620800000" if i % 2 else 75600000000,
+                "birthDate": "-315619200000" if i % 2 else 536457600000,
             }
         )
     assert set(out[0]) == {f.name for f in APPOINTMENT.fields}
@@ -72,15 +77,18 @@ def records() -> list[dict]:
 
 
 SETTINGS = Settings(
-    clinics=tuple(
-        ClinicRule(name=f"clinic {a}", main_agenda_codes=(a,), phone_number="1", teleq_name=a)
-        for a in ("H1", "H2", "H3", "H4")
+    clinics=(
+        ClinicRule(name="clinic eye", main_agenda_codes=("EYE",), phone_number="1", teleq_name="e"),
+        ClinicRule(name="clinic heart", main_agenda_codes=("HEART",), phone_number="2", teleq_name="h"),
+        ClinicRule(
+            name="clinic echo", main_agenda_codes=("HEART",), subagendas=("echo",), phone_number="3", teleq_name="x"
+        ),
     )
 )
 
 
 def postal_codes(spark):
     return spark.createDataFrame(
-        [(1000 + i, 52.0 + i / 10, 5.0 + i / 10) for i in range(5)],
+        [(2100 + i, 51.5 + i / 8, 4.5 + i / 8) for i in range(5)],
         "postalcode int, latitude double, longitude double",
     )

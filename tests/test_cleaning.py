@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from fixture_rows import SETTINGS, postal_codes, records
+from fixture_rows import SCORING_DAY, SETTINGS, postal_codes, records
 from pyspark.sql import Observation
 
 from rollcall.config import ClinicRule, load_settings
@@ -22,12 +22,12 @@ def appointments(spark, tmp_path_factory):
 
 def test_request_records(appointments):
     rows = {r.APP_ID: r for r in appointments.collect()}
-    assert len(rows) == 13
-    assert rows["0012"].name == rows["0012"].description == "Onbekend"
-    assert rows["0000"].gearriveerd is None
-    assert rows["0000"].start == dt.datetime(2024, 7, 16, 9)
-    assert rows["0000"].birthDate == dt.date(1972, 5, 25)
-    assert rows["0001"].birthDate == dt.date(1968, 10, 11)
+    assert len(rows) == 10
+    assert rows["0004"].name == rows["0004"].description == "Onbekend"
+    assert rows["0000"].gearriveerd is None and rows["0007"].start is None
+    assert rows["0000"].start == dt.datetime(2025, 3, 11, 8, 20)
+    assert rows["0000"].birthDate == dt.date(1987, 1, 1)
+    assert rows["0001"].birthDate == dt.date(1960, 1, 1)
     assert [r["_seq"] for r in sorted(rows.values(), key=lambda r: r.APP_ID)] == sorted(
         r["_seq"] for r in rows.values()
     )
@@ -36,10 +36,10 @@ def test_request_records(appointments):
 @pytest.mark.parametrize(
     ("agendas", "rule", "n"),
     [
-        (("H1", "H2"), {"subagendas": ("S1",)}, 2),
-        (("H1", "H2"), {"subagendas": ("S1",), "subagenda_exclude": True}, 5),
-        (("H1", "H2", "H3"), {"appcodes": ("H46",)}, 1),
-        (("H1", "H2", "H3"), {"appcodes": ("H46",), "appcode_exclude": True}, 8),
+        (("EYE",), {"subagendas": ("lens",)}, 3),
+        (("EYE",), {"subagendas": ("lens",), "subagenda_exclude": True}, 2),
+        (("EYE", "HEART"), {"appcodes": ("H7",)}, 2),
+        (("EYE", "HEART"), {"appcodes": ("H7",), "appcode_exclude": True}, 8),
     ],
 )
 def test_clinic_rules(appointments, agendas, rule, n):
@@ -72,13 +72,13 @@ def test_several_clinics_last_one_wins(spark):
 
 def test_missing_status_and_consult_are_kept_and_counted(spark):
     rows = [
-        ("no_show", "finished"),
-        ("no_show", None),
-        ("show", None),
-        ("show", "cancelled"),
-        ("no_show", "cancelled"),
+        ("missed", "finished"),
+        ("missed", None),
+        ("attended", None),
+        ("attended", "cancelled"),
+        ("missed", "cancelled"),
     ]
-    df = spark.createDataFrame(rows, "no_show string, status string")
+    df = spark.createDataFrame(rows, "missed string, status string")
     seen = Observation("dropped")
     kept = cleaning.drop_moved_and_cancelled(df, seen)
     assert kept.count() == 3
@@ -102,14 +102,18 @@ def test_first_row_with_missing_postal_code_stays_missing(spark):
 def test_pipeline_row_counts(spark, appointments):
     cleaned = cleaning.clean_appointments(appointments, SETTINGS.clinics, "_seq")
     table = features.create_features(cleaned, postal_codes(spark))
-    assert table.count() == 12  # the phone consult is dropped
-    planned = features.filter_to_score(table, dt.date(2024, 7, 16))
-    assert planned.count() == 5
-    second = planned.where("pseudo_id = 'p2'").first()
-    # Four days before the 16th: the visits of 1 June and 10 July, and of 13 July.
-    assert (second.earlier_appointments, second.prev_no_show) == (3, 2)
-    assert second.appointments_last_days == 3
-    assert second.days_since_last_appointment == 3
+    # Gone: the phone consult, the one without start, the cancellation that is not missed.
+    assert table.count() == 7
+    planned = {r.pseudo_id: r for r in features.filter_to_score(table, SCORING_DAY).collect()}
+    assert set(planned) == {"ann", "bob", "cas"}
+    ann, cas = planned["ann"], planned["cas"]
+    assert (ann.earlier_appointments, ann.prev_missed) == (2, 1)
+    assert ann.appointments_last_days == 2
+    assert ann.days_since_last_appointment == 6
+    # The visit two days before is too recent to count, but is the last one.
+    assert (cas.earlier_appointments, cas.days_since_last_appointment) == (0, 2)
+    # Two rules claim the echo agenda; the later one stays.
+    assert {r.clinic for r in cleaned.where("pseudo_id = 'cas'").collect()} == {"clinic echo"}
 
 
 def test_narrow_features_equal_wide_ones(spark, appointments):
@@ -122,10 +126,10 @@ def test_narrow_features_equal_wide_ones(spark, appointments):
 
 def test_cohort_keeps_whole_histories(appointments):
     cleaned = cleaning.clean_appointments(
-        appointments, SETTINGS.clinics, "_seq", day=dt.date(2020, 4, 1)
+        appointments, SETTINGS.clinics, "_seq", day=dt.date(2025, 2, 1)
     )
-    assert {r.pseudo_id for r in cleaned.collect()} == {"p4"}
-    assert cleaned.count() == 4
+    assert {r.pseudo_id for r in cleaned.collect()} == {"ann"}
+    assert cleaned.count() == 3
 
 
 def test_postal_file_first_line_counts(spark, tmp_path):
@@ -143,7 +147,7 @@ def test_settings_file(tmp_path):
     (tmp_path / "c.toml").write_text(
         """
 [preprocess]
-no_show_codes = ["N"]
+missed_codes = ["N"]
 [feature_building]
 appointments_last_days = 7
 [dashboard]

@@ -73,16 +73,16 @@ def test_not_in_keeps_unmatched_keys(spark):
 
 
 def test_feature_rate_keeps_missing_labels_missing(spark):
-    rows = [("show", 1), ("show", 1), ("no_show", 2), ("show", 2), ("no_show", None)]
-    df = spark.createDataFrame(rows, "no_show string, feature int")
+    rows = [("attended", 1), ("attended", 1), ("missed", 2), ("attended", 2), ("missed", None)]
+    df = spark.createDataFrame(rows, "missed string, feature int")
     got = {r.feature: r for r in reports.feature_rate(df, "feature").collect()}
     assert set(got) == {1, 2}
-    assert got[1].no_show is None and got[1].no_show_perc is None
-    assert (got[2].no_show_perc, got[2].show_perc) == (0.5, 0.5)
+    assert got[1].missed is None and got[1].missed_share is None
+    assert (got[2].missed_share, got[2].attended_share) == (0.5, 0.5)
 
 
 def test_feature_rate_rounds_half_to_even(spark):
-    df = spark.createDataFrame([("show", 0.5), ("no_show", 1.5), ("show", 2.5)], "no_show string, f double")
+    df = spark.createDataFrame([("attended", 0.5), ("missed", 1.5), ("attended", 2.5)], "missed string, f double")
     assert {r.f for r in reports.feature_rate(df, "f", 0).collect()} == {0.0, 2.0}
 
 
@@ -90,7 +90,7 @@ def test_attended_overrides_missed(spark):
     df = spark.createDataFrame(
         [("J", "N"), (None, "N"), ("A", None)], "status_code_original string, mutationReason_code string"
     )
-    assert [r.outcome for r in reports.trial_outcome(df).collect()] == ["Show", "No-Show", None]
+    assert [r.outcome for r in reports.trial_outcome(df).collect()] == ["Attended", "Missed", None]
 
 
 def test_days_without_appointments_are_counted(spark):
@@ -109,20 +109,12 @@ def test_materialized_rows_can_be_dropped(spark):
     assert not os.path.exists(folder)
 
 
-def test_a_cluster_needs_a_shared_folder():
-    class Context:
-        master = "yarn"
+def test_scratch_defaults_to_the_home_on_the_default_file_system(spark):
+    assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
-        def getCheckpointDir(self):
-            return None
+    class Unset:
+        _jvm, _jsc = spark._jvm, spark._jsc
+        sparkContext = conf = type("", (), {"getCheckpointDir": lambda _: None, "get": lambda _, key, default: default})()
 
-    class Conf:
-        def get(self, key, default):
-            return default
-
-    class Session:
-        sparkContext = Context()
-        conf = Conf()
-
-    with pytest.raises(RuntimeError):
-        session.scratch_root(Session())
+    home = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration()).getHomeDirectory()
+    assert session.scratch_root(Unset()).startswith(home.toString())

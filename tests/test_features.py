@@ -53,16 +53,16 @@ def test_unknown_function_is_an_error():
         Lagged("x", "y", DAY_US, "max")
 
 
-def test_previous_no_shows(spark):
+def test_previous_missed_visits(spark):
     rows = [
-        ("1", "no_show", stamp("2022-01-01")),
-        ("1", "no_show", stamp("2022-01-02")),
-        ("5", "no_show", stamp("2022-01-01")),
-        ("5", "show", stamp("2022-01-04")),
+        ("1", "missed", stamp("2022-01-01")),
+        ("1", "missed", stamp("2022-01-02")),
+        ("5", "missed", stamp("2022-01-01")),
+        ("5", "attended", stamp("2022-01-04")),
     ]
-    df = spark.createDataFrame(rows, "pseudo_id string, no_show string, start timestamp")
-    out = features.prev_no_show_features(df)
-    assert ordered(out, "prev_no_show", "prev_no_show_perc", "earlier_appointments") == [
+    df = spark.createDataFrame(rows, "pseudo_id string, missed string, start timestamp")
+    out = features.prev_missed_features(df)
+    assert ordered(out, "prev_missed", "prev_missed_share", "earlier_appointments") == [
         [0, 0, 0, 1],
         [0.0, 0.0, 0.0, 1.0],
         [0, 0, 0, 1],

@@ -42,6 +42,7 @@ def test_group_folds(rows):
 def test_grid_picks_by_auc_and_scores(rows):
     folded = modeling.group_folds(rows, "pseudo_id", k=2)
     result = modeling.train_grid(folded, (1, 2), (0.3,), k=2, pipeline=trees())
+    assert len(result.precision) == len(result.recall) == 2
     assert [p["maxIter"] for p in result.params] == [1, 2]
     assert min(result.auc) > 0.9
     scored = modeling.score(result.model, rows)
@@ -87,8 +88,7 @@ def test_groups(rows):
     assert modeling.auc_mean_std(per_group).first().groups == 2
     own = modeling.per_group_models(rows, "clinic", trees().fit)
     assert own.count() == 600
-    with pytest.raises(ValueError):
-        modeling.group_values(rows.sparkSession.range(2000), "id")
+    assert len(modeling.group_values(rows.sparkSession.range(1500), "id")) == 1500
 
 
 def test_importances(rows):

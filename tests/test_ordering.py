@@ -138,6 +138,12 @@ def test_roc_points_keep_the_area(scores):
     assert area(every) == pytest.approx(quality.roc_auc(df, "s", "y").first().auc)
 
 
+def test_roc_keeps_the_first_point(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.8, 1), (0.7, 0), (0.6, 1)], "s double, y int")
+    points = sorted((r.threshold, r.fpr, round(r.tpr, 3)) for r in quality.roc_points(df, "s", "y").collect())
+    assert (0.9, 0.0, 0.333) in points and points[-1] == (float("inf"), 0.0, 0.0)
+
+
 def test_calibration_error_of_perfect_scores_is_zero(spark):
     df = spark.createDataFrame([(1.0, 1), (0.0, 0)], "s double, y int")
     assert quality.calibration_error(df, "s", "y").first().ece == 0
@@ -163,3 +169,10 @@ def test_histogram_last_bin_is_closed(spark):
     got = {r.bucket: r.n for r in histogram(df, "x", 0.0, 1.0, 2).collect()}
     assert got == {0: 1, 1: 2}
     assert {r.bucket: r.n for r in histogram(df, "x", None, None, 3).collect()} == {0: 1, 1: 1, 2: 2}
+
+
+def test_bins_use_every_edge(spark):
+    edges = spark.createDataFrame([("A", [i / 2000 for i in range(2001)])], "hoofdagenda string, edges array<double>")
+    df = spark.createDataFrame([("A", 0.75), ("A", 0.95), ("A", 1.0), ("A", 0.0)], "hoofdagenda string, prediction double")
+    bins = {r.prediction: r.score_bin for r in binning.apply_bins(df, edges, "hoofdagenda", "prediction").collect()}
+    assert bins == {0.75: 1499, 0.95: 1899, 1.0: 1999, 0.0: None}

@@ -2,7 +2,8 @@
 
 import pytest
 
-from rollcall.plans import QUERIES, load_all
+from rollcall.operators.features import create_features
+from rollcall.plans import QUERIES, bases, load_all
 
 load_all()
 SF = "/root/testdata/sf0.001"
@@ -12,7 +13,7 @@ LAZY = [
     "star_extract", "eligibility_filter", "prediction_window_filter", "trial_cohort_filter",
     "active_patient_semi", "cohort_semi_by_date", "geo_enrich", "not_in_exclusion", "kpi_base",
     "monitoring_base", "call_list", "call_mute_anti", "prediction_context", "trial_combine",
-    "rekey_foreign_key", "merge_groups_outer", "prev_no_show_features", "appointments_last_days",
+    "rekey_foreign_key", "merge_groups_outer", "prev_missed_features", "appointments_last_days",
     "appointments_same_day", "lagged_cumulative", "daily_top_k", "top_row_per_patient",
     "monthly_rate", "call_outcome_kpis", "outcome_matrix", "upsert_sensitive", "upsert_patients",
     "deactivate_outdated", "retention_delete", "calibration_curve", "holiday_calendar",
@@ -56,9 +57,19 @@ def test_left_join_becomes_inner(spark):
     assert "LeftOuter" not in text and "Inner" in text
 
 
-def test_history_needs_one_exchange(spark):
-    """Without a hot patient all history windows share one shuffle by patient."""
-    text = plan(QUERIES["prev_no_show_features"](spark, SF))
+def test_cleaning_needs_one_exchange(spark):
+    """Both deduplications share the shuffle by patient and start."""
+    text = plan(bases.cleaned(spark, SF))
     assert text.count("Exchange hashpartitioning") == 1
-    features = plan(QUERIES["select_features"](spark, SF))
-    assert features.count("Exchange hashpartitioning") == 1
+    assert text.count("Window [") == 2
+
+
+def test_row_windows_go_by_patient_and_chunk(spark):
+    """From the scan to the features, rows are shuffled for cleaning and once more for all history windows."""
+    cleaned = bases.cleaned(spark, SF)
+    text = plan(create_features(cleaned, bases.postal_codes(spark, SF), stage=False))
+    wide = [x for x in text.splitlines() if "Exchange hashpartitioning" in x and "REPARTITION" in x]
+    # The rows' branch and the slim branch of the chunk totals each hold the shuffle of the cleaning.
+    assert len(wide) == 2
+    by_rows = [x for x in text.splitlines() if "Window [" in x and "_at#" in x]
+    assert by_rows and all("_chunk" in x for x in by_rows)

@@ -4,9 +4,10 @@ import datetime as dt
 import json
 
 import pytest
-from fixture_rows import SETTINGS, postal_codes, records
+from fixture_rows import SCORING_DAY, SETTINGS, postal_codes, records
 from pyspark.sql import functions as F
 
+from rollcall.config import ClinicRule
 from rollcall.operators import ledger, outreach, reports
 from rollcall.schema import CALL, CONTACT, PATIENT, PREDICTION
 from rollcall.sources.appointments import coerce_appointments, read_appointments_json
@@ -20,6 +21,7 @@ from rollcall.streaming.scoring import (
 )
 
 DAY = dt.date(2024, 7, 16)
+RULES = [ClinicRule(name="clinic H1", main_agenda_codes=("H1",), phone_number="1", teleq_name="H1")]
 NOON = dt.datetime(2024, 7, 16, 12)
 BATCH = (
     "APP_ID string, pseudo_id string, start timestamp, hoofdagenda string, prediction double,"
@@ -76,14 +78,14 @@ def test_predictions_insert_update_and_ids(spark):
     batch = spark.createDataFrame(
         [batch_row("a", "other", score=0.7), batch_row("b", "n"), batch_row("c", "n")], BATCH
     )
-    out = ledger.upsert_predictions(table, batch, SETTINGS.clinics, 3, ledger.batch_order())
+    out = ledger.upsert_predictions(table, batch, RULES, 3, ledger.batch_order())
     rows = {r.appointment_id: r for r in out.collect()}
     assert {k: r.id for k, r in rows.items()} == {"a": 5, "z": 9, "b": 10, "c": 11}
     a = rows["a"]
     assert (a.patient_id, a.prediction, a.active, a.request_id) == ("orig", 0.7, True, 3)
     assert (a.clinic_name, a.clinic_teleq_unit, a.clinic_actual_name) == ("A", "H1", "clinic H1")
     assert (rows["z"].clinic_name, rows["z"].request_id) == ("old", 1)
-    again = ledger.upsert_predictions(out, batch, SETTINGS.clinics, 3, ledger.batch_order())
+    again = ledger.upsert_predictions(out, batch, RULES, 3, ledger.batch_order())
     assert sorted(again.collect()) == sorted(out.collect())
 
 
@@ -91,7 +93,7 @@ def test_stored_twice_is_an_error(spark):
     table = spark.createDataFrame([prediction(1, "a"), prediction(2, "a")], PREDICTION)
     batch = spark.createDataFrame([batch_row("a", "p")], BATCH)
     with pytest.raises(ValueError):
-        ledger.upsert_predictions(table, batch, SETTINGS.clinics, 3, ledger.batch_order())
+        ledger.upsert_predictions(table, batch, RULES, 3, ledger.batch_order())
 
 
 def test_retention_and_deactivation(spark):
@@ -199,7 +201,7 @@ def test_kpis_of_nothing(spark):
 
 
 def scorer(features):
-    chance = F.lit(0.1) + F.col("prev_no_show_perc") / 2 + F.col("hour") / 1000
+    chance = F.lit(0.1) + F.col("prev_missed_share") / 2 + F.col("hour") / 1000
     return features.withColumn("prediction", chance)
 
 
@@ -212,19 +214,19 @@ def body(tmp_path_factory):
 
 def test_scoring_run(spark, body):
     rows = read_appointments_json(spark, body, order=True)
-    state, scored = run_scoring(rows, postal_codes(spark), State.empty(spark), scorer, SETTINGS, DAY)
-    assert scored.count() == 5
+    state, scored = run_scoring(rows, postal_codes(spark), State.empty(spark), scorer, SETTINGS, SCORING_DAY)
+    assert scored.count() == 3
     made = state.predictions.collect()
-    assert sorted(r.id for r in made) == [1, 2, 3, 4, 5]
-    assert all(r.active and r.start_time.date() == DAY for r in made)
+    assert sorted(r.id for r in made) == [1, 2, 3]
+    assert all(r.active and r.start_time.date() == SCORING_DAY for r in made)
     assert {r.treatment_group for r in state.patients.collect()} == {2}
-    assert state.contacts.where("full_name = 'Name p2'").count() == 1
-    fewer = rows.where("pseudo_id <> 'p4'")
+    assert state.contacts.where("full_name = 'Name bob'").count() == 1
+    fewer = rows.where("pseudo_id <> 'cas'")
     second, _ = run_scoring(
-        fewer, postal_codes(spark), state, scorer, SETTINGS, DAY, request_id=2
+        fewer, postal_codes(spark), state, scorer, SETTINGS, SCORING_DAY, request_id=2
     )
     off = [r.patient_id for r in second.predictions.collect() if not r.active]
-    assert off == ["p4"]
+    assert off == ["cas"]
 
 
 def test_scoring_nothing_is_an_error(spark, body):
@@ -260,7 +262,7 @@ def test_stream_equals_batch_and_survives_a_replay(spark, tmp_path):
     def run(tables, checkpoint):
         stream = spark.readStream.schema(text_schema()).json(str(source))
         stream_scoring(
-            stream, prepare, tables, str(checkpoint), postal_codes(spark), scorer, SETTINGS, DAY
+            stream, prepare, tables, str(checkpoint), postal_codes(spark), scorer, SETTINGS, SCORING_DAY
         ).awaitTermination()
 
     tables = SnapshotTables(spark, str(tmp_path / "state"))
@@ -275,7 +277,7 @@ def test_stream_equals_batch_and_survives_a_replay(spark, tmp_path):
     body.write_text(json.dumps(records()))
     rows = read_appointments_json(spark, str(body)).withColumn("_seq", F.col("APP_ID").cast("long"))
     state, _ = run_scoring(
-        rows, postal_codes(spark), State.empty(spark), scorer, SETTINGS, DAY, request_id=2
+        rows, postal_codes(spark), State.empty(spark), scorer, SETTINGS, SCORING_DAY, request_id=2
     )
     for name in ("contacts", "patients", "predictions"):
         assert sorted(getattr(streamed, name).collect(), key=str) == sorted(
