@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.scalars import right_closed_bin, share, uniform_edges
@@ -124,6 +124,11 @@ def calibration_error(
     )
 
 
+def _key_hash(key: str, seed: int) -> Column:
+    """Hex digits that order keys at random, the same in any engine that has md5."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+
+
 def monthly_auc(
     df: DataFrame,
     score: str,
@@ -137,8 +142,8 @@ def monthly_auc(
     """AUC per complete month; optionally on a reproducible sample by key hash."""
     rows = df.where(F.col(ts) < F.lit(asof.replace(day=1)))
     if fraction is not None:
-        slot = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-        rows = rows.where(slot < int(fraction * 1_000_000))
+        if fraction < 1:
+            rows = rows.where(_key_hash(key, seed) < f"{int(fraction * 2**32):08x}")
     return roc_auc(rows.withColumn("month", month_start(ts)), score, label, ["month"])
 
 
@@ -205,5 +210,5 @@ def daily_top_k_random(
     df: DataFrame, ts: str, label: str, key: str, seed: int = 0, ks: Sequence[int] = DAILY_KS
 ) -> DataFrame:
     """The same figures for a seeded random order: the baseline."""
-    shuffled = df.withColumn("_shuffle", F.xxhash64(F.col(key), F.lit(seed)))
+    shuffled = df.withColumn("_shuffle", _key_hash(key, seed))
     return daily_top_k(shuffled, ts, "_shuffle", label, key, ks)

@@ -541,37 +541,59 @@ def monthly_auc(spark, sf_dir):
     return b.rounded(out, "auc")
 
 
-@query("monthly_auc_sampled")
+_AUC_EXACT_SQL = _AUC_SQL.replace(" round(", " (").replace("(p * (n - p)), 6)", "nullif(p * (n - p), 0))")
+
+
+@query(
+    "monthly_auc_sampled",
+    b.with_ctes(
+        "SELECT round(avg(auc), 6) AS mean_auc, round(min(auc), 6) AS min_auc, round(max(auc), 6) AS max_auc,"
+        " count(*) AS months FROM ("
+        + _AUC_EXACT_SQL.format(
+            key="month,",
+            rank=_RANK.format(part="PARTITION BY month", part2="PARTITION BY month,"),
+            count="count(*) OVER (PARTITION BY month)",
+            pos="sum(y) OVER (PARTITION BY month)",
+            source="(SELECT *, date_trunc('month', start)::DATE AS month FROM s"
+            " WHERE start < TIMESTAMP '2001-07-01 00:00:00' AND md5(id::VARCHAR || '|0') < '33333333')",
+        )
+        + ")",
+        s=_MONTHLY_SQL,
+    ),
+)
 def monthly_auc_sampled(spark, sf_dir):
     """The monitoring figure on a reproducible fifth of the rows, and its summary."""
-    return quality.auc_summary(
+    out = quality.auc_summary(
         quality.monthly_auc(
             monthly_scores(spark, sf_dir), "score", "y", dt.date(2001, 7, 20), key="id", fraction=0.2
         )
     )
+    return b.rounded(out, "mean_auc", "min_auc", "max_auc")
 
 
 _KS = ", ".join(str(k) for k in quality.DAILY_KS)
 
 
-@query(
-    "daily_top_k",
-    b.with_ctes(
-        f"""SELECT k, round(avg(prec), 6) AS mean_precision, round(stddev_pop(prec), 6)
+_TOP_K_SQL = f"""SELECT k, round(avg(prec), 6) AS mean_precision, round(stddev_pop(prec), 6)
         AS std_precision, round(avg(rec), 6) AS mean_recall, round(stddev_pop(rec), 6)
         AS std_recall, count(*) AS days FROM (SELECT k, d, hits / least(k, n) AS prec,
         CASE WHEN p = 0 THEN 0 ELSE hits / p END AS rec FROM (SELECT k, d, count(*) AS n,
         sum(y) AS p, coalesce(sum(y) FILTER (r <= k), 0) AS hits FROM (SELECT start::DATE AS d, y,
-        row_number() OVER (PARTITION BY start::DATE ORDER BY score DESC, id) AS r FROM s
-        WHERE isodow(start) < 6), (SELECT unnest([{_KS}])::INTEGER AS k) GROUP BY k, d)) GROUP BY k""",
-        s=_LABELLED_SQL,
-    ),
-)
+        row_number() OVER (PARTITION BY start::DATE ORDER BY {{score}} DESC, id) AS r FROM s
+        WHERE isodow(start) < 6), (SELECT unnest([{_KS}])::INTEGER AS k) GROUP BY k, d)) GROUP BY k"""
+_TOP_K_FIGURES = ("mean_precision", "std_precision", "mean_recall", "std_recall")
+
+
+@query("daily_top_k", b.with_ctes(_TOP_K_SQL.format(score="score"), s=_LABELLED_SQL))
 def daily_top_k(spark, sf_dir):
     out = quality.daily_top_k(labelled_scores(spark, sf_dir), "start", "score", "y", "id")
-    return b.rounded(out, "mean_precision", "std_precision", "mean_recall", "std_recall")
+    return b.rounded(out, *_TOP_K_FIGURES)
 
 
-@query("daily_top_k_random")
+@query(
+    "daily_top_k_random",
+    b.with_ctes(_TOP_K_SQL.format(score="md5(id::VARCHAR || '|0')"), s=_LABELLED_SQL),
+)
 def daily_top_k_random(spark, sf_dir):
-    return quality.daily_top_k_random(labelled_scores(spark, sf_dir), "start", "y", "id")
+    out = quality.daily_top_k_random(labelled_scores(spark, sf_dir), "start", "y", "id")
+    return b.rounded(out, *_TOP_K_FIGURES)
