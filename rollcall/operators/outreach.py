@@ -20,14 +20,15 @@ from rollcall.config import (
 from rollcall.functions.temporal import add_working_days
 from rollcall.operators.cleaning import on_day
 
+# The outcomes that count as called, and the marks of the call list.
 CALLED_OUTCOMES = (OUTCOME_REMINDED, OUTCOME_VOICEMAIL, OUTCOME_MOVED, OUTCOME_UNREACHABLE)
+CALLED_MARK, NOT_CALLED_MARK = "🟢", "🔴"
 
 
 def flag_holiday(df: DataFrame, date_col: str, calendar: DataFrame) -> DataFrame:
     """Add ``holiday`` from a calendar of (date, name); null on ordinary days."""
     days = calendar.groupBy(F.col("date").alias("_day")).agg(F.min("name").alias("holiday"))
-    # At most one row per calendar date, so it always fits.
-    return df.join(F.broadcast(days), F.to_date(date_col) == F.col("_day"), "left").drop("_day")
+    return df.join(days, F.to_date(date_col) == F.col("_day"), "left").drop("_day")
 
 
 def prediction_context(
@@ -165,7 +166,7 @@ def phone_lookup(contacts: DataFrame, phone: str, listed: DataFrame) -> DataFram
     return found.join(listed.select("patient_id"), "patient_id", "left_semi")
 
 
-def call_marker(df: DataFrame, called: str = "🟢", not_called: str = "🔴") -> DataFrame:
+def call_marker(df: DataFrame, called: str = CALLED_MARK, not_called: str = NOT_CALLED_MARK) -> DataFrame:
     done = F.col("call_status") == STATUS_CALLED
     return df.withColumn("calling_icon", F.when(done, called).otherwise(not_called))
 

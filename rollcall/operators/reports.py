@@ -23,6 +23,7 @@ from rollcall.functions.temporal import month_start
 from rollcall.operators.binning import qcut
 
 LABELS = ("missed", "attended")
+# The sets of outcomes that the reports count.
 KPI_OUTCOMES = {
     "called": (OUTCOME_REMINDED, OUTCOME_MOVED, OUTCOME_UNREACHABLE, OUTCOME_VOICEMAIL),
     "reached": (OUTCOME_REMINDED, OUTCOME_MOVED),
