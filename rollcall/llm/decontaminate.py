@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import word_count
+from rollcall.llm.common import ship_package, word_count
 from rollcall.llm.wordnum import U64, find_words, hash_words, mix64, slices, text_bytes
 
 EDIT_SHARE = 0.2
@@ -201,6 +201,7 @@ def _last_row(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 def index_blocks(benchmark: DataFrame) -> list[BenchmarkIndex]:
     """Indexes of the benchmark's blocks; each is small enough to be sent to every executor."""
+    ship_package(benchmark.sparkSession)
     sized = benchmark.select("item_id", "text")
     total = sized.agg(F.coalesce(F.sum(word_count(F.col("text"))), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / MAX_BLOCK_WORDS))

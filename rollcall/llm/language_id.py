@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.llm.common import ship_package
 from rollcall.llm.wordnum import slices, text_bytes
 
 ORDER = 3
@@ -132,6 +133,7 @@ class CostCache:
 
 def train(docs: DataFrame, allowed: Column) -> ContextTrees:
     """Trees from rows for which ``allowed`` holds, a bounded sample of each language."""
+    ship_package(docs.sparkSession)
     usable = docs.filter(allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     # One row per language.
     sizes = usable.groupBy("lang").agg(F.count("*").alias("rows"))
@@ -176,6 +178,7 @@ def code_lengths(column: pa.Array, cache: CostCache) -> np.ndarray:
 
 def identified(docs: DataFrame, trees: ContextTrees) -> DataFrame:
     """(doc_id, lang_pred, score) of every row; the score is the language's share of probability."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.llm.common import ship_package
 from rollcall.llm.wordnum import U64, mix64, text_shingles
 from rollcall.session import materialize
 
@@ -212,6 +213,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def describe_sets(docs: DataFrame, width: int) -> DataFrame:
     """Per row: doc_id, row keys, n_shingles, node (name of its set; null if empty), bands, tags."""
+    ship_package(docs.sparkSession)
     return row_keys(docs).mapInArrow(
         _describe(width),
         "doc_id long, r1 long, r2 long, n_shingles long, node binary, bands array<bigint>, tags binary",

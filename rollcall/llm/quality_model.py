@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.llm.common import ship_package
 from rollcall.llm.wordnum import U64, find_words, hash_segments, hash_words, mix64, slices, text_bytes
 
 BITS = 18
@@ -144,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> np.ndarray:
     The sample of labels is bounded, so it is broadcast to the documents; texts are not shuffled but for
     those of the sample.
     """
+    ship_package(docs.sparkSession)
     usable = (
         labels.filter(allowed & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
         .groupBy("doc_id")
@@ -186,6 +188,7 @@ def score_texts(column: pa.Array, weights: np.ndarray) -> np.ndarray:
 
 def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """(doc_id, score) of every row; one pass without a shuffle."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
