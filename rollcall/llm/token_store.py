@@ -18,6 +18,7 @@ Defined cases: null and empty texts are encoded as the end id alone; an empty ta
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -33,17 +34,23 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rollcall.llm.common import ship_package
 from rollcall.operators.ordering import ranked
 
 HEADER_BYTES = 16
 MAGIC, VERSION = b"RIDS", 1
 
-#: Distinct words whose ids a task remembers, and keys per index bucket (on average).
-CACHED_WORDS = 500_000
+#: Pieces whose ids a worker remembers, and keys per index bucket (on average).
+CACHED_PIECES = 300_000
 BUCKET_KEYS = 50_000
 READ_BYTES = 4 << 20
 
-_SPACING = "[\x1c-\x1f]"
+# ASCII, Latin-1, Latin Extended-A but for the dotted capital I, and general punctuation; their letters
+# and numbers; the tokenizer's cut of lower-cased text.
+_SIMPLE = "[\t-\r -~\xa0-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e]*+"
+_LETTERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PIECE = rf"[{_LETTERS}]++|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]++"
 
 
 def _header(width: int) -> bytes:
@@ -58,35 +65,68 @@ def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-class WordEncoder:
-    """Ids of texts as bytes. The tokenizer works inside words, so ids of words seen before are looked up."""
+class PieceEncoder:
+    """Ids of texts as bytes. The tokenizer works inside pieces of words, so ids of pieces seen before are looked up.
+
+    The tokenizer cuts a lower-cased text into contractions, runs of letters, single digits and runs of other characters,
+    and encodes each by itself. Texts of Latin letters, digits and punctuation, on which Python's rules for
+    case and letters are the tokenizer's, are cut here; any other text goes through the tokenizer whole.
+    """
 
     def __init__(self, tokenizer_json: str, width: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        # The same vocabulary and merges for pieces, which are lower-cased and cut already.
+        self.pieces = Tokenizer.from_str(tokenizer_json)
+        self.pieces.normalizer = normalizers.Sequence([])
+        self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.code = {2: "H", 4: "I"}[width]
+        self.simple = re.compile(_SIMPLE)
+        self.cut = re.compile(_PIECE).findall if _cuts_so(tokenizer_json) else None
         self.known: dict[str, bytes] = {}
 
     def packed(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        # str.split() also splits at the separators 0x1C to 0x1F, which the tokenizer encodes.
-        odd = [bool(re.search(_SPACING, text)) for text in texts]
-        split = [[] if o else text.split() for o, text in zip(odd, texts, strict=True)]
-        if len(self.known) > CACHED_WORDS:
+        pieces = [
+            self.cut(t.lower()) if self.cut and self.simple.fullmatch(t) and "<|" not in t else None for t in texts
+        ]
+        if len(self.known) > CACHED_PIECES:
             self.known.clear()
-        new = list(set().union(*split).difference(self.known)) if split else []
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        new = list(set().union(*filter(None, pieces)).difference(self.known))
+        encoded = self.pieces.encode_batch_fast(new, add_special_tokens=False)
         self.known.update(zip(new, (self.packed(e.ids) for e in encoded), strict=True))
-        for own, text, o in zip(split, texts, odd, strict=True):
-            if o:
+        for own, text in zip(pieces, texts, strict=True):
+            if own is None:
                 yield self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
             else:
                 yield b"".join(map(self.known.__getitem__, own))
 
 
+def _cuts_so(tokenizer_json: str) -> bool:
+    """Whether a tokenizer lower-cases and cuts texts as PieceEncoder does."""
+    told = json.loads(tokenizer_json)
+    steps = (told.get("normalizer") or {}).get("normalizers", [])
+    cuts = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and bool(cuts) and cuts[0].get("pattern") == {
+        "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    }
+
+
+_ENCODERS: dict[tuple[int, int], PieceEncoder] = {}
+
+
+def _encoder(tokenizer_json: str, width: int) -> PieceEncoder:
+    """The encoder of this worker process; what it remembers serves all tasks that the process runs."""
+    key = (zlib.crc32(tokenizer_json.encode()), width)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = PieceEncoder(tokenizer_json, width)
+    return _ENCODERS[key]
+
+
 def _writer(tokenizer_json: str, folder: str, end_id: int, width: int):
     import os
 
@@ -100,16 +140,15 @@ def _writer(tokenizer_json: str, folder: str, end_id: int, width: int):
         out, at, nth = None, 0, 0
         for batch in batches:
             if out is None:
-                encoder = WordEncoder(tokenizer_json.value, width)
+                encoder = _encoder(tokenizer_json.value, width)
                 files.create_dir(root, recursive=True)
                 out = files.open_output_stream(f"{root}/{name}")
                 out.write(_header(width))
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+            for first in range(0, batch.num_rows, 128):
+                part = batch.slice(first, 128)
                 lengths, offsets = [], []
                 for payload in encoder.encode(part.column("text").to_pylist()):
-                    out.write(payload)
-                    out.write(end)
+                    out.write(payload + end)
                     offsets.append(at)
                     lengths.append(len(payload) // width + 1)
                     at += lengths[-1]
@@ -140,6 +179,7 @@ def write_store(
     ``order``: the order of the ids in the files; by default ascending doc_id, null last.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer_json = file.read()
     from tokenizers import Tokenizer
@@ -271,6 +311,7 @@ def look_up(keys: DataFrame, path: str) -> DataFrame:
     A key that the store does not hold gives no row, but for a chance of 2**-32 per key.
     """
     spark = keys.sparkSession
+    ship_package(spark)
     index = spark.read.parquet(f"{path}/index")
     one = index.select("buckets").first()
     doc_type = keys.schema["doc_id"].dataType.simpleString()
@@ -311,9 +352,11 @@ def look_up(keys: DataFrame, path: str) -> DataFrame:
     )
 
 
-def read_ids(places: DataFrame, path: str) -> DataFrame:
-    """Places found by :func:`look_up` with ``start`` (ids of all documents before), ids (little-endian u4) and their crc."""
+def read_ids(places: DataFrame, path: str, payload: bool = True) -> DataFrame:
+    """Places found by :func:`look_up` with ``start`` (ids of all documents before), the ids' crc and, unless
+    ``payload`` is false, the ids themselves (little-endian u4)."""
     spark = places.sparkSession
+    ship_package(spark)
     # One row per payload file.
     shards = spark.read.parquet(f"{path}/shards").select("shard", "file", F.col("start").alias("before"), "width")
     doc_type = places.schema["doc_id"].dataType.simpleString()
@@ -322,7 +365,8 @@ def read_ids(places: DataFrame, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _file_system(ids_folder)
         name, source, held, held_at, width = None, None, b"", 0, 2
-        for batch in batches:
+        for whole, first in ((b, k) for b in batches for k in range(0, b.num_rows, 512)):
+            batch = whole.slice(first, 512)
             columns = {c: batch.column(c).to_pylist() for c in ("file", "offset", "n_tokens", "width")}
             payloads, crcs = [], []
             for file, offset, count, width in zip(*columns.values(), strict=True):
@@ -335,20 +379,17 @@ def read_ids(places: DataFrame, path: str) -> DataFrame:
                 begin, size = HEADER_BYTES + offset * width, count * width
                 if not held_at <= begin or begin + size > held_at + len(held):
                     held, held_at = source.read_at(max(size, READ_BYTES), begin), begin
-                own = held[begin - held_at : begin - held_at + size]
+                own = memoryview(held)[begin - held_at : begin - held_at + size]
                 wide = np.frombuffer(own, f"<u{width}").astype("<u4").tobytes()
-                payloads.append(wide)
+                payloads.append(wide if payload else None)
                 crcs.append(zlib.crc32(wide))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("repeat"),
-                    batch.column("start"),
-                    batch.column("n_tokens"),
-                    pa.array(payloads, pa.binary()),
+                    *(batch.column(c) for c in ("doc_id", "repeat", "start", "n_tokens")),
                     pa.array(crcs, pa.int64()),
+                    pa.array(payloads, pa.binary()),
                 ],
-                names=["doc_id", "repeat", "start", "n_tokens", "ids", "ids_crc32"],
+                names=["doc_id", "repeat", "start", "n_tokens", "ids_crc32", "ids"],
             )
         if source is not None:
             source.close()
@@ -359,7 +400,7 @@ def read_ids(places: DataFrame, path: str) -> DataFrame:
         .repartitionByRange("start")
         .sortWithinPartitions("start")
         .select("doc_id", "repeat", "start", "n_tokens", "file", "offset", "width")
-        .mapInArrow(read, f"doc_id {doc_type}, repeat long, start long, n_tokens long, ids binary, ids_crc32 long")
+        .mapInArrow(read, f"doc_id {doc_type}, repeat long, start long, n_tokens long, ids_crc32 long, ids binary")
     )
 
 
@@ -374,4 +415,4 @@ def token_digest(
     """Write the store, look every document up in its index and digest what the files hold."""
     write_store(docs, path, tokenizer_path, order=order)
     found = look_up(stored_keys(docs.sparkSession, path), path)
-    return read_ids(found, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_ids(found, path, payload=False).select("doc_id", "start", "n_tokens", "ids_crc32")

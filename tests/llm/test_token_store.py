@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from rollcall.llm.queries import QUERIES
-from rollcall.llm.token_store import WordEncoder, build_hash, hash_places, look_up, read_ids, stored_keys, write_store
+from rollcall.llm.token_store import PieceEncoder, build_hash, hash_places, look_up, read_ids, stored_keys, write_store
 from rollcall.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -36,12 +36,14 @@ def test_hash_is_minimal_and_perfect(n):
     assert sorted(hash_places(k1, k2, sizes, bits)) == list(range(n))
 
 
-def test_word_wise_encoding_equals_whole_text_encoding():
+def test_piecewise_encoding_equals_whole_text_encoding():
     with open(PATH, encoding="utf-8") as file:
-        encoder = WordEncoder(file.read(), 2)
+        encoder = PieceEncoder(file.read(), 2)
     tokenizer = Tokenizer.from_file(PATH)
     spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["​", "﻿", "́", "'s", "<|endoftext|>"]
     texts = [f"Ab{s}cd" for s in spaces] + [f"{s}É{s}{s}x9 y_z's" for s in spaces] + ["", " ", "a <|startoftext|>b", "ΑΣ Σ. ß"]
+    texts += [f"x{a}{b}'{a}Y'S 1{b}" for a in map(chr, range(1, 0x180)) for b in "a1' -"]
+    texts += [f"can''s I'LL d'être x'd'D''t {a}' '{a}" for a in "sStTmM1_-"]
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
