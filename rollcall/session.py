@@ -51,6 +51,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Every scratch path handed out, oldest first.
+scratch_made: list[str] = []
+
+
 def _own_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/rollcall/{spark.sparkContext.applicationId}"
 
@@ -61,7 +65,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(folder)
     system.deleteOnExit(folder)
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    scratch_made.append(path)
+    return path
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch whose readers are done."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
