@@ -18,7 +18,7 @@ from rollcall.llm.mixing import mixed_documents
 from rollcall.llm.near_dups import deduplicated
 from rollcall.llm.quality_rules import kept_documents
 from rollcall.llm.token_store import token_digest
-from rollcall.session import materialize, scratch_path, use_utc
+from rollcall.session import drop_paths, materialize, scratch_made, scratch_path, use_utc
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,12 +57,35 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digest(docs, path, default_tokenizer(), order=stored_order(docs))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality rules", quality_rules),
-    ("near duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("mixing", mixing),
-    ("token ids", token_ids),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_scratch: dict[int, list[str]] = {}
+
+
+def _in_turn(number: int, stage: Stage) -> Stage:
+    """The stage, which first deletes its predecessor's intermediates: what it gets is written and read back."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_paths(spark, _scratch.pop(number - 1, []))
+        before = len(scratch_made)
+        result = stage(spark, docs, sf_dir)
+        _scratch[number] = scratch_made[before:]
+        return result
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (name, _in_turn(number, stage))
+    for number, (name, stage) in enumerate(
+        [
+            ("quality rules", quality_rules),
+            ("near duplicates", near_duplicates),
+            ("decontamination", decontamination),
+            ("mixing", mixing),
+            ("token ids", token_ids),
+        ]
+    )
 ]
 
 #: Sketches, walks and tokenizers have no SQL counterpart; tests compare with plain Python instead.
