@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.operators.ordering import exact_quantiles, ranked
-from rollcall.operators.quality import roc_auc
+from rollcall.operators.quality import calibration, roc_auc
 from rollcall.schema import FEATURE_COLUMNS
-from rollcall.session import scratch_path
+from rollcall.session import materialize, scratch_path
 
 CATEGORICAL = ("hour", "weekday")
 NUMERIC = tuple(c for c in FEATURE_COLUMNS if c not in (*CATEGORICAL, "missed"))
@@ -119,6 +119,24 @@ def train_grid(
     return GridResult(chosen.fit(train), grid, *(list(x) for x in zip(*found, strict=True)))
 
 
+def held_out_evaluation(train: DataFrame, test: DataFrame, n_bins: int = 10, **grid) -> DataFrame:
+    """Grid search on ``train`` (with folds), then the chosen model on ``test``: a row per calibration bin, each with
+    the chosen parameters and the AUC of all of ``test``."""
+    model = train_grid(train, **grid).model
+    scored = materialize(score(model, test).select("label", "prediction"), "held-out")
+    auc = roc_auc(scored, "prediction", "label").first()["auc"]
+    trees = model.stages[-1]
+    return calibration(scored, "prediction", "label", n_bins).select(
+        F.lit(trees.getMaxIter()).alias("max_iter"),
+        F.lit(trees.getStepSize()).alias("step"),
+        F.lit(auc).cast("double").alias("test_auc"),
+        "bucket",
+        "prob_pred",
+        "prob_true",
+        "n",
+    )
+
+
 def fold_metrics(
     df: DataFrame, estimator: Pipeline, fold: str = "fold", k: int = 5
 ) -> DataFrame:

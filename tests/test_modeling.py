@@ -1,10 +1,13 @@
 """Folds, splines, training and importances on a small table."""
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators import modeling
+from rollcall.plans import bases, models
 
 NUMERIC = ("a", "b")
 
@@ -100,3 +103,35 @@ def test_importances(rows):
     impurity = {r.feature: r.importance for r in modeling.tree_importance(model, rows).collect()}
     assert max(impurity, key=impurity.get) == "a"
     assert set(impurity) == {"a", "b", "hour_idx"}
+
+
+def test_held_out_evaluation(rows):
+    train = modeling.group_folds(rows.where("key < 450"), "pseudo_id", k=2)
+    test = rows.where("key >= 450")
+    out = modeling.held_out_evaluation(train, test, iterations=(1, 2), rates=(0.3,), k=2, pipeline=trees()).collect()
+    assert sum(r.n for r in out) == test.count() == 150
+    assert {(r.step, r.test_auc) for r in out} == {(0.3, out[0].test_auc)} and out[0].test_auc > 0.9
+    assert {r.max_iter for r in out} < {1, 2}
+    positives = test.where("label = 1").count()
+    assert sum(r.prob_true * r.n for r in out) == pytest.approx(positives)
+
+
+def test_queries_ask_for_production_rounds_and_score_the_planned(spark, monkeypatch):
+    """The rounds that the queries ask for are recorded, and one is run."""
+    real, asked = modeling.boosted_trees, []
+    default = inspect.signature(real).parameters["max_iter"].default
+
+    def recorded(*args, max_iter=default, **kwargs):
+        asked.append(max_iter)
+        return real(*args, max_iter=1, **kwargs)
+
+    monkeypatch.setattr(modeling, "boosted_trees", recorded)
+    sf = "/root/testdata/sf0.001"
+    scored = {r[models.KEY] for r in models.score(spark, sf).collect()}
+    planned = bases.features(spark, sf, ["status"]).where("status = 'planned'")
+    # The planned ones are the newest, and fewer than the test share.
+    assert scored == {r.APP_ID for r in planned.collect()} and scored
+    others = ["tree_importance", "permutation_importance", "per_clinic_models", "leave_one_group_out", "cross_validated_metrics"]
+    for name in others:
+        getattr(models, name)(spark, sf)
+    assert len(asked) > len(others) and min(asked) >= min(modeling.ITERATIONS)
