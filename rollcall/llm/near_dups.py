@@ -39,6 +39,9 @@ BANDS = BINS // BAND_ROWS
 #: Candidates that agree on fewer bins are not looked at in full: at 0.8 the chance of so few is below 1e-7.
 MIN_AGREEING_BINS = 77
 
+#: Both are laid for this similarity; above it they miss fewer pairs still.
+LEAST_PERCENT = 80
+
 _SEEDS = mix64(np.arange(1, 2 * BINS + 1, dtype=U64) * U64(0xD1B54A32D192ED03))
 _FIRST_KEY, _SECOND_KEY = U64(0x8CB92BA72F3D8DD7), U64(0xA0761D6478BD642F)
 
@@ -224,6 +227,8 @@ class _Search:
     """Classes of equal sets and what their comparisons need."""
 
     def __init__(self, docs: DataFrame, width: int, percent: int):
+        if percent < LEAST_PERCENT:
+            raise ValueError(f"bands and bins are laid for similarities of {LEAST_PERCENT} % or more, not {percent} %")
         self.width, self.percent = width, percent
         self.rows = materialize(describe_sets(docs, width), "near-rows")
         self.classes = materialize(
@@ -267,7 +272,7 @@ class _Search:
         Runs are sorted by how many open classes have them, rarest first. If two sets have ``o`` runs in common
         or more, then among the first n - o + 1 of each there is a common one. Copies that changed too
         much to be linked to their base begin with their own changes, so they stay pairs only with copies
-        that share a change. A pair that meets in several buckets is formed in the least of them.
+        that share a change. Pairs are formed by these first runs, not by bucket, and must also meet in a bucket.
         """
         owned = self.labelled(labels, self.members.select("bucket", "node"), "node", "comp")
         mixed = owned.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
@@ -292,19 +297,26 @@ class _Search:
             .agg(F.sort_array(F.collect_list(F.struct("times", "run"))).alias("sorted"))
             .select("nid", F.expr(f"transform(slice(sorted, 1, {self._prefix('size(sorted)', 'size(sorted)', 'least')}), x -> x.run)").alias("first"))
         )
-        told = nodes.join(rarest, "nid").select("node", "n", "buckets", "first")
-        left = materialize(open_rows.join(told, "node"), "near-open-rows")
+        comps = open_rows.groupBy("node").agg(F.first("comp").alias("comp"))
+        told = nodes.join(rarest, "nid").join(comps, "node")
+        left = materialize(
+            told.select("node", "comp", "n", "buckets", F.posexplode("first").alias("at", "run")), "near-open-rows"
+        )
         right = left.toDF(*[f"{c}_b" for c in left.columns])
         length, length_b = (self._prefix(own, other, "both") for own, other in (("n", "n_b"), ("n_b", "n")))
-        return left.join(
-            right,
-            F.expr(
-                f"bucket = bucket_b AND comp < comp_b"
-                f" AND 100 * least(n, n_b) >= {self.percent} * greatest(n, n_b)"
-                f" AND arrays_overlap(slice(first, 1, {length}), slice(first_b, 1, {length_b}))"
-                f" AND bucket = array_min(array_intersect(buckets, buckets_b))"
-            ),
-        ).select(*_ordered(F.col("node"), F.col("node_b")))
+        return (
+            left.join(
+                right,
+                F.expr(
+                    f"run = run_b AND comp < comp_b"
+                    f" AND 100 * least(n, n_b) >= {self.percent} * greatest(n, n_b)"
+                    f" AND at < {length} AND at_b < {length_b}"
+                    f" AND arrays_overlap(buckets, buckets_b)"
+                ),
+            )
+            .select(*_ordered(F.col("node"), F.col("node_b")))
+            .distinct()
+        )
 
     def _prefix(self, own: str, other: str, kind: str) -> str:
         """SQL of the number of first runs in which a set of ``own`` runs must meet one of ``other`` runs.

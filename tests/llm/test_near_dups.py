@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from brute import near_components, shingle_set
 
-from rollcall.llm.near_dups import components, deduplicated, near_duplicates, sketches
+from rollcall.llm.near_dups import _Search, components, deduplicated, near_duplicates, sketches
 from rollcall.llm.queries import QUERIES
 
 
@@ -100,3 +100,26 @@ def test_components_of_a_path(spark, n):
 
 def test_shingle_sets_have_the_right_sizes():
     assert len(shingle_set("A b c d e", 4)) == 2 and len(shingle_set("a b", 4)) == 1
+
+
+def test_open_pairs_meet_by_their_first_runs(spark):
+    """Variants that lie below 0.8 to one another are not tried pair by pair within a bucket."""
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join(base[:165] + [f"x{k}y{j}" for j in range(35)])) for k in range(40)]
+    # Two of them share their change.
+    rows.append((40, rows[7][1] + " end"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    search = _Search(df, 4, 80)
+    labels = search.classes.select("node", search.classes.node.alias("comp"))
+    pairs = search.open_pairs(labels)
+    joins = [x for x in pairs._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x]
+    assert joins and "run" in joins[0] and "bucket#" not in joins[0].split("Inner")[0]
+    assert pairs.count() == 1
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(df, 4, 80).collect()}
+    assert got == near_components(rows, 4, 80) and got[40][1] == 7
+
+
+def test_similarities_that_the_bands_would_lose_are_refused(spark):
+    df = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="80"):
+        near_duplicates(df, percent=50)
