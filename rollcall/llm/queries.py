@@ -1,4 +1,4 @@
-"""The queries op1 to op10, and the SQL they must agree with where SQL can express them."""
+"""The queries op1 to op13, and the SQL they must agree with where SQL can express them."""
 
 from __future__ import annotations
 
@@ -15,7 +15,10 @@ from rollcall.llm.html_extract import extracted
 from rollcall.llm.mixing import place_documents, position
 from rollcall.llm.near_dups import near_duplicates
 from rollcall.llm.sharding import shard_records
+from rollcall.llm.source_audit import MIN_DOCUMENTS, TOP_TERMS, audited
+from rollcall.llm.token_counts import count_tokenizer, counted
 from rollcall.llm.token_store import token_digest
+from rollcall.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, coded_vectors
 from rollcall.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -298,3 +301,102 @@ def op10_fast_sketch_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the near-duplicate component they belong to (four-word shingles, 0.8)."""
     docs = table(spark, sf_dir, "documents")
     return near_duplicates(docs, width=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op11_two_tier_counts")
+def op11_two_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their bytes and tokens."""
+    rows = counted(table(spark, sf_dir, "documents"), count_tokenizer())
+    return rows.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def _op12_sql() -> str:
+    steps = []
+    for k in range(ROUNDS + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT r, part, (best % {ENTRIES})::BIGINT AS entry, (best // {ENTRIES})::BIGINT AS far
+  FROM (SELECT r, part, min(far * {ENTRIES} + entry) AS best
+        FROM (SELECT r, part, entry, sum((v - c) * (v - c)) AS far
+              FROM places JOIN book{k} USING (part, place) GROUP BY ALL) GROUP BY ALL))""")
+        if k < ROUNDS:
+            steps.append(f"""
+book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.place, coalesce((s - ((s % n) + n) % n) // n, c)::BIGINT AS c
+  FROM book{k} b LEFT JOIN (
+    SELECT part, entry, place, sum(v)::BIGINT AS s, count(*) AS n
+    FROM places JOIN near{k} USING (r, part) GROUP BY ALL) m
+  ON b.part = m.part AND b.entry = m.entry AND b.place = m.place)""")
+    return rf"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, embedding AS e, row_number() OVER (ORDER BY vec_id) - 1 AS r, len(embedding) // {PARTS} AS width
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+places AS MATERIALIZED (
+  SELECT r, (i - 1) // width AS part, (i - 1) % width AS place, floor({SCALE} * e[i]::DOUBLE)::BIGINT AS v
+  FROM (SELECT r, e, width, unnest(range(1, len(e) + 1)) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, r AS entry, place, v AS c FROM places WHERE r < {ENTRIES}),
+{",".join(steps)},
+coded AS (
+  SELECT r, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(far)::BIGINT AS error
+  FROM near{ROUNDS} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{ROUNDS}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
+@query("op12_active_lloyd", _op12_sql())
+def op12_active_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors with their codes and the errors of these."""
+    return coded_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+grouped AS (SELECT DISTINCT lang, source FROM docs),
+counted AS MATERIALIZED (
+  SELECT lang, source, term, sum(n)::BIGINT AS n, count(*) AS documents
+  FROM (SELECT r, lang, source, term, count(*) AS n
+        FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs)
+        GROUP BY ALL)
+  GROUP BY ALL),
+kept AS MATERIALIZED (
+  SELECT lang, term, sum(n)::BIGINT AS n FROM counted GROUP BY ALL HAVING sum(documents) >= {MIN_DOCUMENTS}),
+langs AS (
+  SELECT l.lang, count(term) AS v, coalesce(sum(n), 0)::BIGINT AS total
+  FROM (SELECT DISTINCT lang FROM grouped) l LEFT JOIN kept USING (lang) GROUP BY ALL),
+cells AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM grouped g JOIN kept k USING (lang) LEFT JOIN counted c
+    ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT lang, source, sum(n)::BIGINT AS total FROM cells GROUP BY ALL),
+shares AS MATERIALIZED (
+  SELECT c.lang, c.source, term, n, 1 + (1000000000 * (n + 2)) // (s.total + 2 * v) AS p,
+         1 + (1000000000 * (lang_n + 2)) // (l.total + 2 * v) AS q
+  FROM cells c JOIN sums s ON c.lang = s.lang AND c.source = s.source JOIN langs l ON c.lang = l.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0)::BIGINT AS value
+  FROM grouped a JOIN grouped b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS f
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) m
+  ON m.lang = a.lang AND m.source = a.source AND m.item = b.source),
+overused AS (
+  SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term' AS part, item, value,
+       (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM overused
+QUALIFY rank <= {TOP_TERMS}
+"""
+
+
+@query("op13_source_audit", OP13_SQL)
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources with the other sources of their language and their overused terms."""
+    return audited(table(spark, sf_dir, "documents"))
