@@ -27,7 +27,7 @@ _ASKED = ((0, 0x3400), (0xF900, 0x10000), (0x1F000, 0x1FB00))
 _ALL_LETTERS = ((0x3400, 0x4DB6), (0x4E00, 0x9FF0), (0xAC00, 0xD7A4))
 
 #: Code points below this have a class; texts with others, or with unknown ones, go through the tokenizer whole.
-_CLASSED = 0x1FB00
+CLASSED = 0x1FB00
 
 #: Bytes of a piece that fit into a key; longer pieces are kept by their bytes.
 KEY_BYTES = 15
@@ -46,7 +46,7 @@ _CONTRACTIONS_2 = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
 def char_classes(pre_tokenizer) -> np.ndarray:
     """The class of code points, found by how the tokenizer cuts probes of two characters."""
     points = [c for begin, end in _ASKED for c in range(begin, end)]
-    classes = np.full(_CLASSED, UNKNOWN, np.uint8)
+    classes = np.full(CLASSED, UNKNOWN, np.uint8)
     classes[points] = SPACE
     for begin, end in _ALL_LETTERS:
         classes[begin:end] = LETTER
@@ -118,8 +118,8 @@ class Cutter:
         else:
             leads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             first, last = leads[begins], leads[ends]
-        kinds = self.classes[np.minimum(points, _CLASSED - 1)]
-        kinds[points >= _CLASSED] = UNKNOWN
+        kinds = self.classes[np.minimum(points, CLASSED - 1)]
+        kinds[points >= CLASSED] = UNKNOWN
         whole = np.zeros(n_segments, bool)
         strange = np.flatnonzero(kinds == UNKNOWN)
         if len(strange):
@@ -130,7 +130,7 @@ class Cutter:
                 whole[np.searchsorted(ends, at, side="right")] = True
                 at = text.find(special, at + 1)
         if self.lower is not None:
-            points = self.lower[np.minimum(points, _CLASSED - 1)]
+            points = self.lower[np.minimum(points, CLASSED - 1)]
             raw = np.frombuffer(points.astype("<u4").tobytes().decode("utf-32-le", "replace").encode(), np.uint8)
         starts = self._starts(points, kinds, first[first < last])
         owner = np.searchsorted(last, starts, side="right")

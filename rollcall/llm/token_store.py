@@ -4,16 +4,17 @@ Files of a store, all under one folder that every executor sees:
 
 * ``ids/``: one payload file per range of the order asked for. A 16-byte header (magic ``RIDS``, version, bytes per
   id), then little-endian ids without gaps; by default documents stand in ascending doc_id order (null last).
-* ``entries/``: a row per document, written by Spark: which file, where in it, how many ids. A payload file counts
-  only if rows of the same task attempt name it, so files of lost attempts are never read.
-* ``shards/``: a row per payload file with the number of ids before it.
+* ``entries/``: a row per document, written by Spark: its key, which file, where in it, how many ids.
+* ``shards/``: a row per payload file with the number of ids before it. A payload file counts only if the rows of the
+  same task attempt name it, so files of lost attempts are never read.
 * ``index/``: a row per bucket of keys. A bucket holds a minimal perfect hash of its keys and, in hash order, a
   fingerprint of each key with its shard, offset and length: a lookup reads one bucket and one entry of it.
 
 Keys are (doc_id, repeat): the n-th row of a doc_id has repeat n - 1, so repeated and null doc_ids have keys too.
 
-Defined cases: null and empty texts are encoded as the end id alone; an empty table makes an empty store. Only ``doc_id`` and
-``text`` are read.
+Defined cases: null and empty texts are encoded as the end id alone; very long texts are encoded in parts; rows with equal doc_ids are
+stored each by itself, in the order of their texts' hashes; an empty table makes an empty store. Only ``doc_id`` and ``text`` are
+read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -35,22 +37,35 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import ship_package
+from rollcall.llm.pieces import (
+    CLASSED,
+    LETTER,
+    NUMBER,
+    OTHER,
+    SPACE,
+    UNKNOWN,
+    Cutter,
+    PieceLookup,
+    slices_of,
+    special_strings,
+)
 from rollcall.operators.ordering import ranked
+from rollcall.session import drop_paths
 
 HEADER_BYTES = 16
 MAGIC, VERSION = b"RIDS", 1
 
-#: Pieces whose ids a worker remembers, and keys per index bucket (on average).
-CACHED_PIECES = 300_000
+#: Pieces whose ids a worker remembers, bytes of long ones among them, and keys per index bucket (on average).
+CACHED_PIECES = 500_000
+CACHED_BYTES = 32 << 20
 BUCKET_KEYS = 50_000
 READ_BYTES = 4 << 20
 
 # ASCII, Latin-1, Latin Extended-A but for the dotted capital I, and general punctuation; their letters
-# and numbers; the tokenizer's cut of lower-cased text.
-_SIMPLE = "[\t-\r -~\xa0-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e]*+"
+# and numbers.
+_SIMPLE = "[\t-\r -~\xa0-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e]"
 _LETTERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
-_PIECE = rf"[{_LETTERS}]++|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]++"
 
 
 def _header(width: int) -> bytes:
@@ -65,12 +80,29 @@ def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def _simple_letters() -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the characters whose case and kind are the tokenizer's by :data:`_SIMPLE`, and their lower case."""
+    classes = np.full(CLASSED, UNKNOWN, np.uint8)
+    lower = np.arange(CLASSED, dtype=np.uint32)
+    for kind, rule in ((OTHER, _SIMPLE), (LETTER, f"[{_LETTERS}]"), (NUMBER, f"[{_NUMBERS}]"), (SPACE, r"\s")):
+        matches = re.compile(rule).fullmatch
+        for point in range(0x2100):
+            if classes[point] != UNKNOWN or kind == OTHER:
+                if matches(chr(point)):
+                    classes[point] = kind
+    for point in np.flatnonzero(classes != UNKNOWN):
+        lower[point] = ord(chr(point).lower())
+    return classes, lower
+
+
 class PieceEncoder:
     """Ids of texts as bytes. The tokenizer works inside pieces of words, so ids of pieces seen before are looked up.
 
     The tokenizer cuts a lower-cased text into contractions, runs of letters, single digits and runs of other characters,
     and encodes each by itself. Texts of Latin letters, digits and punctuation, on which Python's rules for
     case and letters are the tokenizer's, are cut here; any other text goes through the tokenizer whole.
+
+    Ids of known pieces lie one after another in ``pool``; a piece's number tells where.
     """
 
     def __init__(self, tokenizer_json: str, width: int):
@@ -81,28 +113,57 @@ class PieceEncoder:
         self.pieces = Tokenizer.from_str(tokenizer_json)
         self.pieces.normalizer = normalizers.Sequence([])
         self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.code = {2: "H", 4: "I"}[width]
-        self.simple = re.compile(_SIMPLE)
-        self.cut = re.compile(_PIECE).findall if _cuts_so(tokenizer_json) else None
-        self.known: dict[str, bytes] = {}
-
-    def packed(self, ids: list[int]) -> bytes:
-        return array(self.code, ids).tobytes()
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        pieces = [
-            self.cut(t.lower()) if self.cut and self.simple.fullmatch(t) and "<|" not in t else None for t in texts
-        ]
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        new = list(set().union(*filter(None, pieces)).difference(self.known))
-        encoded = self.pieces.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, (self.packed(e.ids) for e in encoded), strict=True))
-        for own, text in zip(pieces, texts, strict=True):
-            if own is None:
-                yield self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            else:
-                yield b"".join(map(self.known.__getitem__, own))
+        self.kind = np.dtype(f"<u{width}")
+        classes, lower = _simple_letters()
+        if not _cuts_so(tokenizer_json):
+            classes[:] = UNKNOWN
+        self.cutter = Cutter(classes, join_space=False, lower=lower, specials=special_strings(tokenizer_json))
+        self.lookup = PieceLookup(self._remember, limit=CACHED_PIECES, limit_bytes=CACHED_BYTES, forget=self._empty)
+        self._empty()
+
+    def _empty(self) -> None:
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _remember(self, pieces: list[bytes]) -> list[int]:
+        """Numbers of new pieces, whose ids join the pool."""
+        found = self.pieces.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        ids = [e.ids for e in found]
+        lengths = np.array([len(x) for x in ids], np.int64)
+        need = self.used + int(lengths.sum())
+        if need > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(need, self.kind)])
+        first = len(self.begin)
+        self.begin = np.concatenate([self.begin, self.used + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.pool[self.used : need] = np.concatenate([np.array(x, self.kind) for x in ids])
+        self.used = need
+        return list(range(first, first + len(pieces)))
+
+    def _stretches(self, column: pa.Array) -> Iterator[tuple[int, bytes]]:
+        """(text number, ids) of consecutive stretches of texts."""
+        for raw, begin, text in slices_of(column):
+            cut = self.cutter.cut(raw, begin)
+            number = self.lookup.numbers(cut) if len(cut.starts) else np.zeros(0, np.int32)
+            lengths = self.length[number]
+            ends = np.cumsum(lengths)
+            place = np.arange(int(lengths.sum())) + np.repeat(self.begin[number] - (ends - lengths), lengths)
+            ids = self.pool[place].tobytes()
+            upto = np.concatenate([[0], ends])[np.searchsorted(cut.owner, np.arange(len(text) + 1))] * self.kind.itemsize
+            whole = set(cut.whole.tolist())
+            stops = np.append(begin[1:], len(raw))
+            for k, number_of in enumerate(text.tolist()):
+                if k in whole:
+                    part = raw[begin[k] : stops[k]].tobytes().decode()
+                    own = self.tokenizer.encode(part, add_special_tokens=False).ids
+                    yield number_of, np.array(own, self.kind).tobytes()
+                else:
+                    yield number_of, ids[upto[k] : upto[k + 1]]
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        column = texts if isinstance(texts, pa.Array | pa.ChunkedArray) else pa.array(texts, pa.string())
+        for _, parts in groupby(self._stretches(column), key=itemgetter(0)):
+            yield b"".join(ids for _, ids in parts)
 
 
 def _cuts_so(tokenizer_json: str) -> bool:
@@ -144,10 +205,10 @@ def _writer(tokenizer_json: str, folder: str, end_id: int, width: int):
                 files.create_dir(root, recursive=True)
                 out = files.open_output_stream(f"{root}/{name}")
                 out.write(_header(width))
-            for first in range(0, batch.num_rows, 128):
-                part = batch.slice(first, 128)
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
                 lengths, offsets = [], []
-                for payload in encoder.encode(part.column("text").to_pylist()):
+                for payload in encoder.encode(part.column("text")):
                     out.write(payload + end)
                     offsets.append(at)
                     lengths.append(len(payload) // width + 1)
@@ -201,24 +262,23 @@ def write_store(
             _writer(spark.sparkContext.broadcast(tokenizer_json), f"{path}/ids", end_id, width),
             f"doc_id {doc_type}, shard int, file string, nth long, offset long, n_tokens long",
         )
-        .write.parquet(f"{path}/entries")
+        .write.parquet(f"{path}/encoded")
     )
-    entries = spark.read.parquet(f"{path}/entries")
+    encoded = spark.read.parquet(f"{path}/encoded")
     # One row per payload file.
-    files = entries.groupBy("shard", "file").agg(
+    files = encoded.groupBy("shard", "file").agg(
         F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs")
     )
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     files.withColumn("start", F.sum("n_tokens").over(before) - F.col("n_tokens")).withColumn(
         "width", F.lit(width)
     ).write.parquet(f"{path}/shards")
-    _write_index(_keyed(entries), path)
-
-
-def _keyed(entries: DataFrame) -> DataFrame:
-    """Entries with ``repeat``, the number of earlier rows of the same doc_id in the store."""
-    slim = entries.select("doc_id", "shard", "nth", "offset", "n_tokens")
-    return ranked(slim, [F.col("shard"), F.col("nth")], out="repeat", by=["doc_id"])
+    # ``repeat`` is the number of earlier rows of the same doc_id in the store.
+    slim = encoded.select("doc_id", "shard", "nth", "offset", "n_tokens")
+    numbered = ranked(slim, [F.col("shard"), F.col("nth")], out="repeat", by=["doc_id"])
+    numbered.write.parquet(f"{path}/entries")
+    drop_paths(spark, [f"{path}/encoded"])
+    _write_index(spark.read.parquet(f"{path}/entries"), path)
 
 
 def key_hashes(doc_id: Column, repeat: Column) -> list[Column]:
@@ -406,7 +466,7 @@ def read_ids(places: DataFrame, path: str, payload: bool = True) -> DataFrame:
 
 def stored_keys(spark: SparkSession, path: str) -> DataFrame:
     """The keys (doc_id, repeat) of all stored documents."""
-    return _keyed(spark.read.parquet(f"{path}/entries")).select("doc_id", "repeat")
+    return spark.read.parquet(f"{path}/entries").select("doc_id", "repeat")
 
 
 def token_digest(
