@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.operators.ordering import exact_quantiles, ranked
+from rollcall.operators.boosting import Models, Spec, fit_many, score_many
+from rollcall.operators.ordering import exact_quantiles, permuted, ranked
 from rollcall.operators.quality import calibration, roc_auc
 from rollcall.schema import FEATURE_COLUMNS
 from rollcall.session import materialize, scratch_path
@@ -33,6 +35,11 @@ def model_input(features: DataFrame, numeric: Sequence[str] = NUMERIC) -> DataFr
     return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in numeric})
 
 
+def labelled(features: DataFrame) -> DataFrame:
+    """Numeric label; missing numbers stay missing, as histogram boosting takes them."""
+    return features.withColumn("label", (F.col("missed") == "missed").cast("double"))
+
+
 def group_folds(
     df: DataFrame, group: str, label: str = "label", k: int = 5, out: str = "fold"
 ) -> DataFrame:
@@ -50,6 +57,75 @@ def group_folds(
     return df.join(dealt.select(group, fold.alias(out)), group)
 
 
+def greedy_fold_plan(
+    classes: Sequence[tuple[int, int, int]], k: int
+) -> list[list[tuple[int, int, list[int]]]]:
+    """Folds of groups, chosen one group after the other so that class shares are spread least over folds.
+
+    ``classes``: (positives, rows, groups) of the kinds of groups. Groups go by the spread of their two class counts, widest
+    first, then in the order of ``classes``; each joins the fold that leaves the least mean spread (over both classes) of the
+    folds' shares of a class, of equal ones the fold with the fewest rows, then the first.
+
+    Returns per class its stretches (first, groups, folds): the group numbered ``first + i`` joins ``folds[i % len(folds)]``.
+    Once k groups of a class in a row have joined k different folds, the folds stand to each other as before, so the same turn repeats
+    for the rest of the class: the work grows with the kinds of groups, not with the groups.
+    """
+    totals = np.maximum(1, [sum((n - p) * m for p, n, m in classes), sum(p * m for p, n, m in classes)])
+    held = np.zeros((k, 2), np.int64)
+    plan: list[list[tuple[int, int, list[int]]]] = [[] for _ in classes]
+
+    def choose(counts: np.ndarray) -> int:
+        tried = np.repeat(held[None], k, axis=0)
+        tried[np.arange(k), np.arange(k)] += counts
+        spread = np.std(tried / totals, axis=1).mean(axis=1)
+        near = np.flatnonzero(spread <= spread.min() + 1e-9)
+        return int(near[held[near].sum(axis=1).argmin()])
+
+    for i in sorted(range(len(classes)), key=lambda i: (-abs(classes[i][1] - 2 * classes[i][0]), i)):
+        positives, rows, groups = classes[i]
+        counts, done, turn = np.array([rows - positives, positives]), 0, []
+        while done < groups:
+            turn.append(choose(counts))
+            held[turn[-1]] += counts
+            plan[i].append((done, 1, turn[-1:]))
+            done += 1
+            if len(set(turn[-k:])) == k:
+                rest = groups - done
+                held += counts * (rest // k)
+                held[turn[-k:][: rest % k]] += counts
+                if rest:
+                    plan[i].append((done, rest, turn[-k:]))
+                break
+    return plan
+
+
+def stratified_folds(df: DataFrame, group: str, label: str = "label", k: int = 5, out: str = "fold") -> DataFrame:
+    """Add a fold number: one fold per group, with the folds of :func:`greedy_fold_plan`.
+
+    The greedy choice needs the number of groups of each kind (positives, rows) only; groups of a kind are numbered by a
+    distributed ranking and find their fold by their number. Groups with equal counts go by their value. Missing labels count
+    as negative, a missing group is a group.
+    """
+    positives = F.sum(F.coalesce(F.col(label).cast("long"), F.lit(0)))
+    sizes = df.groupBy(group).agg(positives.alias("_positives"), F.count(F.lit(1)).alias("_rows"))
+    numbered = ranked(sizes, [F.col(group)], "_rank", by=["_positives", "_rows"])
+    # One row per kind of group.
+    kinds = numbered.groupBy("_positives", "_rows").agg(F.count(F.lit(1)).alias("n")).orderBy("_positives", "_rows").collect()
+    plan = greedy_fold_plan([tuple(r) for r in kinds], k)
+    stretches = [
+        (r[0], r[1], first, first + n, folds) for r, own in zip(kinds, plan, strict=True) for first, n, folds in own
+    ]
+    table = df.sparkSession.createDataFrame(
+        stretches, "_positives long, _rows long, _first long, _end long, _folds array<int>"
+    )
+    inside = (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end"))
+    turn = F.pmod(F.col("_rank") - F.col("_first"), F.size("_folds")).cast("int")
+    folds = numbered.join(table, ["_positives", "_rows"]).where(inside).select(
+        F.col(group).alias("_of"), F.get(F.col("_folds"), turn).alias(out)
+    )
+    return df.join(folds, F.col(group).eqNullSafe(F.col("_of"))).drop("_of")
+
+
 def boosted_trees(
     numeric: Sequence[str] = NUMERIC,
     categorical: Sequence[str] = CATEGORICAL,
@@ -316,6 +392,105 @@ def per_group_models(
     return _union(parts)
 
 
+# --- many boosted models at once ----------------------------------------------
+
+
+def candidate_scores(
+    train: DataFrame,
+    iterations: Sequence[int] = ITERATIONS,
+    rates: Sequence[float] = LEARNING_RATES,
+    fold: str = "fold",
+    k: int = 5,
+    numeric: Sequence[str] = NUMERIC,
+    categorical: Sequence[str] = CATEGORICAL,
+) -> DataFrame:
+    """Every row under each candidate's model of the other folds: (label, fold, step, max_iter, prediction).
+
+    One model per (rate, fold) with the most rounds; fewer rounds are read off it.
+    """
+    names = {f"{rate!r} {i}": (rate, i) for rate in rates for i in range(k)}
+    specs = [Spec(n, F.col(fold) != i, rate, max(iterations)) for n, (rate, i) in names.items()]
+    models = fit_many(train, specs, numeric, categorical)
+    asked = [(n, iterations, F.col(fold) == i) for n, (_, i) in names.items()]
+    scored = score_many(models, train, ["label", fold], asked)
+    step = F.split("model", " ")[0].cast("double")
+    return scored.select("label", fold, step.alias("step"), F.col("rounds").alias("max_iter"), "prediction")
+
+
+def scored_metrics(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+    """AUC, precision and recall (threshold one half) of scored rows per group; an undefined one is missing."""
+    chosen = F.col("prediction") > 0.5
+    both = F.count(F.when(chosen & (F.col("label") == 1), 1))
+    counts = scored.groupBy(*by).agg(
+        F.try_divide(both, F.count(F.when(chosen, 1))).alias("precision"),
+        F.try_divide(both, F.count(F.when(F.col("label") == 1, 1))).alias("recall"),
+    )
+    return roc_auc(scored, "prediction", "label", list(by)).join(counts, list(by))
+
+
+def candidate_metrics(scored: DataFrame, fold: str = "fold") -> DataFrame:
+    """(max_iter, step, auc, precision, recall): a candidate's means over the held-out folds.
+
+    A fold without a defined precision or recall counts as 0, one without AUC as missing.
+    """
+    per_fold = scored_metrics(materialize(scored, "candidates"), ["max_iter", "step", fold])
+    return per_fold.groupBy("max_iter", "step").agg(
+        F.avg("auc").alias("auc"),
+        F.avg(F.coalesce("precision", F.lit(0.0))).alias("precision"),
+        F.avg(F.coalesce("recall", F.lit(0.0))).alias("recall"),
+    )
+
+
+def evaluated_choice(
+    train: DataFrame,
+    test: DataFrame,
+    iterations: Sequence[int] = ITERATIONS,
+    rates: Sequence[float] = LEARNING_RATES,
+    n_bins: int = 10,
+    **inputs,
+) -> DataFrame:
+    """The candidate with the best mean AUC (of equal ones the first of the grid), fitted on all of ``train``, on ``test``.
+
+    A row per calibration bin, each with the chosen parameters and the AUC of all of ``test``.
+    """
+    found = candidate_metrics(candidate_scores(train, iterations, rates, **inputs))
+    # One row per candidate.
+    order = [F.col("auc").desc_nulls_last(), "max_iter", "step"]
+    best = found.orderBy(*order).select("max_iter", "step").first()
+    columns = {c: inputs[c] for c in ("numeric", "categorical") if c in inputs}
+    spec = Spec("chosen", F.lit(True), best["step"], best["max_iter"])
+    models = fit_many(train, [spec], columns.get("numeric", NUMERIC), columns.get("categorical", CATEGORICAL))
+    scored = materialize(score_many(models, test, ["label"], [("chosen", None, F.lit(True))]), "held-out")
+    auc = roc_auc(scored, "prediction", "label").first()["auc"]
+    return calibration(scored, "prediction", "label", n_bins).select(
+        F.lit(best["max_iter"]).alias("max_iter"),
+        F.lit(best["step"]).alias("step"),
+        F.lit(auc).cast("double").alias("test_auc"),
+        "bucket",
+        "prob_pred",
+        "prob_true",
+        "n",
+    )
+
+
+def group_models(
+    df: DataFrame,
+    group: str,
+    keep: Sequence[str],
+    others: bool = False,
+    numeric: Sequence[str] = NUMERIC,
+    categorical: Sequence[str] = CATEGORICAL,
+    rounds: int = 300,
+) -> DataFrame:
+    """Every row under the model of its own group, or of all other groups: (keep..., prediction)."""
+    values = group_values(df, group)
+    own = [F.col(group) == v for v in values]
+    specs = [Spec(str(k), ~c if others else c, rounds=rounds) for k, c in enumerate(own)]
+    models = fit_many(df, specs, numeric, categorical)
+    scored = score_many(models, df, keep, [(s.name, None, c) for s, c in zip(specs, own, strict=True)])
+    return scored.drop("model", "rounds")
+
+
 # --- importances ------------------------------------------------------------
 
 
@@ -374,6 +549,46 @@ def permutation_importance(
     )
 
 
+def exchange_importance(
+    models: Models, df: DataFrame, key: str, name: str, repeats: int = 10, seed: int = 42
+) -> DataFrame:
+    """(feature, importance, std): loss of accuracy when a feature's values are exchanged between rows.
+
+    Every feature and repeat has a random permutation of its own. A row hands each of its values on to the row that the
+    permutation names, so values move once, and all variants are scored in one pass.
+    """
+    features = models.bins.names
+    placed = ranked(df.select(key, "label", *features), [F.col(key)], "_rank")
+    n = placed.count()
+    gifts = F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("feature"),
+                F.lit(repeat).alias("repeat"),
+                F.lit(f"{seed} {repeat} {f}").alias("order"),
+                F.col(f).cast("string").alias("value"),
+            )
+            for f in features
+            for repeat in range(repeats)
+        ]
+    )
+    given = placed.select("_rank", F.explode(gifts).alias("_g")).select(
+        permuted(F.col("_rank"), n, F.col("_g.order")).alias("_rank"), "_g.feature", "_g.repeat", "_g.value"
+    )
+    kinds = dict(placed.dtypes)
+    taken = [
+        F.when(F.col("feature") == f, F.col("value").cast(kinds[f])).otherwise(F.col(f)).alias(f) for f in features
+    ]
+    mixed = given.join(placed.drop(key), "_rank").select("label", "feature", "repeat", *taken)
+    right = F.avg(((F.col("prediction") > 0.5) == (F.col("label") == 1)).cast("double"))
+    whole = [(name, None, F.lit(True))]
+    base = score_many(models, df, ["label"], whole).agg(right).first()[0]
+    drops = score_many(models, mixed, ["label", "feature", "repeat"], whole).groupBy("feature", "repeat").agg(
+        (F.lit(base) - right).alias("loss")
+    )
+    return drops.groupBy("feature").agg(F.avg("loss").alias("importance"), F.stddev_pop("loss").alias("std"))
+
+
 def tree_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Impurity importances by input name; one row per model input."""
     assembler, trees = model.stages[-2], model.stages[-1]

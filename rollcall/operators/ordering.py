@@ -90,6 +90,53 @@ def ranked(
     )
 
 
+#: Rounds of the network in :func:`permuted`.
+MIXING_ROUNDS = 4
+
+
+def permutation_sides(n: int) -> tuple[int, int]:
+    """Sides of the smallest near-square grid of :func:`permuted` that holds n places."""
+    side = math.isqrt(max(n - 1, 0)) + 1
+    return side, max(1, -(-n // side))
+
+
+def permuted(rank: Column, n: int, key: Column | str) -> Column:
+    """A pseudo-random bijection of the ranks 0 .. n - 1, one per ``key`` (text), without a sort.
+
+    A Feistel network whose halves are the column and the row of a grid of just over n places permutes the grid; a rank that leaves
+    0 .. n - 1 is sent through again until it is back inside, so ranks inside map one to one. At most a grid's side of places lie
+    outside, so a walk of many steps is as unlikely as many hits of a rare place in a row: the steps allowed
+    leave a chance below 2**-100 that any rank is still outside (its result would be missing).
+    """
+    side, rows = permutation_sides(n)
+    outside = side * rows - n
+    steps = 1 if not outside else min(outside + 1, 1 + math.ceil((100 + math.log2(n)) / math.log2(side * rows / outside)))
+    key = F.lit(key) if isinstance(key, str) else key
+
+    def mixed(value: Column, turn: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", key, turn.cast("string"), value.cast("string")))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+    def through(state: Column, turn: Column) -> Column:
+        even = turn % 2 == 0
+        return F.struct(
+            F.when(even, (state["l"] + mixed(state["r"], turn)) % side).otherwise(state["l"]).alias("l"),
+            F.when(even, state["r"]).otherwise((state["r"] + mixed(state["l"], turn)) % rows).alias("r"),
+        )
+
+    def network(state: Column, _: Column) -> Column:
+        x = state["x"]
+        start = F.struct((x % side).alias("l"), F.call_function("div", x, F.lit(side).cast("long")).alias("r"))
+        turns = F.sequence(F.lit(0), F.lit(MIXING_ROUNDS - 1))
+        end = F.aggregate(turns, start, through, lambda s: s["r"] * side + s["l"])
+        done = state["moved"] & (x < n)
+        return F.struct(F.when(done, x).otherwise(end).alias("x"), F.lit(True).alias("moved"))
+
+    begin = F.struct(rank.cast("long").alias("x"), F.lit(False).alias("moved"))
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), begin, network, lambda s: s["x"])
+    return F.when(end < n, end)
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[Column],

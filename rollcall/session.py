@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,23 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="rollcall-")) / "rollcall-core.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for materialised intermediates, visible to every executor.
 

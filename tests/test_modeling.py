@@ -1,12 +1,12 @@
 """Folds, splines, training and importances on a small table."""
 
-import inspect
+import dataclasses
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators import modeling
+from rollcall.operators import boosting, modeling
 from rollcall.plans import bases, models
 
 NUMERIC = ("a", "b")
@@ -118,20 +118,24 @@ def test_held_out_evaluation(rows):
 
 def test_queries_ask_for_production_rounds_and_score_the_planned(spark, monkeypatch):
     """The rounds that the queries ask for are recorded, and one is run."""
-    real, asked = modeling.boosted_trees, []
-    default = inspect.signature(real).parameters["max_iter"].default
+    real, asked = boosting.fit_many, []
 
-    def recorded(*args, max_iter=default, **kwargs):
-        asked.append(max_iter)
-        return real(*args, max_iter=1, **kwargs)
+    def recorded(df, specs, *args, **kwargs):
+        asked.append([s.rounds for s in specs])
+        return real(df, [dataclasses.replace(s, rounds=1) for s in specs], *args, **kwargs)
 
-    monkeypatch.setattr(modeling, "boosted_trees", recorded)
+    monkeypatch.setattr(boosting, "fit_many", recorded)
+    monkeypatch.setattr(modeling, "fit_many", recorded)
     sf = "/root/testdata/sf0.001"
     scored = {r[models.KEY] for r in models.score(spark, sf).collect()}
     planned = bases.features(spark, sf, ["status"]).where("status = 'planned'")
     # The planned ones are the newest, and fewer than the test share.
     assert scored == {r.APP_ID for r in planned.collect()} and scored
-    others = ["tree_importance", "permutation_importance", "per_clinic_models", "leave_one_group_out", "cross_validated_metrics"]
-    for name in others:
-        getattr(models, name)(spark, sf)
-    assert len(asked) > len(others) and min(asked) >= min(modeling.ITERATIONS)
+    models.tree_importance(spark, sf)
+    models.per_clinic_models(spark, sf)
+    models.leave_one_group_out(spark, sf)
+    models.cross_validated_metrics(spark, sf)
+    assert {n for rounds in asked for n in rounds} == {300}
+    asked.clear()
+    models.train_grid(spark, sf)
+    assert [len(a) for a in asked] == [15] and set(asked[0]) == {max(modeling.ITERATIONS)}
