@@ -9,19 +9,27 @@ A document holds a benchmark item if some stretch of its words turns into the it
   moves on by a random bit of the word it stands on. Walks over similar texts fall into step again after
   an edit, so edit distance becomes Hamming distance.
 * Bit sampling: each of REPETITIONS walks is sampled at SAMPLES places; equal samples make a candidate.
-* Candidates are verified by the exact edit distance to the best stretch around the window.
+* Candidates are verified by the exact edit distance of the whole item to the best stretch around the windows.
 
-The benchmark is cut into blocks of at most MAX_BLOCK_WORDS words (on average; whole items); each block is
-broadcast and compared with all documents, so its size is bounded however large the benchmark is.
+Items longer than MAX_PIECE words are looked for by their pieces: were every piece changed by more than EDIT_SHARE of its words,
+the item would be, too, so one piece at least is within its own limit. Pieces only say where to look; one rule holds for items
+of any length. Items of up to four words have a limit of 0 and are found where they stand word by word.
 
-Defined cases: null and empty texts hold nothing; items of fewer than MIN_ITEM_WORDS words are not searched,
-items of over MAX_PIECE words are searched in pieces, each of which counts; equal items and repeated rows are
-reported each; empty tables find nothing. A-Z count as a-z.
+The benchmark is cut into blocks of at most MAX_BLOCK_WORDS words (on average; whole items). A task builds each block's
+index and writes it to the shared folder, from which the tasks that scan documents read it, one at a time; the driver sees file
+names only.
+
+Defined cases: null and empty texts hold nothing, null and empty items are in nothing; equal items and repeated rows are
+reported each; of equally near places of an item in a document the first is told; very long texts are scanned as a whole, and
+long items compared as a whole; empty tables find nothing. A-Z count as a-z. Only ``doc_id`` and ``text``, ``item_id`` and ``text`` are read;
+:func:`clean_documents` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import ship_package, word_count
+from rollcall.llm.token_store import file_system
 from rollcall.llm.wordnum import U64, find_words, hash_words, mix64, slices, text_bytes
+from rollcall.session import scratch_path
 
 EDIT_SHARE = 0.2
-MIN_ITEM_WORDS = 5
 MAX_PIECE = 128
 MAX_BLOCK_WORDS = 500_000
 
@@ -53,16 +62,19 @@ class BenchmarkIndex:
         raw, offsets = text_bytes(texts)
         starts, ends, at = find_words(raw, offsets)
         hashes = hash_words(raw, starts, ends)
+        self.items = [hashes[at[k] : at[k + 1]] for k in range(items.num_rows)]
+        self.ids = items.column("item_id").to_pylist()
         self.pieces: list[np.ndarray] = []
         self.owner: list[int] = []
-        for k in range(items.num_rows):
-            words = hashes[at[k] : at[k + 1]]
-            if len(words) < MIN_ITEM_WORDS:
-                continue
-            count = math.ceil(len(words) / MAX_PIECE)
-            for piece in np.array_split(words, count):
+        #: Words of the item before each piece.
+        self.before: list[int] = []
+        for k, words in enumerate(self.items):
+            offset = 0
+            for piece in np.array_split(words, math.ceil(len(words) / MAX_PIECE)) if len(words) else ():
                 self.pieces.append(piece)
                 self.owner.append(k)
+                self.before.append(offset)
+                offset += len(piece)
         self.limits = [int(EDIT_SHARE * len(p)) for p in self.pieces]
         rng = np.random.default_rng(20240229)
         longest = max((len(p) for p in self.pieces), default=1)
@@ -141,10 +153,12 @@ class BenchmarkIndex:
             first = np.maximum(hits - offset[which], at[doc])
             laid.append(np.stack([first, length[which], doc], axis=1))
         windows = np.unique(np.concatenate(laid), axis=0) if laid else np.zeros((0, 3), np.int64)
-        for k in range(0, len(windows), 256):
-            yield from self._verified(words, at, windows[k : k + 256])
+        met = [self._met(words, at, windows[k : k + 256]) for k in range(0, len(windows), 256)]
+        if met:
+            yield from self._verified(words, at, np.concatenate(met))
 
-    def _verified(self, words, at, windows) -> Iterator[tuple[int, int, int, int, int]]:
+    def _met(self, words, at, windows) -> np.ndarray:
+        """(document, item, word at which the item would begin) of windows that share a sampled key with a piece."""
         first, length, doc = windows.T
         columns = np.arange(length.max() + 1)
         place = first[:, None] + columns
@@ -156,13 +170,30 @@ class BenchmarkIndex:
         met = np.flatnonzero(count)
         piece = self.key_piece[np.repeat(low[met], count[met]) + _ranges(count[met])]
         window = np.repeat(met // REPETITIONS, count[met])
-        for w, p in np.unique(np.stack([window, piece], axis=1), axis=0).tolist():
-            limit, item = self.limits[p], self.pieces[p]
-            start = max(int(first[w]) - limit, int(at[doc[w]]))
-            stop = min(int(first[w]) + len(item) + limit, int(at[doc[w] + 1]))
+        pairs = np.unique(np.stack([window, piece], axis=1), axis=0)
+        window, piece = pairs[:, 0], pairs[:, 1]
+        owner, before = np.array(self.owner, np.int64), np.array(self.before, np.int64)
+        return np.stack([doc[window], owner[piece], first[window] - before[piece]], axis=1)
+
+    def _verified(self, words, at, met) -> Iterator[tuple[int, int, int, int, int]]:
+        """Exact distances; places of an item that lie near each other are looked at as one stretch."""
+        met = np.unique(met, axis=0)
+        begins = np.ones(len(met), bool)
+        if len(met) > 1:
+            room = np.array([2 * int(EDIT_SHARE * len(i)) + 1 for i in self.items])[met[1:, 1]]
+            near = (met[1:, :2] == met[:-1, :2]).all(axis=1) & (met[1:, 2] - met[:-1, 2] <= room)
+            begins[1:] = ~near
+        first = np.flatnonzero(begins)
+        last = np.append(first[1:], len(met)) - 1
+        for a, b in zip(first.tolist(), last.tolist(), strict=True):
+            doc, owner = int(met[a, 0]), int(met[a, 1])
+            item = self.items[owner]
+            limit, zero = int(EDIT_SHARE * len(item)), int(at[doc])
+            start = max(int(met[a, 2]) - limit, zero)
+            stop = min(int(met[b, 2]) + len(item) + limit, int(at[doc + 1]))
             edits, begin, size = best_stretch(item, words[start:stop])
             if edits <= limit:
-                yield int(doc[w]), self.owner[p], start + begin - int(at[doc[w]]), size, edits
+                yield doc, owner, start + begin - zero, size, edits
 
 
 def _ranges(counts: np.ndarray) -> np.ndarray:
@@ -199,20 +230,41 @@ def _last_row(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
-def index_blocks(benchmark: DataFrame) -> list[BenchmarkIndex]:
-    """Indexes of the benchmark's blocks; each is small enough to be sent to every executor."""
-    ship_package(benchmark.sparkSession)
+def index_blocks(benchmark: DataFrame) -> list[str]:
+    """Files of the indexes of the benchmark's blocks, in the shared folder; each is of bounded size."""
+    spark = benchmark.sparkSession
+    ship_package(spark)
     sized = benchmark.select("item_id", "text")
     total = sized.agg(F.coalesce(F.sum(word_count(F.col("text"))), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / MAX_BLOCK_WORDS))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    result = []
-    for k in range(blocks):
-        rows = sized.filter(block == k).toArrow()
-        index = BenchmarkIndex(rows)
-        index.ids = rows.column("item_id").to_pylist()
-        result.append(index)
-    return result
+    folder = scratch_path(spark, "benchmark-index")
+
+    def build(rows: pa.Table) -> pa.Table:
+        files, root = file_system(folder)
+        files.create_dir(root, recursive=True)
+        # A lost attempt's file is named by nobody.
+        name = f"{uuid.uuid4().hex}.index"
+        with files.open_output_stream(f"{root}/{name}") as out:
+            out.write(pickle.dumps(BenchmarkIndex(rows)))
+        return pa.table({"name": [name]})
+
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block")
+    built = sized.select("item_id", "text", block).groupBy("block").applyInArrow(build, "name string")
+    # One name per block.
+    return sorted(f"{folder}/{r['name']}" for r in built.collect())
+
+
+_LOADED: dict[str, BenchmarkIndex] = {}
+
+
+def _loaded(file: str) -> BenchmarkIndex:
+    """The index of a file; a worker process keeps the last one."""
+    if file not in _LOADED:
+        _LOADED.clear()
+        files, path = file_system(file)
+        with files.open_input_stream(path) as source:
+            _LOADED[file] = pickle.loads(source.read())
+    return _LOADED[file]
 
 
 def _hits(index: BenchmarkIndex, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
@@ -226,16 +278,14 @@ def _hits(index: BenchmarkIndex, column: pa.Array) -> Iterator[tuple[int, int, i
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, edits): the best place of each item in each document that holds it."""
-    spark = docs.sparkSession
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     found = None
-    for index in index_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    for file in index_blocks(benchmark):
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+        def scan(batches: Iterator[pa.RecordBatch], file=file) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                index = _loaded(file)
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
                 for doc, item, start, size, edits in _hits(index, batch.column("text")):
                     told = (edits, start, size)
@@ -257,18 +307,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             scan, f"doc_id {doc_type}, item_id {item_type}, start_word long, n_words long, edits long"
         )
         found = part if found is None else found.union(part)
+    if found is None:
+        none = f"doc_id {doc_type}, item_id {item_type}, start_word long, n_words long, edits long"
+        return docs.sparkSession.createDataFrame([], none)
     return found
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The input rows that hold no item; one pass over the texts per block of the benchmark, no shuffle."""
-    spark = docs.sparkSession
-    for index in index_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    for file in index_blocks(benchmark):
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def keep(batches: Iterator[pa.RecordBatch], file=file) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                held = {doc for doc, *_ in _hits(shared.value, batch.column("text"))}
+                held = {doc for doc, *_ in _hits(_loaded(file), batch.column("text"))}
                 yield batch.take(pa.array([k for k in range(batch.num_rows) if k not in held], pa.int64()))
 
         docs = docs.mapInArrow(keep, docs.schema)

@@ -72,7 +72,7 @@ def _header(width: int) -> bytes:
     return struct.pack("<4sHHQ", MAGIC, VERSION, width, 0)
 
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path in it; Spark's ``file:/x`` and plain paths are shared local folders."""
     local = re.sub(r"^file:/+", "/", path)
     if local.startswith("/"):
@@ -197,7 +197,7 @@ def _writer(tokenizer_json: str, folder: str, end_id: int, width: int):
         encoder, end = None, np.array([end_id], f"<u{width}").tobytes()
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid.uuid4().hex}.ids"
-        files, root = _file_system(folder)
+        files, root = file_system(folder)
         out, at, nth = None, 0, 0
         for batch in batches:
             if out is None:
@@ -423,7 +423,7 @@ def read_ids(places: DataFrame, path: str, payload: bool = True) -> DataFrame:
     ids_folder = f"{path}/ids"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _file_system(ids_folder)
+        files, root = file_system(ids_folder)
         name, source, held, held_at, width = None, None, b"", 0, 2
         for whole, first in ((b, k) for b in batches for k in range(0, b.num_rows, 512)):
             batch = whole.slice(first, 512)

@@ -81,21 +81,45 @@ def test_edge_rows_and_blocks(spark, monkeypatch):
             (2, None, None, None),
             (3, "", "", 0),
             (4, "clean text of the and to " * 50_000, "", 0),
-            (5, "front " + " ".join(other.split()[90:260]) + " back", "", 0),
+            (5, "front " + " ".join(other.split()[40:295]) + " back", "", 0),
+            (6, "front " + " ".join(other.split()[90:260]) + " back", "", 0),
             (None, item.replace("delta", "DELTA! again"), "", 0),
             (7, "too short", "", 0),
             (8, item, "", 0),
         ],
         "doc_id long, text string, item_id string, edits int",
     )
-    want = [(None, 1), (None, 6), (1, 1), (1, 1), (1, 6), (1, 6), (5, 5), (8, 1), (8, 6)]
+    want = [(None, 1), (None, 6), (1, 1), (1, 1), (1, 6), (1, 6), (5, 5), (7, 4), (8, 1), (8, 6)]
     order = {"key": lambda x: tuple((v is not None, v or 0) for v in x)}
     got = [(r.doc_id, r.item_id) for r in find_leaks(docs, benchmark).collect()]
     assert sorted(got, **order) == want
-    assert sorted(r.doc_id for r in clean_documents(docs, benchmark).collect()) == [2, 3, 4, 7]
+    assert sorted(r.doc_id for r in clean_documents(docs, benchmark).collect()) == [2, 3, 4, 6]
     assert clean_documents(docs, benchmark).columns == docs.columns
     monkeypatch.setattr(decontaminate, "MAX_BLOCK_WORDS", 60)
     got = [(r.doc_id, r.item_id) for r in find_leaks(docs, benchmark).collect()]
     assert sorted(got, **order) == want
     assert find_leaks(docs.limit(0), benchmark).count() == 0
     assert clean_documents(docs, benchmark.limit(0)).count() == docs.count()
+
+
+def hits(item, text):
+    index = BenchmarkIndex(pa.table({"item_id": [1], "text": [item]}))
+    return list(decontaminate._hits(index, pa.array([text])))
+
+
+def test_one_rule_for_items_of_any_length():
+    stock = [f"w{k}" for k in range(1200)]
+    for n in (100, 128, 129, 257, 1000):
+        item = " ".join(stock[:n])
+        limit = int(0.2 * n)
+        for missing, found in ((limit, 1), (limit + 1, 0)):
+            kept = [w for k, w in enumerate(stock[:n]) if (k * 7) % n >= missing]
+            assert len(hits(item, "before " + " ".join(kept) + " after")) == found, (n, missing)
+        assert hits(item, " ".join(stock[:70])) == ([] if n > 87 else [(0, 0, 0, 70, n - 70)])
+
+
+def test_short_items_are_found_word_by_word():
+    for n in (1, 2, 3, 4):
+        item = " ".join(["alpha", "beta", "gamma", "delta"][:n])
+        assert hits(item, f"say {item.upper()} twice {item}")
+        assert not hits(item, f"say {item}x and {'no ' + item[1:]}")
