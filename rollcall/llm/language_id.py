@@ -135,12 +135,13 @@ def train(docs: DataFrame, allowed: Column) -> ContextTrees:
     """Trees from rows for which ``allowed`` holds, a bounded sample of each language."""
     ship_package(docs.sparkSession)
     usable = docs.filter(allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    # One row per language.
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("rows"))
+    # One row per language; the driver holds a model of each, so there are few. Texts stay where they are but for the sample's.
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("rows")).toArrow()
+    table = docs.sparkSession.createDataFrame(sizes) if sizes.num_rows else usable.select("lang", F.lit(1).alias("rows")).limit(0)
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1_000_003))
     sample = (
         usable.select("doc_id", "text", "lang")
-        .join(sizes, "lang")
+        .join(F.broadcast(table), "lang")
         .filter(place * F.col("rows") <= F.lit(SAMPLE_ROWS * 1_000_003))
     )
     counted = (
