@@ -69,3 +69,19 @@ def month_start(ts: Column | str) -> Column:
 
 def weekday_monday0(ts: Column | str) -> Column:
     return F.weekday(ts)
+
+
+def easter_day(year: Column) -> Column:
+    """Easter Sunday of a Gregorian year, by whole-number arithmetic."""
+
+    def div(a: Column, b: int) -> Column:
+        return F.call_function("div", a, F.lit(b))
+
+    moon_year = year % 19
+    century, rest = div(year, 100), year % 100
+    # Age of the moon, corrected for the leap days and the lunar equation of the centuries.
+    age = (19 * moon_year + century - div(century, 4) - div(8 * century + 13, 25) + 15) % 30
+    days = age - div(moon_year + 11 * age, 319)
+    to_sunday = (2 * (century % 4) + 2 * div(rest, 4) - (rest % 4) - days + 32) % 7
+    after_march = days + to_sunday
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), after_march.cast("int"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from rollcall.config import (
     STATUS_CALLED,
     STATUS_UNREACHABLE,
 )
-from rollcall.functions.temporal import add_working_days
+from rollcall.functions.temporal import add_working_days, easter_day
 from rollcall.operators.cleaning import on_day
 
 # The outcomes that count as called, and the marks of the call list.
@@ -25,6 +26,55 @@ CALLED_OUTCOMES = (OUTCOME_REMINDED, OUTCOME_VOICEMAIL, OUTCOME_MOVED, OUTCOME_U
 CALLED_MARK, NOT_CALLED_MARK = "🟢", "🔴"
 
 
+@dataclass(frozen=True)
+class Feast:
+    """A yearly feast: a day of the year, or a number of days after Easter; ``before_sunday`` moves it off a Sunday by a day."""
+
+    name: str
+    month: int = 0
+    day: int = 0
+    after_easter: int | None = None
+    before_sunday: bool = False
+    first: int = 1
+    last: int = 9999
+    every: int = 1
+
+
+# The public feasts of the Netherlands.
+DUTCH_FEASTS = (
+    Feast("Nieuwjaarsdag", 1, 1),
+    Feast("Eerste paasdag", after_easter=0),
+    Feast("Tweede paasdag", after_easter=1),
+    Feast("Koninginnedag", 4, 30, before_sunday=True, first=1980, last=2013),
+    Feast("Koningsdag", 4, 27, before_sunday=True, first=2014),
+    Feast("Bevrijdingsdag", 5, 5, first=1990, every=5),
+    Feast("Hemelvaartsdag", after_easter=39),
+    Feast("Eerste pinksterdag", after_easter=49),
+    Feast("Tweede pinksterdag", after_easter=50),
+    Feast("Eerste kerstdag", 12, 25),
+    Feast("Tweede kerstdag", 12, 26),
+)
+
+
+def feast_calendar(
+    spark: SparkSession, first: int, last: int, feasts: Sequence[Feast] = DUTCH_FEASTS
+) -> DataFrame:
+    """(date, name) of all feasts of the years ``first`` to ``last``; a calendar for :func:`flag_holiday`."""
+    year = F.col("year")
+    days = []
+    for feast in feasts:
+        if feast.after_easter is not None:
+            day = F.date_add(easter_day(year), feast.after_easter)
+        else:
+            day = F.make_date(year, F.lit(feast.month), F.lit(feast.day))
+        if feast.before_sunday:
+            day = F.date_sub(day, F.when(F.weekday(day) == 6, 1).otherwise(0))
+        held = year.between(feast.first, feast.last) & ((year - feast.first) % feast.every == 0)
+        days.append(F.struct(F.when(held, day).alias("date"), F.lit(feast.name).alias("name")))
+    years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
+    return years.select(F.explode(F.array(*days)).alias("d")).select("d.*").where(F.col("date").isNotNull())
+
+
 def flag_holiday(df: DataFrame, date_col: str, calendar: DataFrame) -> DataFrame:
     """Add ``holiday`` from a calendar of (date, name); null on ordinary days."""
     days = calendar.groupBy(F.col("date").alias("_day")).agg(F.min("name").alias("holiday"))

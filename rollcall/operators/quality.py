@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -124,6 +125,78 @@ def calibration_error(
     )
 
 
+#: Cells of the score grid, waves of the smoothed residual, and halvings of the width.
+SMOOTH_CELLS, SMOOTH_WAVES, SMOOTH_HALVINGS = 256, 192, 12
+
+
+def smoothed_calibration_error(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., smooth_ece, n): the smooth calibration error of Blasiok and Nakkiran (2023).
+
+    The residuals label - score, smoothed over the scores by a Gaussian that is reflected at 0 and 1, have a mean absolute
+    value that falls as the width grows; the error is the width that equals it. Residuals are summed on a grid (each shared
+    by the two nearest cells). Reflected smoothing damps the grid's cosine waves, wave k by exp(-(pi k width)**2 / 2), so a group
+    is one row of SMOOTH_WAVES numbers, and the width is found by halving an interval without another pass.
+
+    Rows without a score or label are left out; scores beyond 0 and 1 count at the ends.
+    """
+    f = F.least(F.greatest(F.col(score).cast("double"), F.lit(0.0)), F.lit(1.0))
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    place = f * SMOOTH_CELLS
+    cell = F.least(F.floor(place), F.lit(SMOOTH_CELLS - 1))
+    gap = F.col(label).cast("double") - f
+    shares = F.array(
+        F.struct(cell.alias("cell"), ((1 - (place - cell)) * gap).alias("gap"), F.lit(1).alias("one")),
+        F.struct((cell + 1).alias("cell"), ((place - cell) * gap).alias("gap"), F.lit(0).alias("one")),
+    )
+    cells = (
+        rows.select(*by, F.explode(shares).alias("_s"))
+        .groupBy(*by, F.col("_s.cell").alias("_cell"))
+        .agg(F.sum("_s.gap").alias("_gap"), F.sum("_s.one").alias("_one"))
+    )
+    pairs = F.sort_array(F.collect_list(F.struct("_cell", "_gap")))
+    # One row a group, with at most SMOOTH_CELLS + 1 cells.
+    held = cells.groupBy(*by).agg(pairs.alias("_cells"), F.sum("_one").alias("n"))
+    waves, points = F.sequence(F.lit(0), F.lit(SMOOTH_WAVES)), F.sequence(F.lit(0), F.lit(SMOOTH_CELLS))
+
+    def wave(k: Column) -> Column:
+        total = F.aggregate(
+            F.col("_cells"),
+            F.lit(0.0),
+            lambda s, c: s + c["_gap"] * F.cos(k * c["_cell"] * (math.pi / SMOOTH_CELLS)),
+        )
+        return F.when(k == 0, total).otherwise(2 * total) / F.col("n")
+
+    def error(width: Column) -> Column:
+        damped = F.transform(F.col("_waves"), lambda a, k: a * F.exp(-F.pow(k * width * math.pi, F.lit(2.0)) / 2))
+
+        def mean_height(d: Column) -> Column:
+            def height(t: Column) -> Column:
+                parts = F.transform(d, lambda a, k: a * F.cos(k * t * (math.pi / SMOOTH_CELLS)))
+                return F.abs(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x))
+
+            # The ends of the grid count half.
+            weight = lambda t: F.when((t == 0) | (t == SMOOTH_CELLS), 0.5).otherwise(1.0)
+            return F.aggregate(points, F.lit(0.0), lambda s, t: s + weight(t) * height(t)) / SMOOTH_CELLS
+
+        # The one-element array binds the damped waves once.
+        return F.get(F.transform(F.array(damped), mean_height), F.lit(0))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = (state["low"] + state["high"]) / 2
+        above = error(middle) > middle
+        return F.struct(
+            F.when(above, middle).otherwise(state["low"]).alias("low"),
+            F.when(above, state["high"]).otherwise(middle).alias("high"),
+        )
+
+    waved = held.withColumn("_waves", F.transform(waves, wave))
+    start = F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
+    width = F.aggregate(
+        F.sequence(F.lit(1), F.lit(SMOOTH_HALVINGS)), start, halve, lambda s: (s["low"] + s["high"]) / 2
+    )
+    return waved.select(*by, width.alias("smooth_ece"), "n")
+
+
 def _key_hash(key: str, seed: int) -> Column:
     """Hex digits that order keys at random, the same in any engine that has md5."""
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))

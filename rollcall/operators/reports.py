@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -399,6 +400,44 @@ def monthly_density(
     )
 
 
+#: Cells into which scores are binned before they are smoothed, and grid points at which a density is told.
+KERNEL_CELLS, KERNEL_POINTS = 1024, 128
+
+
+def kernel_density(
+    df: DataFrame, value: str, by: Sequence[str], adjust: float = 0.3, low: float = 0.0, high: float = 1.0
+) -> DataFrame:
+    """(by..., n, bandwidth, point, density): Gaussian kernel density of a value per group at evenly spaced points.
+
+    The bandwidth is ``adjust`` times Scott's rule (sample deviation times n ** -0.2). A value shares its weight between the two
+    nearest of KERNEL_CELLS + 1 cells, so what is smoothed has a fixed size per group, whatever the number of rows.
+    Missing values are left out, values beyond the ends count at the end; a group without a spread has no density.
+    """
+    step = (high - low) / KERNEL_CELLS
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*by, F.col(value).cast("double").alias("_x"))
+    moments = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("_x").alias("_sd"))
+    place = F.least(F.greatest((F.col("_x") - low) / step, F.lit(0.0)), F.lit(float(KERNEL_CELLS)))
+    cell = F.least(F.floor(place), F.lit(KERNEL_CELLS - 1))
+    shares = F.array(
+        F.struct(cell.alias("cell"), (1 - (place - cell)).alias("weight")),
+        F.struct((cell + 1).alias("cell"), (place - cell).alias("weight")),
+    )
+    weights = (
+        rows.select(*by, F.explode(shares).alias("_s"))
+        .groupBy(*by, F.col("_s.cell").alias("_cell"))
+        .agg(F.sum("_s.weight").alias("_weight"))
+    )
+    # At most KERNEL_CELLS + 1 cells a group, each spread over the points.
+    width = F.col("_sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)) * adjust
+    known = moments.where(F.col("_sd") > 0).select(*by, "n", width.alias("bandwidth"))
+    point = F.explode(F.sequence(F.lit(0), F.lit(KERNEL_POINTS))).alias("_k")
+    spread = weights.join(known, list(by)).select("*", point)
+    x = low + F.col("_k") * ((high - low) / KERNEL_POINTS)
+    z = (x - (low + F.col("_cell") * step)) / F.col("bandwidth")
+    height = F.col("_weight") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("bandwidth") * math.sqrt(2 * math.pi))
+    return spread.groupBy(*by, "n", "bandwidth", x.alias("point")).agg(F.sum(height).alias("density"))
+
+
 # --- trial and pilot --------------------------------------------------------
 
 

@@ -383,6 +383,33 @@ def monthly_score_density(spark, sf_dir):
     return b.rounded(reports.monthly_density(_recent(spark, sf_dir), 20), "density")
 
 
+@query(
+    "monthly_kernel_density",
+    b.with_ctes(
+        f"""SELECT month, n, round(bw, 6) AS bandwidth, round(point, 6) AS point, round(density, 6) AS density FROM (
+        SELECT month, n, bw, k / {reports.KERNEL_POINTS}.0::DOUBLE AS point,
+        sum(w * exp(-0.5::DOUBLE * pow((k / {reports.KERNEL_POINTS}.0::DOUBLE - cell / {reports.KERNEL_CELLS}.0::DOUBLE) / bw, 2))
+            / (n * bw * sqrt(2 * pi()))) AS density
+        FROM (SELECT month, cell, sum(w) AS w FROM (
+            SELECT month, unnest([c, c + 1]) AS cell, unnest([1 - (p - c), p - c]) AS w FROM (
+            SELECT month, p, least(floor(p), {reports.KERNEL_CELLS - 1}) AS c FROM (
+            SELECT month, least(greatest(prediction * {reports.KERNEL_CELLS}, 0), {reports.KERNEL_CELLS}) AS p FROM latest)))
+            GROUP BY ALL)
+        JOIN (SELECT month, count(*) AS n, stddev_samp(prediction) * pow(count(*)::DOUBLE, -0.2::DOUBLE) * 0.3::DOUBLE AS bw
+              FROM latest GROUP BY month HAVING stddev_samp(prediction) > 0) USING (month),
+        range(0, {reports.KERNEL_POINTS} + 1) g(k) GROUP BY ALL)""",
+        y=_YEARS_SQL,
+        r=_RECENT_SQL,
+        latest="""SELECT month, prediction FROM r WHERE month IN (
+        SELECT DISTINCT month FROM r ORDER BY month DESC LIMIT 12)""",
+    ),
+)
+def monthly_kernel_density(spark, sf_dir):
+    """The smoothed distribution of scores in each of the latest months."""
+    rows = reports.recent_periods(_recent(spark, sf_dir))
+    return b.rounded(reports.kernel_density(rows, "prediction", ["month"]), "bandwidth", "point", "density")
+
+
 @query(
     "recent_periods",
     b.with_ctes(

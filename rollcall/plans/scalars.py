@@ -383,6 +383,33 @@ def q_working_days(spark, sf_dir):
     )
 
 
+@query(
+    "computed_holidays",
+    """WITH years AS (SELECT y::INTEGER AS y, (y % 19)::INTEGER AS a, (y // 100)::INTEGER AS c, (y % 100)::INTEGER AS r
+      FROM range(1990, 2005) t(y)),
+    ages AS (SELECT *, (19 * a + c - c // 4 - (8 * c + 13) // 25 + 15) % 30 AS h FROM years),
+    moons AS (SELECT *, h - (a + 11 * h) // 319 AS d FROM ages),
+    easters AS (
+      SELECT y, make_date(y, 3, 22) + (d + (2 * (c % 4) + 2 * (r // 4) - r % 4 - d + 32) % 7)::INTEGER AS easter FROM moons),
+    calendar AS (
+      SELECT make_date(y, m, d) AS day, name FROM years,
+        (VALUES (1, 1, 'Nieuwjaarsdag'), (12, 25, 'Eerste kerstdag'), (12, 26, 'Tweede kerstdag')) f(m, d, name)
+      UNION ALL
+      SELECT easter + n, name FROM easters,
+        (VALUES (0, 'Eerste paasdag'), (1, 'Tweede paasdag'), (39, 'Hemelvaartsdag'), (49, 'Eerste pinksterdag'),
+        (50, 'Tweede pinksterdag')) f(n, name)
+      UNION ALL
+      SELECT make_date(y, 4, 30) - (isodow(make_date(y, 4, 30)) = 7)::INTEGER, 'Koninginnedag' FROM years
+      UNION ALL
+      SELECT make_date(y, 5, 5), 'Bevrijdingsdag' FROM years WHERE y % 5 = 0),
+    days AS (SELECT day, min(name) AS holiday FROM calendar GROUP BY day)
+    SELECT o_orderkey, o_orderdate, holiday FROM orders LEFT JOIN days ON o_orderdate::DATE = day""",
+)
+def q_computed_holidays(spark, sf_dir):
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return outreach.flag_holiday(orders, "o_orderdate", outreach.feast_calendar(spark, 1990, 2004))
+
+
 @query(
     "holiday_calendar",
     """WITH calendar AS (SELECT make_date(y::INTEGER, m, d) AS day, name FROM range(1995, 2002) r(y),

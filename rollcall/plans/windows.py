@@ -522,6 +522,40 @@ def calibration_error(spark, sf_dir):
     return b.rounded(quality.calibration_error(rows, "score", "y", 10, ["month"]), "ece")
 
 
+def _smooth_sql() -> str:
+    cells, waves = quality.SMOOTH_CELLS, quality.SMOOTH_WAVES
+    steps = ["h0 AS (SELECT month, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM totals)"]
+    for k in range(quality.SMOOTH_HALVINGS):
+        steps.append(f"""h{k + 1} AS MATERIALIZED (
+          SELECT month, CASE WHEN e > m THEN m ELSE low END AS low, CASE WHEN e > m THEN high ELSE m END AS high FROM (
+            SELECT month, low, high, m, sum(abs(v) * CASE WHEN t IN (0, {cells}) THEN 0.5::DOUBLE ELSE 1 END) / {cells} AS e FROM (
+              SELECT month, low, high, (low + high) / 2 AS m, t,
+                     sum(a * exp(-pow(k * (low + high) / 2 * pi(), 2) / 2) * cos(k * t * (pi() / {cells}))) AS v
+              FROM h{k} JOIN waves USING (month), range(0, {cells + 1}) g(t) GROUP BY ALL) GROUP BY ALL))""")
+    return f"""SELECT month, round((low + high) / 2, 6) AS smooth_ece, n FROM h{quality.SMOOTH_HALVINGS} JOIN totals USING (month)""", {
+        "s": _MONTHLY_SQL,
+        "placed": f"""SELECT month, y - f AS gap, f * {cells} AS p, least(floor(f * {cells}), {cells - 1}) AS c FROM (
+            SELECT date_trunc('month', start)::DATE AS month, y, least(greatest(score, 0), 1)::DOUBLE AS f FROM s)""",
+        "totals": "SELECT month, count(*)::BIGINT AS n FROM placed GROUP BY month",
+        "cells": """SELECT month, cell, sum(gap) AS gap FROM (
+            SELECT month, unnest([c, c + 1]) AS cell, unnest([(1 - (p - c)) * gap, (p - c) * gap]) AS gap FROM placed) GROUP BY ALL""",
+        "waves": f"""SELECT month, k, (CASE WHEN k = 0 THEN 1 ELSE 2 END) * sum(gap * cos(k * cell * (pi() / {cells}))) / any_value(n) AS a
+            FROM cells JOIN totals USING (month), range(0, {waves + 1}) w(k) GROUP BY month, k""",
+    }, ", ".join(steps)
+
+
+def _smooth_oracle() -> str:
+    body, ctes, steps = _smooth_sql()
+    named = ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in ctes.items())
+    return f"WITH {named}, {steps} {body}"
+
+
+@query("smoothed_calibration_error", _smooth_oracle())
+def smoothed_calibration_error(spark, sf_dir):
+    rows = monthly_scores(spark, sf_dir).withColumn("month", F.trunc(F.to_date("start"), "MM"))
+    return b.rounded(quality.smoothed_calibration_error(rows, "score", "y", ["month"]), "smooth_ece")
+
+
 @query(
     "monthly_auc",
     b.with_ctes(
