@@ -35,38 +35,60 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-OP1_SQL = rf"""
+#: Rounds of the SQL; a leaf that needs more families than this differs from the query, which goes on until none is left.
+_OP1_ROUNDS = 5
+
+
+def _op1_sql() -> str:
+    rounds = []
+    for k in range(_OP1_ROUNDS):
+        rounds.append(f"""
+constants{k} AS (
+  SELECT leaf, place, token FROM (
+    SELECT leaf, place, token, count(*) AS n
+    FROM (SELECT leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM rest{k}) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY leaf, place ORDER BY n DESC, token DESC) = 1
+      AND n >= {line_templates.CONSTANT_SHARE} * sum(n) OVER (PARTITION BY leaf, place)),
+judged{k} AS MATERIALIZED (
+  SELECT d.leaf, d.tokens,
+         count(*) FILTER (WHERE d.tokens[c.place] = c.token) >= {line_templates.SIMILARITY} * len(d.tokens) AS instance
+  FROM rest{k} d JOIN constants{k} c ON d.leaf = c.leaf GROUP BY d.leaf, d.tokens),
+rest{k + 1} AS MATERIALIZED (
+  SELECT leaf, tokens FROM judged{k}
+  WHERE NOT instance AND leaf IN (
+    SELECT leaf FROM judged{k} GROUP BY leaf
+    HAVING bool_or(instance) AND count(*) FILTER (WHERE NOT instance) >= {line_templates.MIN_TEXTS}))""")
+    instances = " UNION ALL ".join(f"SELECT leaf, tokens, {k} AS template FROM judged{k} WHERE instance" for k in range(_OP1_ROUNDS))
+    return rf"""
 WITH lines AS (
   SELECT doc_id, text, place, line,
          list_transform(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
                         lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{line_templates.FIELD}' ELSE t END) AS tokens
   FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
         FROM documents)),
-long_lines AS (
+filled AS MATERIALIZED (
   SELECT DISTINCT doc_id, text, tokens, len(tokens) || ' ' || array_to_string(tokens[:{line_templates.DEPTH}], ' ') AS leaf
-  FROM lines WHERE len(tokens) >= {line_templates.MIN_TOKENS}),
-held AS (
-  SELECT * FROM long_lines
-  WHERE leaf IN (SELECT leaf FROM long_lines GROUP BY leaf HAVING count(*) >= {line_templates.MIN_TEXTS})),
-different AS (SELECT DISTINCT leaf, tokens FROM held),
-counted AS (
-  SELECT leaf, place, token, count(*) AS n
-  FROM (SELECT leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM different) GROUP BY ALL),
-constants AS (
-  SELECT leaf, place, token FROM counted
-  QUALIFY row_number() OVER (PARTITION BY leaf, place ORDER BY n DESC, token DESC) = 1
-      AND n >= {line_templates.CONSTANT_SHARE} * sum(n) OVER (PARTITION BY leaf, place)),
-agreeing AS (
-  SELECT d.leaf, d.tokens, count(*) FILTER (WHERE d.tokens[c.place] = c.token) AS n
-  FROM different d JOIN constants c ON d.leaf = c.leaf GROUP BY ALL),
-templates AS (
-  SELECT leaf, tokens, CASE WHEN n >= {line_templates.SIMILARITY} * len(tokens) THEN NULL ELSE tokens END AS template
-  FROM agreeing),
-told AS (SELECT h.*, template FROM held h JOIN templates t ON h.leaf = t.leaf AND h.tokens = t.tokens),
+  FROM lines WHERE len(tokens) > 0),
+own AS (
+  SELECT tokens FROM (
+    SELECT tokens, len(list_filter(tokens, lambda t: t <> '{line_templates.FIELD}')) AS constants, count(DISTINCT text) AS texts
+    FROM filled GROUP BY tokens)
+  WHERE constants > 0 AND texts >= greatest(2, {line_templates.MIN_TEXTS} - greatest(constants - 4, 0) // 2)),
+held AS MATERIALIZED (
+  SELECT * FROM filled
+  WHERE len(tokens) >= {line_templates.MIN_TOKENS} AND leaf IN (
+    SELECT leaf FROM filled WHERE len(tokens) >= {line_templates.MIN_TOKENS}
+    GROUP BY leaf HAVING count(*) >= {line_templates.MIN_TEXTS})),
+rest0 AS (SELECT DISTINCT leaf, tokens FROM held),
+{",".join(rounds)},
+instances AS MATERIALIZED ({instances}),
 recurring AS (
-  SELECT leaf, template FROM told GROUP BY ALL HAVING count(DISTINCT text) >= {line_templates.MIN_TEXTS}),
+  SELECT i.leaf, i.template FROM held h JOIN instances i ON h.leaf = i.leaf AND h.tokens = i.tokens
+  GROUP BY ALL HAVING count(DISTINCT h.text) >= {line_templates.MIN_TEXTS}),
 dropped AS (
-  SELECT DISTINCT tokens FROM told t JOIN recurring r ON t.leaf = r.leaf AND t.template IS NOT DISTINCT FROM r.template),
+  SELECT tokens FROM own
+  UNION
+  SELECT i.tokens FROM instances i JOIN recurring r ON i.leaf = r.leaf AND i.template = r.template),
 cleaned AS (
   SELECT doc_id, count(d.tokens)::BIGINT AS n_dropped,
          coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE d.tokens IS NULL), '') AS text
@@ -77,9 +99,9 @@ FROM documents o LEFT JOIN cleaned c ON o.doc_id = c.doc_id
 """
 
 
-@query("op1_template_lines", OP1_SQL)
+@query("op1_template_lines", _op1_sql())
 def op1_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines whose template recurs in ten texts or more."""
+    """All documents without the lines whose template recurs: in ten texts, or in fewer if the line is long."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_templates.cleaned(docs, keep=["doc_id"]).select("row.doc_id", "n_lines", "n_dropped", "text")
 
