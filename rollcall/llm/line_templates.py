@@ -38,14 +38,16 @@ CONSTANT_SHARE = 0.5
 SIMILARITY = 0.6
 FIELD = "<*>"
 
+#: A whole token that holds a digit; each token is tried once, from its start.
+_WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+
 
 def _lines(text: Column) -> Column:
     """Lines as structs: whole line and its tokens with variable fields masked."""
 
     def parsed(line: Column) -> Column:
-        tokens = F.filter(F.split(line, SPACE), lambda t: t != "")
-        masked = F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
-        return F.struct(line.alias("line"), masked.alias("tokens"))
+        masked = F.regexp_replace(line, _WITH_DIGIT, FIELD)
+        return F.struct(line.alias("line"), F.array_remove(F.split(masked, SPACE), "").alias("tokens"))
 
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), parsed)
 
@@ -63,7 +65,7 @@ def _row_hashes() -> list[Column]:
 
 
 def constant_tokens(tokens: Column) -> Column:
-    return F.size(F.filter(tokens, lambda t: t != FIELD))
+    return F.size(F.array_remove(tokens, FIELD))
 
 
 def needed_texts(constants: Column, min_texts: int) -> Column:
