@@ -41,31 +41,35 @@ FIELD = "<*>"
 #: A whole token that holds a digit; each token is tried once, from its start.
 _WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
+#: What a line must hold to differ from its masked form: a digit, or white space other than single spaces between tokens.
+_TO_MASK = r"[0-9\x09-\x0D]|\x20(?:\x20|$)|^\x20"
 
-def _lines(text: Column) -> Column:
-    """Lines as structs: whole line and its tokens with variable fields masked."""
 
-    def parsed(line: Column) -> Column:
-        masked = F.regexp_replace(line, _WITH_DIGIT, FIELD)
-        return F.struct(line.alias("line"), F.array_remove(F.split(masked, SPACE), "").alias("tokens"))
+def _masked(line: Column) -> Column:
+    """The line's tokens, variable fields masked, with one space between them; blank lines are empty."""
+    masked = F.regexp_replace(F.regexp_replace(line, _WITH_DIGIT, FIELD), SPACE, " ")
+    return F.when(line.rlike(_TO_MASK), F.trim(masked)).otherwise(line)
 
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), parsed)
 
+def _tokens(masked: Column) -> Column:
+    return F.split(masked, " ", -1)
 
-def _line_hash(tokens: Column) -> Column:
-    return F.xxhash64(F.array_join(tokens, " "))
 
+def _size(masked: Column) -> Column:
+    return F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
-def _leaf_hash(tokens: Column) -> Column:
-    return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, DEPTH), " "))
+
+def _leaf_hash(masked: Column) -> Column:
+    return F.xxhash64(_size(masked), F.substring_index(masked, " ", DEPTH))
 
 
 def _row_hashes() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("r2")]
 
 
-def constant_tokens(tokens: Column) -> Column:
-    return F.size(F.array_remove(tokens, FIELD))
+def constant_tokens(masked: Column) -> Column:
+    with_fields = F.size(F.array_remove(_tokens(masked), FIELD))
+    return F.when(F.contains(masked, F.lit(FIELD)), with_fields).otherwise(_size(masked))
 
 
 def needed_texts(constants: Column, min_texts: int) -> Column:
@@ -75,11 +79,11 @@ def needed_texts(constants: Column, min_texts: int) -> Column:
 
 
 def _all_lines(docs: DataFrame) -> DataFrame:
-    """(r1, r2, text_hash, leaf, line, tokens): the different lines of each row, but for blank ones."""
-    filled = F.filter(_lines(F.col("text")), lambda x: F.size(x.tokens) > 0)
-    tokens = F.array_distinct(F.transform(filled, lambda x: x.tokens))
-    return docs.select(*_row_hashes(), F.xxhash64("text").alias("text_hash"), F.explode(tokens).alias("tokens")).select(
-        "r1", "r2", "text_hash", _leaf_hash(F.col("tokens")).alias("leaf"), _line_hash(F.col("tokens")).alias("line"), "tokens"
+    """(r1, r2, text_hash, leaf, line, masked): the different lines of each row, but for blank ones."""
+    masked = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), _masked)
+    filled = F.array_remove(F.array_distinct(masked), "")
+    return docs.select(*_row_hashes(), F.xxhash64("text").alias("text_hash"), F.explode(filled).alias("masked")).select(
+        "r1", "r2", "text_hash", _leaf_hash(F.col("masked")).alias("leaf"), F.xxhash64("masked").alias("line"), "masked"
     )
 
 
@@ -125,7 +129,7 @@ def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     slim = materialize(
         lines.select(
             "r1", "r2", "text_hash", "leaf", "line",
-            F.size("tokens").alias("size"), constant_tokens(F.col("tokens")).alias("constants"),
+            _size(F.col("masked")).alias("size"), constant_tokens(F.col("masked")).alias("constants"),
         ),
         "lines",
     )
@@ -144,8 +148,10 @@ def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
         long.groupBy("leaf").agg(F.count("*").alias("lines")).filter(F.col("lines") >= min_texts).select("leaf"),
         "line-leaves",
     )
-    held = lines.where(F.size("tokens") >= MIN_TOKENS).select("leaf", "line", "tokens").join(leaves, "leaf")
-    different = materialize(held.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")), "line-different")
+    held = lines.where(_size(F.col("masked")) >= MIN_TOKENS).select("leaf", "line", "masked").join(leaves, "leaf")
+    different = materialize(
+        held.distinct().select("leaf", "line", _tokens(F.col("masked")).alias("tokens")), "line-different"
+    )
     instances = None
     for part in _families(different, min_texts):
         instances = part if instances is None else instances.unionByName(part)
@@ -169,21 +175,16 @@ def cleaned(docs: DataFrame, keep: list[str] | None = None, min_texts: int = MIN
         recurring_lines(docs, min_texts).groupBy("r1", "r2").agg(F.collect_set("line").alias("drop")), "line-drops"
     )
     rows = packed(docs, keep, F.col("text"), *_row_hashes()).join(drops, ["r1", "r2"], "left")
-    parsed = F.when(F.col("drop").isNotNull(), _lines(F.col("text")))
-    left = F.filter(
-        "parsed",
-        lambda x: (F.size(x.tokens) == 0) | ~F.array_contains(F.col("drop"), _line_hash(x.tokens)),
-    )
+    stays = lambda line: ~F.array_contains(F.col("drop"), F.xxhash64(_masked(line)))
+    left = F.when(F.col("drop").isNotNull(), F.filter(F.split("text", "\n", -1), stays))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
     return (
-        rows.withColumn("parsed", parsed)
-        .withColumn("left", left)
+        rows.withColumn("left", left)
+        .withColumn("n_lines", n_lines)
         .select(
             "row",
-            n_lines.cast("long").alias("n_lines"),
-            F.coalesce(F.size("parsed") - F.size("left"), F.lit(0)).cast("long").alias("n_dropped"),
-            F.when(F.col("drop").isNull(), F.col("text"))
-            .otherwise(F.array_join(F.transform("left", lambda x: x.line), "\n"))
-            .alias("text"),
+            F.col("n_lines").cast("long").alias("n_lines"),
+            F.coalesce(F.col("n_lines") - F.size("left"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join("left", "\n")).alias("text"),
         )
     )
