@@ -12,12 +12,15 @@ from rollcall.operators import ledger, outreach, reports
 from rollcall.schema import CALL, CONTACT, PATIENT, PREDICTION
 from rollcall.sources.appointments import coerce_appointments, read_appointments_json
 from rollcall.sources.tables import log_run, read_runs
+from rollcall.streaming.buckets import touched_buckets
 from rollcall.streaming.scoring import (
     SnapshotTables,
     State,
+    apply_scores,
     run_scoring,
     stream_assignment,
     stream_scoring,
+    without_resent,
 )
 
 DAY = dt.date(2024, 7, 16)
@@ -293,6 +296,80 @@ def test_stream_equals_batch_and_survives_a_replay(spark, tmp_path):
     assert read_runs(spark, str(tmp_path / "state" / "requests")).count() == 1
 
 
+def scored_rows(spark, run, day, patients):
+    """One appointment of each patient, on the days from ``day`` on."""
+    start = dt.datetime.combine(day, dt.time(9))
+    rows = [
+        batch_row(f"{run}-{p}", p, phone=f"t{run}", group=2, start=start + dt.timedelta(days=k)) for k, p in enumerate(patients)
+    ]
+    return spark.createDataFrame(rows, BATCH)
+
+
+@pytest.mark.parametrize("settle_after", [2, 84])
+def test_buckets_hold_what_whole_tables_hold(spark, tmp_path, settle_after):
+    """Runs over few patients switch off and delete rows of all others, whose files they do not touch."""
+    day = SCORING_DAY
+    everyone = [f"p{i}" for i in range(9)]
+    runs = [(day, everyone), (day, ["p1"]), (day + dt.timedelta(days=400), ["p2", "p8"]), (day + dt.timedelta(days=2), ["new"])]
+    whole = State.empty(spark)
+    tables = SnapshotTables(spark, str(tmp_path / "state"), buckets=8, settle_after=settle_after)
+    for version, (first, patients) in enumerate(runs):
+        rows = scored_rows(spark, version, first, patients)
+        whole = apply_scores(whole, rows, SETTINGS, first, version + 1)
+        touched = touched_buckets(rows, "pseudo_id", 8)
+        written = tables.to_write(touched, version)
+        part = tables.read(version - 1, written)
+        after = apply_scores(part, rows, SETTINGS, first, version + 1, tables.top_id(version - 1))
+        tables.write(after, version, written, first, SETTINGS.keep_sensitive_data)
+        for name in ("contacts", "patients", "predictions"):
+            want = sorted(getattr(whole, name).collect(), key=str)
+            assert sorted(getattr(tables.read(version), name).collect(), key=str) == want, (version, name)
+        if version == 1 and settle_after > 2:
+            made = {f.parent.name for f in (tmp_path / "state" / "predictions" / "v=1").rglob("*.parquet")}
+            assert made == {f"bucket={touched[0]}"} and len(touched) == 1
+    assert tables.latest() == 3 and whole.contacts.count() < 9
+    assert sorted(p.name for p in (tmp_path / "state" / "manifest").iterdir() if p.is_dir()) == ["v=2", "v=3"]
+    named = {v for m in (2, 3) for v in tables.store.manifest(m)["files"]["predictions"].values()}
+    held = {int(f.parent.parent.name[2:]) for f in (tmp_path / "state" / "predictions").rglob("*.parquet")}
+    assert held == named
+    # A version written again, also an empty one, changes nothing.
+    before = sorted(tables.read(3).predictions.collect(), key=str)
+    tables.write(after, 3, written, first, SETTINGS.keep_sensitive_data)
+    tables.pass_on(4)
+    assert sorted(tables.read(4).predictions.collect(), key=str) == before
+
+
+def test_given_tables_are_kept(spark, tmp_path):
+    rows = scored_rows(spark, 0, SCORING_DAY, ["a", "b", "c"])
+    given = apply_scores(State.empty(spark), rows, SETTINGS, SCORING_DAY, 1)
+    tables = SnapshotTables(spark, str(tmp_path / "state"), given, buckets=4)
+    assert tables.to_write([1], 0) == [0, 1, 2, 3]
+    tables.pass_on(0)
+    assert sorted(tables.read(0).predictions.collect(), key=str) == sorted(given.predictions.collect(), key=str)
+    assert tables.top_id(0) == 3 and tables.read(0).contacts.count() == 3
+
+
+def test_resent_rows_count_once(spark, tmp_path):
+    """Every part is sent twice; the tables are those of sending it once."""
+    results = []
+    for times in (1, 2):
+        source = tmp_path / f"in{times}"
+        source.mkdir()
+        tables = SnapshotTables(spark, str(tmp_path / f"state{times}"), buckets=4)
+        for part in range(times):
+            (source / f"{part}.json").write_text("\n".join(json.dumps(r) for r in records()))
+            stream = spark.readStream.schema(text_schema()).json(str(source))
+            stream = stream.withColumn("received", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+            once = without_resent(stream, "received", "1 day", ["APP_ID", "start", "status"]).drop("received")
+            stream_scoring(
+                once, prepare, tables, str(tmp_path / f"offsets{times}"), postal_codes(spark), scorer, SETTINGS, SCORING_DAY
+            ).awaitTermination()
+        found = tables.read(tables.latest())
+        history = spark.read.parquet(str(tmp_path / f"state{times}" / "history")).count()
+        results.append((sorted(found.predictions.collect(), key=str), sorted(found.contacts.collect(), key=str), history))
+    assert results[0] == results[1] and len(results[0][0]) == 3
+
+
 def test_stream_keeps_first_groups(spark, tmp_path):
     source, root = tmp_path / "in", tmp_path / "state"
     edges = spark.createDataFrame([("A", [0.0, 0.25, 0.5, 0.75, 0.9])], "hoofdagenda string, edges array<double>")
