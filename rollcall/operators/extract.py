@@ -120,10 +120,17 @@ def _living_with_address() -> Column:
     return (F.col("deceased") == 0) & (F.col("address_active") == 1)
 
 
-def filter_eligible(df: DataFrame, asof: dt.datetime, years: int = 8) -> DataFrame:
-    """Finished past appointments of the last ``years`` years."""
+def from_system(df: DataFrame, system: str | None) -> DataFrame:
+    """Rows whose ``identifier_system`` is the given source system; all rows if none is given."""
+    return df if system is None else df.where(F.col("identifier_system") == system)
+
+
+def filter_eligible(
+    df: DataFrame, asof: dt.datetime, years: int = 8, system: str | None = None
+) -> DataFrame:
+    """Finished past appointments of the last ``years`` years, of one source system if given."""
     since = F.add_months(F.to_date(F.lit(asof)), -12 * years)
-    return df.where(
+    return from_system(df, system).where(
         (F.col("start") >= since)
         & (F.col("end") < F.lit(asof))
         & ~F.col("status").isin(*EXCLUDED_STATUS)
@@ -133,12 +140,12 @@ def filter_eligible(df: DataFrame, asof: dt.datetime, years: int = 8) -> DataFra
 
 
 def filter_prediction_window(
-    df: DataFrame, asof: dt.date, days: int = 14, years: int = 8
+    df: DataFrame, asof: dt.date, days: int = 14, years: int = 8, system: str | None = None
 ) -> DataFrame:
-    """Past and planned appointments up to midnight ``days`` days ahead."""
+    """Past and planned appointments up to midnight ``days`` days ahead, of one source system if given."""
     since = F.add_months(F.lit(asof), -12 * years)
     until = asof + dt.timedelta(days=days)
-    return df.where(
+    return from_system(df, system).where(
         (F.col("start") >= since)
         & (F.col("start") <= F.lit(until))
         & _common_exclusions()

@@ -59,7 +59,7 @@ def scored_batch(spark, sf_dir):
         LEFT JOIN (SELECT * FROM batch QUALIFY row_number(){_FIRST}) f
         ON f.pseudo_id = l.pseudo_id""",
         "contacts",
-        batch=_BATCH_SQL + " WHERE o_orderstatus <> 'P'",
+        batch=_BATCH_SQL,
         known="SELECT * FROM contacts WHERE patient_id IN"
         " (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)",
     ),
@@ -67,7 +67,7 @@ def scored_batch(spark, sf_dir):
 def upsert_sensitive(spark, sf_dir):
     solvent = b.table(spark, sf_dir, "customer").where("c_acctbal >= 0")
     known = b._spark_select(solvent, b.CONTACT_COLUMNS)
-    batch = scored_batch(spark, sf_dir).where("status <> 'P'")
+    batch = scored_batch(spark, sf_dir)
     return ledger.upsert_sensitive(known, batch, ledger.batch_order())
 
 
@@ -79,7 +79,7 @@ def upsert_sensitive(spark, sf_dir):
         FROM known k FULL OUTER JOIN (SELECT * FROM batch QUALIFY row_number(){_LAST}) l
         ON l.pseudo_id = k.id""",
         "patients",
-        batch=_BATCH_SQL + " WHERE o_orderstatus <> 'P'",
+        batch=_BATCH_SQL,
         known="SELECT * FROM patients WHERE id IN"
         " (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)",
     ),
@@ -87,7 +87,7 @@ def upsert_sensitive(spark, sf_dir):
 def upsert_patients(spark, sf_dir):
     solvent = b.table(spark, sf_dir, "customer").where("c_acctbal >= 0")
     known = b._spark_select(solvent, b.PATIENT_COLUMNS)
-    batch = scored_batch(spark, sf_dir).where("status <> 'P'")
+    batch = scored_batch(spark, sf_dir)
     return ledger.upsert_patients(known, batch, ledger.batch_order())
 
 

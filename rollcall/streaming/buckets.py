@@ -9,7 +9,7 @@ that neither of the last two versions names are removed.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,8 +77,14 @@ class BucketStore:
         reader = self.spark.read.schema(whole).option("basePath", f"{self.root}/{name}")
         return reader.parquet(*paths).select(*schema.fieldNames())
 
-    def commit(self, version: int, frames: Mapping[str, DataFrame], touched: Iterable[int], facts: dict) -> None:
-        """Write the rows of the touched buckets (all of their rows) and the manifest of the version."""
+    def written(self, name: str, version: int) -> DataFrame:
+        """The rows that a version itself wrote."""
+        return self.spark.read.schema(self.tables[name][1]).parquet(f"{self.root}/{name}/{VERSION}={version}")
+
+    def commit(
+        self, version: int, frames: Mapping[str, DataFrame], touched: Iterable[int], facts: Callable[[], dict] = dict
+    ) -> None:
+        """Write the rows of the touched buckets (all of their rows) and the manifest; ``facts`` is asked once the rows are written."""
         before = self.manifest(version - 1)
         gone = {str(b) for b in touched}
         files = {}
@@ -91,7 +97,7 @@ class BucketStore:
                 rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
                 kept |= {f.split("=")[1]: version for f in self._folders(path) if f.startswith(f"{BUCKET}=")}
             files[name] = kept
-        text = json.dumps({"files": files, "facts": facts})
+        text = json.dumps({"files": files, "facts": facts()})
         self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
             self._manifest_path(version)
         )

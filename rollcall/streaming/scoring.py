@@ -235,20 +235,23 @@ class SnapshotTables:
         self, state: State, version: int, written: Sequence[int], start_date: dt.date, keep_days: int
     ) -> None:
         """Commit whole buckets; the run's dates stand for what it does to all others."""
-        frames = {name: materialize(getattr(state, name), name) for name in _KEYS}
-        top = max(self.top_id(version - 1), highest_id(frames["predictions"]))
         limit = dt.datetime.combine(start_date, dt.time()) - dt.timedelta(days=keep_days)
         run = {"version": version, "start": start_date.isoformat(), "limit": limit.isoformat(" ")}
-        self.store.commit(version, frames, written, {"top_id": top, "runs": [*self._open_runs(version - 1, written), run]})
+
+        def facts() -> dict:
+            top = max(self.top_id(version - 1), highest_id(self.store.written("predictions", version)))
+            return {"top_id": top, "runs": [*self._open_runs(version - 1, written), run]}
+
+        self.store.commit(version, {name: getattr(state, name) for name in _KEYS}, written, facts)
 
     def pass_on(self, version: int) -> None:
         """A version without changes: a manifest and no file, unless tables were given to start from."""
         if version == 0 and self.given:
             frames = {name: getattr(self.initial, name) for name in _KEYS}
-            self.store.commit(0, frames, range(self.buckets), {"top_id": self.top_id(-1), "runs": []})
+            self.store.commit(0, frames, range(self.buckets), lambda: {"top_id": self.top_id(-1), "runs": []})
             return
-        runs = self._open_runs(version - 1, [])
-        self.store.commit(version, {}, [], {"top_id": self.top_id(version - 1), "runs": runs})
+        runs, top = self._open_runs(version - 1, []), self.top_id(version - 1)
+        self.store.commit(version, {}, [], lambda: {"top_id": top, "runs": runs})
 
     def _open_runs(self, version: int, written: Sequence[int]) -> list[dict]:
         """Earlier runs that some bucket has not seen yet once these are written."""
@@ -385,7 +388,7 @@ def stream_assignment(
         store = BucketStore(rows.sparkSession, root, {"patients": ("id", schema)}, buckets)
         rows = materialize(rows, "arrived")
         if rows.isEmpty():
-            store.commit(batch_id, {}, [], {})
+            store.commit(batch_id, {}, [])
             return
         touched = touched_buckets(rows, "pseudo_id", buckets)
         patients = store.read("patients", batch_id - 1, touched).drop(VERSION)
@@ -397,7 +400,7 @@ def stream_assignment(
             F.max_by("treatment_group", last).alias("treatment_group")
         )
         kept = patients.join(fresh.select("id"), "id", "left_anti")
-        store.commit(batch_id, {"patients": kept.unionByName(fresh)}, touched, {})
+        store.commit(batch_id, {"patients": kept.unionByName(fresh)}, touched)
         assigned.write.mode("overwrite").parquet(f"{root}/assigned/batch={batch_id}")
 
     return (

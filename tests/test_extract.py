@@ -66,6 +66,15 @@ def test_prediction_window_includes_planned_rows(visits):
     assert sorted({r.patient_value for r in rows}) == ["code", "kept"]
 
 
+def test_source_system_is_an_argument(visits):
+    marked = visits.withColumn("identifier_system", F.when(F.col("patient_value") == "kept", "a"))
+    past = extract.filter_eligible(marked, dt.datetime(2024, 1, 9), system="a")
+    ahead = extract.filter_prediction_window(marked, dt.date(2024, 1, 1), days=10, system="a")
+    assert [r.patient_value for r in past.collect()] == ["kept"]
+    assert {r.patient_value for r in ahead.collect()} == {"kept"}
+    assert extract.filter_eligible(marked, dt.datetime(2024, 1, 9), system="b").isEmpty()
+
+
 def test_not_in_keeps_unmatched_keys(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     right = spark.createDataFrame([(2,), (2,)], "o int")
