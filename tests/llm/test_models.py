@@ -1,10 +1,13 @@
 """Held-out accuracy of the quality classifier and of language identification, and their defined cases."""
 
+import itertools
 import math
+import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from brute import words as plain_words
 
 from rollcall.llm import language_id, quality_model
 from rollcall.llm.queries import QUERIES
@@ -42,6 +45,59 @@ def test_ftrl_separates_and_scores_as_trained():
     assert plain[0] > 0.8 > 0.2 > plain[1]
 
 
+def plain_shape(word):
+    """Runs of character classes of a word's bytes: lower case or not ASCII, upper case, digit, other."""
+    classes = ["u" if 65 <= c <= 90 else "d" if 48 <= c <= 57 else "l" if 97 <= c <= 122 or c > 127 else "o" for c in word.encode()]
+    return "".join(k for k, _ in itertools.groupby(classes))
+
+
+def plain_features(text):
+    """{feature: value} by dictionaries: shares of word and shape runs, and the bias."""
+    w = plain_words(text)
+    shapes = [(plain_shape(x), k > 0 and w[k - 1] == x) for k, x in enumerate(w)]
+    found = {"bias": 1.0}
+    for kind, (base, width) in enumerate(((w, 1), (w, 2), (shapes, 1), (shapes, 2), (shapes, 3))):
+        runs = [(kind, *base[k : k + width]) for k in range(len(base) - width + 1)]
+        for run in runs:
+            found[run] = found.get(run, 0.0) + quality_model.SCALE / len(runs)
+    return found
+
+
+def plain_ftrl(rows, labels):
+    """FTRL-proximal with logistic loss, one coordinate at a time."""
+    z, n = {}, {}
+    q = quality_model
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= q.L1:
+            return 0.0
+        return (math.copysign(q.L1, z[f]) - z[f]) / ((q.BETA + math.sqrt(n[f])) / q.ALPHA + q.L2)
+
+    for _ in range(q.EPOCHS):
+        for row, label in zip(rows, labels, strict=True):
+            w = {f: weight(f) for f in row}
+            p = 1 / (1 + math.exp(-sum(w[f] * x for f, x in row.items())))
+            for f, x in row.items():
+                g, old = (p - label) * x, n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / q.ALPHA * w[f]
+                n[f] = old + g * g
+    return {f: weight(f) for f in z}
+
+
+def test_training_equals_a_dictionary_version(spark):
+    draw = random.Random(5)
+    stock = ["plain", "Good", "été", "x1", "###", "words"]
+    texts = [" ".join(draw.choices(stock, k=draw.randrange(0, 7))) for _ in range(47)] + ["", "Good Good\n\tGood", "B2B"]
+    labels = [float(k % 3 > 0) for k in range(50)]
+    plain = plain_ftrl([plain_features(t) for t in texts], labels)
+    weights = quality_model.ftrl(quality_model.sparse_rows(pa.array(texts)), np.array(labels))
+    assert np.allclose(np.sort(weights[weights != 0]), sorted(w for w in plain.values() if w))
+    want = [1 / (1 + math.exp(-sum(plain[f] * x for f, x in plain_features(t).items()))) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality_model.scored(docs, weights).collect()}
+    assert np.allclose([got[k] for k in range(50)], want)
+
+
 def test_quality_edge_rows(spark):
     rows = [(1, None, 1), (2, "", 1), (None, "a b", 1), (3, "x" * 300_000, 1), (3, " \n", 1), (4, "word " * 100_000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
