@@ -2,6 +2,12 @@
 
 Each stage works on all that its predecessor kept. Stages write Parquet that the next one reads back, so
 a lost executor repeats one stage at most.
+
+Defined cases: rows with null or empty text fail the base rule and go in the first stage, and so do texts of under 50 words; a null
+``source`` is a source of its own; repeated rows and equal texts are one group, of which the row with the smallest doc_id
+stays; very long texts are worked on whole in every stage; documents of equal position in the mix keep the order that the mix
+wrote, which the last stage reads from the files; an empty table gives an empty result. Stages hand on all columns of
+``documents``, also ones of other names.
 """
 
 from __future__ import annotations
