@@ -43,6 +43,8 @@ class BucketStore:
         self.root = root.rstrip("/")
         self.tables = dict(tables)
         self.buckets = buckets
+        # Manifests read or written by this object; one stream writes a folder, so they stay as they are.
+        self._known: dict[int, dict] = {}
 
     def _manifest_path(self, version: int) -> str:
         return f"{self.root}/manifest/v={version}"
@@ -63,7 +65,10 @@ class BucketStore:
         """``files``: {table: {bucket: version}}; ``facts``: what the caller stored with the version."""
         if version < 0:
             return {"files": {name: {} for name in self.tables}, "facts": {}}
-        return json.loads(self.spark.read.text(self._manifest_path(version), wholetext=True).first()[0])
+        if version not in self._known:
+            text = self.spark.read.text(self._manifest_path(version), wholetext=True).first()[0]
+            self._known[version] = json.loads(text)
+        return self._known[version]
 
     def read(self, name: str, version: int, buckets: Iterable[int] | None = None) -> DataFrame:
         """A table, or some of its buckets, with the version that wrote each row in column ``v``."""
@@ -101,6 +106,7 @@ class BucketStore:
         self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
             self._manifest_path(version)
         )
+        self._known[version] = json.loads(text)
         self._forget(version)
 
     def _forget(self, version: int) -> None:
@@ -109,6 +115,7 @@ class BucketStore:
             return
         old = self.manifest(version - 2)["files"]
         live = [self.manifest(v)["files"] for v in (version - 1, version)]
+        self._known.pop(version - 2)
         drop_paths(
             self.spark,
             [
