@@ -1,32 +1,24 @@
 """Quality rules: base counts of a text and the divergence of its histograms from its language's.
 
 A document is compared with the whole corpus of its language by two histograms: classes of characters and
-the commonest function words. The Jensen-Shannon distance (base 2, between 0 and 1) of either may
-not exceed its limit. Histograms of too few characters or words, and references made of too little
-text, judge nothing.
-
-Defined cases: null and empty texts have no words and fail the base rule; languages outside LANGUAGE_WORDS, and
-null, share one reference without function words; repeated rows are judged alike; an empty table gives no rows.
-Input columns are packed away while measures are computed, so any names may occur.
+the language's commonest words, which are learned here (the words of most reference texts). The Jensen-Shannon
+distance (base 2, between 0 and 1) of either may not exceed its limit. Histograms of too few characters or
+words, and references made of too little text, judge nothing.
+
+Defined cases: null and empty texts have no words and fail the base rule; each ``lang`` value is a reference of its own, null
+and empty ones share one; words of equally many texts rank by code point; a very long text is counted whole, in the task that
+holds it, and each of its different words counts once as a text of that word; repeated rows are judged alike and each counts in
+the references; an empty table gives no rows. Input columns are packed away while measures are computed, so any names may occur.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import packed, words
 from rollcall.session import materialize
 
-# Common function words by language.
-LANGUAGE_WORDS: dict[str, list[str]] = {
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "ist", "ein", "für"],
-    "en": ["the", "of", "and", "to", "in", "a", "is", "that", "it", "was", "for", "on"],
-    "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "pour"],
-}
-OTHER = "other"
-
 #: The base rule.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -40,6 +32,7 @@ MIN_HISTOGRAM_WORDS = 100
 MIN_REFERENCE_WORDS = 1000
 
 CLASSES = ["uppers", "digits", "punctuation", "n_symbols", "spaces", "wide", "others"]
+#: Common words of a language that have a share of their own in the word histogram.
 WORD_BINS = 12
 
 _REPEATS = """
@@ -60,7 +53,7 @@ def _share(text: Column, drop: str) -> Column:
 
 
 def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Base counts and both histograms of every row (columns ``keep``, or all, packed as ``row``).
+    """Base counts, character classes and words ``w`` of every row (columns ``keep``, or all, packed as ``row``).
 
     Everything is counted inside the row. Three-word windows are hashed to 64 bits and sorted
     within the document; only documents in which one repeats are sorted with their places.
@@ -70,13 +63,9 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         docs,
         keep,
         text.alias("t"),
-        F.when(F.col("lang").isin(list(LANGUAGE_WORDS)), F.col("lang")).otherwise(F.lit(OTHER)).alias("ref"),
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("ref"),
         words(F.col("text")).alias("w"),
     )
-    common = F.when(F.lit(False), F.array().cast("array<string>"))
-    for lang, listed in LANGUAGE_WORDS.items():
-        common = common.when(F.col("ref") == lang, F.array(*[F.lit(x) for x in listed]))
-    common = common.otherwise(F.array().cast("array<string>"))
     hashed = split.withColumns(
         {
             "n_words": F.size("w").cast("long"),
@@ -85,19 +74,17 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 "IF(size(w) < 3, CAST(array() AS array<bigint>), transform(sequence(1, size(w) - 2),"
                 " i -> xxhash64(element_at(w, i), element_at(w, i + 1), element_at(w, i + 2))))"
             ),
-            "common": common,
         }
     )
     counted = hashed.withColumns(
         {
-            "hits": F.filter("w", lambda x: F.array_contains(F.col("common"), x)),
             "lines": F.filter(F.split("t", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
             "grams": F.expr(
                 "IF(size(array_distinct(h)) = size(h), CAST(array() AS array<struct<h: bigint, i: int>>),"
                 " array_sort(transform(h, (x, i) -> named_struct('h', x, 'i', i))))"
             ),
         }
-    ).drop("w", "h")
+    ).drop("h")
     placed = counted.withColumns(
         {
             "at": F.expr(_REPEATED_AT),
@@ -110,10 +97,6 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             "wide": (F.octet_length("t") - F.char_length("t")).cast("long"),
         }
     ).drop("lines", "grams", "t")
-    bins = {
-        f"w{k}": F.expr(f"CAST(size(filter(hits, x -> x = get(common, {k}))) AS BIGINT)")
-        for k in range(WORD_BINS)
-    }
     return (
         placed.withColumn("n_repeat_words", F.expr(_REPEATS))
         .withColumn("spaces", F.col("chars") - F.col("word_chars"))
@@ -125,12 +108,43 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 - F.col("n_symbols") - F.col("spaces") - F.col("wide"),
             ),
         )
-        .withColumns(bins)
-        .withColumn("w_rest", F.col("n_words") - F.size("hits"))
-        .drop("at", "hits", "common")
+        .drop("at")
     )
 
 
+def common_words(measures: DataFrame) -> DataFrame:
+    """The WORD_BINS words that stand in most of these texts, by reference: (ref, common), commonest first.
+
+    Texts are counted per (reference, word) before they are shuffled, and a task hands on WORD_BINS words of
+    a reference at most.
+    """
+    texts = (
+        measures.select("ref", F.explode(F.array_distinct("w")).alias("word"))
+        .groupBy("ref", "word")
+        .agg(F.count(F.lit(1)).alias("texts"))
+    )
+    first = Window.partitionBy("ref").orderBy(F.col("texts").desc(), "word")
+    return (
+        texts.withColumn("place", F.row_number().over(first))
+        .where(F.col("place") <= WORD_BINS)
+        .groupBy("ref")
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda x: x.word).alias("common"))
+    )
+
+
+def with_word_bins(measures: DataFrame, common: DataFrame) -> DataFrame:
+    """Add w0, w1, ..: how often each common word of its reference stands in the text; w_rest: all other words."""
+    listed = F.coalesce("common", F.array().cast("array<string>"))
+    hits = measures.join(common, "ref", "left").withColumn("common", listed).withColumn(
+        "hits", F.filter("w", lambda x: F.array_contains(F.col("common"), x))
+    )
+    bins = {
+        f"w{k}": F.expr(f"CAST(size(filter(hits, x -> x = get(common, {k}))) AS BIGINT)")
+        for k in range(WORD_BINS)
+    }
+    return hits.withColumns(bins).withColumn("w_rest", F.col("n_words") - F.size("hits")).drop("hits", "common", "w")
+
+
 def _shares(names: list[str]) -> Column:
     total = sum((F.col(n) for n in names), F.lit(0))
     return F.array(*[F.col(n) / F.greatest(total, F.lit(1)) for n in names])
@@ -151,23 +165,19 @@ def distance(p: Column, q: Column) -> Column:
 _WORDS = [f"w{k}" for k in range(WORD_BINS)] + ["w_rest"]
 
 
-def references(measures: DataFrame) -> DataFrame:
-    """Histograms of all these texts by reference language: a row for each of LANGUAGE_WORDS and one for the others."""
-    summed = measures.groupBy("ref").agg(*[F.sum(n).alias(n) for n in ["n_words", *CLASSES, *_WORDS]])
-    return summed.select(
-        "ref",
-        F.col("n_words").alias("ref_words"),
-        _shares(CLASSES).alias("ref_classes"),
-        _shares(_WORDS).alias("ref_common"),
-    )
+def _reference(measures: DataFrame, bins: list[str], out: str) -> DataFrame:
+    """The shares of these texts in ``bins`` taken together, by reference, with their words."""
+    summed = measures.groupBy("ref").agg(*[F.sum(n).alias(n) for n in dict.fromkeys(["n_words", *bins])])
+    return summed.select("ref", F.col("n_words").alias("ref_words"), _shares(bins).alias(out))
 
 
 def judged(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Every row with its base counts, both distances, base_failed and kept.
 
-    Measures are stored once; references and comparison read them back. The first references come from all
-    rows that pass the base rule, the final ones from those among them that lie near the first, so that
-    junk does not set the standard.
+    Measures are stored once, with the texts' words; references and comparison read them back. The first
+    references come from all rows that pass the base rule, the final ones, and the common words, from those among
+    them that lie near the first, so that junk does not set the standard. Reference tables (a row per
+    language) are stored too, so that Spark joins by their measured size.
     """
     measures = materialize(measured(docs, keep), "quality-measures")
     enough = F.col("ref_words") >= MIN_REFERENCE_WORDS
@@ -175,12 +185,17 @@ def judged(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     measures = measures.withColumn("base_failed", base_failed)
-    # References have at most len(LANGUAGE_WORDS) + 1 rows, whatever the data.
-    first = references(measures.filter(~F.col("base_failed")))
-    near = measures.filter(~F.col("base_failed")).join(F.broadcast(first), "ref").filter(
-        distance(_shares(CLASSES), F.col("ref_classes")) <= FIRST_CLASS_DISTANCE
+    passed = measures.filter(~F.col("base_failed"))
+    first = materialize(_reference(passed, CLASSES, "first_classes"), "quality-first").drop("ref_words")
+    near = passed.join(first, "ref").filter(
+        distance(_shares(CLASSES), F.col("first_classes")) <= FIRST_CLASS_DISTANCE
     )
-    compared = measures.join(F.broadcast(references(near)), "ref", "left")
+    common = materialize(common_words(near), "quality-words")
+    classes = _reference(near, CLASSES, "ref_classes")
+    in_words = _reference(with_word_bins(near, common), _WORDS, "ref_common").drop("ref_words")
+    last = materialize(classes.join(in_words, "ref"), "quality-references")
+    measures = with_word_bins(measures, common)
+    compared = measures.join(last, "ref", "left")
     return (
         compared.withColumn(
             "class_distance",

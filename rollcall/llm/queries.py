@@ -184,22 +184,18 @@ def _op3_sql() -> str:
     without = "length(t) - length(regexp_replace(t, '{}', '', 'g'))"
     marks = r"""[!"''()+,./:;=?@\[\\\]^_`{}~-]"""
     punctuation = f"length(t) - length(regexp_replace(t, '{marks}', '', 'g'))"
-    listed = "CASE ref " + " ".join(
-        f"WHEN '{lang}' THEN {words!r}" for lang, words in rules.LANGUAGE_WORDS.items()
-    )
     bins = [f"w{k}" for k in range(rules.WORD_BINS)]
     class_sum, bin_sum = (
         ", ".join(f"sum({n}) AS {n}" for n in names) for names in (rules.CLASSES, [*bins, "w_rest"])
     )
-    langs = ", ".join(f"'{x}'" for x in rules.LANGUAGE_WORDS)
     counted = ", ".join(f"len(list_filter(w, lambda x: x = common[{k + 1}])) AS w{k}" for k in range(rules.WORD_BINS))
     return rf"""
 WITH split AS (
-  SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({langs}) THEN lang ELSE '{rules.OTHER}' END AS ref,
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS ref,
          regexp_extract_all(coalesce(text, ''), '[^ 	-
 ]+') AS w
   FROM documents),
-listed AS (SELECT *, {listed} ELSE []::VARCHAR[] END AS common,
+listed AS (SELECT *,
   list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-
 ]')) AS lines FROM split),
 grams AS (
@@ -215,17 +211,27 @@ measures AS (
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
          {without.format('[A-Z]')} AS uppers, {without.format('[0-9]')} AS digits,
          {without.format(r'[!"' + "''" + r'()+,./:;=?@\[\\]^_`{}~-]').replace("^_`~", "^_`{}~")} AS punctuation,
-         strlen(t) - length(t) AS wide, length(t) - length(array_to_string(w, '')) AS spaces, {counted}
+         strlen(t) - length(t) AS wide, length(t) - length(array_to_string(w, '')) AS spaces, w
   FROM listed l LEFT JOIN repeats r ON l.doc_id = r.doc_id),
 full_measures AS (
   SELECT *, greatest(0, chars - uppers - digits - punctuation - n_symbols - spaces - wide) AS others,
-         n_words - ({' + '.join(bins)}) AS w_rest,
          n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
   FROM measures),
 first_refs AS (SELECT ref, {class_sum} FROM full_measures WHERE NOT base_failed GROUP BY ref),
+near AS (
+  SELECT m.* FROM full_measures m JOIN first_refs r ON m.ref = r.ref
+  WHERE NOT base_failed AND {_distance_sql(rules.CLASSES, 'm', 'r')} <= {rules.FIRST_CLASS_DISTANCE}),
+common AS (
+  SELECT ref, list(word ORDER BY texts DESC, word) AS common
+  FROM (SELECT ref, word, texts, row_number() OVER (PARTITION BY ref ORDER BY texts DESC, word) AS place
+        FROM (SELECT ref, word, count(*) AS texts
+              FROM (SELECT ref, unnest(list_distinct(w)) AS word FROM near) GROUP BY ref, word))
+  WHERE place <= {rules.WORD_BINS} GROUP BY ref),
+binned AS (SELECT *, n_words - ({' + '.join(bins)}) AS w_rest
+           FROM (SELECT m.*, {counted} FROM full_measures m LEFT JOIN common c ON m.ref = c.ref)),
 last_refs AS (
   SELECT m.ref, sum(n_words) AS ref_words, {class_sum.replace('sum(', 'sum(m.')}, {bin_sum}
-  FROM full_measures m JOIN first_refs r ON m.ref = r.ref
+  FROM binned m JOIN first_refs r ON m.ref = r.ref
   WHERE NOT base_failed AND {_distance_sql(rules.CLASSES, 'm', 'r')} <= {rules.FIRST_CLASS_DISTANCE}
   GROUP BY m.ref)
 SELECT doc_id, n_words, word_chars, m.n_symbols AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -234,7 +240,7 @@ SELECT doc_id, n_words, word_chars, m.n_symbols AS n_symbols, n_dup_lines, n_rep
            AND {_distance_sql(rules.CLASSES, 'm', 'r')} > {rules.MAX_CLASS_DISTANCE}, FALSE)
        AND NOT coalesce(ref_words >= {rules.MIN_REFERENCE_WORDS} AND n_words >= {rules.MIN_HISTOGRAM_WORDS}
            AND {_distance_sql([*bins, 'w_rest'], 'm', 'r')} > {rules.MAX_WORD_DISTANCE}, FALSE) AS kept
-FROM full_measures m LEFT JOIN last_refs r ON m.ref = r.ref
+FROM binned m LEFT JOIN last_refs r ON m.ref = r.ref
 """
 
 

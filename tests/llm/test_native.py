@@ -1,5 +1,6 @@
 """The native operators: every query against its SQL, plain versions, and the defined cases."""
 
+import random
 import zlib
 
 import pytest
@@ -65,6 +66,37 @@ def test_rules_on_odd_rows(spark, odd):
     assert quality_rules.judged(odd.limit(0)).count() == 0
 
 
+def test_common_words_are_learned_for_any_language(spark):
+    rows = [(k, f"zu ab {'ab ' * k}x{k}", "xx") for k in range(20)] + [(50, "zu", None), (51, "nu zu", ""), (52, None, None)]
+    rows += [(53, "", "xx"), (54, "solo " * 30_000, "yy")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    measures = quality_rules.measured(docs)
+    listed = {r.ref: r.common for r in quality_rules.common_words(measures).collect()}
+    last = sorted(f"x{k}" for k in range(20))[: quality_rules.WORD_BINS - 2]
+    assert listed == {"xx": ["ab", "zu", *last], "": ["zu", "nu"], "yy": ["solo"]}
+    common = quality_rules.common_words(measures)
+    for r in quality_rules.with_word_bins(measures, common).collect():
+        w = words(r["row"].text or "")
+        bins = [r[f"w{k}"] for k in range(quality_rules.WORD_BINS)]
+        assert bins[: len(listed[r.ref])] == [w.count(x) for x in listed[r.ref]]
+        assert sum(bins) + r.w_rest == len(w)
+
+
+def test_text_of_another_language_is_rejected(spark):
+    def text(stock, seed):
+        draw = random.Random(seed)
+        return " ".join(draw.choice(stock) if k % 2 else f"{draw.choice(stock)}{draw.randrange(99)}" for k in range(300))
+
+    here = ["ma", "ne", "of", "ti"] + [f"word{c}" for c in "abcdefgh"]
+    there = ["po", "qu", "ru", "su"] + [f"term{c}" for c in "abcdefgh"]
+    rows = [(k, text(here, k), "xx") for k in range(60)] + [(100, text(there, 3), "xx"), (101, text(there, 3), "unseen")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = {r["row"].doc_id: r for r in quality_rules.judged(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [k for k, r in got.items() if not r.kept] == [100]
+    assert got[101].word_distance is None
+
+
 def test_sharding_is_even_gapless_and_repeatable(spark):
     rows = QUERIES["op6_slot_shards"](spark, "/root/testdata/sf0.01").collect()
     texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
