@@ -1,7 +1,7 @@
 """Quality rules: base counts of a text and the divergence of its histograms from its language's.
 
 A document is compared with the whole corpus of its language by two histograms: classes of characters and
-the language's commonest words, which are learned here (the words of most reference texts). The Jensen-Shannon
+the language's commonest words, which are learned here (the words that stand in most of its texts). The Jensen-Shannon
 distance (base 2, between 0 and 1) of either may not exceed its limit. Histograms of too few characters or
 words, and references made of too little text, judge nothing.
 
@@ -52,8 +52,34 @@ def _share(text: Column, drop: str) -> Column:
     return (F.char_length(text) - F.char_length(F.regexp_replace(text, drop, ""))).cast("long")
 
 
-def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Base counts, character classes and words ``w`` of every row (columns ``keep``, or all, packed as ``row``).
+def _ref() -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("ref")
+
+
+def common_words(docs: DataFrame) -> DataFrame:
+    """The WORD_BINS words that stand in most texts of MIN_WORDS words or more, by language: (ref, common), commonest first.
+
+    Texts are counted per (language, word) before they are shuffled, and a task hands on WORD_BINS words of
+    a language at most.
+    """
+    texts = (
+        docs.select(_ref(), words(F.col("text")).alias("w"))
+        .where(F.size("w") >= MIN_WORDS)
+        .select("ref", F.explode(F.array_distinct("w")).alias("word"))
+        .groupBy("ref", "word")
+        .agg(F.count(F.lit(1)).alias("texts"))
+    )
+    first = Window.partitionBy("ref").orderBy(F.col("texts").desc(), "word")
+    return (
+        texts.withColumn("place", F.row_number().over(first))
+        .where(F.col("place") <= WORD_BINS)
+        .groupBy("ref")
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda x: x.word).alias("common"))
+    )
+
+
+def measured(docs: DataFrame, common: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Base counts and both histograms of every row (columns ``keep``, or all, packed as ``row``).
 
     Everything is counted inside the row. Three-word windows are hashed to 64 bits and sorted
     within the document; only documents in which one repeats are sorted with their places.
@@ -63,11 +89,12 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         docs,
         keep,
         text.alias("t"),
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("ref"),
+        _ref(),
         words(F.col("text")).alias("w"),
-    )
+    ).join(common, "ref", "left")
     hashed = split.withColumns(
         {
+            "common": F.coalesce("common", F.array().cast("array<string>")),
             "n_words": F.size("w").cast("long"),
             "word_chars": F.char_length(F.array_join("w", "")).cast("long"),
             "h": F.expr(
@@ -78,13 +105,14 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
     counted = hashed.withColumns(
         {
+            "hits": F.filter("w", lambda x: F.array_contains(F.col("common"), x)),
             "lines": F.filter(F.split("t", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
             "grams": F.expr(
                 "IF(size(array_distinct(h)) = size(h), CAST(array() AS array<struct<h: bigint, i: int>>),"
                 " array_sort(transform(h, (x, i) -> named_struct('h', x, 'i', i))))"
             ),
         }
-    ).drop("h")
+    ).drop("w", "h")
     placed = counted.withColumns(
         {
             "at": F.expr(_REPEATED_AT),
@@ -97,6 +125,10 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             "wide": (F.octet_length("t") - F.char_length("t")).cast("long"),
         }
     ).drop("lines", "grams", "t")
+    bins = {
+        f"w{k}": F.expr(f"CAST(size(filter(hits, x -> x = get(common, {k}))) AS BIGINT)")
+        for k in range(WORD_BINS)
+    }
     return (
         placed.withColumn("n_repeat_words", F.expr(_REPEATS))
         .withColumn("spaces", F.col("chars") - F.col("word_chars"))
@@ -108,43 +140,12 @@ def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 - F.col("n_symbols") - F.col("spaces") - F.col("wide"),
             ),
         )
-        .drop("at")
+        .withColumns(bins)
+        .withColumn("w_rest", F.col("n_words") - F.size("hits"))
+        .drop("at", "hits", "common")
     )
 
 
-def common_words(measures: DataFrame) -> DataFrame:
-    """The WORD_BINS words that stand in most of these texts, by reference: (ref, common), commonest first.
-
-    Texts are counted per (reference, word) before they are shuffled, and a task hands on WORD_BINS words of
-    a reference at most.
-    """
-    texts = (
-        measures.select("ref", F.explode(F.array_distinct("w")).alias("word"))
-        .groupBy("ref", "word")
-        .agg(F.count(F.lit(1)).alias("texts"))
-    )
-    first = Window.partitionBy("ref").orderBy(F.col("texts").desc(), "word")
-    return (
-        texts.withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= WORD_BINS)
-        .groupBy("ref")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda x: x.word).alias("common"))
-    )
-
-
-def with_word_bins(measures: DataFrame, common: DataFrame) -> DataFrame:
-    """Add w0, w1, ..: how often each common word of its reference stands in the text; w_rest: all other words."""
-    listed = F.coalesce("common", F.array().cast("array<string>"))
-    hits = measures.join(common, "ref", "left").withColumn("common", listed).withColumn(
-        "hits", F.filter("w", lambda x: F.array_contains(F.col("common"), x))
-    )
-    bins = {
-        f"w{k}": F.expr(f"CAST(size(filter(hits, x -> x = get(common, {k}))) AS BIGINT)")
-        for k in range(WORD_BINS)
-    }
-    return hits.withColumns(bins).withColumn("w_rest", F.col("n_words") - F.size("hits")).drop("hits", "common", "w")
-
-
 def _shares(names: list[str]) -> Column:
     total = sum((F.col(n) for n in names), F.lit(0))
     return F.array(*[F.col(n) / F.greatest(total, F.lit(1)) for n in names])
@@ -165,37 +166,37 @@ def distance(p: Column, q: Column) -> Column:
 _WORDS = [f"w{k}" for k in range(WORD_BINS)] + ["w_rest"]
 
 
-def _reference(measures: DataFrame, bins: list[str], out: str) -> DataFrame:
-    """The shares of these texts in ``bins`` taken together, by reference, with their words."""
-    summed = measures.groupBy("ref").agg(*[F.sum(n).alias(n) for n in dict.fromkeys(["n_words", *bins])])
-    return summed.select("ref", F.col("n_words").alias("ref_words"), _shares(bins).alias(out))
+def references(measures: DataFrame) -> DataFrame:
+    """Histograms of all these texts taken together, by reference; stored, so that Spark joins by the measured size."""
+    summed = measures.groupBy("ref").agg(*[F.sum(n).alias(n) for n in ["n_words", *CLASSES, *_WORDS]])
+    shares = summed.select(
+        "ref",
+        F.col("n_words").alias("ref_words"),
+        _shares(CLASSES).alias("ref_classes"),
+        _shares(_WORDS).alias("ref_common"),
+    )
+    return materialize(shares, "quality-references")
 
 
 def judged(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Every row with its base counts, both distances, base_failed and kept.
 
-    Measures are stored once, with the texts' words; references and comparison read them back. The first
-    references come from all rows that pass the base rule, the final ones, and the common words, from those among
-    them that lie near the first, so that junk does not set the standard. Reference tables (a row per
-    language) are stored too, so that Spark joins by their measured size.
+    The texts are read twice, for the common words and for the measures. Measures are stored once; references and
+    comparison read them back. The first references come from all rows that pass the base rule, the final ones
+    from those among them that lie near the first, so that junk does not set the standard.
     """
-    measures = materialize(measured(docs, keep), "quality-measures")
+    common = materialize(common_words(docs), "quality-words")
+    measures = materialize(measured(docs, common, keep), "quality-measures")
     enough = F.col("ref_words") >= MIN_REFERENCE_WORDS
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     measures = measures.withColumn("base_failed", base_failed)
     passed = measures.filter(~F.col("base_failed"))
-    first = materialize(_reference(passed, CLASSES, "first_classes"), "quality-first").drop("ref_words")
-    near = passed.join(first, "ref").filter(
-        distance(_shares(CLASSES), F.col("first_classes")) <= FIRST_CLASS_DISTANCE
+    near = passed.join(references(passed), "ref").filter(
+        distance(_shares(CLASSES), F.col("ref_classes")) <= FIRST_CLASS_DISTANCE
     )
-    common = materialize(common_words(near), "quality-words")
-    classes = _reference(near, CLASSES, "ref_classes")
-    in_words = _reference(with_word_bins(near, common), _WORDS, "ref_common").drop("ref_words")
-    last = materialize(classes.join(in_words, "ref"), "quality-references")
-    measures = with_word_bins(measures, common)
-    compared = measures.join(last, "ref", "left")
+    compared = measures.join(references(near.select(measures.columns)), "ref", "left")
     return (
         compared.withColumn(
             "class_distance",

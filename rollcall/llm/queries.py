@@ -218,14 +218,11 @@ full_measures AS (
          n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
   FROM measures),
 first_refs AS (SELECT ref, {class_sum} FROM full_measures WHERE NOT base_failed GROUP BY ref),
-near AS (
-  SELECT m.* FROM full_measures m JOIN first_refs r ON m.ref = r.ref
-  WHERE NOT base_failed AND {_distance_sql(rules.CLASSES, 'm', 'r')} <= {rules.FIRST_CLASS_DISTANCE}),
 common AS (
   SELECT ref, list(word ORDER BY texts DESC, word) AS common
   FROM (SELECT ref, word, texts, row_number() OVER (PARTITION BY ref ORDER BY texts DESC, word) AS place
         FROM (SELECT ref, word, count(*) AS texts
-              FROM (SELECT ref, unnest(list_distinct(w)) AS word FROM near) GROUP BY ref, word))
+              FROM (SELECT ref, unnest(list_distinct(w)) AS word FROM split WHERE len(w) >= {rules.MIN_WORDS}) GROUP BY ref, word))
   WHERE place <= {rules.WORD_BINS} GROUP BY ref),
 binned AS (SELECT *, n_words - ({' + '.join(bins)}) AS w_rest
            FROM (SELECT m.*, {counted} FROM full_measures m LEFT JOIN common c ON m.ref = c.ref)),
