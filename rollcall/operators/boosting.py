@@ -8,9 +8,9 @@ Gradients are whole multiples of 2**-30, so sums do not depend on the order of a
 after lost executors.
 
 A pass over the rows adds up one histogram per (model, node) for large nodes. A node of at most IN_TASK_ROWS rows is finished by the one task
-that gets its rows (as in PLANET, Panda et al. 2009), and a model that learns from no more rows than that is fitted there with
-all its rounds; both give the tree that passes would. No other rows leave their partition: between rounds a partition keeps its
-bins and raw scores, persisted and, every CHECKPOINT_ROUNDS rounds, checkpointed.
+that gets its rows (as in PLANET, Panda et al. 2009), and a model that learns from at most MODEL_ROWS rows (a byte per row and
+feature) is fitted by one task with all its rounds; both give the tree that passes would. No other rows leave their partition:
+between rounds a partition keeps its bins and raw scores, persisted and, every CHECKPOINT_ROUNDS rounds, checkpointed.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.ordering import exact_quantiles
+from rollcall.operators.ordering import spaced_quantiles
 from rollcall.session import materialize, scratch_root, ship_package
 
 LEAVES, MIN_LEAF, MAX_BINS = 31, 20, 255
@@ -37,9 +37,13 @@ CATEGORY_SUPPORT = 10.0
 
 UNIT = 1 << 30
 IN_TASK_ROWS = 1 << 17
+MODEL_ROWS = 1 << 20
 CHECKPOINT_ROUNDS = 25
 BLOCK_ROWS = 1 << 16
 
+#: Features are counted together while they have no more combinations of bins than this; small nodes count each by itself.
+JOINT_CELLS, JOINT_ROWS = 1 << 10, 1 << 10
+
 
 # --- bins ----------------------------------------------------------------------------------------------------------
 
@@ -100,9 +104,8 @@ def fit_bins(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str])
         edges[c] = [a + (b - a) / 2 for a, b in zip(own, own[1:], strict=False)]
     if many:
         # Values stand as often as they occur: quantiles of the rows.
-        wide = cells.where(F.col("feature").isin(many))
-        probs = [k / MAX_BINS for k in range(1, MAX_BINS)]
-        for row in exact_quantiles(wide, "value", probs, by=["feature"]).collect():
+        wide = counts.where(F.col("feature").isin(many))
+        for row in spaced_quantiles(wide, "value", "n", MAX_BINS, ["feature"]).collect():
             edges[row["feature"]] = sorted(set(row["edges"]))
     kinds = {}
     for c in categorical:
@@ -139,54 +142,147 @@ class Node:
 def histogram(bins: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, width: int) -> np.ndarray:
     """Sums of gradients, hessians and rows per (feature, bin)."""
     n, features = bins.shape
-    place = (bins + np.arange(features, dtype=np.int32) * width).ravel()
+    place = (bins + np.arange(features) * width).ravel()
     total = features * width
     parts = [np.bincount(place, np.repeat(v, features), total) for v in (gradient, hessian)]
     return np.stack([*parts, np.bincount(place, minlength=total)]).astype(np.int64).reshape(3, features, width)
 
 
-def best_split(hist: np.ndarray, n_numeric: int) -> Split | None:
-    """The split that gains most; the first of equal ones by feature, side of missing values and bin."""
-    features, width = hist.shape[1:]
-    total = hist[:, 0].sum(axis=1)
-    missing = hist[:, :, -1:]
-    upto = hist[:, :, :-1].cumsum(axis=2)
-    order = {}
-    for f in range(n_numeric, features):
-        g, h, n = hist[:, f]
-        support = h * (total[2] / max(int(total[1]), 1))
-        used = np.flatnonzero((n > 0) & (support >= CATEGORY_SUPPORT))
-        used = used[np.argsort(g[used] / (h[used] + CATEGORY_SUPPORT * UNIT), kind="stable")]
-        order[f] = used
-        upto[:, f] = 0
-        upto[:, f, : len(used)] = hist[:, f, used].cumsum(axis=1)
-    left = np.stack([upto, upto + missing], axis=2)
-    right = total[:, None, None, None] - left
-    fine = (left[2] >= MIN_LEAF) & (right[2] >= MIN_LEAF)
-    fine &= (left[1] >= MIN_HESSIAN * UNIT) & (right[1] >= MIN_HESSIAN * UNIT)
-    fine[n_numeric:, 1] = False
-    if not fine.any():
-        return None
-    worth = np.full(fine.shape, -np.inf)
-    a, b = left[:, fine].astype(float), right[:, fine].astype(float)
-    worth[fine] = a[0] * a[0] / a[1] + b[0] * b[0] / b[1]
-    f, side, k = np.unravel_index(int(worth.argmax()), worth.shape)
-    gain = float(worth[f, side, k] - float(total[0]) ** 2 / float(total[1]))
-    if gain <= 0:
-        return None
-    goes = np.zeros(width, bool)
-    if f < n_numeric:
-        goes[: k + 1] = True
-        goes[-1] = side == 1
-    else:
-        goes[order[f][: k + 1]] = True
-    return Split(gain, int(f), goes)
-
-
-def judge(node: Node, n_numeric: int) -> None:
-    """Find a node's split from its histogram."""
-    node.split = best_split(node.hist, n_numeric) if node.totals[2] >= 2 * MIN_LEAF else None
-    node.known = True
+class Layout:
+    """Rows of a node or model that are all here, laid out for counting and splitting.
+
+    Features of few bins are one column of their combinations, so that a node is counted in fewer passes over its rows. A
+    feature's own sums are those over the other features of its column, in whole numbers, so histograms are the same.
+    """
+
+    def __init__(self, bins: np.ndarray, width: int) -> None:
+        self.bins, self.by_feature = bins, np.ascontiguousarray(bins.T)
+        self.shape, missing = (bins.shape[1], width), width - 1
+        # Rows by bin, for each feature.
+        self.order = [column.argsort(kind="stable").astype(np.int32) for column in self.by_feature]
+        self.starts = [np.cumsum([0, *np.bincount(column, minlength=width)]) for column in self.by_feature]
+        if len(bins) < JOINT_ROWS:
+            return
+        used, codes = [], []
+        for column in self.by_feature:
+            empty = column == missing
+            top = 0 if empty.all() else int(column[~empty].max()) + 1
+            codes.append(np.where(empty, top, column).astype(np.int64))
+            used.append(np.append(np.arange(top), [missing] * bool(empty.any())).astype(np.int64))
+        groups: list[list[int]] = []
+        sizes: list[int] = []
+        for f in sorted(range(len(codes)), key=lambda f: -len(used[f])):
+            own = len(used[f])
+            at = next((k for k, size in enumerate(sizes) if size * own <= JOINT_CELLS), len(sizes))
+            if at == len(sizes):
+                groups.append([])
+                sizes.append(1)
+            groups[at].append(f)
+            sizes[at] *= own
+        self.sizes = sizes
+        self.cells = np.zeros((len(groups), len(bins)), np.int64)
+        # The cells of each (feature, bin), one after the other.
+        parts, lengths, places, first = [], [], [], 0
+        for k, (members, size) in enumerate(zip(groups, sizes, strict=True)):
+            for f in members:
+                self.cells[k] *= len(used[f])
+                self.cells[k] += codes[f]
+            grid = np.arange(first, first + size).reshape([len(used[f]) for f in members])
+            for axis, f in enumerate(members):
+                parts.append(np.moveaxis(grid, axis, 0).ravel())
+                lengths += [size // len(used[f])] * len(used[f])
+                places.append(f * width + used[f])
+            first += size
+        self.parts, self.places = np.concatenate(parts), np.concatenate(places)
+        self.firsts = np.cumsum([0, *lengths[:-1]])
+
+    def held(self, feature: int, wanted: np.ndarray) -> int:
+        """Number of rows whose bin of the feature is wanted."""
+        return int(np.diff(self.starts[feature])[wanted].sum())
+
+    def having(self, feature: int, wanted: np.ndarray) -> np.ndarray:
+        """Rows whose bin of the feature is wanted."""
+        runs = np.flatnonzero(np.diff(np.concatenate([[False], wanted, [False]]))).reshape(-1, 2)
+        starts = self.starts[feature]
+        return np.concatenate([self.order[feature][starts[a] : starts[b]] for a, b in runs])
+
+    def histogram(self, rows: np.ndarray | None, gradient: np.ndarray, hessian: np.ndarray) -> np.ndarray:
+        """Sums of gradients, hessians and rows per (feature, bin) over some rows, or all."""
+        if len(gradient if rows is None else rows) < JOINT_ROWS:
+            at = slice(None) if rows is None else rows
+            return histogram(self.bins[at], gradient[at], hessian[at], self.shape[1])
+        if rows is not None:
+            gradient, hessian = gradient.take(rows), hessian.take(rows)
+        sums, first = np.empty((3, sum(self.sizes)), np.int64), 0
+        for column, size in zip(self.cells, self.sizes, strict=True):
+            cells, own = column if rows is None else column.take(rows), slice(first, first + size)
+            sums[0, own] = np.bincount(cells, gradient, size)
+            sums[1, own] = np.bincount(cells, hessian, size)
+            sums[2, own] = np.bincount(cells, minlength=size)
+            first += size
+        out = np.zeros((3, self.shape[0] * self.shape[1]), np.int64)
+        out[:, self.places] = np.add.reduceat(sums.take(self.parts, axis=1), self.firsts, axis=1)
+        return out.reshape(3, *self.shape)
+
+
+def best_splits(hists: np.ndarray, n_numeric: int) -> list[Split | None]:
+    """The split of each node that gains most; the first of equal ones by feature, side of missing values and bin."""
+    features, width = hists.shape[2:]
+    totals = hists[:, :, 0].sum(axis=2)
+    missing = hists[..., -1:]
+    upto = hists[..., :-1].cumsum(axis=3)
+    if features > n_numeric:
+        kinds = hists[:, :, n_numeric:]
+        g, h, n = kinds[:, 0], kinds[:, 1], kinds[:, 2]
+        weight = totals[:, 2] / np.maximum(totals[:, 1], 1)
+        used = (n > 0) & (h * weight[:, None, None] >= CATEGORY_SUPPORT)
+        mean = np.where(used, g / (h + CATEGORY_SUPPORT * UNIT), np.inf)
+        order = mean.argsort(axis=2, kind="stable")
+        ordered = np.take_along_axis(np.where(used[:, None], kinds, 0), order[:, None], axis=3)
+        upto[:, :, n_numeric:] = ordered.cumsum(axis=3)[..., :-1]
+    # Both sides of missing values are the same where there are none; an empty bin splits as the one before it does.
+    left = np.stack([upto, upto + missing], axis=3) if missing[:, 2].any() else upto[:, :, :, None]
+    fine = (left[:, 2] >= MIN_LEAF) & (left[:, 2] <= totals[:, 2, None, None, None] - MIN_LEAF)
+    fine[:, :n_numeric, :, 1:] &= hists[:, 2, :n_numeric, None, 1:-1] > 0
+    fine[:, n_numeric:, 1:] = False
+    found: list[Split | None] = []
+    for k, total in enumerate(totals):
+        found.append(None)
+        at = np.flatnonzero(fine[k])
+        a = left[k].reshape(3, -1).take(at, axis=1)
+        b = total[:, None] - a
+        enough = np.minimum(a[1], b[1]) >= MIN_HESSIAN * UNIT
+        if not enough.any():
+            continue
+        if not enough.all():
+            at, a, b = at[enough], a[:, enough], b[:, enough]
+        a, b = a[:2].astype(float), b[:2].astype(float)
+        worth = a[0] * a[0] / a[1] + b[0] * b[0] / b[1]
+        best = int(worth.argmax())
+        gain = float(worth[best] - float(total[0]) ** 2 / float(total[1]))
+        if gain <= 0:
+            continue
+        f, side, upper = np.unravel_index(at[best], fine.shape[1:])
+        goes = np.zeros(width, bool)
+        if f < n_numeric:
+            goes[: upper + 1] = True
+            goes[-1] = side == 1
+        else:
+            own = order[k, f - n_numeric, : upper + 1]
+            goes[own[used[k, f - n_numeric, own]]] = True
+        found[k] = Split(gain, int(f), goes)
+    return found
+
+
+def judge(nodes: Sequence[Node], n_numeric: int) -> None:
+    """Find the splits of nodes from their histograms."""
+    open_nodes = [node for node in nodes if node.totals[2] >= 2 * MIN_LEAF]
+    for node in nodes:
+        node.split, node.known = None, True
+    if open_nodes:
+        splits = best_splits(np.stack([node.hist for node in open_nodes]), n_numeric)
+        for node, split in zip(open_nodes, splits, strict=True):
+            node.split = split
 
 
 def _totals(hist: np.ndarray) -> tuple[int, int, int]:
@@ -219,39 +315,46 @@ def select(root: Node) -> tuple[list[Node], list[Node]]:
 
 
 def finish(
-    root: Node, bins: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, width: int, n_numeric: int
-) -> list[tuple[Node, np.ndarray]]:
-    """Grow a node whose rows are all here. Returns its leaves with their rows."""
+    root: Node, layout: Layout, gradient: np.ndarray, hessian: np.ndarray, n_numeric: int
+) -> tuple[list[Node], np.ndarray]:
+    """Grow a node whose rows are all here. Returns its leaves, and the place of every row's leaf among them."""
     if root.hist is None:
-        root.hist = histogram(bins, gradient, hessian, width)
+        root.hist = layout.histogram(None, gradient, hessian)
         root.totals = _totals(root.hist)
-    judge(root, n_numeric)
-    rows = {id(root): np.arange(len(bins))}
-    heap = [(-root.split.gain, 0, root)] if root.split else []
-    turn, leaves = 1, {id(root): root}
+    judge([root], n_numeric)
+    rows = len(gradient)
+    leaf_of = np.zeros(rows, np.min_scalar_type(LEAVES))
+    heap = [(-root.split.gain, 0, root, 0)] if root.split else []
+    turn, leaves = 1, [root]
     while heap and len(leaves) < LEAVES:
-        _, _, node = heapq.heappop(heap)
-        own = rows.pop(id(node))
-        goes = node.split.left[bins[own, node.split.feature]]
-        sides = [own[goes], own[~goes]]
-        small = int(len(sides[1]) < len(sides[0]))
+        _, _, node, place = heapq.heappop(heap)
+        feature, left = node.split.feature, node.split.left
+        # The smaller side gets a place of its own, the other one keeps the node's.
+        small = int(2 * node.hist[2, feature, left].sum() > node.totals[2])
+        wanted = ~left if small else left
+        if layout.held(feature, wanted) <= node.totals[2] + rows // 16:
+            at = layout.having(feature, wanted)
+            at = at.compress(leaf_of.take(at) == place)
+        else:
+            at = np.flatnonzero(leaf_of == place)
+            at = at.compress(wanted.take(layout.by_feature[feature].take(at)))
         hists: list = [None, None]
-        at = sides[small]
-        hists[small] = histogram(bins[at], gradient[at], hessian[at], width)
+        hists[small] = layout.histogram(at, gradient, hessian)
         hists[1 - small] = node.hist - hists[small]
         node.children = tuple(Node(_totals(h), hist=h) for h in hists)
         node.hist = None
-        del leaves[id(node)]
-        for child, mine in zip(node.children, sides, strict=True):
-            judge(child, n_numeric)
-            rows[id(child)] = mine
-            leaves[id(child)] = child
+        judge(node.children, n_numeric)
+        places = (place, len(leaves)) if small else (len(leaves), place)
+        leaf_of[at] = len(leaves)
+        leaves[place] = node.children[1 - small]
+        leaves.append(node.children[small])
+        for child, own in zip(node.children, places, strict=True):
             if child.split is not None:
-                heapq.heappush(heap, (-child.split.gain, turn, child))
+                heapq.heappush(heap, (-child.split.gain, turn, child, own))
             turn += 1
-    for node in leaves.values():
+    for node in leaves:
         node.hist = None
-    return [(node, rows[key]) for key, node in leaves.items()]
+    return leaves, leaf_of
 
 
 @dataclass
@@ -318,8 +421,15 @@ class Forest:
 
 
 def gradients(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    chance = 1 / (1 + np.exp(-raw))
-    return np.rint((chance - label) * UNIT), np.rint(chance * (1 - chance) * UNIT)
+    chance = np.exp(-raw)
+    chance += 1
+    np.divide(1, chance, out=chance)
+    gradient, hessian = chance - label, 1 - chance
+    hessian *= chance
+    for x in (gradient, hessian):
+        x *= UNIT
+        np.rint(x, out=x)
+    return gradient, hessian
 
 
 def log_odds(positives: int, rows: int) -> float:
@@ -332,13 +442,13 @@ def boost(name: str, bins: np.ndarray, label: np.ndarray, step: float, rounds: i
     """All rounds of a model whose rows are all here."""
     forest = Forest(name, log_odds(int(label.sum()), len(label)))
     raw = np.full(len(label), forest.start)
+    layout = Layout(bins, width)
     for _ in range(rounds):
         root = Node((0, 0, 0))
-        leaves = finish(root, bins, *gradients(raw, label), width, n_numeric)
+        leaves, leaf_of = finish(root, layout, *gradients(raw, label), n_numeric)
         tree = as_tree(root, width, step)
         forest.trees.append(tree)
-        for node, rows in leaves:
-            raw[rows] += tree.value[node.leaf]
+        raw += tree.value[[node.leaf for node in leaves]].take(leaf_of)
     return forest
 
 
@@ -370,7 +480,7 @@ def fit_many(
     in_task_rows: int | None = None,
 ) -> Models:
     """Fit all models over one bin table. ``label`` holds 0 and 1."""
-    limit = IN_TASK_ROWS if in_task_rows is None else in_task_rows
+    limit, whole = (IN_TASK_ROWS, MODEL_ROWS) if in_task_rows is None else (in_task_rows, in_task_rows)
     ship_package(df.sparkSession)
     bins = fit_bins(df, numeric, categorical)
     member = F.array(*[F.coalesce(s.train, F.lit(False)) for s in specs])
@@ -390,7 +500,7 @@ def fit_many(
         *[F.count(F.when(F.col("member")[k], 1)).alias(f"n{k}") for k in range(len(specs))],
         *[F.count(F.when(F.col("member")[k] & (F.col("label") == 1), 1)).alias(f"p{k}") for k in range(len(specs))],
     ).first()
-    small = [k for k in range(len(specs)) if counts[f"n{k}"] <= limit]
+    small = [k for k in range(len(specs)) if counts[f"n{k}"] <= whole]
     large = [k for k in range(len(specs)) if k not in small]
     forests = {}
     if small:
@@ -419,7 +529,8 @@ def _fit_in_tasks(table: DataFrame, specs: list[tuple[int, Spec]], bins: Bins) -
 
     own = F.filter(F.array(*[F.lit(k) for k in told]), lambda k: F.get(F.col("member"), k))
     members = table.select(F.explode(own).alias("model"), "bins", "label")
-    fitted = members.repartitionByRange(len(told), "model").groupBy("model").applyInArrow(fit, "model int, forest binary")
+    # Ranges are cut by samples: with a few for each model, no two large models share one.
+    fitted = members.repartitionByRange(4 * len(told), "model").groupBy("model").applyInArrow(fit, "model int, forest binary")
     # A forest per model, which is of bounded size.
     found = {r["model"]: pickle.loads(r["forest"]) for r in fitted.collect()}
     return {s.name: found.get(k, Forest(s.name, 0.0)) for k, s in specs}
@@ -519,7 +630,7 @@ def _grow(state, roots: dict[int, Node], features: int, width: int, n_numeric: i
                 return found
             x, g, h = (np.concatenate(parts) for parts in zip(*found, strict=True))
             node = Node((0, 0, 0))
-            finish(node, x, g, h, width, n_numeric)
+            finish(node, Layout(x, width), g, h, n_numeric)
             return node
 
         # Rows of small nodes and histograms of large ones: both are of bounded size.
@@ -531,7 +642,7 @@ def _grow(state, roots: dict[int, Node], features: int, width: int, n_numeric: i
             else:
                 node.hist = np.zeros((3, features, width), np.int64) if found is None else found
                 node.totals = _totals(node.hist)
-                judge(node, n_numeric)
+                judge([node], n_numeric)
         wanted = []
         for m, root in roots.items():
             for node in select(root)[1]:

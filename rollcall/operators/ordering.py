@@ -206,6 +206,35 @@ def exact_quantiles(
     return picked.select(*by, F.array(*edges).alias(out))
 
 
+def spaced_quantiles(
+    counts: DataFrame, value: str, rows: str, parts: int, by: Sequence[str], out: str = "edges"
+) -> DataFrame:
+    """:func:`exact_quantiles` at k / ``parts`` for k = 1 .. parts - 1, of values that stand ``rows`` times each.
+
+    Every value is sent to the positions that it covers only, so the work does not grow with the number of positions.
+    """
+    totals = running_totals(counts.where(F.col(value).isNotNull()), [F.col(value)], {"_upto": rows}, by)
+    sized = _with_group_stats(totals, by, {"_n": F.max("_upto")}).withColumn("_from", F.col("_upto") - F.col(rows))
+    steps = F.lit(float(parts)) / F.greatest(F.col("_n") - 1, F.lit(1))
+    first = F.greatest(F.floor((F.col("_from") - 1) * steps) - 1, F.lit(1))
+    last = F.least(F.ceil(F.col("_upto") * steps) + 1, F.lit(parts - 1))
+    near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
+    spot = F.col("_k").cast("double") / F.lit(float(parts)) * (F.col("_n") - 1)
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((F.col("_upto") > position) & (F.col("_from") <= position), F.col(value)))
+
+    picked = (
+        sized.withColumn("_k", F.explode(near))
+        .withColumn("_spot", spot)
+        .groupBy(*by, "_k", "_spot")
+        .agg(at(F.floor("_spot")).alias("_low"), at(F.ceil("_spot")).alias("_high"))
+    )
+    edge = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_spot") - F.floor("_spot"))
+    listed = F.sort_array(F.collect_list(F.struct("_k", edge.alias("edge"))))
+    return picked.groupBy(*by).agg(F.transform(listed, lambda x: x.edge).alias(out))
+
+
 def cut_rows(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> list[tuple]:
     """The ordering values of the rows at some 0-based positions.
 

@@ -190,3 +190,27 @@ def test_exchange_importance(spark):
     assert set(out) == {"a", "b", "c"}
     assert out["a"]["importance"] > 0.02 and out["c"]["importance"] > 0.02 and out["b"]["importance"] < 0.08
     assert all(r["std"] > 0 for r in out.values())
+
+
+def test_joint_counts_and_row_index_are_those_of_plain_loops():
+    rng = np.random.default_rng(4)
+    bins = np.stack([rng.integers(0, k, 3000) for k in (3, 5, 40, 2, 200, 1)], axis=1).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.1] = 219
+    g, h = rng.integers(-UNIT, UNIT, 3000).astype(float), rng.integers(0, UNIT // 4, 3000).astype(float)
+    layout = boosting.Layout(bins, 220)
+    assert len(layout.cells) < bins.shape[1]
+    for rows in (None, np.sort(rng.choice(3000, 1500, replace=False)), np.arange(7)):
+        at = slice(None) if rows is None else rows
+        assert (layout.histogram(rows, g, h) == boosting.histogram(bins[at], g[at], h[at], 220)).all()
+    wanted = rng.random(220) < 0.3
+    for f in range(bins.shape[1]):
+        assert sorted(layout.having(f, wanted)) == np.flatnonzero(wanted[bins[:, f]]).tolist()
+        assert layout.held(f, wanted) == wanted[bins[:, f]].sum()
+
+
+def test_a_model_larger_than_a_node_of_a_pass_is_still_fitted_by_one_task(spark, monkeypatch):
+    rows, df = table(spark)
+    monkeypatch.setattr(boosting, "IN_TASK_ROWS", len(rows) // 4)
+    monkeypatch.setattr(boosting, "_fit_in_passes", None)
+    models = boosting.fit_many(df, [boosting.Spec("m", F.lit(True), rounds=2)], ["a", "b"], ["c"])
+    assert len(models.forests["m"].trees) == 2

@@ -176,3 +176,17 @@ def test_bins_use_every_edge(spark):
     df = spark.createDataFrame([("A", 0.75), ("A", 0.95), ("A", 1.0), ("A", 0.0)], "hoofdagenda string, prediction double")
     bins = {r.prediction: r.score_bin for r in binning.apply_bins(df, edges, "hoofdagenda", "prediction").collect()}
     assert bins == {0.75: 1499, 0.95: 1899, 1.0: 1999, 0.0: None}
+
+
+def test_spaced_quantiles_are_the_exact_ones_in_a_plan_that_does_not_grow_with_them(spark):
+    rng = random.Random(5)
+    rows = [("a", float(rng.randint(0, 40))) for _ in range(900)] + [("b", rng.random()) for _ in range(700)]
+    rows += [("c", 1.5), ("d", 2.0), ("d", 4.0), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    counts = df.groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"))
+    for parts in (2, 7, 20):
+        found = ordering.spaced_quantiles(counts, "x", "n", parts, ["g"])
+        wanted = ordering.exact_quantiles(df, "x", [k / parts for k in range(1, parts)], by=["g"])
+        assert {r["g"]: r["edges"] for r in found.collect()} == {r["g"]: r["edges"] for r in wanted.collect()}
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("max(") < 10
