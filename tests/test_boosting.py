@@ -214,3 +214,19 @@ def test_a_model_larger_than_a_node_of_a_pass_is_still_fitted_by_one_task(spark,
     monkeypatch.setattr(boosting, "_fit_in_passes", None)
     models = boosting.fit_many(df, [boosting.Spec("m", F.lit(True), rounds=2)], ["a", "b"], ["c"])
     assert len(models.forests["m"].trees) == 2
+
+
+def test_rows_end_where_their_paths_do():
+    rng = np.random.default_rng(6)
+    bins = rng.integers(0, 30, (2000, 5)).astype(np.uint8)
+    label = (rng.random(2000) < 0.2 + 0.02 * bins[:, 1]).astype(float)
+    forest = boosting.boost("m", bins, label, 0.1, 4, 31, 4)
+    other = rng.integers(0, 31, (500, 5)).astype(np.uint8)
+    score, after = np.full(500, forest.start), []
+    for tree in forest.trees:
+        assert (boosting.Walker(tree).values(other.T) == tree.value[tree.leaves_of(other)]).all()
+        score = score + tree.value[tree.leaves_of(other)]
+        after.append(score)
+    assert all((a == b).all() for a, b in zip(forest.raw(other, [1, 4]), (after[0], after[3]), strict=True))
+    stump = boosting.boost("m", bins[:10], label[:10], 0.1, 2, 31, 4)
+    assert (stump.raw(other, [2])[0] == stump.raw(other[:1], [2])[0][0]).all()
