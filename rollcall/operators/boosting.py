@@ -8,14 +8,18 @@ Gradients are whole multiples of 2**-30, so sums do not depend on the order of a
 after lost executors.
 
 A pass over the rows adds up one histogram per (model, node) for large nodes. A node of at most IN_TASK_ROWS rows is finished by the one task
-that gets its rows (as in PLANET, Panda et al. 2009), and a model that learns from at most MODEL_ROWS rows (a byte per row and
-feature) is fitted by one task with all its rounds; both give the tree that passes would. No other rows leave their partition:
-between rounds a partition keeps its bins and raw scores, persisted and, every CHECKPOINT_ROUNDS rounds, checkpointed.
+that gets its rows (as in PLANET, Panda et al. 2009), and a model that learns from at most JAVA_ROWS rows (a byte per row and
+feature) is fitted by one task with all its rounds, in Java (``Boosting.java``) or, where that cannot be compiled and for at most
+MODEL_ROWS rows, in numpy; all give the tree that passes would. No other rows leave their partition: between rounds a partition keeps
+its bins and raw scores, persisted and, every CHECKPOINT_ROUNDS rounds, checkpointed.
+
+Rows travel in blocks: the bins of some rows one after the other, and a byte per row for the label.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -27,6 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators import kernel
 from rollcall.operators.ordering import spaced_quantiles
 from rollcall.session import materialize, scratch_root, ship_package
 
@@ -39,8 +44,9 @@ CATEGORY_SUPPORT = 10.0
 UNIT = 1 << 30
 IN_TASK_ROWS = 1 << 17
 MODEL_ROWS = 1 << 20
+#: Held in Java by about 50 bytes a row, besides the blocks.
+JAVA_ROWS = 1 << 22
 CHECKPOINT_ROUNDS = 25
-BLOCK_ROWS = 1 << 16
 
 #: Features are counted together while they have no more combinations of bins than this; small nodes count each by itself.
 JOINT_CELLS, JOINT_ROWS = 1 << 10, 1 << 10
@@ -80,7 +86,9 @@ class Bins:
             out[:, k] = np.where(np.isnan(x), missing, np.searchsorted(np.array(edges), x, side="left"))
         for k, (name, values) in enumerate(self.categorical.items(), len(self.numeric)):
             place = {v: i for i, v in enumerate(values)}
-            out[:, k] = [place.get(v, missing) for v in batch.column(name).to_pylist()]
+            coded = batch.column(name).dictionary_encode(null_encoding="encode")
+            known = np.array([place.get(v, missing) for v in coded.dictionary.to_pylist()], np.uint8)
+            out[:, k] = known[coded.indices.to_numpy(zero_copy_only=False)]
         return out
 
 
@@ -260,7 +268,7 @@ def best_splits(hists: np.ndarray, n_numeric: int) -> list[Split | None]:
         a, b = a[:2].astype(float), b[:2].astype(float)
         worth = a[0] * a[0] / a[1] + b[0] * b[0] / b[1]
         best = int(worth.argmax())
-        gain = float(worth[best] - float(total[0]) ** 2 / float(total[1]))
+        gain = float(worth[best] - float(total[0]) * float(total[0]) / float(total[1]))
         if gain <= 0:
             continue
         f, side, upper = np.unravel_index(at[best], fine.shape[1:])
@@ -358,23 +366,26 @@ def finish(
     return leaves, leaf_of
 
 
-@dataclass
 class Tree:
-    """A tree as arrays; nodes 0, 1, ...; a leaf has feature -1."""
+    """A tree as arrays; nodes 0, 1, ...; a leaf has feature -1. Bins that go left are held a bit each."""
 
-    feature: np.ndarray
-    left_bins: np.ndarray
-    child: np.ndarray
-    value: np.ndarray
-    gain: np.ndarray
+    def __init__(
+        self, feature: np.ndarray, left_bins: np.ndarray, child: np.ndarray, value: np.ndarray, gain: np.ndarray
+    ) -> None:
+        self.feature, self.child, self.value, self.gain = feature, child, value, gain
+        self.width, self.bits = left_bins.shape[1], np.packbits(left_bins, axis=1)
+
+    @property
+    def left_bins(self) -> np.ndarray:
+        return np.unpackbits(self.bits, axis=1, count=self.width).astype(bool)
 
     def leaves_of(self, bins: np.ndarray) -> np.ndarray:
         """Node in which each row ends."""
-        at = np.zeros(len(bins), np.int64)
+        at, left = np.zeros(len(bins), np.int64), self.left_bins
         active = np.arange(len(bins)) if self.feature[0] >= 0 else np.zeros(0, np.int64)
         while len(active):
             node = at[active]
-            goes = self.left_bins[node, bins[active, self.feature[node]]]
+            goes = left[node, bins[active, self.feature[node]]]
             at[active] = self.child[node, np.where(goes, 0, 1)]
             active = active[self.feature[at[active]] >= 0]
         return at
@@ -397,10 +408,11 @@ class Walker:
                 stack += [(node, True), (int(tree.child[node, 1]), False), (int(tree.child[node, 0]), False)]
         #: Leaves still possible, a bit each, by bin of a feature.
         self.masks: dict[int, np.ndarray] = {}
+        left = tree.left_bins
         for node in np.flatnonzero(tree.feature >= 0):
             first, end = spans[int(tree.child[node, 0])]
-            mask = self.masks.setdefault(int(tree.feature[node]), np.full(tree.left_bins.shape[1], -1, np.int64))
-            mask[~tree.left_bins[node]] &= ~(((1 << (end - first)) - 1) << first)
+            mask = self.masks.setdefault(int(tree.feature[node]), np.full(tree.width, -1, np.int32))
+            mask[~left[node]] &= np.int32(~(((1 << (end - first)) - 1) << first))
         self.value = tree.value[leaves]
 
     def values(self, columns: np.ndarray) -> np.ndarray:
@@ -411,8 +423,12 @@ class Walker:
         for f, mask in self.masks.items():
             own = mask.take(columns[f])
             left = own if left is None else np.bitwise_and(left, own, out=left)
+        return self.first(left)
+
+    def first(self, left: np.ndarray) -> np.ndarray:
+        """Value of the first leaf that is left."""
         # The lowest bit is a power of two, so its exponent is exact.
-        return self.value.take(np.frexp((left & -left).astype(np.float64))[1] - 1)
+        return self.value.take(np.frexp((left & -left).astype(np.float32))[1] - 1)
 
 
 def as_tree(root: Node, width: int, step: float) -> Tree:
@@ -460,9 +476,50 @@ class Forest:
         found += [score.copy()] * (len(stages) - len(found))
         return found
 
+    def raw_exchanged(self, columns: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Raw scores of rows whose bins are given by feature, and those with one feature's bins exchanged, by feature and repeat.
+
+        The same as :meth:`raw` of each, but a tree asks for the other features' bins once, and only for features that it tests.
+        """
+        plain, exchanged = np.full(columns.shape[1], self.start), np.full(given.shape, self.start)
+        for walker in self.walkers:
+            tested = list(walker.masks)
+            own = [walker.masks[f].take(columns[f]) for f in tested]
+            # Leaves that the features before each one, and those after it, leave.
+            before, after = [None], [None]
+            for x in own:
+                before.append(x if before[-1] is None else before[-1] & x)
+            for x in own[:0:-1]:
+                after.append(x if after[-1] is None else after[-1] & x)
+            value = walker.first(before[-1]) if tested else walker.value[0]
+            plain += value
+            for f in range(len(given)):
+                if f not in walker.masks:
+                    exchanged[f] += value
+                    continue
+                k, left = tested.index(f), walker.masks[f].take(given[f])
+                for rest in (before[k], after[len(tested) - 1 - k]):
+                    if rest is not None:
+                        left &= rest
+                exchanged[f] += walker.first(left)
+        return plain, exchanged
+
+
+def exponential(x: np.ndarray) -> np.ndarray:
+    """The exponential by additions and multiplications only, whose results are the same on any machine and in Java."""
+    x = np.clip(x, -700, 700)
+    k = np.rint(x * 1.4426950408889634)
+    x -= k * 0.6931471803691238
+    x -= k * 1.9082149292705877e-10
+    out = np.full(len(x), 1 / math.factorial(13))
+    for n in range(12, -1, -1):
+        out *= x
+        out += 1 / math.factorial(n)
+    return np.ldexp(out, k.astype(np.int32))
+
 
 def gradients(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    chance = np.exp(-raw)
+    chance = exponential(-raw)
     chance += 1
     np.divide(1, chance, out=chance)
     gradient, hessian = chance - label, 1 - chance
@@ -521,7 +578,8 @@ def fit_many(
     in_task_rows: int | None = None,
 ) -> Models:
     """Fit all models over one bin table. ``label`` holds 0 and 1."""
-    limit, whole = (IN_TASK_ROWS, MODEL_ROWS) if in_task_rows is None else (in_task_rows, in_task_rows)
+    native = kernel.register(df.sparkSession)
+    limit, whole = (IN_TASK_ROWS, JAVA_ROWS if native else MODEL_ROWS) if in_task_rows is None else (in_task_rows, in_task_rows)
     ship_package(df.sparkSession)
     bins = fit_bins(df, numeric, categorical)
     member = F.array(*[F.coalesce(s.train, F.lit(False)) for s in specs])
@@ -529,56 +587,125 @@ def fit_many(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [
-                pa.array([r.tobytes() for r in bins.of(batch)], pa.binary()),
-                batch.column("_label").cast(pa.int8()),
-                batch.column("_member"),
+            if not batch.num_rows:
+                continue
+            x = bins.of(batch)
+            y = batch.column("_label").cast(pa.int8()).fill_null(NO_LABEL).to_numpy(zero_copy_only=False)
+            chosen = _flags(batch.column("_member"), batch.num_rows)
+            if chosen[y == NO_LABEL].any():
+                raise ValueError("a row to learn from has no label")
+            told = [
+                pa.array([x.tobytes()], pa.binary()),
+                pa.array([y.tobytes()], pa.binary()),
+                pa.array([np.packbits(chosen, axis=1).tobytes()], pa.binary()),
+                *[pa.array([v.tolist()], pa.list_(pa.int64())) for v in (chosen.sum(axis=0), chosen[y == 1].sum(axis=0))],
             ]
-            yield pa.RecordBatch.from_arrays(packed, names=["bins", "label", "member"])
+            yield pa.RecordBatch.from_arrays(told, names=["bins", "label", "member", "rows", "positives"])
 
-    table = materialize(rows.mapInArrow(pack, "bins binary, label tinyint, member array<boolean>"), "bin-table")
-    counts = table.agg(
-        *[F.count(F.when(F.col("member")[k], 1)).alias(f"n{k}") for k in range(len(specs))],
-        *[F.count(F.when(F.col("member")[k] & (F.col("label") == 1), 1)).alias(f"p{k}") for k in range(len(specs))],
+    packed = rows.mapInArrow(pack, "bins binary, label binary, member binary, rows array<long>, positives array<long>")
+    table = materialize(packed, "bin-table")
+    sums = table.agg(
+        *[F.coalesce(F.sum(F.col(c)[k]), F.lit(0)).alias(f"{c}{k}") for c in ("rows", "positives") for k in range(len(specs))]
     ).first()
-    small = [k for k in range(len(specs)) if counts[f"n{k}"] <= whole]
-    large = [k for k in range(len(specs)) if k not in small]
+    counts = [sums[f"rows{k}"] for k in range(len(specs))]
+    starts = [log_odds(sums[f"positives{k}"], counts[k]) for k in range(len(specs))]
+    small = [(k, specs[k]) for k in range(len(specs)) if counts[k] <= whole]
+    large = [(k, specs[k]) for k in range(len(specs)) if counts[k] > whole]
     forests = {}
     if small:
-        forests |= _fit_in_tasks(table, [(k, specs[k]) for k in small], bins)
+        own = _members(table, small, len(specs), len(bins.names))
+        forests |= _fit_in_java(own, small, starts, bins) if native else _fit_in_tasks(own, small, bins)
     if large:
-        starts = [log_odds(counts[f"p{k}"], counts[f"n{k}"]) for k in large]
-        forests |= _fit_in_passes(table, [(k, specs[k]) for k in large], starts, bins, limit)
+        forests |= _fit_in_passes(table, large, [starts[k] for k, _ in large], len(specs), bins, limit)
     return Models(bins, {s.name: forests[s.name] for s in specs})
 
 
-def _matrix(values: Sequence[bytes], features: int) -> np.ndarray:
-    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), features)
+#: Stands for a missing label.
+NO_LABEL = -1
+
+
+def _flags(column: pa.Array, rows: int) -> np.ndarray:
+    """Arrays of equally many booleans as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(rows, -1)
+
 
+def _block(bins: bytes, label: bytes, member: bytes, models: int, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, labels and models of a block's rows."""
+    y = np.frombuffer(label, np.int8)
+    member = np.frombuffer(member, np.uint8).reshape(len(y), -1)
+    return np.frombuffer(bins, np.uint8).reshape(len(y), features), y, np.unpackbits(member, axis=1, count=models).astype(bool)
 
-def _fit_in_tasks(table: DataFrame, specs: list[tuple[int, Spec]], bins: Bins) -> dict[str, Forest]:
+
+def _members(table: DataFrame, specs: list[tuple[int, Spec]], models: int, features: int) -> DataFrame:
+    """(model, bins, label): the blocks of each model's rows, one range or more to a model."""
+    places = [k for k, _ in specs]
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                x, y, member = _block(*block, models, features)
+                for k in places:
+                    if member[:, k].any():
+                        own = [x[member[:, k]].tobytes()], [y[member[:, k]].tobytes()]
+                        told = [pa.array([k], pa.int32()), *[pa.array(v, pa.binary()) for v in own]]
+                        yield pa.RecordBatch.from_arrays(told, names=["model", "bins", "label"])
+
+    blocks = table.select("bins", "label", "member").mapInArrow(share, "model int, bins binary, label binary")
+    # Ranges are cut by samples: with a few for each model, no two large models share one.
+    return blocks.repartitionByRange(4 * len(specs), "model")
+
+
+def _fit_in_java(members: DataFrame, specs: list[tuple[int, Spec]], starts: Sequence[float], bins: Bins) -> dict[str, Forest]:
     """Models of few rows: a task each."""
+    shape = (len(bins.names), bins.width, len(bins.numeric), LEAVES, MIN_LEAF, MIN_HESSIAN, CATEGORY_SUPPORT)
+    settings = F.create_map(
+        *[x for k, s in specs for x in (F.lit(k), F.array(*[F.lit(float(v)) for v in (starts[k], s.step, s.rounds, *shape)]))]
+    )
+    fitted = members.groupBy("model").agg(F.collect_list(F.struct("bins", "label")).alias("blocks"))
+    # The trees of a model, which are of bounded size.
+    told = fitted.select("model", F.call_udf(kernel.BOOST, F.col("blocks"), settings[F.col("model")]).alias("trees")).collect()
+    trees = {r["model"]: r["trees"] for r in told}
+    # A model without rows has no trees.
+    return {
+        s.name: Forest(s.name, starts[k], _trees(trees[k], bins.width)) if k in trees else Forest(s.name, 0.0) for k, s in specs
+    }
+
+
+def _trees(told: bytes, width: int) -> list[Tree]:
+    """Trees as ``Boosting.java`` writes them."""
+    node = np.dtype([("value", "<f8"), ("gain", "<f8"), ("feature", "<i4"), ("child", "<i4", 2), ("left", "u1", (width + 7) // 8)])
+    found, at = [], 0
+    while at < len(told):
+        size = int.from_bytes(told[at : at + 4], "little")
+        own = np.frombuffer(told, node, size, at + 4)
+        at += 4 + size * node.itemsize
+        left = np.unpackbits(own["left"], axis=1, count=width).astype(bool)
+        wide = (own["feature"].astype(np.int64), own["child"].astype(np.int64))
+        found.append(Tree(wide[0], left, wide[1], own["value"].copy(), own["gain"].copy()))
+    return found
+
+
+def _fit_in_tasks(members: DataFrame, specs: list[tuple[int, Spec]], bins: Bins) -> dict[str, Forest]:
+    """Models of few rows: a task each, in numpy."""
     told = {k: (s.name, s.step, s.rounds) for k, s in specs}
     features, width, n_numeric = len(bins.names), bins.width, len(bins.numeric)
 
     def fit(rows: pa.Table) -> pa.Table:
         k = rows.column("model")[0].as_py()
         name, step, rounds = told[k]
-        label = rows.column("label").to_numpy().astype(float)
-        forest = boost(name, _matrix(rows.column("bins").to_pylist(), features), label, step, rounds, width, n_numeric)
+        x, y = (b"".join(v.as_buffer() for v in rows.column(c)) for c in ("bins", "label"))
+        label = np.frombuffer(y, np.int8).astype(float)
+        forest = boost(name, np.frombuffer(x, np.uint8).reshape(-1, features), label, step, rounds, width, n_numeric)
         return pa.table({"model": pa.array([k], pa.int32()), "forest": pa.array([pickle.dumps(forest)], pa.binary())})
 
-    own = F.filter(F.array(*[F.lit(k) for k in told]), lambda k: F.get(F.col("member"), k))
-    members = table.select(F.explode(own).alias("model"), "bins", "label")
-    # Ranges are cut by samples: with a few for each model, no two large models share one.
-    fitted = members.repartitionByRange(4 * len(told), "model").groupBy("model").applyInArrow(fit, "model int, forest binary")
+    fitted = members.groupBy("model").applyInArrow(fit, "model int, forest binary")
     # A forest per model, which is of bounded size.
     found = {r["model"]: pickle.loads(r["forest"]) for r in fitted.collect()}
     return {s.name: found.get(k, Forest(s.name, 0.0)) for k, s in specs}
 
 
 def _fit_in_passes(
-    table: DataFrame, specs: list[tuple[int, Spec]], starts: list[float], bins: Bins, limit: int
+    table: DataFrame, specs: list[tuple[int, Spec]], starts: list[float], models: int, bins: Bins, limit: int
 ) -> dict[str, Forest]:
     """Models of many rows: histograms of all models and nodes from one aggregate per level."""
     context = table.sparkSession.sparkContext
@@ -588,20 +715,9 @@ def _fit_in_passes(
     places, first = [k for k, _ in specs], np.array(starts)
 
     def blocks(rows):
-        held = []
-
-        def block():
-            x, y = _matrix([r[0] for r in held], features), np.array([r[1] for r in held], float)
-            member = np.array([[r[2][k] for k in places] for r in held], bool)
-            return x, y, member, np.repeat(first[None, :], len(held), axis=0)
-
         for row in rows:
-            held.append((bytes(row["bins"]), row["label"], row["member"]))
-            if len(held) == BLOCK_ROWS:
-                yield block()
-                held = []
-        if held:
-            yield block()
+            x, y, member = _block(bytes(row["bins"]), bytes(row["label"]), bytes(row["member"]), models, features)
+            yield x, y.astype(float), member[:, places], np.repeat(first[None, :], len(y), axis=0)
 
     state = table.rdd.mapPartitions(blocks).persist(StorageLevel.MEMORY_AND_DISK)
     forests = [Forest(s.name, start) for (_, s), start in zip(specs, starts, strict=True)]
@@ -746,7 +862,7 @@ def score_many(
             if not batch.num_rows:
                 continue
             x = bins.of(batch)
-            picked = np.array(batch.column("_chosen").to_pylist(), bool)
+            picked = _flags(batch.column("_chosen"), batch.num_rows)
             for k, (name, stages) in enumerate(plan):
                 own = np.flatnonzero(picked[:, k])
                 if not len(own):
@@ -755,7 +871,7 @@ def score_many(
                 for stage, raw in zip(stages, forests[name].raw(x[own], stages), strict=True):
                     told = [
                         kept,
-                        pa.array([name] * len(own)),
+                        pa.repeat(name, len(own)),
                         pa.array(np.full(len(own), stage, np.int32)),
                         pa.array(1 / (1 + np.exp(-raw))),
                     ]

@@ -230,3 +230,46 @@ def test_rows_end_where_their_paths_do():
     assert all((a == b).all() for a, b in zip(forest.raw(other, [1, 4]), (after[0], after[3]), strict=True))
     stump = boosting.boost("m", bins[:10], label[:10], 0.1, 2, 31, 4)
     assert (stump.raw(other, [2])[0] == stump.raw(other[:1], [2])[0][0]).all()
+
+
+def trees_of(models, name):
+    return [(t.feature.tolist(), t.left_bins.tolist(), t.child.tolist(), t.value.tolist(), t.gain.tolist()) for t in models.forests[name].trees]
+
+
+def test_java_and_numpy_fit_the_same_trees(spark, monkeypatch):
+    _, df = table(spark, 3000, seed=8)
+    df = df.withColumn("b", F.pmod(F.xxhash64("key"), F.lit(300)).cast("int")).withColumn(
+        "d", F.when(F.col("key") % 7 != 0, F.sin("key"))
+    )
+    inputs = [*specs(12), boosting.Spec("few", F.col("key") < 25, 0.3, 3)], ("a", "b", "d"), ("c",)
+    in_java = boosting.fit_many(df.repartition(5), *inputs)
+    monkeypatch.setattr(boosting.kernel, "register", lambda spark: False)
+    monkeypatch.setattr(boosting, "_fit_in_java", None)
+    in_numpy = boosting.fit_many(df, *inputs)
+    assert in_java.bins == in_numpy.bins
+    for name, forest in in_java.forests.items():
+        assert forest.start == in_numpy.forests[name].start
+        assert trees_of(in_java, name) == trees_of(in_numpy, name)
+    assert max(len(t.feature) for t in in_java.forests["all"].trees) == 2 * boosting.LEAVES - 1
+
+
+def test_java_fits_models_beyond_the_rows_of_numpy_without_passes(spark, monkeypatch):
+    rows, df = table(spark)
+    monkeypatch.setattr(boosting, "MODEL_ROWS", len(rows) // 4)
+    monkeypatch.setattr(boosting, "_fit_in_passes", None)
+    models = boosting.fit_many(df, [boosting.Spec("m", F.lit(True), rounds=2)], ["a", "b"], ["c"])
+    assert len(models.forests["m"].trees) == 2
+
+
+def test_rows_without_label_are_not_learned_from(spark):
+    _, df = table(spark, 60)
+    df = df.withColumn("label", F.when(F.col("key") > 0, F.col("label")))
+    with pytest.raises(Exception, match="has no label"):
+        boosting.fit_many(df, specs()[:1], ("a", "b"), ("c",))
+    learned = boosting.fit_many(df, [boosting.Spec("m", F.col("key") > 0, 0.3, 2)], ("a", "b"), ("c",))
+    assert len(scores(learned, df, "m")) == 60
+
+
+def test_exponential_is_that_of_the_library():
+    x = np.concatenate([np.linspace(-40, 40, 10001), [-750.0, 750.0, 0.0, 1e-18]])
+    assert boosting.exponential(x) == pytest.approx(np.exp(np.clip(x, -700, 700)), rel=1e-15)
