@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -16,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.operators.boosting import Models, Spec, fit_many, score_many
-from rollcall.operators.ordering import exact_quantiles, permuted, ranked
+from rollcall.operators.ordering import Permutations, exact_quantiles, ranked
 from rollcall.operators.quality import calibration, roc_auc
 from rollcall.schema import FEATURE_COLUMNS
-from rollcall.session import materialize, scratch_path
+from rollcall.session import materialize, scratch_path, ship_package
 
 CATEGORICAL = ("hour", "weekday")
 NUMERIC = tuple(c for c in FEATURE_COLUMNS if c not in (*CATEGORICAL, "missed"))
@@ -493,6 +495,10 @@ def group_models(
 
 # --- importances ------------------------------------------------------------
 
+#: Receiving rows of a block, at least and at most, and how many blocks are enough for the least.
+EXCHANGE_ROWS, EXCHANGE_BLOCKS = (1 << 13, 1 << 16), 64
+GIFT = np.dtype([("variant", "<u2"), ("place", "<u2"), ("bin", "u1")])
+
 
 def permutation_importance(
     model: PipelineModel | BaselineModel,
@@ -554,41 +560,91 @@ def exchange_importance(
 ) -> DataFrame:
     """(feature, importance, std): loss of accuracy when a feature's values are exchanged between rows.
 
-    Every feature and repeat has a random permutation of its own. A row hands each of its values on to the row that the
-    permutation names, so values move once, and all variants are scored in one pass.
+    Every feature and repeat has a random permutation of its own. A row hands the bin of each of its values on to the row that the
+    permutation names: three bytes and the variant's number, packed by blocks of receiving rows. All variants of a block are
+    scored by one task.
     """
-    features = models.bins.names
-    placed = ranked(df.select(key, "label", *features), [F.col(key)], "_rank")
+    spark, bins, forest = df.sparkSession, models.bins, models.forests[name]
+    ship_package(spark)
+    features = bins.names
+    placed = ranked(df.select(key, F.col("label").cast("double").alias("label"), *bins.columns()), [F.col(key)], "_rank")
     n = placed.count()
-    gifts = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.lit(repeat).alias("repeat"),
-                F.lit(f"{seed} {repeat} {f}").alias("order"),
-                F.col(f).cast("string").alias("value"),
+    size = EXCHANGE_ROWS[0]
+    while size < EXCHANGE_ROWS[1] and n > EXCHANGE_BLOCKS * size:
+        size *= 2
+    variants = [(f, repeat) for f in features for repeat in range(repeats)]
+    sent = spark.sparkContext.broadcast((forest, Permutations(n, [f"{seed} {repeat} {f}" for f, repeat in variants])))
+
+    def hand_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        permutations = sent.value[1]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, ranks = bins.of(batch), batch.column("_rank").to_numpy(zero_copy_only=False).astype(np.int64)
+            label = pc.equal(batch.column("label"), 1.0).cast(pa.int8()).fill_null(-1).to_numpy(zero_copy_only=False)
+            given = np.empty((len(variants), len(ranks)), GIFT)
+            given["variant"] = np.arange(len(variants))[:, None]
+            block = np.empty(given.shape, np.int64)
+            for k in range(len(variants)):
+                block[k], given["place"][k] = np.divmod(permutations.receivers(k, ranks), size)
+                given["bin"][k] = x[:, k // repeats]
+            own = np.empty(len(ranks), np.dtype([("place", "<u2"), ("label", "i1"), ("bins", "u1", x.shape[1])]))
+            at, own["place"] = np.divmod(ranks, size)
+            own["label"], own["bins"] = label, x
+            mine, given = _by_block(at, own), _by_block(block.ravel(), given.ravel())
+            told = sorted({*mine, *given})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(told, pa.int64()), *[pa.array([x.get(k, b"") for k in told], pa.binary()) for x in (mine, given)]],
+                names=["block", "own", "given"],
             )
-            for f in features
-            for repeat in range(repeats)
+
+    def judged(rows: pa.Table) -> pa.Table:
+        own = np.frombuffer(
+            b"".join(v.as_buffer() for v in rows.column("own")),
+            np.dtype([("place", "<u2"), ("label", "i1"), ("bins", "u1", len(features))]),
+        )
+        columns = np.empty((len(features), len(own)), np.uint8)
+        columns[:, own["place"]] = own["bins"].T
+        label = np.empty(len(own), np.int8)
+        label[own["place"]] = own["label"]
+        changed = np.empty((len(variants), len(own)), np.uint8)
+        for part in rows.column("given"):
+            given = np.frombuffer(part.as_buffer(), GIFT)
+            changed[given["variant"], given["place"]] = given["bin"]
+        plain, exchanged = sent.value[0].raw_exchanged(columns, changed.reshape(len(features), repeats, -1))
+        known = label >= 0
+        right = [
+            ((1 / (1 + np.exp(-raw)) > 0.5) == (label == 1))[known].sum()
+            for raw in (plain, *exchanged.reshape(len(variants), -1))
         ]
+        told = [np.arange(-1, len(variants)), np.array(right), np.full(len(right), known.sum())]
+        return pa.table([pa.array(v.astype(np.int64)) for v in told], names=["variant", "right", "rows"])
+
+    packed = placed.drop(key).mapInArrow(hand_on, "block long, own binary, given binary")
+    counted = (
+        packed.repartition(-(-n // size) or 1, "block")
+        .groupBy("block")
+        .applyInArrow(judged, "variant long, right long, rows long")
+        .groupBy("variant")
+        .agg((F.sum("right") / F.sum("rows")).alias("accuracy"))
     )
-    given = placed.select("_rank", F.explode(gifts).alias("_g")).select(
-        permuted(F.col("_rank"), n, F.col("_g.order")).alias("_rank"), "_g.feature", "_g.repeat", "_g.value"
-    )
-    kinds = dict(placed.dtypes)
-    taken = [
-        F.when(F.col("feature") == f, F.col("value").cast(kinds[f])).otherwise(F.col(f)).alias(f) for f in features
+    # One row per feature and repeat.
+    accuracy = {r["variant"]: r["accuracy"] for r in counted.collect()}
+    losses = [
+        (*variants[k], None if right is None else accuracy[-1] - right) for k, right in accuracy.items() if k >= 0
     ]
-    mixed = given.join(placed.drop(key), "_rank").select("label", "feature", "repeat", *taken)
-    right = F.avg(((F.col("prediction") > 0.5) == (F.col("label") == 1)).cast("double"))
-    whole = [(name, None, F.lit(True))]
-    base = score_many(models, df, ["label"], whole).agg(right).first()[0]
-    drops = score_many(models, mixed, ["label", "feature", "repeat"], whole).groupBy("feature", "repeat").agg(
-        (F.lit(base) - right).alias("loss")
-    )
+    drops = spark.createDataFrame(losses, "feature string, repeat int, loss double")
     return drops.groupBy("feature").agg(F.avg("loss").alias("importance"), F.stddev_pop("loss").alias("std"))
 
 
+def _by_block(block: np.ndarray, rows: np.ndarray) -> dict[int, bytes]:
+    """Packed rows of each block."""
+    order = block.argsort(kind="stable")
+    rows, block = rows[order], block[order]
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    return {int(block[a]): rows[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(block)], strict=True)}
+
+
 def tree_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Impurity importances by input name; one row per model input."""
     assembler, trees = model.stages[-2], model.stages[-1]

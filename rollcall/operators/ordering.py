@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from hashlib import md5
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -137,6 +139,41 @@ def permuted(rank: Column, n: int, key: Column | str) -> Column:
     return F.when(end < n, end)
 
 
+class Permutations:
+    """:func:`permuted` for many keys, over arrays of ranks: what a turn adds to a half depends on the other half only, so it is looked up."""
+
+    def __init__(self, n: int, keys: Sequence[str]) -> None:
+        self.n = n
+        self.side, self.rows = permutation_sides(n)
+        self.added = []
+        for key in keys:
+            turns = []
+            for turn in range(MIXING_ROUNDS):
+                values, modulus = (self.rows, self.side) if turn % 2 == 0 else (self.side, self.rows)
+                digests = (md5(f"{key}:{turn}:{value}".encode()).hexdigest()[:8] for value in range(values))
+                turns.append(np.array([int(d, 16) % modulus for d in digests], np.int64))
+            self.added.append(turns)
+
+    def receivers(self, k: int, ranks: np.ndarray) -> np.ndarray:
+        """Where the permutation of the key in place k sends ranks."""
+        out, open_ranks = np.empty(len(ranks), np.int64), np.arange(len(ranks))
+        x = ranks
+        while len(open_ranks):
+            r, left = np.divmod(x, self.side)
+            for turn, added in enumerate(self.added[k]):
+                if turn % 2 == 0:
+                    left = left + added.take(r)
+                    left -= self.side * (left >= self.side)
+                else:
+                    r = r + added.take(left)
+                    r -= self.rows * (r >= self.rows)
+            x = r * self.side + left
+            out[open_ranks] = x
+            outside = x >= self.n
+            open_ranks, x = open_ranks[outside], x[outside]
+        return out
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[Column],

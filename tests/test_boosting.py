@@ -273,3 +273,52 @@ def test_rows_without_label_are_not_learned_from(spark):
 def test_exponential_is_that_of_the_library():
     x = np.concatenate([np.linspace(-40, 40, 10001), [-750.0, 750.0, 0.0, 1e-18]])
     assert boosting.exponential(x) == pytest.approx(np.exp(np.clip(x, -700, 700)), rel=1e-15)
+
+
+def test_many_permutations_are_those_of_the_expression(spark):
+    for n in (1, 2, 17, 4999):
+        found = ordering.Permutations(n, ["a 1", "b"])
+        rows = spark.range(n).orderBy("id").select(*[ordering.permuted(F.col("id"), n, k).alias(k) for k in ("a 1", "b")]).collect()
+        for k in range(2):
+            assert found.receivers(k, np.arange(n)).tolist() == [r[k] for r in rows]
+
+
+def test_exchanged_scores_are_those_of_whole_rows(spark, monkeypatch):
+    rows, df = table(spark, 500)
+    models = boosting.fit_many(df, [boosting.Spec("m", F.lit(True), 0.2, 10)], ("a", "b"), ("c",))
+    forest, width = models.forests["m"], models.bins.width
+    rng = np.random.default_rng(2)
+    columns, given = rng.integers(0, width, (3, 80)).astype(np.uint8), rng.integers(0, width, (3, 4, 80)).astype(np.uint8)
+    plain_scores, exchanged = forest.raw_exchanged(columns, given)
+    assert (plain_scores == forest.raw(columns.T, [10])[0]).all()
+    for f in range(3):
+        for repeat in range(4):
+            other = columns.copy()
+            other[f] = given[f, repeat]
+            assert (exchanged[f, repeat] == forest.raw(other.T, [10])[0]).all()
+
+    # Whole tables, row by row, against blocks of a few rows.
+    df = df.withColumn("label", F.when(F.col("key") % 50 != 0, F.col("label")))
+    want = {}
+    whole = {r["key"]: r for r in df.collect()}
+    known = {k: r["label"] for k, r in whole.items() if r["label"] is not None}
+
+    def accuracy(frame):
+        got = scores(models, frame, "m")
+        return sum((got[k] > 0.5) == (known[k] == 1) for k in known) / len(known)
+
+    for f in models.bins.names:
+        losses = []
+        for repeat in range(2):
+            to = ordering.Permutations(500, [f"5 {repeat} {f}"]).receivers(0, np.arange(500))
+            taken = {int(to[k]): whole[k][f] for k in range(500)}
+            mixed = [tuple((r | {f: taken[k]}).values()) for k, r in ((k, r.asDict()) for k, r in whole.items())]
+            losses.append(accuracy(df) - accuracy(spark.createDataFrame(mixed, df.schema)))
+        want[f] = (np.mean(losses), np.std(losses))
+    # Before, values went to their receivers by a join of whole rows.
+    monkeypatch.setattr(modeling, "EXCHANGE_ROWS", (64, 128))
+    monkeypatch.setattr(modeling, "EXCHANGE_BLOCKS", 4)
+    out = modeling.exchange_importance(models, df, "key", "m", repeats=2, seed=5)
+    got = {r["feature"]: (r["importance"], r["std"]) for r in out.collect()}
+    assert set(got) == set(want) and all(got[f] == pytest.approx(want[f], abs=1e-12) for f in want)
+    assert modeling.exchange_importance(models, df.limit(0), "key", "m").isEmpty()
