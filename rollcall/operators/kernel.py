@@ -19,7 +19,7 @@ def _compiled(spark: SparkSession) -> object:
     source = Path(__file__).with_name("Boosting.java")
     compiler = spark._jvm.org.codehaus.janino.SimpleCompiler()
     compiler.cook(source.read_text())
-    archive = Path(tempfile.mkdtemp(prefix="rollcall-")) / "rollcall-boosting.jar"
+    archive = Path(tempfile.mkdtemp(prefix="rollcall-")).resolve() / "rollcall-boosting.jar"
     with zipfile.ZipFile(archive, "w") as packed:
         for entry in compiler.getBytecodes().entrySet():
             packed.writestr(f"{entry.getKey().replace('.', '/')}.class", bytes(entry.getValue()))
